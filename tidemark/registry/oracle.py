@@ -112,7 +112,8 @@ CTE = {
                arg_max(score, updated_at) AS score, max(updated_at) AS updated_at
         FROM run JOIN presence ON updated_at < run_ts GROUP BY run_ts, user_id""",
     "middle": """
-        SELECT min(partition_date) + (max(partition_date) - min(partition_date)) // 2 AS day
+        SELECT min(partition_date)
+               + CAST((max(partition_date) - min(partition_date)) // 2 AS INTEGER) AS day
         FROM event""",
     "merged": """
         SELECT user_id, u.first_name, u.last_name, u.created_at,
