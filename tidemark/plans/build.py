@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import APPLIED, audit_row, merge_changes
+from tidemark.operators.changes import APPLIED, audit_row, merge_changes, next_job_date
 from tidemark.operators.incremental import (
     IncrementalTable,
     load_new_rows,
@@ -20,12 +21,14 @@ from tidemark.plans.intermediate import int_events, int_posts, int_users
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events, stg_posts, stg_users
 from tidemark.schemas import RAW, timestamp
-from tidemark.sources.tables import append, publish_view, read_table, write_table
+from tidemark.sources.paths import partition_days
+from tidemark.sources.tables import publish_view, read_table, replace_partitions, write_table
 
 ATTRIBUTES = {
     "user": ["first_name", "last_name", "country_code", "favorite_color"],
     "post": ["user_id", "post_text"],
 }
+_APPLIED_ON = "applied_on"
 
 
 @dataclass(frozen=True)
@@ -54,24 +57,52 @@ class Warehouse:
         )
 
 
-def apply_raw_changes(
+def job_date(spark: SparkSession, warehouse: Warehouse, first: dt.date) -> dt.date:
+    """The day to ingest next: after the last one audited, or ``first``."""
+    path = warehouse.path("raw", "ingestion_audit")
+    if not partition_days(spark, path, "ingest_date"):
+        return first
+    return next_job_date(spark.read.parquet(path), F.lit(first)).first()[0]
+
+
+def ingest_day(
     spark: SparkSession,
     warehouse: Warehouse,
     changes: dict[str, DataFrame],
+    events: DataFrame,
     ingest_date: dt.date,
     now: dt.datetime,
 ) -> None:
-    """Apply the day's changes to raw users and posts and append the audit rows."""
+    """Apply a day's changes to raw users and posts, add its events, audit both.
+
+    Everything is keyed by the day, so a run that broke off is simply repeated.
+    """
+    audits = []
+    day, at = F.lit(ingest_date), timestamp(now.isoformat(sep=" "))
     for table, batch in changes.items():
-        state = raw_state(spark, warehouse, table, batch)
-        merged = merge_changes(state, batch, f"{table}_id", ATTRIBUTES[table])
-        # The write is the one pass over the merge; the audit reads its outcome.
         path = warehouse.path("raw", table)
-        write_table(merged, path)
-        audit = audit_row(
-            read_table(spark, path), table, F.lit(ingest_date), timestamp(now.isoformat(sep=" "))
-        )
-        append(audit, warehouse.path("raw", "ingestion_audit"))
+        outcome = read_table(spark, path)
+        if outcome is None or outcome.where(F.col(_APPLIED_ON) == day).isEmpty():
+            state = raw_state(spark, warehouse, table, batch)
+            merged = merge_changes(state, batch, f"{table}_id", ATTRIBUTES[table])
+            write_table(merged.withColumn(_APPLIED_ON, day), path)
+            # The write is the one pass over the merge; the audit reads its outcome.
+            outcome = read_table(spark, path)
+        audits.append(audit_row(outcome, table, day, at))
+
+    of_day = f"{warehouse.path('raw', 'event')}/ingest_date={ingest_date.isoformat()}"
+    events.write.mode("overwrite").parquet(of_day)
+    added = spark.read.parquet(of_day).withColumn(APPLIED, F.lit("inserted"))
+    audits.append(audit_row(added, "event", day, at))
+
+    rows = reduce(DataFrame.unionByName, audits)
+    replace_partitions(
+        rows, warehouse.path("raw", "ingestion_audit"), ["ingest_date", "table_name"]
+    )
+
+
+def raw_events(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    return spark.read.parquet(warehouse.path("raw", "event")).drop("ingest_date")
 
 
 def raw_state(
@@ -81,7 +112,7 @@ def raw_state(
     columns typed as in the batch ``like``."""
     state = read_table(spark, warehouse.path("raw", table))
     if state is not None:
-        return state.drop(APPLIED)
+        return state.drop(APPLIED, _APPLIED_ON)
     empty = spark.createDataFrame([], RAW[table])
     kinds = dict(like.dtypes) if like is not None else {}
     return empty.select(

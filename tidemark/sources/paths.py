@@ -18,9 +18,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
+def is_file(spark: SparkSession, path: str) -> bool:
     files, location = _folder(spark, path)
-    return files.exists(location) and files.getFileStatus(location).isDirectory()
+    return files.exists(location) and files.getFileStatus(location).isFile()
 
 
 def names(spark: SparkSession, path: str) -> list[str]:

@@ -27,6 +27,16 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Write the partitions ``df`` has rows for and leave all others alone."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def _versions(spark: SparkSession, path: str) -> list[int]:
     numbers = [int(n[len(_VERSION) :]) for n in paths.names(spark, path) if n.startswith(_VERSION)]
     return sorted(numbers)

@@ -29,7 +29,7 @@ from tidemark.sources import paths
 def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """New Parquet files of a folder as a stream; a single file is a folder of one."""
     reader = spark.readStream.schema(schema)
-    if paths.is_folder(spark, path):
+    if not paths.is_file(spark, path):
         return reader.parquet(path)
     folder, _, name = path.rstrip("/").rpartition("/")
     return reader.option("pathGlobFilter", name).parquet(folder)
