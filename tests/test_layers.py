@@ -180,7 +180,8 @@ def test_activity_counts_back_from_the_newest_day(spark):
     daily = table(
         spark, "event_date date, user_id string", ("2100-01-05", "a"), ("2100-01-03", "b"), ("2100-01-02", "c")
     )
-    assert rows(metrics.activity(daily, "user_id", 3), "user_id", "is_active") == [
+    as_of = daily.agg(F.max("event_date")).scalar()
+    assert rows(metrics.activity(daily, "user_id", 3, as_of), "user_id", "is_active") == [
         ("a", True),
         ("b", True),
         ("c", False),

@@ -32,11 +32,12 @@ def first_per_group(df: DataFrame, group: list[str], order: list[str]) -> DataFr
 
 
 def _next_change(
-    feed: DataFrame, key: str, updated_at: str, rows_per_group: int | None
+    feed: DataFrame, key: str, updated_at: str, order: list[str], rows_per_group: int | None
 ) -> tuple[DataFrame, Column]:
+    """The feed with the time of each row's next change, as a column of it."""
     heavy = heavy_groups(feed, [key], rows_per_group) if rows_per_group else None
     if not heavy:
-        following = F.lead(updated_at).over(Window.partitionBy(key).orderBy(updated_at))
+        following = F.lead(updated_at).over(Window.partitionBy(key).orderBy(*order))
         return feed.withColumn("_next", following), F.col("_next")
 
     # A key with very many changes is read hour by hour. The last change of an
@@ -46,7 +47,7 @@ def _next_change(
     placed = heavy.mark(feed, "_cut").withColumn(
         "_hour", F.when(cut, hour_number(F.col(updated_at))).otherwise(0)
     )
-    in_hour = Window.partitionBy(key, "_hour").orderBy(updated_at)
+    in_hour = Window.partitionBy(key, "_hour").orderBy(*order)
     hours = placed.where(cut).groupBy(key, "_hour").agg(F.min(updated_at).alias("_opens"))
     by_hour = Window.partitionBy(key).orderBy("_hour")
     next_hour = hours.select(key, "_hour", F.lead("_opens").over(by_hour).alias("_later"))
@@ -60,14 +61,17 @@ def close_intervals(
     feed: DataFrame,
     key: str,
     updated_at: str,
+    tiebreak: str | None = None,
     rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """Turn changes into versions that end where the key's next one begins.
 
-    ``(key, updated_at)`` must be unique; see :func:`last_per_group`.
+    Of several changes at the same instant the one with the highest ``tiebreak``
+    is kept; the others would have been valid for no time at all.
     """
-    linked, following = _next_change(feed, key, updated_at, rows_per_group)
-    return linked.select(
+    order = [updated_at, tiebreak] if tiebreak else [updated_at]
+    linked, following = _next_change(feed, key, updated_at, order, rows_per_group)
+    return linked.where(following.isNull() | (following > F.col(updated_at))).select(
         *feed.columns,
         version_id(F.col(key), F.col(updated_at)).alias(SCD_ID),
         F.col(updated_at).alias(UPDATED_AT),
@@ -85,12 +89,10 @@ def history_from_feed(
 ) -> DataFrame:
     """Whole history from a change feed: one version per key and change time.
 
-    Of several changes at the same instant the one with the highest ``tiebreak``
-    counts. Equals running :func:`~tidemark.operators.snapshots.snapshot_run`
-    after every single change.
+    Equals running :func:`~tidemark.operators.snapshots.snapshot_run` after every
+    single change.
     """
-    changes = last_per_group(feed, [key, updated_at], [tiebreak])
-    return close_intervals(changes, key, updated_at, rows_per_group)
+    return close_intervals(feed, key, updated_at, tiebreak, rows_per_group)
 
 
 def history_from_runs(
@@ -106,7 +108,7 @@ def history_from_runs(
     ``run`` maps a change to the run that first sees it.
     """
     seen = last_per_group(feed.withColumn("_run", run), [key, "_run"], [updated_at, tiebreak])
-    return close_intervals(seen.drop("_run"), key, updated_at, rows_per_group)
+    return close_intervals(seen.drop("_run"), key, updated_at, None, rows_per_group)
 
 
 def initial_from_creation(versions: DataFrame, key: str, created_at: str) -> DataFrame:

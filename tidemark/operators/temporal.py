@@ -16,9 +16,6 @@ from tidemark.operators.skew import (
 )
 from tidemark.schemas import VALID_FROM, VALID_TO, timestamp
 
-_PLACE = ["_key", "_hour", "_slot"]
-
-
 def _hours_covered(first_ts: Column, last_ts: Column) -> Column:
     """Hour numbers from one time to the other, none when the interval is empty."""
     first, last = hour_number(first_ts), hour_number(last_ts)
@@ -26,35 +23,31 @@ def _hours_covered(first_ts: Column, last_ts: Column) -> Column:
 
 
 def _place(
-    facts: DataFrame, versions: DataFrame, ts: str, rows_per_group: int | None
-) -> tuple[DataFrame, DataFrame]:
-    """Give both sides the columns ``_hour`` and ``_slot`` next to ``_key``.
+    facts: DataFrame, versions: DataFrame, key: str, ts: str, rows_per_group: int | None
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Cut hot keys on both sides; also returns the columns to match, key included.
 
     Ordinary keys stay whole (hour 0, slot 0). A key that is heavy on either side
     is cut by the hour, its versions being repeated for each hour they cover
     within the time range of the data: at most one row more per hour. An hour of
     such a key that is still heavy is split further, by a hash of the time.
+
+    Costs one pass over key and time, combined before its shuffle. Without heavy
+    keys both sides come back as they are.
     """
-    whole = [
-        side.withColumn("_hour", F.lit(0)).withColumn("_slot", F.lit(0))
-        for side in (facts, versions)
-    ]
     if rows_per_group is None:
-        return whole[0], whole[1]
-
-    times = facts.select("_key", F.col(ts).alias("_at")).unionAll(
-        versions.select("_key", VALID_FROM)
-    )
+        return facts, versions, [key]
+    times = facts.select(key, F.col(ts).alias("_at")).unionAll(versions.select(key, VALID_FROM))
     profile = times.agg(
-        top_groups(["_key"]).alias("keys"),
-        top_groups(["_key", hour_number(F.col("_at"))]).alias("hours"),
+        top_groups([key]).alias("keys"),
+        top_groups([key, hour_number(F.col("_at"))]).alias("hours"),
         F.min("_at").cast("string").alias("first"),
         F.max("_at").cast("string").alias("last"),
     ).first()
-    heavy_keys = HeavyGroups(["_key"], profile["keys"], rows_per_group)
-    heavy_hours = HeavyGroups(["_key", "_hour"], profile["hours"], rows_per_group)
+    heavy_keys = HeavyGroups([key], profile["keys"], rows_per_group)
+    heavy_hours = HeavyGroups([key, "_hour"], profile["hours"], rows_per_group)
     if not heavy_keys:
-        return whole[0], whole[1]
+        return facts, versions, [key]
 
     cut = F.col("_cut").isNotNull()
     facts = heavy_keys.mark(facts, "_cut").withColumn(
@@ -70,7 +63,11 @@ def _place(
         "_hour", F.explode(F.when(cut, hours).otherwise(F.array(F.lit(0))))
     )
     versions = heavy_hours.mark(versions, "_splits").withColumn("_slot", all_slots("_splits"))
-    return facts.drop("_cut", "_splits"), versions.drop("_cut", "_splits")
+    return (
+        facts.drop("_cut", "_splits"),
+        versions.drop("_cut", "_splits"),
+        [key, "_hour", "_slot"],
+    )
 
 
 def temporal_join(
@@ -92,55 +89,54 @@ def temporal_join(
     * ``asof``: facts and versions are sorted together and the last version is
       carried forward, so the work is linear in facts plus versions.
 
-    ``rows_per_group=None`` leaves out the treatment of hot keys.
+    Either way the result stays partitioned by ``key``, unless hot keys had to be
+    cut. ``rows_per_group=None`` leaves out the treatment of hot keys.
     """
+    if method not in ("range", "asof"):
+        raise ValueError(f"unknown method: {method}")
     named = [F.col(name).alias(f"_v_{name}") for name in attributes]
-    left = facts.withColumn("_key", F.col(key))
-    right = versions.select(F.col(key).alias("_key"), VALID_FROM, VALID_TO, *named)
-    left, right = _place(left, right, ts, rows_per_group)
-
-    output = [F.col(name) for name in facts.columns]
-    if method == "range":
-        right = right.withColumnsRenamed({name: f"{name}_v" for name in _PLACE})
-        match = (F.col(ts) >= F.col(VALID_FROM)) & (F.col(ts) < F.col(VALID_TO))
-        for name in _PLACE:
-            match &= F.col(name) == F.col(f"{name}_v")
-        joined = left.join(right, match, "left")
-        return joined.select(*output, *[F.col(f"_v_{n}").alias(n) for n in attributes])
+    left, right, place = _place(
+        facts, versions.select(key, VALID_FROM, VALID_TO, *named), key, ts, rows_per_group
+    )
     if method == "asof":
-        return _carry_forward(left, right, facts.columns, ts, attributes)
-    raise ValueError(f"unknown method: {method}")
+        return _carry_forward(left, right, facts.columns, place, ts, attributes)
+
+    right = right.withColumnsRenamed({name: f"_m_{name}" for name in place})
+    match = (F.col(ts) >= F.col(VALID_FROM)) & (F.col(ts) < F.col(VALID_TO))
+    for name in place:
+        match &= F.col(name) == F.col(f"_m_{name}")
+    joined = left.join(right, match, "left")
+    return joined.select(*facts.columns, *[F.col(f"_v_{n}").alias(n) for n in attributes])
 
 
 def _carry_forward(
-    left: DataFrame, right: DataFrame, columns: list[str], ts: str, attributes: list[str]
+    left: DataFrame,
+    right: DataFrame,
+    columns: list[str],
+    place: list[str],
+    ts: str,
+    attributes: list[str],
 ) -> DataFrame:
     # A struct, because a bare attribute that is NULL in the right version would
     # be skipped in favour of an older version's value.
     version = F.struct(VALID_TO, *[f"_v_{name}" for name in attributes])
-    events = left.select(
-        *_PLACE,
-        F.col(ts).alias("_at"),
-        F.lit(1).alias("_is_fact"),
-        F.struct(*columns).alias("_fact"),
-    )
     starts = right.where(F.col(VALID_FROM) < F.col(VALID_TO)).select(
-        *_PLACE,
-        F.col(VALID_FROM).alias("_at"),
-        F.lit(0).alias("_is_fact"),
+        *place,
+        F.col(VALID_FROM).alias(ts),
         version.alias("_version"),
+        F.lit(0).alias("_is_fact"),
     )
-    both = events.unionByName(starts, allowMissingColumns=True)
+    both = left.withColumn("_is_fact", F.lit(1)).unionByName(starts, allowMissingColumns=True)
     earlier = (
-        Window.partitionBy(*_PLACE)
-        .orderBy("_at", "_is_fact")
+        Window.partitionBy(*place)
+        .orderBy(ts, "_is_fact")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     filled = both.withColumn("_last", F.last("_version", ignorenulls=True).over(earlier)).where(
         "_is_fact = 1"
     )
-    covered = (F.col("_at") < F.col(f"_last.{VALID_TO}")) & F.col("_key").isNotNull()
+    # The version may have ended before the fact, and NULL keys match nothing.
+    covers = (F.col(ts) < F.col(f"_last.{VALID_TO}")) & F.col(place[0]).isNotNull()
     return filled.select(
-        "_fact.*",
-        *[F.when(covered, F.col(f"_last._v_{name}")).alias(name) for name in attributes],
+        *columns, *[F.when(covers, F.col(f"_last._v_{name}")).alias(name) for name in attributes]
     )

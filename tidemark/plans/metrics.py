@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.attributes import ratio
@@ -66,16 +66,13 @@ def with_like_ratio(df: DataFrame, likes: str = "likes", views: str = "views") -
     return df.withColumn("like_ratio", ratio(likes, views))
 
 
-def activity(daily: DataFrame, key: str, active_days: int) -> DataFrame:
-    """``(key, last_active, is_active)`` as of the newest day in ``daily``.
+def activity(daily: DataFrame, key: str, active_days: int, as_of: Column) -> DataFrame:
+    """``(key, last_active, is_active)`` as of a day.
 
     Active means seen on one of the last ``active_days`` days, that day included.
     """
-    as_of = daily.agg(F.max("event_date")).scalar()
     last = daily.groupBy(key).agg(F.max("event_date").alias("last_active"))
-    return last.withColumn(
-        "is_active", F.col("last_active") > F.date_sub(as_of, active_days)
-    )
+    return last.withColumn("is_active", F.col("last_active") > F.date_sub(as_of, active_days))
 
 
 def creator_daily(agg_post: DataFrame, posts: DataFrame) -> DataFrame:

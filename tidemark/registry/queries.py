@@ -303,7 +303,8 @@ def creator_like_ratio(spark, folder):
 
 def _activity(spark, folder, daily, key):
     """Active on one of the last days of the data."""
-    return metrics.activity(daily, key, ACTIVE_DAYS)
+    as_of = fct_events(spark, folder).agg(F.max("partition_date")).scalar()
+    return metrics.activity(daily, key, ACTIVE_DAYS, as_of)
 
 
 @_query
