@@ -221,6 +221,9 @@ def test_table_can_be_rewritten_from_itself(spark, tmp_path):
     spark.range(5).write.parquet(f"{path}/v=2")
     (tmp_path / "t" / "v=2" / "_SUCCESS").unlink()
     assert tables.read_table(spark, path).count() == 3
+    tables.drop_old_versions(spark, path, keep=1)
+    assert sorted(f.name for f in (tmp_path / "t").iterdir()) == ["v=1", "v=2"]
+    assert tables.read_table(spark, path).count() == 3
 
 
 def test_view(spark):

@@ -11,16 +11,20 @@ same table as doing it once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import timestamp
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import working_folder
 from tidemark.sources import paths
 
+# Up to this many keys of a batch are sent to every task; more are shuffled.
+BROADCAST_KEYS = 2_000_000
+
 
 @dataclass(frozen=True)
 class IncrementalTable:
@@ -50,13 +54,13 @@ def latest_day(spark: SparkSession, table: IncrementalTable) -> dt.date | None:
 
 
 def high_watermark(spark: SparkSession, table: IncrementalTable, ts: str) -> dt.datetime | None:
-    """The highest ``ts`` within the newest day, so one partition is read."""
-    day = latest_day(spark, table)
-    if day is None:
-        return None
-    # As text, so that no time zone of the driver gets in between.
-    highest = table.read_days(spark, [day]).agg(F.max(ts).cast("string")).first()[0]
-    return dt.datetime.fromisoformat(highest)
+    """The highest ``ts`` within the newest day that holds rows; one partition is read."""
+    for day in paths.partition_days(spark, table.path, table.day):
+        # As text, so that no time zone of the driver gets in between.
+        highest = table.read_days(spark, [day]).agg(F.max(ts).cast("string")).first()[0]
+        if highest is not None:
+            return dt.datetime.fromisoformat(highest)
+    return None
 
 
 def newer_than(
@@ -112,7 +116,8 @@ class DayUpdate:
     shrinking: frozenset[dt.date] = field(default_factory=frozenset)
 
 
-def merged_days(batch: DataFrame, table: IncrementalTable) -> DayUpdate:
+@contextmanager
+def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate]:
     """What the table's days look like after the batch; the table must exist.
 
     Rows of a batch key are removed wherever they are, also on days the batch does
@@ -120,18 +125,27 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> DayUpdate:
     Of the days without any such row only the keys are read.
     """
     spark = batch.sparkSession
-    # The batch is used several times and may depend on the table it changes.
-    ensure_checkpoint_dir(spark)
-    batch = batch.checkpoint()
+    # Written out once: the batch is used several times, may depend on the table it
+    # changes, and as files it has a known size.
+    folder = working_folder(spark)
+    batch.write.parquet(folder)
+    batch = spark.read.schema(batch.schema).parquet(folder)
     keys = list(table.keys)
-    batch_keys = batch.select(*keys).distinct()
+    batch_keys = batch.select(*keys)
+    if batch.count() <= BROADCAST_KEYS:
+        # The whole table is then searched without shuffling it.
+        batch_keys = F.broadcast(batch_keys)
     days = _listed(batch.select(table.day))
     shrinking = set()
     if table.day not in keys and days:
         holding = table.read(spark).join(batch_keys, keys, "left_semi")
         shrinking = _listed(holding.select(table.day)) - days
     kept = table.read_days(spark, days | shrinking).join(batch_keys, keys, "left_anti")
-    return DayUpdate(kept.unionByName(batch), frozenset(days | shrinking), frozenset(shrinking))
+    content = kept.unionByName(batch)
+    try:
+        yield DayUpdate(content, frozenset(days | shrinking), frozenset(shrinking))
+    finally:
+        paths.remove(spark, folder)
 
 
 def replace_days(update: DayUpdate, table: IncrementalTable) -> None:
@@ -155,7 +169,8 @@ def replace_days(update: DayUpdate, table: IncrementalTable) -> None:
 def delete_insert(batch: DataFrame, table: IncrementalTable) -> None:
     """Replace the rows whose key is in the batch, then add the batch."""
     if table.exists(batch.sparkSession):
-        replace_days(merged_days(batch, table), table)
+        with merged_days(batch, table) as update:
+            replace_days(update, table)
     else:
         full_refresh(batch, table)
 

@@ -24,24 +24,24 @@ MAX_HEAVY = 10_000
 MAX_TRACKED = 100_000
 
 
-def top_groups(columns: Sequence[str | Column]) -> Column:
-    """Aggregate: the most frequent groups by hash, as ``array<struct<item, count>>``."""
+def top_groups(columns: Sequence[str | Column], rows_per_group: int) -> Column:
+    """Aggregate: groups above ``rows_per_group`` rows, ``array<struct<item, count>>``.
+
+    A group is named by the hash of its columns.
+    """
     # approx_top_k has no function in pyspark.sql.functions, only in SQL.
-    return F.call_function(
+    top = F.call_function(
         "approx_top_k", F.xxhash64(*columns), F.lit(MAX_HEAVY), F.lit(MAX_TRACKED)
     )
+    return F.filter(top, lambda group: group["count"] > rows_per_group)
 
 
 class HeavyGroups:
-    """The groups above ``rows_per_group`` rows and the splits each one needs."""
+    """The groups found by :func:`top_groups` and the splits each one needs."""
 
     def __init__(self, columns: Sequence[str], top: list[Row], rows_per_group: int):
         self.columns = list(columns)
-        self.splits = [
-            (group["item"], -(-group["count"] // rows_per_group))
-            for group in top or []
-            if group["count"] > rows_per_group
-        ]
+        self.splits = [(group["item"], -(-group["count"] // rows_per_group)) for group in top]
 
     def __bool__(self) -> bool:
         return bool(self.splits)
@@ -59,7 +59,7 @@ def heavy_groups(
     df: DataFrame, columns: Sequence[str], rows_per_group: int = ROWS_PER_GROUP
 ) -> HeavyGroups:
     """Runs one aggregation over ``columns``, combined before its shuffle."""
-    top = df.agg(top_groups(columns).alias("top")).first()["top"]
+    top = df.agg(top_groups(columns, rows_per_group).alias("top")).first()["top"]
     return HeavyGroups(columns, top, rows_per_group)
 
 

@@ -11,6 +11,7 @@ from tidemark.operators.skew import (
     ROWS_PER_GROUP,
     HeavyGroups,
     all_slots,
+    heavy_groups,
     slot_of,
     top_groups,
 )
@@ -32,24 +33,28 @@ def _place(
     within the time range of the data: at most one row more per hour. An hour of
     such a key that is still heavy is split further, by a hash of the time.
 
-    Costs one pass over key and time, combined before its shuffle. Without heavy
-    keys both sides come back as they are.
+    Costs one pass over the keys, combined before its shuffle, and one over key
+    and time of the heavy keys. Without any, both sides come back as they are.
     """
     if rows_per_group is None:
         return facts, versions, [key]
     times = facts.select(key, F.col(ts).alias("_at")).unionAll(versions.select(key, VALID_FROM))
-    profile = times.agg(
-        top_groups([key]).alias("keys"),
-        top_groups([key, hour_number(F.col("_at"))]).alias("hours"),
-        F.min("_at").cast("string").alias("first"),
-        F.max("_at").cast("string").alias("last"),
-    ).first()
-    heavy_keys = HeavyGroups([key], profile["keys"], rows_per_group)
-    heavy_hours = HeavyGroups([key, "_hour"], profile["hours"], rows_per_group)
+    heavy_keys = heavy_groups(times, [key], rows_per_group)
     if not heavy_keys:
         return facts, versions, [key]
 
     cut = F.col("_cut").isNotNull()
+    profile = (
+        heavy_keys.mark(times, "_cut")
+        .where(cut)
+        .agg(
+            top_groups([key, hour_number(F.col("_at"))], rows_per_group).alias("hours"),
+            F.min("_at").cast("string").alias("first"),
+            F.max("_at").cast("string").alias("last"),
+        )
+        .first()
+    )
+    heavy_hours = HeavyGroups([key, "_hour"], profile["hours"], rows_per_group)
     facts = heavy_keys.mark(facts, "_cut").withColumn(
         "_hour", F.when(cut, hour_number(F.col(ts))).otherwise(0)
     )

@@ -43,6 +43,6 @@ def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date]
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of our own notes; tables are never deleted this way."""
+    """Delete a folder, if it exists."""
     files, location = _folder(spark, path)
     files.delete(location, True)

@@ -69,6 +69,21 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return None if number is None else spark.read.parquet(f"{path}/{_VERSION}{number}")
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` completed versions, and what broke off before."""
+    completed = [
+        number
+        for number in _versions(spark, path)
+        if paths.exists(spark, f"{path}/{_VERSION}{number}/_SUCCESS")
+    ]
+    if not completed:
+        return
+    oldest = completed[-keep:][0]
+    for number in _versions(spark, path):
+        if number < oldest:
+            paths.remove(spark, f"{path}/{_VERSION}{number}")
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """A view: nothing is stored, the plan is inlined where it is used."""
     df.createOrReplaceTempView(name)

@@ -66,10 +66,11 @@ def build_daily_tables(
                 full_refresh(aggregate(events), table)
             full_refresh(events, staged)
             return
-        update = merged_days(events, staged)
-        for table, aggregate in daily:
-            replace_days(DayUpdate(aggregate(update.content), update.days, update.shrinking), table)
-        replace_days(update, staged)
+        with merged_days(events, staged) as update:
+            for table, aggregate in daily:
+                recomputed = aggregate(update.content)
+                replace_days(DayUpdate(recomputed, update.days, update.shrinking), table)
+            replace_days(update, staged)
 
     return raw_events.writeStream.foreachBatch(process)
 
