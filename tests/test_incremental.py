@@ -72,7 +72,9 @@ def test_lookback_takes_late_rows_and_replaces_known_ones(spark, staged):
     assert names(found) == ["a", "b", "late"]
 
 
-def test_event_sent_again_leaves_its_old_day(spark, staged):
+@pytest.mark.parametrize("broadcast_keys", [0, 100])
+def test_event_sent_again_leaves_its_old_day(spark, staged, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(inc, "BROADCAST_KEYS", broadcast_keys)
     load(spark, staged, event("a", "01 10:00:00"), event("b", "01 11:00:00"), event("c", "02 10:00:00"))
     found = load(spark, staged, event("a", "03 10:00:00"))
     assert found == [

@@ -11,7 +11,14 @@ VERSION = (
 )
 FACT = "event_id int, user_id string, created_at timestamp_ntz"
 OPEN = "9999-12-31 00:00:00"
-METHODS = [("range", None), ("asof", None), ("range", 3), ("asof", 3)]
+METHODS = [
+    ("auto", None),
+    ("broadcast", None),
+    ("range", None),
+    ("asof", None),
+    ("range", 3),
+    ("asof", 3),
+]
 
 
 def joined(facts, versions, method, rows_per_group):
@@ -82,7 +89,13 @@ def test_all_plans_agree_on_hot_keys(spark):
         return next((r for u, r, s, e in versions if u == user and s <= ts < e), None)
 
     expected = sorted([(i, brute_force(u, t)) for i, u, t in facts], key=repr)
-    for method, rows_per_group in [("range", None), ("asof", None), ("range", 10), ("asof", 10)]:
+    for method, rows_per_group in [
+        ("broadcast", None),
+        ("range", None),
+        ("asof", None),
+        ("range", 10),
+        ("asof", 10),
+    ]:
         result = joined(fact_table, version_table, method, rows_per_group)
         assert rows(result, "event_id", "region") == expected, (method, rows_per_group)
 
@@ -96,7 +109,7 @@ def test_unknown_method(spark):
 def test_empty_sides(spark):
     facts = table(spark, FACT, (1, "a", "2100-01-01 00:00:00"))
     versions = table(spark, VERSION, ("a", "EU", "2100-01-01 00:00:00", OPEN))
-    for method in ("range", "asof"):
+    for method in ("auto", "range", "asof"):
         assert rows(joined(facts, versions.where("false"), method, 3), "region") == [(None,)]
         assert rows(joined(facts.where("false"), versions, method, 3)) == []
 
@@ -158,3 +171,15 @@ def test_daily_table_takes_the_region_at_day_end(spark):
         (day("2100-01-01"), "AF", 1),
         (day("2100-01-01"), "EU", 1),
     ]
+
+
+def test_plan_follows_the_number_of_versions(spark, monkeypatch):
+    from tidemark.operators import temporal
+
+    one_each = spark.range(10)
+    assert temporal._method(one_each, "id") == "broadcast"
+    monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 9)
+    assert temporal._method(one_each, "id") == "range"
+    many = one_each.unionAll(spark.range(100).selectExpr("bigint(3) id"))
+    assert temporal._method(many, "id") == "asof"
+    assert temporal._method(spark.range(0), "id") == "broadcast"

@@ -1,9 +1,9 @@
-"""Hot keys: find them in one pass and spread them over many tasks.
+"""Hot keys: find them before a join is planned and spread them over many tasks.
 
 A hash shuffle sends all rows of a key to one task, which fails when one key
-holds a large share of the rows. Here a sketch names the heavy groups before the
-join is planned; only these are then cut into finer groups. The sketch decides
-placement and never results: a group it does not name stays in one piece.
+holds a large share of the rows. Here a sketch names the heavy groups; only these
+are then cut into finer groups. The sketch decides placement and never results:
+a group it does not name stays in one piece, and all rows take part either way.
 
 Aggregations need none of this. Spark combines their rows before the shuffle, so
 a hot key arrives as one row per task.
@@ -11,9 +11,10 @@ a hot key arrives as one row per task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one group that a single task takes without being split.
@@ -22,26 +23,17 @@ ROWS_PER_GROUP = 4_000_000
 # driver and of what gets broadcast.
 MAX_HEAVY = 10_000
 MAX_TRACKED = 100_000
-
-
-def top_groups(columns: Sequence[str | Column], rows_per_group: int) -> Column:
-    """Aggregate: groups above ``rows_per_group`` rows, ``array<struct<item, count>>``.
-
-    A group is named by the hash of its columns.
-    """
-    # approx_top_k has no function in pyspark.sql.functions, only in SQL.
-    top = F.call_function(
-        "approx_top_k", F.xxhash64(*columns), F.lit(MAX_HEAVY), F.lit(MAX_TRACKED)
-    )
-    return F.filter(top, lambda group: group["count"] > rows_per_group)
+# Rows by which a group just above the limit is recognised. Its size is then
+# known to about one percent, so there is no need to count more of them.
+RECOGNISED_BY = 20_000
 
 
 class HeavyGroups:
-    """The groups found by :func:`top_groups` and the splits each one needs."""
+    """Groups to be split: ``(hash of the columns, splits)``."""
 
-    def __init__(self, columns: Sequence[str], top: list[Row], rows_per_group: int):
+    def __init__(self, columns: Sequence[str], splits: list[tuple[int, int]]):
         self.columns = list(columns)
-        self.splits = [(group["item"], -(-group["count"] // rows_per_group)) for group in top]
+        self.splits = splits
 
     def __bool__(self) -> bool:
         return bool(self.splits)
@@ -58,9 +50,22 @@ class HeavyGroups:
 def heavy_groups(
     df: DataFrame, columns: Sequence[str], rows_per_group: int = ROWS_PER_GROUP
 ) -> HeavyGroups:
-    """Runs one aggregation over ``columns``, combined before its shuffle."""
-    top = df.agg(top_groups(columns, rows_per_group).alias("top")).first()["top"]
-    return HeavyGroups(columns, top, rows_per_group)
+    """The groups with more than ``rows_per_group`` rows, in one pass without a shuffle.
+
+    Counted on as large a fraction of the rows as recognises them.
+    """
+    fraction = min(1.0, RECOGNISED_BY / rows_per_group)
+    counted = df if fraction == 1.0 else df.sample(fraction, seed=1)
+    # approx_top_k has no function in pyspark.sql.functions, only in SQL.
+    top = F.call_function(
+        "approx_top_k", F.xxhash64(*columns), F.lit(MAX_HEAVY), F.lit(MAX_TRACKED)
+    )
+    heavy = F.filter(top, lambda group: group["count"] > rows_per_group * fraction)
+    found = counted.agg(heavy.alias("heavy")).first()["heavy"]
+    return HeavyGroups(
+        columns,
+        [(g["item"], math.ceil(g["count"] / (rows_per_group * fraction))) for g in found],
+    )
 
 
 def slot_of(splits: str, spread_by: Sequence[str]) -> Column:

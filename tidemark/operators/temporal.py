@@ -9,13 +9,16 @@ from pyspark.sql.window import Window
 from tidemark.functions.calendar import hour_number
 from tidemark.operators.skew import (
     ROWS_PER_GROUP,
-    HeavyGroups,
     all_slots,
     heavy_groups,
     slot_of,
-    top_groups,
 )
 from tidemark.schemas import VALID_FROM, VALID_TO, timestamp
+# Rows that go to every task at most, and versions of a key that are compared
+# with each of its facts at most.
+BROADCAST_VERSIONS = 1_000_000
+VERSIONS_PER_KEY = 64
+
 
 def _hours_covered(first_ts: Column, last_ts: Column) -> Column:
     """Hour numbers from one time to the other, none when the interval is empty."""
@@ -33,8 +36,7 @@ def _place(
     within the time range of the data: at most one row more per hour. An hour of
     such a key that is still heavy is split further, by a hash of the time.
 
-    Costs one pass over the keys, combined before its shuffle, and one over key
-    and time of the heavy keys. Without any, both sides come back as they are.
+    Without heavy keys both sides come back as they are.
     """
     if rows_per_group is None:
         return facts, versions, [key]
@@ -44,25 +46,18 @@ def _place(
         return facts, versions, [key]
 
     cut = F.col("_cut").isNotNull()
-    profile = (
-        heavy_keys.mark(times, "_cut")
-        .where(cut)
-        .agg(
-            top_groups([key, hour_number(F.col("_at"))], rows_per_group).alias("hours"),
-            F.min("_at").cast("string").alias("first"),
-            F.max("_at").cast("string").alias("last"),
-        )
-        .first()
+    times = heavy_keys.mark(times, "_cut").where(cut)
+    first, last = times.agg(F.min("_at").cast("string"), F.max("_at").cast("string")).first()
+    heavy_hours = heavy_groups(
+        times.withColumn("_hour", hour_number(F.col("_at"))), [key, "_hour"], rows_per_group
     )
-    heavy_hours = HeavyGroups([key, "_hour"], profile["hours"], rows_per_group)
     facts = heavy_keys.mark(facts, "_cut").withColumn(
         "_hour", F.when(cut, hour_number(F.col(ts))).otherwise(0)
     )
     facts = heavy_hours.mark(facts, "_splits").withColumn("_slot", slot_of("_splits", [ts]))
 
     hours = _hours_covered(
-        F.greatest(VALID_FROM, timestamp(profile["first"])),
-        F.least(VALID_TO, timestamp(profile["last"])),
+        F.greatest(VALID_FROM, timestamp(first)), F.least(VALID_TO, timestamp(last))
     )
     versions = heavy_keys.mark(versions, "_cut").withColumn(
         "_hour", F.explode(F.when(cut, hours).otherwise(F.array(F.lit(0))))
@@ -75,13 +70,22 @@ def _place(
     )
 
 
+def _method(versions: DataFrame, key: str) -> str:
+    """The plan that fits the number of versions, in total and of one key."""
+    per_key = versions.groupBy(key).agg(F.count("*").alias("n"))
+    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) > VERSIONS_PER_KEY:
+        return "asof"
+    return "broadcast" if (total or 0) <= BROADCAST_VERSIONS else "range"
+
+
 def temporal_join(
     facts: DataFrame,
     versions: DataFrame,
     key: str,
     ts: str,
     attributes: list[str],
-    method: str = "range",
+    method: str = "auto",
     rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """Left join on ``key`` and ``valid_from <= ts < valid_to``.
@@ -89,20 +93,26 @@ def temporal_join(
     Versions of one key must not overlap; then every fact comes back exactly once,
     with NULL attributes where no version covers it. ``method`` picks the plan:
 
+    * ``broadcast``: the facts stay where they are. For few versions only.
     * ``range``: sort-merge join on the key, the interval as residual condition.
-      Best while keys have few versions each.
+      For any number of keys with few versions each.
     * ``asof``: facts and versions are sorted together and the last version is
       carried forward, so the work is linear in facts plus versions.
+    * ``auto``: counts the versions and takes the first that suits.
 
-    Either way the result stays partitioned by ``key``, unless hot keys had to be
-    cut. ``rows_per_group=None`` leaves out the treatment of hot keys.
+    With ``range`` and ``asof`` the result stays partitioned by ``key``, unless hot
+    keys had to be cut. ``rows_per_group=None`` leaves out the treatment of those.
     """
-    if method not in ("range", "asof"):
+    if method not in ("auto", "broadcast", "range", "asof"):
         raise ValueError(f"unknown method: {method}")
     named = [F.col(name).alias(f"_v_{name}") for name in attributes]
-    left, right, place = _place(
-        facts, versions.select(key, VALID_FROM, VALID_TO, *named), key, ts, rows_per_group
-    )
+    right = versions.select(key, VALID_FROM, VALID_TO, *named)
+    if method == "auto":
+        method = _method(right, key)
+    if method == "broadcast":
+        left, right, place = facts, F.broadcast(right), [key]
+    else:
+        left, right, place = _place(facts, right, key, ts, rows_per_group)
     if method == "asof":
         return _carry_forward(left, right, facts.columns, place, ts, attributes)
 

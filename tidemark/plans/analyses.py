@@ -35,7 +35,7 @@ def mau_by_region_and_month(
     fct_events: DataFrame,
     user_versions: DataFrame,
     year: int,
-    method: str = "range",
+    method: str = "auto",
     rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """Monthly active users by the region they were in at the time of each event.
@@ -60,7 +60,7 @@ def mau_from_daily(
     agg_user: DataFrame,
     user_versions: DataFrame,
     year: int,
-    method: str = "range",
+    method: str = "auto",
     rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """The same from the daily table, with the region held at the end of each day.
@@ -84,7 +84,7 @@ def creators_at_post_time(
     posts: DataFrame,
     user_versions: DataFrame,
     attributes: list[str],
-    method: str = "range",
+    method: str = "auto",
     rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """Posts with their creator's attributes as they were when the post was made."""
