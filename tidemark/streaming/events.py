@@ -95,6 +95,11 @@ def stream_sessions(
     gap_seconds: int = GAP_SECONDS,
 ) -> DataFrame:
     """Sessions, emitted once no more event can extend them."""
+    # Each task merges the sessions of its own rows first, so a viewer with very
+    # many events sends few rows over the shuffle.
+    events.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     timed = _with_event_time(events, ts, delay)
     window = F.session_window(ts, f"{gap_seconds} seconds").alias("session")
     return (
