@@ -7,7 +7,6 @@ from tidemark.operators.intervals import (
     close_intervals,
     history_from_feed,
     history_from_runs,
-    initial_from_creation,
     last_per_group,
 )
 from tidemark.operators.snapshots import snapshot_run
@@ -186,10 +185,23 @@ def test_last_change_of_one_instant_counts(spark):
     ]
 
 
-def test_correction_of_first_versions(spark):
-    feed = table(spark, FEED, ("a", D[3], "x", 1), ("a", D[5], "y", 2))
-    versions = close_intervals(feed, "k", "updated_at").withColumn("born", timestamp(D[2]))
-    assert versions_of(initial_from_creation(versions, "k", "born")) == [
-        ("a", "x", D[2], D[5]),
-        ("a", "y", D[5], OPEN),
+@pytest.mark.parametrize("rows_per_group", [None, 2])
+def test_first_versions_may_begin_at_creation(spark, rows_per_group):
+    feed = table(
+        spark,
+        FEED,
+        ("a", D[3], "dropped", 0),
+        ("a", D[3], "x", 1),
+        ("a", "2100-01-03 12:30:00", "same hour", 2),
+        ("a", D[5], "y", 3),
+        ("a", "2100-01-05 12:30:00", "z", 4),
+        ("b", D[1], "created later", 5),
+    ).withColumn("born", timestamp(D[2]))
+    history = close_intervals(feed, "k", "updated_at", "id", rows_per_group, "born")
+    assert versions_of(history) == [
+        ("a", "same hour", "2100-01-03 12:30:00", D[5]),
+        ("a", "x", D[2], "2100-01-03 12:30:00"),
+        ("a", "y", D[5], "2100-01-05 12:30:00"),
+        ("a", "z", "2100-01-05 12:30:00", OPEN),
+        ("b", "created later", D[1], OPEN),
     ]

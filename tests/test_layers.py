@@ -226,6 +226,12 @@ def test_table_can_be_rewritten_from_itself(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 3
 
 
+def test_append(spark, tmp_path):
+    for _ in range(2):
+        tables.append(spark.range(3), f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 6
+
+
 def test_view(spark):
     tables.publish_view(spark.range(2), "two_rows")
     assert spark.sql("select count(*) n from two_rows").first()["n"] == 2

@@ -31,14 +31,16 @@ def first_per_group(df: DataFrame, group: list[str], order: list[str]) -> DataFr
     )
 
 
-def _next_change(
+def _neighbours(
     feed: DataFrame, key: str, updated_at: str, order: list[str], rows_per_group: int | None
-) -> tuple[DataFrame, Column]:
-    """The feed with the time of each row's next change, as a column of it."""
+) -> DataFrame:
+    """Add ``_next``, the time of the key's next change, and ``_is_first``."""
     heavy = heavy_groups(feed, [key], rows_per_group) if rows_per_group else None
     if not heavy:
-        following = F.lead(updated_at).over(Window.partitionBy(key).orderBy(*order))
-        return feed.withColumn("_next", following), F.col("_next")
+        changes = Window.partitionBy(key).orderBy(*order)
+        return feed.withColumn("_next", F.lead(updated_at).over(changes)).withColumn(
+            "_is_first", F.first(updated_at).over(changes) == F.col(updated_at)
+        )
 
     # A key with very many changes is read hour by hour. The last change of an
     # hour ends at the first change of the key's next hour that has one, which is
@@ -47,14 +49,25 @@ def _next_change(
     placed = heavy.mark(feed, "_cut").withColumn(
         "_hour", F.when(cut, hour_number(F.col(updated_at))).otherwise(0)
     )
-    in_hour = Window.partitionBy(key, "_hour").orderBy(*order)
     hours = placed.where(cut).groupBy(key, "_hour").agg(F.min(updated_at).alias("_opens"))
     by_hour = Window.partitionBy(key).orderBy("_hour")
-    next_hour = hours.select(key, "_hour", F.lead("_opens").over(by_hour).alias("_later"))
-    linked = placed.withColumn("_next", F.lead(updated_at).over(in_hour)).join(
-        next_hour, [key, "_hour"], "left"
+    next_hour = hours.select(
+        key,
+        "_hour",
+        F.lead("_opens").over(by_hour).alias("_later"),
+        F.lag("_opens").over(by_hour).isNotNull().alias("_not_first"),
+    )
+    in_hour = Window.partitionBy(key, "_hour").orderBy(*order)
+    first_of_hour = F.first(updated_at).over(in_hour) == F.col(updated_at)
+    return (
+        placed.withColumn("_in_hour", F.lead(updated_at).over(in_hour))
+        .withColumn("_opens_hour", first_of_hour)
+        .join(next_hour, [key, "_hour"], "left")
+        .withColumn("_next", F.coalesce("_in_hour", "_later"))
+        .withColumn(
+            "_is_first", F.col("_opens_hour") & ~F.coalesce("_not_first", F.lit(False))
+        )
     )
-    return linked, F.coalesce("_next", "_later")
 
 
 def close_intervals(
@@ -63,20 +76,27 @@ def close_intervals(
     updated_at: str,
     tiebreak: str | None = None,
     rows_per_group: int | None = ROWS_PER_GROUP,
+    initial_valid_from: str | None = None,
 ) -> DataFrame:
     """Turn changes into versions that end where the key's next one begins.
 
     Of several changes at the same instant the one with the highest ``tiebreak``
     is kept; the others would have been valid for no time at all.
+    ``initial_valid_from`` names the column a key's first version begins at instead,
+    such as its creation; without it an event before the first update has no version.
     """
     order = [updated_at, tiebreak] if tiebreak else [updated_at]
-    linked, following = _next_change(feed, key, updated_at, order, rows_per_group)
-    return linked.where(following.isNull() | (following > F.col(updated_at))).select(
+    linked = _neighbours(feed, key, updated_at, order, rows_per_group)
+    last_of_instant = F.col("_next").isNull() | (F.col("_next") > F.col(updated_at))
+    opens = F.col(updated_at)
+    if initial_valid_from is not None:
+        opens = F.when(F.col("_is_first"), F.least(updated_at, initial_valid_from)).otherwise(opens)
+    return linked.where(last_of_instant).select(
         *feed.columns,
         version_id(F.col(key), F.col(updated_at)).alias(SCD_ID),
         F.col(updated_at).alias(UPDATED_AT),
-        F.col(updated_at).alias(VALID_FROM),
-        F.coalesce(following, open_end()).alias(VALID_TO),
+        opens.alias(VALID_FROM),
+        F.coalesce("_next", open_end()).alias(VALID_TO),
     )
 
 
@@ -86,13 +106,16 @@ def history_from_feed(
     updated_at: str,
     tiebreak: str,
     rows_per_group: int | None = ROWS_PER_GROUP,
+    initial_valid_from: str | None = None,
 ) -> DataFrame:
     """Whole history from a change feed: one version per key and change time.
 
     Equals running :func:`~tidemark.operators.snapshots.snapshot_run` after every
     single change.
     """
-    return close_intervals(feed, key, updated_at, tiebreak, rows_per_group)
+    return close_intervals(
+        feed, key, updated_at, tiebreak, rows_per_group, initial_valid_from
+    )
 
 
 def history_from_runs(
@@ -109,19 +132,3 @@ def history_from_runs(
     """
     seen = last_per_group(feed.withColumn("_run", run), [key, "_run"], [updated_at, tiebreak])
     return close_intervals(seen.drop("_run"), key, updated_at, None, rows_per_group)
-
-
-def initial_from_creation(versions: DataFrame, key: str, created_at: str) -> DataFrame:
-    """Let the first version of each key begin when the key was created.
-
-    Without this an event between creation and first update has no version.
-    """
-    first = versions.groupBy(key).agg(F.min(VALID_FROM).alias("_first"))
-    opens = F.when(
-        F.col(VALID_FROM) == F.col("_first"), F.least(VALID_FROM, created_at)
-    ).otherwise(F.col(VALID_FROM))
-    return (
-        versions.join(first, key, "left")
-        .withColumn(VALID_FROM, opens)
-        .select(*versions.columns)
-    )

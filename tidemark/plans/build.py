@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,11 +126,13 @@ def raw_state(
 def take_raw_snapshots(spark: SparkSession, warehouse: Warehouse) -> None:
     """History of the raw tables. A job of its own, so that no failure of the
     build loses a change of the source."""
-    for table, key in (("user", "user_id"), ("post", "post_id")):
+    def snapshot(table: str, key: str) -> None:
         path = warehouse.path("raw_history", table)
         source = raw_state(spark, warehouse, table)
         write_table(snapshot_run(read_table(spark, path), source, key, "updated_at"), path)
 
+    _together(spark, partial(snapshot, "user", "user_id"), partial(snapshot, "post", "post_id"))
+
 
 def build(
     spark: SparkSession,
@@ -143,11 +148,16 @@ def build(
     load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh)
     events = int_events(warehouse.stg_events.read(spark))
     publish_view(events, "fct_events")
-    for table, aggregate in (
-        (warehouse.agg_post_daily, agg_post_metrics_daily),
-        (warehouse.agg_user_daily, agg_user_metrics_daily),
-    ):
-        recompute_recent_days(events, table, "partition_date", aggregate, refresh)
+    _together(
+        spark,
+        *(
+            partial(recompute_recent_days, events, table, "partition_date", aggregate, refresh)
+            for table, aggregate in (
+                (warehouse.agg_post_daily, agg_post_metrics_daily),
+                (warehouse.agg_user_daily, agg_user_metrics_daily),
+            )
+        ),
+    )
 
     analytics = {name: warehouse.path("analytics", name) for name in ("dim_posts", "dim_users")}
     users = int_users(stg_users(user), countries)
@@ -160,10 +170,22 @@ def build(
     )
 
     at = timestamp(run_ts.isoformat(sep=" "))
-    for name, key in (("dim_users", "user_id"), ("dim_posts", "post_id")):
+
+    def snapshot(name: str, key: str) -> None:
         path = warehouse.path("analytics", f"{name}_snapshots")
         history = None if refresh else read_table(spark, path)
         source = read_table(spark, analytics[name])
         write_table(
             snapshot_run(history, source, key, "updated_at", at, hard_deletes="new_record"), path
         )
+
+    _together(
+        spark, partial(snapshot, "dim_users", "user_id"), partial(snapshot, "dim_posts", "post_id")
+    )
+
+
+def _together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent jobs at the same time, so that none leaves executors idle."""
+    with ThreadPoolExecutor() as pool:
+        for job in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            job.result()

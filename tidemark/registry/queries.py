@@ -17,6 +17,7 @@ from tidemark.operators import changes, incremental, intervals, quality, snapsho
 from tidemark.operators.incremental import IncrementalTable
 from tidemark.operators.sampling import random_live_rows
 from tidemark.operators.sessions import viewer_sessions
+from tidemark.operators.skew import spread_left_join
 from tidemark.plans import analyses, dimensions, intermediate, metrics, staging
 from tidemark.plans.build import Warehouse, build
 from tidemark.schemas import (
@@ -242,8 +243,12 @@ def scd2_deletes_ignored(spark, folder):
 @_query
 def scd2_initial_created_at(spark, folder):
     created = adapter.users(spark, folder).select("user_id", "created_at")
-    versions = _history(spark, folder).join(created, "user_id", "left")
-    corrected = intervals.initial_from_creation(versions, "user_id", "created_at")
+    feed = spread_left_join(
+        adapter.user_changes(spark, folder), created, "user_id", ["change_id"]
+    )
+    corrected = intervals.history_from_feed(
+        feed, "user_id", "updated_at", "change_id", initial_valid_from="created_at"
+    )
     return _versions_out(corrected, "user_id", "region")
 
 
