@@ -13,6 +13,7 @@ from tidemark.plans.build import (
     raw_state,
     take_raw_snapshots,
 )
+from tidemark.plans.build import test_results as check
 from tidemark.plans.analyses import mau_by_region_and_month
 from tidemark.sources.tables import read_table
 
@@ -162,3 +163,10 @@ def test_refresh_starts_over(spark, tmp_path, countries):
     assert warehouse.stg_events.read(spark).count() == 2
     history = read_table(spark, warehouse.path("analytics", "dim_users_snapshots"))
     assert history.count() == 1
+    failed = check(spark, warehouse, *raw, events.unionAll(late)).where("failures > 0")
+    assert failed.isEmpty()
+    orphans = check(spark, warehouse, raw[0].where("false"), raw[1], events).where("failures > 0")
+    assert rows(orphans, "table_name", "test", "column_name", "failures") == [
+        ("event", "relationships", "user_id", 1),
+        ("post", "relationships", "user_id", 1),
+    ]

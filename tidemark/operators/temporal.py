@@ -40,7 +40,7 @@ def _place(
     """
     if rows_per_group is None:
         return facts, versions, [key]
-    times = facts.select(key, F.col(ts).alias("_at")).unionAll(versions.select(key, VALID_FROM))
+    times = facts.select(key, F.col(ts).alias("_at")).unionAll(versions.select(key, "_opens"))
     heavy_keys = heavy_groups(times, [key], rows_per_group)
     if not heavy_keys:
         return facts, versions, [key]
@@ -57,7 +57,7 @@ def _place(
     facts = heavy_hours.mark(facts, "_splits").withColumn("_slot", slot_of("_splits", [ts]))
 
     hours = _hours_covered(
-        F.greatest(VALID_FROM, timestamp(first)), F.least(VALID_TO, timestamp(last))
+        F.greatest("_opens", timestamp(first)), F.least("_ends", timestamp(last))
     )
     versions = heavy_keys.mark(versions, "_cut").withColumn(
         "_hour", F.explode(F.when(cut, hours).otherwise(F.array(F.lit(0))))
@@ -106,7 +106,8 @@ def temporal_join(
     if method not in ("auto", "broadcast", "range", "asof"):
         raise ValueError(f"unknown method: {method}")
     named = [F.col(name).alias(f"_v_{name}") for name in attributes]
-    right = versions.select(key, VALID_FROM, VALID_TO, *named)
+    interval = F.col(VALID_FROM).alias("_opens"), F.col(VALID_TO).alias("_ends")
+    right = versions.select(key, *interval, *named)
     if method == "auto":
         method = _method(right, key)
     if method == "broadcast":
@@ -117,7 +118,7 @@ def temporal_join(
         return _carry_forward(left, right, facts.columns, place, ts, attributes)
 
     right = right.withColumnsRenamed({name: f"_m_{name}" for name in place})
-    match = (F.col(ts) >= F.col(VALID_FROM)) & (F.col(ts) < F.col(VALID_TO))
+    match = (F.col(ts) >= F.col("_opens")) & (F.col(ts) < F.col("_ends"))
     for name in place:
         match &= F.col(name) == F.col(f"_m_{name}")
     joined = left.join(right, match, "left")
@@ -134,10 +135,10 @@ def _carry_forward(
 ) -> DataFrame:
     # A struct, because a bare attribute that is NULL in the right version would
     # be skipped in favour of an older version's value.
-    version = F.struct(VALID_TO, *[f"_v_{name}" for name in attributes])
-    starts = right.where(F.col(VALID_FROM) < F.col(VALID_TO)).select(
+    version = F.struct("_ends", *[f"_v_{name}" for name in attributes])
+    starts = right.where(F.col("_opens") < F.col("_ends")).select(
         *place,
-        F.col(VALID_FROM).alias(ts),
+        F.col("_opens").alias(ts),
         version.alias("_version"),
         F.lit(0).alias("_is_fact"),
     )
@@ -151,7 +152,7 @@ def _carry_forward(
         "_is_fact = 1"
     )
     # The version may have ended before the fact, and NULL keys match nothing.
-    covers = (F.col(ts) < F.col(f"_last.{VALID_TO}")) & F.col(place[0]).isNotNull()
+    covers = (F.col(ts) < F.col("_last._ends")) & F.col(place[0]).isNotNull()
     return filled.select(
         *columns, *[F.when(covers, F.col(f"_last._v_{name}")).alias(name) for name in attributes]
     )

@@ -18,6 +18,7 @@ from tidemark.operators.incremental import (
     load_new_rows,
     recompute_recent_days,
 )
+from tidemark.operators.quality import SUITE, run_tests
 from tidemark.operators.snapshots import snapshot_run
 from tidemark.plans.dimensions import dim_posts, dim_users
 from tidemark.plans.intermediate import int_events, int_posts, int_users
@@ -126,6 +127,7 @@ def raw_state(
 def take_raw_snapshots(spark: SparkSession, warehouse: Warehouse) -> None:
     """History of the raw tables. A job of its own, so that no failure of the
     build loses a change of the source."""
+
     def snapshot(table: str, key: str) -> None:
         path = warehouse.path("raw_history", table)
         source = raw_state(spark, warehouse, table)
@@ -144,7 +146,11 @@ def build(
     run_ts: dt.datetime,
     refresh: bool = False,
 ) -> None:
-    """Build every layer. ``run_ts`` is the time a vanished row counts as deleted."""
+    """Build every layer. ``run_ts`` is the time a vanished row counts as deleted.
+
+    ``refresh`` builds the incremental tables from nothing. Histories go on even
+    then: what the tables once were cannot be found out again.
+    """
     load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh)
     events = int_events(warehouse.stg_events.read(spark))
     publish_view(events, "fct_events")
@@ -173,8 +179,7 @@ def build(
 
     def snapshot(name: str, key: str) -> None:
         path = warehouse.path("analytics", f"{name}_snapshots")
-        history = None if refresh else read_table(spark, path)
-        source = read_table(spark, analytics[name])
+        history, source = read_table(spark, path), read_table(spark, analytics[name])
         write_table(
             snapshot_run(history, source, key, "updated_at", at, hard_deletes="new_record"), path
         )
@@ -184,6 +189,18 @@ def build(
     )
 
 
+def test_results(
+    spark: SparkSession, warehouse: Warehouse, user: DataFrame, post: DataFrame, event: DataFrame
+) -> DataFrame:
+    """Failures of all declared data tests on the raw and the built tables."""
+    staged = warehouse.stg_events.read(spark)
+    tables = {"user": user, "post": post, "event": event, "stg_events": staged}
+    tables["fct_events"] = int_events(staged)
+    for name in ("dim_users", "dim_posts"):
+        tables[name] = read_table(spark, warehouse.path("analytics", name))
+    return run_tests(tables, SUITE)
+
+
 def _together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
     """Run independent jobs at the same time, so that none leaves executors idle."""
     with ThreadPoolExecutor() as pool:

@@ -1,7 +1,9 @@
 """The event stream: source, microbatch build, deduplication, sessions.
 
 Event-time watermarks need a timestamp with time zone, so streams are cast to
-one on the way in and back on the way out; both ends use the session time zone.
+one on the way in and back on the way out. Both ends use the session time zone,
+which should be UTC: in a zone with daylight saving an hour of the year has no way
+back.
 """
 
 from __future__ import annotations
