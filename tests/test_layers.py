@@ -262,6 +262,17 @@ def test_dates(spark):
     assert spine_of(days.where("false"), "d").count() == 0
 
 
+def test_bounds_of_a_day_and_a_year(spark):
+    from tidemark.functions.calendar import day_start, hour_number, in_year, next_day_start
+
+    days = table(spark, "d date", ("2099-12-31",), ("2100-01-01",), ("2100-12-31",))
+    bounds = days.select(day_start(F.col("d")), next_day_start(F.col("d")))
+    assert rows(bounds)[0] == (at("2099-12-31 00:00:00"), at("2100-01-01 00:00:00"))
+    assert days.where(in_year("d", 2100)).count() == 2
+    times = table(spark, "t timestamp_ntz", ("1970-01-02 03:59:59",), ("1969-12-31 23:00:00",))
+    assert rows(times.select(hour_number(F.col("t")))) == [(-1,), (27,)]
+
+
 def test_gaps_are_filled_between_first_and_last_day(spark):
     from tidemark.operators.spine import fill_daily_gaps
 

@@ -38,7 +38,11 @@ def row_test_failures(
     ]
     counts = df.agg(*[F.count_if(failed).alias(f"f{i}") for i, (_, _, failed) in enumerate(tests)])
     rows = [
-        F.struct(F.lit(test).alias("test"), F.lit(name).alias("column_name"), F.col(f"f{i}").alias("failures"))
+        F.struct(
+            F.lit(test).alias("test"),
+            F.lit(name).alias("column_name"),
+            F.col(f"f{i}").alias("failures"),
+        )
         for i, (test, name, _) in enumerate(tests)
     ]
     return counts.select(F.inline(F.array(*rows)))

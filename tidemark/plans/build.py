@@ -50,15 +50,14 @@ class Warehouse:
 
     @property
     def agg_post_daily(self) -> IncrementalTable:
-        return IncrementalTable(
-            self.path("analytics", "agg_post_metrics_daily"), ("event_date", "post_id"), "event_date"
-        )
+        return self._daily("agg_post_metrics_daily", "post_id")
 
     @property
     def agg_user_daily(self) -> IncrementalTable:
-        return IncrementalTable(
-            self.path("analytics", "agg_user_metrics_daily"), ("event_date", "user_id"), "event_date"
-        )
+        return self._daily("agg_user_metrics_daily", "user_id")
+
+    def _daily(self, name: str, key: str) -> IncrementalTable:
+        return IncrementalTable(self.path("analytics", name), ("event_date", key), "event_date")
 
 
 def job_date(spark: SparkSession, warehouse: Warehouse, first: dt.date) -> dt.date:

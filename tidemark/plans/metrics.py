@@ -26,7 +26,8 @@ def agg_user_metrics_daily(events: DataFrame) -> DataFrame:
     very active user is spread over tasks by post.
     """
     counted = F.col("post_id").isNotNull()
-    per_post = events.groupBy(F.col("partition_date").alias("event_date"), "user_id", "post_id").agg(
+    day = F.col("partition_date").alias("event_date")
+    per_post = events.groupBy(day, "user_id", "post_id").agg(
         F.max(F.when(counted & (F.col("is_like") == 1), 1).otherwise(0)).alias("liked"),
         F.max(F.when(counted & (F.col("is_like") == 0), 1).otherwise(0)).alias("viewed"),
     )

@@ -8,6 +8,7 @@ from tidemark.registry.queries import (
     RUN_DAYS,
     SAMPLE_ROWS,
     SAMPLE_SEED,
+    SECOND_RUN,
     YEAR,
 )
 from tidemark.sources.adapter import CREATORS, SUPPLIER_USERS_FROM
@@ -61,6 +62,15 @@ CTE = {
         FROM usr LEFT JOIN (
             SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name, r_name
             FROM nation JOIN region ON n_regionkey = r_regionkey) USING (country_code)""",
+    "int_merged": """
+        SELECT user_id, first_name, last_name, first_name || ' ' || last_name AS full_name,
+               coalesce(country_code, 'Unknown') AS country_code,
+               coalesce(n_name, 'Unknown') AS country, coalesce(r_name, 'Unknown') AS region,
+               coalesce(favorite_color, 'Unknown') AS fav_color,
+               created_at, updated_at, deleted_at
+        FROM merged LEFT JOIN (
+            SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name, r_name
+            FROM nation JOIN region ON n_regionkey = r_regionkey) USING (country_code)""",
     "int_post": """
         SELECT post_id, post_text, u.country_code AS creator_country_code,
                u.country AS creator_country, u.region AS creator_region,
@@ -180,7 +190,8 @@ _INTERVAL = f"""{_ts("valid_from")} AS valid_from, {_ts("valid_to")} AS valid_to
 
 _STG_EVENTS = _with("event", f"SELECT {_EVENT_OUT} FROM event")
 _AGG_POST = _with(
-    "event agg_post", f"SELECT {_day('event_date')} AS event_date, post_id, likes, views FROM agg_post"
+    "event agg_post",
+    f"SELECT {_day('event_date')} AS event_date, post_id, likes, views FROM agg_post",
 )
 _AGG_USER = _with(
     "event agg_user",
@@ -188,20 +199,25 @@ _AGG_USER = _with(
         FROM agg_user""",
 )
 _DIMS = "event usr post int_user int_post agg_post agg_user dim_post"
-_DIM_USERS = _with(
-    f"{_DIMS} creator",
-    f"""
-    SELECT u.* EXCLUDE (created_at, updated_at, deleted_at), {_TIMES},
-           CAST(coalesce(likes_given, 0) AS BIGINT) AS likes_given,
-           CAST(coalesce(posts_viewed, 0) AS BIGINT) AS posts_viewed,
-           coalesce(total_likes, 0) AS total_likes, coalesce(total_views, 0) AS total_views
-    FROM int_user u
-    LEFT JOIN (SELECT user_id, sum(likes_given) AS likes_given,
-                      sum(posts_viewed) AS posts_viewed
-               FROM agg_user GROUP BY user_id) USING (user_id)
-    LEFT JOIN creator USING (user_id)
-    WHERE deleted_at IS NULL""",
-)
+
+
+def _dim_users(names: str, users: str) -> str:
+    return _with(
+        f"{_DIMS} creator {names}",
+        f"""
+        SELECT u.* EXCLUDE (created_at, updated_at, deleted_at), {_TIMES},
+               CAST(coalesce(likes_given, 0) AS BIGINT) AS likes_given,
+               CAST(coalesce(posts_viewed, 0) AS BIGINT) AS posts_viewed,
+               coalesce(total_likes, 0) AS total_likes, coalesce(total_views, 0) AS total_views
+        FROM {users} u
+        LEFT JOIN (SELECT user_id, sum(likes_given) AS likes_given,
+                          sum(posts_viewed) AS posts_viewed
+                   FROM agg_user GROUP BY user_id) USING (user_id)
+        LEFT JOIN creator USING (user_id)
+        WHERE deleted_at IS NULL""",
+    )
+
+
 _RUNS = _with(
     "feed",
     f"""
@@ -226,7 +242,6 @@ def _activity(daily: str, key: str) -> str:
 def _suite() -> str:
     from tidemark.operators.quality import SUITE
 
-    columns = {"user": {}, "post": {}, "event": {}, "stg_events": {}, "fct_events": {}}
     source = {
         "user": "usr",
         "post": "post",
@@ -236,7 +251,6 @@ def _suite() -> str:
         "dim_users": "(SELECT * FROM int_user WHERE deleted_at IS NULL)",
         "dim_posts": "dim_post",
     }
-    assert set(columns) < set(source)
     parts = []
 
     def add(table: str, test: str, column: str, failures: str) -> None:
@@ -307,8 +321,38 @@ def sql() -> dict[str, str]:
         "dim_posts": _with(
             _DIMS, f"SELECT * EXCLUDE (created_at, updated_at), {_TIMES} FROM dim_post"
         ),
-        "dim_users": _DIM_USERS,
-        "daily_build": _DIM_USERS,
+        "dim_users": _dim_users("", "int_user"),
+        "daily_build": _dim_users("merged int_merged", "int_merged"),
+        "daily_build_history": _with(
+            "usr int_user merged int_merged",
+            f"""
+            , a AS (SELECT * FROM int_user WHERE deleted_at IS NULL),
+            b AS (SELECT * FROM int_merged WHERE deleted_at IS NULL)
+            SELECT user_id, country, region, is_deleted, {_INTERVAL} FROM (
+                SELECT a.user_id, a.country, a.region, 'False' AS is_deleted,
+                       a.updated_at AS valid_from,
+                       CASE WHEN b.user_id IS NULL THEN TIMESTAMP '{SECOND_RUN}'
+                            WHEN b.updated_at > a.updated_at THEN b.updated_at END AS valid_to
+                FROM a LEFT JOIN b USING (user_id)
+                UNION ALL
+                SELECT b.user_id, b.country, b.region, 'False', b.updated_at, NULL
+                FROM b LEFT JOIN a USING (user_id)
+                WHERE a.user_id IS NULL OR b.updated_at > a.updated_at
+                UNION ALL
+                SELECT a.user_id, a.country, a.region, 'True', TIMESTAMP '{SECOND_RUN}', NULL
+                FROM a ANTI JOIN b USING (user_id))""",
+        ),
+        "raw_user_snapshots": _with(
+            "usr merged",
+            f"""SELECT user_id, country_code, favorite_color, {_DELETED}, {_INTERVAL} FROM (
+                SELECT u.*, u.updated_at AS valid_from, CASE WHEN m.updated_at > u.updated_at
+                       THEN m.updated_at END AS valid_to
+                FROM usr u JOIN merged m USING (user_id)
+                UNION ALL BY NAME
+                SELECT m.* EXCLUDE (applied), m.updated_at AS valid_from, NULL AS valid_to
+                FROM merged m LEFT JOIN usr u USING (user_id)
+                WHERE u.user_id IS NULL OR m.updated_at > u.updated_at)""",
+        ),
         "scd2_history": _with(
             "feed version",
             f"""SELECT user_id, region,

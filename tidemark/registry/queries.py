@@ -44,6 +44,7 @@ SAMPLE_ROWS = 25
 SAMPLE_SEED = 7
 STREAM_DELAY = dt.timedelta(hours=1)
 INGEST_DATE = dt.date(2024, 2, 1)
+FIRST_RUN, SECOND_RUN = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
 
 
 def registered() -> dict[str, Query]:
@@ -144,20 +145,38 @@ def dim_users(spark, folder):
     )
 
 
-@_query
-def daily_build(spark, folder):
-    """All layers built in two runs; the users after the second, incremental one."""
+def _two_builds(spark: SparkSession, folder: str) -> Warehouse:
+    """All layers built twice: to the middle day, then with all events and changed users."""
     warehouse = Warehouse(working_folder(spark))
     event, middle = adapter.events(spark, folder), _middle_day(spark, folder)
-    raw = (adapter.users(spark, folder), adapter.posts(spark, folder))
-    countries = adapter.countries(spark, folder)
     first = event.where(F.to_date("created_at") <= F.lit(middle))
-    for run, batch in enumerate((first, event)):
-        run_ts = dt.datetime.combine(INGEST_DATE, dt.time()) + dt.timedelta(days=run)
-        build(spark, warehouse, *raw, batch, countries, run_ts)
+    changed = _merged_users(spark, folder).drop(changes.APPLIED)
+    post, countries = adapter.posts(spark, folder), adapter.countries(spark, folder)
+    for run_ts, user, batch in (
+        (FIRST_RUN, adapter.users(spark, folder), first),
+        (SECOND_RUN, changed, event),
+    ):
+        build(spark, warehouse, user, post, batch, countries, run_ts)
+    return warehouse
+
+
+@_query
+def daily_build(spark, folder):
+    """Users after two builds."""
+    warehouse = _two_builds(spark, folder)
     return read_table(spark, warehouse.path("analytics", "dim_users"))
 
 
+@_query
+def daily_build_history(spark, folder):
+    """History of the users after two builds, deletion records included."""
+    warehouse = _two_builds(spark, folder)
+    history = read_table(spark, warehouse.path("analytics", "dim_users_snapshots"))
+    return _versions_out(
+        history, "user_id", "country", "region", F.col(IS_DELETED).alias("is_deleted")
+    )
+
+
 # --- history -----------------------------------------------------------------
 
 
@@ -179,6 +198,16 @@ def scd2_first_run(spark, folder):
     return _versions_out(first, "post_id", "creator_id", SCD_ID)
 
 
+@_query
+def raw_user_snapshots(spark, folder):
+    """History of the raw users before and after the change batch."""
+    before = adapter.users(spark, folder)
+    after = _merged_users(spark, folder).drop(changes.APPLIED)
+    first = snapshots.snapshot_run(None, before, "user_id", "updated_at")
+    history = snapshots.snapshot_run(first, after, "user_id", "updated_at")
+    return _versions_out(history, "user_id", "country_code", "favorite_color", "deleted_at")
+
+
 def _run_times(feed: DataFrame) -> Iterator[dt.datetime]:
     """The ends of consecutive spans of RUN_DAYS days that cover the feed."""
     first, last = feed.agg(
@@ -193,18 +222,20 @@ def _run_times(feed: DataFrame) -> Iterator[dt.datetime]:
 def _snapshot_runs(feed: DataFrame, order: list[str], live: str, **options) -> DataFrame:
     """Snapshots of the state at each run time; ``live`` says which rows exist then."""
     ensure_checkpoint_dir(feed.sparkSession)
-    history = None
+    history, state, seen_until = None, None, None
     for run in _run_times(feed):
         run_ts = timestamp(run.isoformat(sep=" "))
-        seen = feed.where(F.col("updated_at") < run_ts)
-        state = intervals.last_per_group(seen, ["user_id"], order).where(live)
-        state = state.drop("present")
+        new = feed.where(F.col("updated_at") < run_ts)
+        if seen_until is not None:
+            new = state.unionByName(new.where(F.col("updated_at") >= seen_until))
+        # Each run continues from the one before; without a cut the plan would grow
+        # with the number of runs.
+        state = intervals.last_per_group(new, ["user_id"], order).checkpoint()
+        source = state.where(live).drop("present")
         history = snapshots.snapshot_run(
-            history, state, "user_id", "updated_at", run_ts, **options
-        )
-        # Each run reads the one before; without a cut the plan would grow with
-        # the number of runs.
-        history = history.checkpoint()
+            history, source, "user_id", "updated_at", run_ts, **options
+        ).checkpoint()
+        seen_until = run_ts
     return history
 
 

@@ -114,9 +114,8 @@ def user_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_presence(spark: SparkSession, folder: str) -> DataFrame:
     """Feed with deletions: a signup brings a user (back), a costly error removes it."""
-    rows = table(spark, folder, "events").where(
-        (F.col("event_type") == "signup") | ((F.col("event_type") == "error") & (F.col("value") > 20))
-    )
+    costly_error = (F.col("event_type") == "error") & (F.col("value") > 20)
+    rows = table(spark, folder, "events").where((F.col("event_type") == "signup") | costly_error)
     return rows.select(
         "user_id",
         F.col("ts").alias("updated_at"),
