@@ -205,3 +205,58 @@ def test_first_versions_may_begin_at_creation(spark, rows_per_group):
         ("a", "z", "2100-01-05 12:30:00", OPEN),
         ("b", "created later", D[1], OPEN),
     ]
+
+
+def model_run(history, state, run_ts, record):
+    """The rules of one run, row by row. Versions are [key, name, from, to, deleted]."""
+    result = [list(v) for v in history]
+    current = {v[0]: v for v in result if v[3] == OPEN}
+    for key, (name, updated) in state.items():
+        old = current.get(key)
+        if old is None:
+            result.append([key, name, updated, OPEN, "False"])
+        elif old[4] == "True":
+            opens = updated if updated > old[2] else run_ts
+            old[3] = opens
+            result.append([key, name, opens, OPEN, "False"])
+        elif updated > old[2]:
+            old[3] = updated
+            result.append([key, name, updated, OPEN, "False"])
+    for key, old in current.items():
+        if record and key not in state and old[4] == "False":
+            old[3] = run_ts
+            result.append([key, old[1], run_ts, OPEN, "True"])
+    return result
+
+
+@pytest.mark.parametrize("hard_deletes", ["ignore", "new_record"])
+def test_random_runs_follow_the_rules(spark, hard_deletes):
+    rng = random.Random(11)
+    record = hard_deletes == "new_record"
+    expected, history, state = [], None, {}
+    for day in range(1, 9):
+        for key in (f"k{i}" for i in range(10)):
+            move = rng.random()
+            if move < 0.25:
+                state.pop(key, None)
+            elif move < 0.6:
+                hour = rng.randrange(24)
+                state[key] = (f"n{day}", f"2100-01-{day:02d} {hour:02d}:00:00")
+            elif move < 0.7:
+                state[key] = (f"n{day}", "2099-12-31 00:00:00")
+        run_ts = f"2100-01-{day + 1:02d} 00:00:00"
+        source_ = table(
+            spark,
+            "k string, name string, updated_at timestamp_ntz",
+            *[(k, name, updated) for k, (name, updated) in state.items()],
+        )
+        history = run(history, source_, run_ts, hard_deletes=hard_deletes).checkpoint()
+        expected = model_run(expected, state, run_ts, record)
+    columns = ["k", "name", *[F.col(f"dbt_valid_{c}").cast("string") for c in ("from", "to")]]
+    if record:
+        columns.append("dbt_is_deleted")
+    assert rows(history, *columns) == sorted([tuple(v[: len(columns)]) for v in expected], key=repr)
+    # Versions of a key follow one another without overlap or gap; the last is open.
+    for key in {v[0] for v in expected}:
+        own = sorted((v[2], v[3]) for v in expected if v[0] == key)
+        assert [end for _, end in own] == [start for start, _ in own[1:]] + [OPEN]

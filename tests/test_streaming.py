@@ -67,6 +67,17 @@ def test_microbatches_keep_the_daily_tables_up_to_date(spark, tmp_path, deliver)
     assert len(run("other progress")) == 5
 
 
+def test_backlog_is_worked_off_in_steps(spark, tmp_path, deliver):
+    for i in range(3):
+        deliver(event(f"e{i}", f"0{i + 1} 10:00:00"))
+    staged, posts, users = tables(tmp_path)
+    source = streams.read_stream(spark, f"{tmp_path}/source", SCHEMA, max_files=1)
+    writer = streams.build_daily_tables(source, staged, posts, users)
+    query = streams.run_available(writer, f"{tmp_path}/progress")
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    assert staged.read(spark).count() == users.read(spark).count() == 3
+
+
 def test_duplicates_within_the_delay_are_dropped(spark, tmp_path, deliver):
     deliver(event("a", "01 10:00:00"), event("a", "01 10:20:00"), event("b", "01 10:30:00"))
     source = streams.read_stream(spark, f"{tmp_path}/source", SCHEMA)

@@ -28,9 +28,16 @@ from tidemark.plans.staging import stg_events
 from tidemark.sources import paths
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """New Parquet files of a folder as a stream; a single file is a folder of one."""
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+) -> DataFrame:
+    """New Parquet files of a folder as a stream; a single file is a folder of one.
+
+    ``max_files`` bounds a microbatch, so that a large backlog is worked off in steps.
+    """
     reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if not paths.is_file(spark, path):
         return reader.parquet(path)
     folder, _, name = path.rstrip("/").rpartition("/")
