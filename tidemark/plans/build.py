@@ -20,11 +20,11 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.quality import SUITE, run_tests
 from tidemark.operators.snapshots import snapshot_run
-from tidemark.plans.dimensions import dim_posts, dim_users
+from tidemark.plans.dimensions import dim_posts, dim_users, fct_events
 from tidemark.plans.intermediate import int_events, int_posts, int_users
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events, stg_posts, stg_users
-from tidemark.schemas import RAW, timestamp
+from tidemark.schemas import AUDIT, RAW, timestamp
 from tidemark.sources.paths import partition_days
 from tidemark.sources.tables import publish_view, read_table, replace_partitions, write_table
 
@@ -65,7 +65,8 @@ def job_date(spark: SparkSession, warehouse: Warehouse, first: dt.date) -> dt.da
     path = warehouse.path("raw", "ingestion_audit")
     if not partition_days(spark, path, "ingest_date"):
         return first
-    return next_job_date(spark.read.parquet(path), F.lit(first)).first()[0]
+    audit = spark.read.schema(AUDIT).parquet(path)
+    return next_job_date(audit, F.lit(first)).first()[0]
 
 
 def ingest_day(
@@ -152,7 +153,6 @@ def build(
     """
     load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh)
     events = int_events(warehouse.stg_events.read(spark))
-    publish_view(events, "fct_events")
     _together(
         spark,
         *(
@@ -188,6 +188,28 @@ def build(
     )
 
 
+def publish_views(
+    spark: SparkSession, warehouse: Warehouse, user: DataFrame, post: DataFrame, countries: DataFrame
+) -> None:
+    """Every model under its name, for queries in SQL. Nothing is computed here."""
+    staged = warehouse.stg_events.read(spark)
+    users, posts = stg_users(user), stg_posts(post)
+    models = {
+        "stg_users": users,
+        "stg_posts": posts,
+        "stg_events": staged,
+        "int_users": int_users(users, countries),
+        "fct_events": fct_events(int_events(staged)),
+        "agg_post_metrics_daily": warehouse.agg_post_daily.read(spark),
+        "agg_user_metrics_daily": warehouse.agg_user_daily.read(spark),
+    }
+    models["int_posts"] = int_posts(posts, models["int_users"])
+    for name in ("dim_users", "dim_posts", "dim_users_snapshots", "dim_posts_snapshots"):
+        models[name] = read_table(spark, warehouse.path("analytics", name))
+    for name, model in models.items():
+        publish_view(model, name)
+
+
 def test_results(
     spark: SparkSession, warehouse: Warehouse, user: DataFrame, post: DataFrame, event: DataFrame
 ) -> DataFrame:
