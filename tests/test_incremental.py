@@ -93,6 +93,24 @@ def test_day_that_loses_its_last_row_is_emptied(spark, staged):
     assert inc.latest_day(spark, staged) == day("2100-01-02")
 
 
+def test_event_without_a_time_has_a_place_and_can_get_a_time(spark, staged):
+    def send(*events):
+        inc.delete_insert(stg_events(raw(spark, *events)), staged)
+        return sorted((n, d) for n, _, d in content(spark, staged))
+
+    untimed = ("x", "u", "p", None, "view")
+    load(spark, staged, event("a", "01 10:00:00"))
+    assert send(untimed) == [("a", "2100-01-01"), ("x", "None")]
+    assert inc.latest_day(spark, staged) == day("2100-01-01")
+    assert send(untimed, event("b", "02 10:00:00"))[-1] == ("x", "None")
+    assert send(event("x", "02 11:00:00")) == [
+        ("a", "2100-01-01"),
+        ("b", "2100-01-02"),
+        ("x", "2100-01-02"),
+    ]
+    assert inc.high_watermark(spark, staged, "created_at") == at("2100-01-02 11:00:00")
+
+
 def test_duplicate_ids_of_one_batch_are_both_inserted(spark, staged):
     load(spark, staged, event("a", "01 10:00:00"))
     assert names(load(spark, staged, event("b", "02 10:00:00"), event("b", "02 11:00:00"))) == ["a", "b", "b"]

@@ -11,11 +11,11 @@ same table as doing it once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Container, Iterator
+from collections.abc import Callable, Container, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import timestamp
@@ -41,13 +41,13 @@ class IncrementalTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
 
-    def read_days(self, spark: SparkSession, days: Container[dt.date]) -> DataFrame:
+    def read_days(self, spark: SparkSession, days: Container[dt.date | None]) -> DataFrame:
         """The rows of these days. Only their folders are listed, however many files
         the table has."""
         present = [d for d in paths.partition_days(spark, self.path, self.day) if d in days]
         if not present:
             return self.read(spark).where(F.lit(False))
-        folders = [f"{self.path}/{self.day}={d.isoformat()}" for d in present]
+        folders = [f"{self.path}/{paths.day_folder(self.day, d)}" for d in present]
         return spark.read.option("basePath", self.path).parquet(*folders)
 
 
@@ -88,11 +88,17 @@ def since_day(df: DataFrame, day: str, last_day: dt.date | None) -> DataFrame:
     return df if last_day is None else df.where(F.col(day) >= F.lit(last_day))
 
 
-def _listed(days: DataFrame) -> set[dt.date]:
-    # At most one row per calendar day.
+def _listed(days: DataFrame) -> set[dt.date | None]:
+    # At most one row per calendar day, and one for rows without a day.
     return {row[0] for row in days.distinct().collect()}
 
 
+def _on(day: str, days: Iterable[dt.date | None]) -> Column:
+    """Whether a row is of one of these days; never NULL."""
+    found = F.coalesce(F.col(day).isin([d for d in days if d is not None]), F.lit(False))
+    return found | F.col(day).isNull() if None in days else found
+
+
 def _write(df: DataFrame, table: IncrementalTable, mode: str) -> None:
     # The hint sizes files by data volume: small days share a task, and a day
     # with very many rows is split over several.
@@ -118,8 +124,8 @@ class DayUpdate:
     """
 
     content: DataFrame
-    days: frozenset[dt.date]
-    shrinking: frozenset[dt.date] = field(default_factory=frozenset)
+    days: frozenset[dt.date | None]
+    shrinking: frozenset[dt.date | None] = field(default_factory=frozenset)
 
 
 @contextmanager
@@ -134,22 +140,22 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
     # Written out once: the batch is used several times, may depend on the table it
     # changes, and as files it has a known size.
     folder = working_folder(spark)
-    batch.write.parquet(folder)
-    batch = spark.read.schema(batch.schema).parquet(folder)
-    keys = list(table.keys)
-    batch_keys = batch.select(*keys)
-    if batch.count() <= BROADCAST_KEYS:
-        # The whole table is then searched without shuffling it.
-        batch_keys = F.broadcast(batch_keys)
-    days = _listed(batch.select(table.day))
-    shrinking = set()
-    if table.day not in keys and days:
-        others = table.read(spark).where(~F.col(table.day).isin(sorted(days)))
-        holding = others.join(batch_keys, keys, "left_semi")
-        shrinking = _listed(holding.select(table.day))
-    kept = table.read_days(spark, days | shrinking).join(batch_keys, keys, "left_anti")
-    content = kept.unionByName(batch)
     try:
+        batch.write.parquet(folder)
+        batch = spark.read.schema(batch.schema).parquet(folder)
+        keys = list(table.keys)
+        batch_keys = batch.select(*keys)
+        if batch.count() <= BROADCAST_KEYS:
+            # The whole table is then searched without shuffling it.
+            batch_keys = F.broadcast(batch_keys)
+        days = _listed(batch.select(table.day))
+        shrinking = set()
+        if table.day not in keys and days:
+            others = table.read(spark).where(~_on(table.day, days))
+            holding = others.join(batch_keys, keys, "left_semi")
+            shrinking = _listed(holding.select(table.day))
+        kept = table.read_days(spark, days | shrinking).join(batch_keys, keys, "left_anti")
+        content = kept.unionByName(batch)
         yield DayUpdate(content, frozenset(days | shrinking), frozenset(shrinking))
     finally:
         paths.remove(spark, folder)
@@ -162,15 +168,16 @@ def replace_days(update: DayUpdate, table: IncrementalTable) -> None:
     spark = update.content.sparkSession
     emptied = set()
     if update.shrinking:
-        some = update.content.where(F.col(table.day).isin(sorted(update.shrinking)))
+        some = update.content.where(_on(table.day, update.shrinking))
         emptied = update.shrinking - _listed(some.select(table.day))
     nothing = update.content.drop(table.day).limit(0)
     _write(update.content, table, "dynamic")
     # An overwrite does not touch a day it has no rows for, so a day that lost its
     # last row is replaced by an empty file of its own.
     present = set(paths.partition_days(spark, table.path, table.day))
-    for day in sorted(emptied & present):
-        nothing.write.mode("overwrite").parquet(f"{table.path}/{table.day}={day.isoformat()}")
+    for day in emptied & present:
+        folder = paths.day_folder(table.day, day)
+        nothing.write.mode("overwrite").parquet(f"{table.path}/{folder}")
 
 
 def delete_insert(batch: DataFrame, table: IncrementalTable) -> None:

@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.calendar import hour_number
-from tidemark.operators.skew import (
-    ROWS_PER_GROUP,
-    all_slots,
-    heavy_groups,
-    slot_of,
-)
+from tidemark.operators.skew import ROWS_PER_GROUP, all_slots, heavy_groups, slot_of
 from tidemark.schemas import VALID_FROM, VALID_TO, timestamp
+
 # Rows that go to every task at most, and versions of a key that are compared
 # with each of its facts at most.
 BROADCAST_VERSIONS = 1_000_000

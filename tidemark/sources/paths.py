@@ -6,6 +6,9 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+# Fixed value: the folder Spark writes rows with a NULL partition column to.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -31,15 +34,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(location)]
 
 
-def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date]:
-    """The days a date-partitioned table has folders for, newest first."""
+def day_folder(column: str, day: dt.date | None) -> str:
+    """Folder name of one day of a date-partitioned table; rows without a day have one too."""
+    return f"{column}={_NO_VALUE if day is None else day.isoformat()}"
+
+
+def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date | None]:
+    """The days a date-partitioned table has folders for, newest first, None last."""
     prefix = f"{column}="
-    days = [
-        dt.date.fromisoformat(name[len(prefix) :])
-        for name in names(spark, path)
-        if name.startswith(prefix) and not name.endswith("__HIVE_DEFAULT_PARTITION__")
-    ]
-    return sorted(days, reverse=True)
+    values = [n[len(prefix) :] for n in names(spark, path) if n.startswith(prefix)]
+    days = sorted((dt.date.fromisoformat(v) for v in values if v != _NO_VALUE), reverse=True)
+    return days + [None] if _NO_VALUE in values else days
 
 
 def remove(spark: SparkSession, path: str) -> None:
