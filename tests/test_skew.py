@@ -30,3 +30,15 @@ def test_rows_of_a_hot_key_are_spread_and_joined_once(spark):
     heavy = skew.heavy_groups(left, ["k"], 20)
     slots = heavy.mark(left, "n").withColumn("slot", skew.slot_of("n", ["id"])).where("k = 1")
     assert slots.groupBy("slot").count().agg(F.max("count")).first()[0] < 60
+
+
+def test_keys_of_different_types_meet(spark):
+    left = spark.range(100).select("id", F.lit(7).cast("int").alias("k"))
+    right = spark.range(10**10, 10**10 + 2).unionAll(spark.range(9)).select(F.col("id").alias("k"), "id")
+    right = right.withColumnRenamed("id", "found")
+    spread = skew.spread_left_join(left, right, "k", ["id"], rows_per_group=10)
+    assert rows(spread.select("found").distinct()) == [(7,)] and spread.count() == 100
+    wide = left.withColumn("k", F.col("k").cast("bigint"))
+    narrow = spark.range(9).select(F.col("id").cast("int").alias("k"), F.col("id").alias("found"))
+    spread = skew.spread_left_join(wide, narrow, "k", ["id"], rows_per_group=10)
+    assert rows(spread.select("found").distinct()) == [(7,)] and spread.count() == 100

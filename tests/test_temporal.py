@@ -183,3 +183,21 @@ def test_plan_follows_the_number_of_versions(spark, monkeypatch):
     many = one_each.unionAll(spark.range(100).selectExpr("bigint(3) id"))
     assert temporal._method(many, "id") == "asof"
     assert temporal._method(spark.range(0), "id") == "broadcast"
+
+
+@pytest.mark.parametrize("method", ["range", "asof"])
+def test_keys_of_different_types(spark, method):
+    facts = table(
+        spark,
+        "user_id int, created_at timestamp_ntz",
+        *[(1, f"2100-01-01 10:00:{i:02d}") for i in range(30)],
+    )
+    versions = table(
+        spark,
+        VERSION.replace("user_id string", "user_id bigint"),
+        (1, "EU", "2100-01-01 00:00:00", OPEN),
+    )
+    for rows_per_group in (None, 3):
+        result = joined(facts, versions, method, rows_per_group)
+        assert rows(result.select("region").distinct()) == [("EU",)]
+        assert result.count() == 30

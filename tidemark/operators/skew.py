@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of one group that a single task takes without being split.
 ROWS_PER_GROUP = 4_000_000
@@ -29,10 +30,10 @@ RECOGNISED_BY = 20_000
 
 
 class HeavyGroups:
-    """Groups to be split: ``(hash of the columns, splits)``."""
+    """Groups to be split: the columns with their types, ``(hash of these, splits)``."""
 
-    def __init__(self, columns: Sequence[str], splits: list[tuple[int, int]]):
-        self.columns = list(columns)
+    def __init__(self, columns: dict[str, T.DataType], splits: list[tuple[int, int]]):
+        self.columns = columns
         self.splits = splits
 
     def __bool__(self) -> bool:
@@ -43,8 +44,11 @@ class HeavyGroups:
         if not self:
             return df.withColumn(name, F.lit(None).cast("int"))
         lookup = df.sparkSession.createDataFrame(self.splits, f"_hash bigint, {name} int")
-        same = F.xxhash64(*self.columns) == F.col("_hash")
-        return df.join(F.broadcast(lookup), same, "left").drop("_hash")
+        # Equal values of different types would have different hashes.
+        typed = [F.col(column).try_cast(kind) for column, kind in self.columns.items()]
+        return df.join(
+            F.broadcast(lookup), F.xxhash64(*typed) == F.col("_hash"), "left"
+        ).drop("_hash")
 
 
 def heavy_groups(
@@ -63,7 +67,7 @@ def heavy_groups(
     heavy = F.filter(top, lambda group: group["count"] > rows_per_group * fraction)
     found = counted.agg(heavy.alias("heavy")).first()["heavy"]
     return HeavyGroups(
-        columns,
+        {name: df.schema[name].dataType for name in columns},
         [(g["item"], math.ceil(g["count"] / (rows_per_group * fraction))) for g in found],
     )
 
