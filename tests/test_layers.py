@@ -22,13 +22,14 @@ SEED = """country_code,name,currency,region,subregion
 NA,Namibia,NAD,Africa,Southern Africa
 BV,Bouvet Island,NOK,,
 GM,"The Gambia ",GMD,Africa,Western Africa
+CW,"Curaçao, an island",ANG,Americas,Caribbean
 """
 
 
 @pytest.fixture
 def countries(spark, tmp_path):
     path = tmp_path / "countries.csv"
-    path.write_text(SEED)
+    path.write_text(SEED, encoding="utf-8")
     return tables.read_countries(spark, str(path))
 
 
@@ -50,6 +51,7 @@ def test_seed_keeps_na_and_spaces_and_reads_blank_as_null(countries):
         "NA": ("Namibia", "Africa"),
         "BV": ("Bouvet Island", None),
         "GM": ("The Gambia ", "Africa"),
+        "CW": ("Curaçao, an island", "Americas"),
     }
 
 

@@ -145,10 +145,12 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
         batch = spark.read.schema(batch.schema).parquet(folder)
         keys = list(table.keys)
         batch_keys = batch.select(*keys)
-        if batch.count() <= BROADCAST_KEYS:
+        # At most one row per calendar day, and one for rows without a day.
+        rows_of = dict(batch.groupBy(table.day).count().collect())
+        days = set(rows_of)
+        if sum(rows_of.values()) <= BROADCAST_KEYS:
             # The whole table is then searched without shuffling it.
             batch_keys = F.broadcast(batch_keys)
-        days = _listed(batch.select(table.day))
         shrinking = set()
         if table.day not in keys and days:
             others = table.read(spark).where(~_on(table.day, days))
