@@ -559,8 +559,7 @@ def dq_suite(spark, folder):
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a stream, mapped like the batch source."""
-    path = f"{folder}/events.parquet"
-    return streams.read_stream(spark, path, spark.read.parquet(path).schema)
+    return streams.read_stream(spark, f"{folder}/events.parquet", adapter.schema("events"))
 
 
 @_query

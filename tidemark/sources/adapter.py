@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.changes import CHANGE_TYPE, CHANGED_AT, SET_COLUMNS
 from tidemark.schemas import timestamp
@@ -20,8 +21,39 @@ SUPPLIER_USERS_FROM = 1_000_000_000
 USER_ATTRIBUTES = ["first_name", "last_name", "country_code", "favorite_color"]
 
 
+_KEY, _TEXT, _TIME = T.LongType(), T.StringType(), T.TimestampNTZType()
+_INT, _NUMBER = T.IntegerType(), T.DoubleType()
+# The columns read here; with them declared no file has to be opened for planning.
+_COLUMNS = {
+    "region": {"r_regionkey": _INT, "r_name": _TEXT},
+    "nation": {"n_nationkey": _INT, "n_name": _TEXT, "n_regionkey": _INT},
+    "customer": {
+        "c_custkey": _KEY,
+        "c_name": _TEXT,
+        "c_nationkey": _INT,
+        "c_acctbal": _NUMBER,
+        "c_mktsegment": _TEXT,
+    },
+    "supplier": {"s_suppkey": _KEY, "s_name": _TEXT, "s_nationkey": _INT},
+    "part": {"p_partkey": _KEY, "p_name": _TEXT, "p_size": _INT},
+    "orders": {"o_custkey": _KEY, "o_totalprice": _NUMBER, "o_orderdate": _TIME},
+    "events": {
+        "event_id": _KEY,
+        "ts": _TIME,
+        "user_id": _KEY,
+        "event_type": _TEXT,
+        "value": _NUMBER,
+        "props": _TEXT,
+    },
+}
+
+
+def schema(name: str) -> T.StructType:
+    return T.StructType([T.StructField(*column) for column in _COLUMNS[name].items()])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(schema(name)).parquet(f"{folder}/{name}.parquet")
 
 
 def _property() -> Column:
