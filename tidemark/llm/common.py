@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -76,3 +79,21 @@ def sums_before(df: DataFrame, order: str, value: str, name: str, group: int = 4
         .withColumn(name, (F.col("_own") + F.col("_start")).cast("bigint"))
         .drop("_level", "_own", "_start")
     )
+
+
+# The archive of each application; kept as long as executors may ask for it.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, for those that were not started with it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    _SHIPPED[context.applicationId] = folder = tempfile.TemporaryDirectory()
+    archive = f"{folder.name}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)

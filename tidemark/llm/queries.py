@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing
-from tidemark.llm.common import table
+from tidemark.llm import multiset, packing, rans, secrets, simhash
+from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -24,8 +25,19 @@ def sql() -> dict[str, str]:
 
 
 def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    _QUERIES[function.__name__] = run
+    return run
+
+
+@_query
+def op2_rans_tokens(spark, folder):
+    """Ids written in compressed blocks in order of the documents and read back from them."""
+    return rans.write_and_read(table(spark, folder, "documents"), end_id=2)
 
 
 @_query
@@ -40,3 +52,27 @@ def op4_best_fit_packing(spark, folder):
         "sequence_id",
         "offset",
     )
+
+
+@_query
+def op5_simhash_groups(spark, folder):
+    """Groups of documents whose fingerprints are linked at three or fewer bits."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), words=3, distance=3)
+
+
+@_query
+def op7_secret_spans(spark, folder):
+    """Credentials by form, and candidates that a single owner has."""
+    found = secrets.scan(table(spark, folder, "documents"), owner_column="source")
+    return found.select(
+        "doc_id",
+        *[secrets.count_of("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.as_text("base"), 256).alias("base_sha256"),
+        secrets.as_text("spans").alias("spans"),
+    )
+
+
+@_query
+def op9_multiset_fingerprints(spark, folder):
+    """Fingerprints of documents and edited documents, and how alike they are."""
+    return multiset.fingerprints(table(spark, folder, "documents"))
