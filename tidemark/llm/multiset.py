@@ -1,9 +1,10 @@
 """Document fingerprints that add up: a multiset hash of paragraphs.
 
-Each paragraph (a line; a line of several sentences is cut after each) is hashed to a
-wide vector, and a document's fingerprint is the sum of its paragraphs' vectors, lane by
-lane, modulo powers of two. Order does not matter, paragraphs are added and taken away
-by adding and subtracting vectors, and equal multisets have equal vectors. The vector
+A paragraph is a line, or what eight words in a row are of a longer one, so that texts
+without line breaks have paragraphs too. Each is hashed to a wide vector, and a
+document's fingerprint is the sum of its paragraphs' vectors, lane by lane, modulo
+powers of two. Order does not matter, paragraphs are added and taken away by adding and
+subtracting vectors, and equal multisets have equal vectors. The vector
 has a count (modulo 2**32), WIDE lanes modulo 2**40 that tell multisets apart, and LANES
 one-bit lanes, counted modulo 2**32, two to a number. A one-bit lane's signed sum,
 2 * lane - count, is a random projection of the multiset, so that products of lanes
@@ -22,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# After line breaks, and after the end of a sentence.
-SEPARATOR = r"\n+|(?<=[.!?])[ \t]+"
+# A paragraph with the white space before it; all characters are in one.
+PARAGRAPH = r"\s*+(?:\S++[ \t]*+){1,8}+|\s++"
 WIDE = 3
 WIDE_BITS = 40
 SIGN_HASHES = 2
@@ -39,33 +40,34 @@ BROADCAST_HEADS = 1_000_000
 _TWO = (1 << 32) + 1
 
 
-def _sum(hashes: Column, lane) -> Column:
-    return F.aggregate(hashes, F.lit(0).cast("bigint"), lane)
+def _hashes(parts: str, seed: int) -> Column:
+    return F.transform(parts, lambda p: F.xxhash64(F.lit(seed), p))
 
 
-def with_vector(df: DataFrame, text: str, name: str, separator: str = SEPARATOR) -> DataFrame:
+def _one_bit_lanes(hashes: Column, bit: int) -> Column:
+    """How many hashes have this bit set, and, 32 bits higher, the bit 32 above."""
+    step = lambda s, h: s + F.shiftrightunsigned(h, bit).bitwiseAND(_TWO)
+    return F.aggregate(hashes, F.lit(0).cast("bigint"), step)
+
+
+def _wide_lane(hashes: Column) -> Column:
+    mask = (1 << WIDE_BITS) - 1
+    step = lambda s, h: (s + h.bitwiseAND(mask)).bitwiseAND(mask)
+    return F.aggregate(hashes, F.lit(0).cast("bigint"), step)
+
+
+def with_vector(df: DataFrame, text: str, name: str, paragraph: str = PARAGRAPH) -> DataFrame:
     """Adds the vector of a text column as an array of numbers."""
-    own = [c for c in df.columns]
-    parts = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), separator), lambda p: p != "")
+    own = df.columns
+    parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(paragraph), F.lit(0))
     # One step after the other, so that nothing is computed once per lane.
     hashed = df.withColumn("_parts", parts).select(
         *own,
         F.size("_parts").cast("bigint").alias("_n"),
-        *[
-            F.transform("_parts", lambda p, i=i: F.xxhash64(F.lit(i), p)).alias(f"_h{i}")
-            for i in range(SIGN_HASHES + WIDE)
-        ],
+        *[_hashes("_parts", i).alias(f"_h{i}") for i in range(SIGN_HASHES + WIDE)],
     )
-    signs = [
-        _sum(F.col(f"_h{i}"), lambda s, h, k=k: s + F.shiftrightunsigned(h, k).bitwiseAND(_TWO))
-        for i in range(SIGN_HASHES)
-        for k in range(32)
-    ]
-    mask = (1 << WIDE_BITS) - 1
-    wide = [
-        _sum(F.col(f"_h{i}"), lambda s, h: (s + h.bitwiseAND(mask)).bitwiseAND(mask))
-        for i in range(SIGN_HASHES, SIGN_HASHES + WIDE)
-    ]
+    signs = [_one_bit_lanes(F.col(f"_h{i}"), bit) for i in range(SIGN_HASHES) for bit in range(32)]
+    wide = [_wide_lane(F.col(f"_h{i}")) for i in range(SIGN_HASHES, SIGN_HASHES + WIDE)]
     return hashed.select(*own, F.array(F.col("_n"), *wide, *signs).alias(name))
 
 
