@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import multiset, packing, rans, secrets, simhash
+from tidemark.llm import multiset, packing, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,15 @@ def _query(function: Query) -> Query:
     return run
 
 
+@_query
+def op1_ball_tree_top_k(spark, folder):
+    """The five best inner products of every fiftieth vector with all others."""
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", topk.scaled(F.col("embedding")).alias("vector")
+    )
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @_query
 def op2_rans_tokens(spark, folder):
     """Ids written in compressed blocks in order of the documents and read back from them."""
