@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import multiset, packing, rans, secrets, simhash, topk
+from tidemark.llm import html, multiset, packing, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,13 @@ def op2_rans_tokens(spark, folder):
     return rans.write_and_read(table(spark, folder, "documents"), end_id=2)
 
 
+@_query
+def op3_html_text(spark, folder):
+    """The visible text of every page."""
+    pages = html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.char_length("text").cast("bigint").alias("n_chars"), "text")
+
+
 @_query
 def op4_best_fit_packing(spark, folder):
     """Documents in sequences of at most 4096 ids."""
