@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, multiset, packing, rans, secrets, simhash, topk
+from tidemark.llm import html, multiset, packing, quality, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,20 @@ def op5_simhash_groups(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"), words=3, distance=3)
 
 
+@_query
+def op6_quality_scores(spark, folder):
+    """Quality of each text, learned from the labels of those not held out."""
+    documents = table(spark, folder, "documents")
+    model = quality.fit(documents, table(spark, folder, "labels"))
+    scored = quality.score(documents, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @_query
 def op7_secret_spans(spark, folder):
     """Credentials by form, and candidates that a single owner has."""
