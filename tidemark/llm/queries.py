@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, multiset, packing, quality, rans, secrets, simhash, topk
+from tidemark.llm import html, multiset, packing, pii, quality, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,22 @@ def op7_secret_spans(spark, folder):
     )
 
 
+@_query
+def op8_personal_data(spark, folder):
+    """Personal data by form, and by the random field."""
+    found = pii.detect(table(spark, folder, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.as_text("base"), 256).alias("base_sha256"),
+        pii.as_text("spans").alias("spans"),
+    )
+
+
 @_query
 def op9_multiset_fingerprints(spark, folder):
     """Fingerprints of documents and edited documents, and how alike they are."""
