@@ -34,6 +34,9 @@ _MENTION = r"(?i:password|passwd|secret|token|api_?key)"
 # A value that this many owners have is an example.
 EXAMPLE_OWNERS = 3
 
+# Up to this many spans to redact are sent to every task, about 100 bytes each.
+BROADCAST_SPANS = 500_000
+
 _SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
@@ -106,10 +109,11 @@ def scan(
     repository_column: str | None = None,
     example_owners: int = EXAMPLE_OWNERS,
 ) -> DataFrame:
-    """One row a document: doc_id, base and spans.
+    """One row a document: doc_id, text_hash, base and spans.
 
-    ``base`` are the spans by form (start, kind, end). ``spans`` are all of them (start,
-    kind, end, hash, repositories, owners, live), candidates that look live included.
+    ``base`` are the spans by form (start, kind, end, hash). ``spans`` are all of them
+    (start, kind, end, hash, repositories, owners, live), candidates that look live
+    included.
     """
     texts = documents.select(
         F.col(id_column).alias("doc_id"),
@@ -132,6 +136,7 @@ def scan(
         found.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
+            F.xxhash64("text").alias("text_hash"),
             "owner",
             "repository",
             hashed("base").alias("base"),
@@ -162,8 +167,8 @@ def scan(
         F.lit("[]"),
         "array<struct<start:int,kind:int,end:int,hash:string,repositories:bigint,owners:bigint,live:boolean>>",
     )
-    with_any = found.where(anything).select("row", "doc_id", "base").join(judged, "row", "left")
-    without = found.where(~anything).select("row", "doc_id", "base", none.alias("spans"))
+    with_any = found.where(anything).select("row", "doc_id", "text_hash", "base").join(judged, "row", "left")
+    without = found.where(~anything).select("row", "doc_id", "text_hash", "base", none.alias("spans"))
     every = with_any.withColumn("spans", F.coalesce("spans", none)).unionByName(without)
     return every.drop("row")
 
@@ -195,3 +200,22 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
         state["done"], F.substring(text, state["at"] + 1, F.char_length(text) - state["at"])
     )
     return F.aggregate(spans, start, step, rest)
+
+
+def redact(documents: DataFrame, id_column: str = "doc_id", text_column_name: str = "text", **options) -> DataFrame:
+    """The documents with a mark in place of every span that looks live; examples stay.
+
+    A row is known by its id and its text, so rows without an id and repeated rows are
+    redacted alike.
+    """
+    found = scan(documents, id_column, text_column_name, **options)
+    live = F.filter("spans", lambda s: s["live"])
+    marked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), live.alias("_live"))
+    marked = stored(marked.where(F.size("_live") > 0).dropDuplicates(["_id", "_hash"]), "live")
+    # One row: what would be sent to every task.
+    spans = marked.agg(F.sum(F.size("_live"))).first()[0] or 0
+    marked = F.broadcast(marked) if spans <= BROADCAST_SPANS else marked
+    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(text_column_name) == F.col("_hash"))
+    put = F.when(F.col("_live").isNotNull(), redacted(F.col(text_column_name), F.col("_live")))
+    whole = documents.join(marked, same, "left")
+    return whole.withColumn(text_column_name, put.otherwise(F.col(text_column_name))).select(*documents.columns)

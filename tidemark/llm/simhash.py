@@ -34,6 +34,8 @@ SEGMENTS = 2
 # Shingles whose bits are counted at once, and entries that are compared at once.
 SHINGLES = 1 << 16
 COMPARED = 1 << 22
+# Up to this many keys (9 bytes each) are sent to every task.
+BROADCAST_KEYS = 2_000_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _POWERS = np.uint64(1) << np.arange(BITS, dtype=np.uint64)
@@ -219,3 +221,39 @@ def near_duplicates(
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def without_near_duplicates(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column_name: str = "text",
+    words: int = 3,
+    distance: int = 3,
+) -> DataFrame:
+    """One document of each group: that with the smallest id.
+
+    A row without an id is known by its text instead, and comes after all others. Of
+    rows with the same id and the same text one stays; an id that comes with several
+    texts names a document for each of them.
+    """
+    text = F.coalesce(F.col(text_column_name), F.lit(""))
+    unnamed = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    key = F.coalesce(F.col(id_column).cast("bigint"), unnamed)
+    keyed = documents.select(key.alias("_key"), text.alias("_text"))
+    groups = stored(near_duplicates(keyed, "_key", "_text", words, distance), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_key")).distinct()
+    gone = stored(gone.withColumn("_gone", F.lit(True)), "gone")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("_key"), F.lit(True).alias("_again")), "repeated")
+
+    def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        few = keys.count() <= BROADCAST_KEYS
+        return rows.join(F.broadcast(keys) if few else keys, "_key", "left")
+
+    left = marked(documents.withColumn("_key", key), gone).where("_gone is null").drop("_gone")
+    if repeated.isEmpty():
+        return left.select(*documents.columns)
+    left = marked(left, repeated)
+    again = left.where("_again").withColumn("_hash", F.xxhash64(text)).dropDuplicates(["_key", "_hash"])
+    once = left.where("_again is null").select(*documents.columns)
+    return once.unionByName(again.select(*documents.columns))
