@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, multiset, packing, pii, quality, rans, secrets, simhash, topk
+from tidemark.llm import html, multiset, packing, pieces, pii, quality, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,10 @@ def op8_personal_data(spark, folder):
 def op9_multiset_fingerprints(spark, folder):
     """Fingerprints of documents and edited documents, and how alike they are."""
     return multiset.fingerprints(table(spark, folder, "documents"))
+
+
+@_query
+def op10_sentencepiece(spark, folder):
+    """Ids of every text by the given model, and whether they decode to the text."""
+    model = pieces.load(pieces.default_model())
+    return pieces.encode(table(spark, folder, "documents"), model, keep_ids=False)
