@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import packing, quality, secrets, simhash
-from tidemark.llm.common import ship, stored, table
+from tidemark.llm.common import ship, stored, table, unused
 
 # No SQL engine fits the classifier or encodes the texts; tests compare with brute force.
 ORACLE_SQL = None
@@ -20,9 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents the classifier does not reject."""
     ship(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs.columns, "_quality")
     scored = quality.score(docs, model, docs.columns, name=name)
     return scored.where(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 

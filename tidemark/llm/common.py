@@ -56,6 +56,14 @@ def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4", copy=False).tobytes())
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that is not among the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_kind(vocabulary_size: int) -> str:
     """Numpy type that holds every id of a vocabulary, little-endian."""
     return "<u2" if vocabulary_size <= 1 << 16 else "<u4"

@@ -357,7 +357,7 @@ def render(page: str, cell_width: int = CELL_WIDTH) -> str:
 def extract(pages: DataFrame, html_column: str = "html", text_name: str = "text", cell_width: int = CELL_WIDTH) -> DataFrame:
     """All columns of the pages but the markup, and the rendered text."""
     kept = [c for c in pages.columns if c not in (html_column, text_name)]
-    rows = pages.select(*kept, F.col(html_column).alias(html_column))
+    rows = pages.select(*kept, html_column)
     schema = rows.select(*kept).schema.add(text_name, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_column
+from tidemark.llm.common import text_column, unused
 
 SAMPLE = 40_000
 BINS = 32
@@ -251,7 +251,7 @@ def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score(documents: DataFrame, model: QualityModel, columns: list[str], text: str = "text", name: str = "score") -> DataFrame:
     """These columns of the documents, and the score of each text."""
     kept = [c for c in columns if c != name]
-    rows = documents.select(*kept, F.col(text).alias("_text"))
+    rows = documents.select(*kept, F.col(text).alias(unused(kept, "_text")))
     schema = rows.select(*kept).schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored, unused
 
 # The forms, and the least number of characters.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -210,12 +210,16 @@ def redact(documents: DataFrame, id_column: str = "doc_id", text_column_name: st
     """
     found = scan(documents, id_column, text_column_name, **options)
     live = F.filter("spans", lambda s: s["live"])
-    marked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), live.alias("_live"))
-    marked = stored(marked.where(F.size("_live") > 0).dropDuplicates(["_id", "_hash"]), "live")
+    own_id, own_hash, own_spans = (unused(documents.columns, name) for name in ("_id", "_hash", "_live"))
+    marked = found.select(
+        F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), live.alias(own_spans)
+    )
+    marked = stored(marked.where(F.size(own_spans) > 0).dropDuplicates([own_id, own_hash]), "live")
     # One row: what would be sent to every task.
-    spans = marked.agg(F.sum(F.size("_live"))).first()[0] or 0
+    spans = marked.agg(F.sum(F.size(own_spans))).first()[0] or 0
     marked = F.broadcast(marked) if spans <= BROADCAST_SPANS else marked
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(text_column_name) == F.col("_hash"))
-    put = F.when(F.col("_live").isNotNull(), redacted(F.col(text_column_name), F.col("_live")))
+    same = F.col(id_column).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_column_name) == F.col(own_hash))
+    text = F.col(text_column_name)
+    put = F.when(F.col(own_spans).isNotNull(), redacted(text, F.col(own_spans))).otherwise(text)
     whole = documents.join(marked, same, "left")
-    return whole.withColumn(text_column_name, put.otherwise(F.col(text_column_name))).select(*documents.columns)
+    return whole.withColumn(text_column_name, put).select(*documents.columns)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_column
+from tidemark.llm.common import stored, text_column, unused
 from tidemark.llm.graph import components
 
 SEED = 42
@@ -239,21 +239,24 @@ def without_near_duplicates(
     text = F.coalesce(F.col(text_column_name), F.lit(""))
     unnamed = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     key = F.coalesce(F.col(id_column).cast("bigint"), unnamed)
-    keyed = documents.select(key.alias("_key"), text.alias("_text"))
-    groups = stored(near_duplicates(keyed, "_key", "_text", words, distance), "groups")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_key")).distinct()
-    gone = stored(gone.withColumn("_gone", F.lit(True)), "gone")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1")
-    repeated = stored(repeated.select(F.col("doc_id").alias("_key"), F.lit(True).alias("_again")), "repeated")
+    own, gone_name, again_name, hash_name = (
+        unused(documents.columns, name) for name in ("_key", "_gone", "_again", "_hash")
+    )
+    keyed = documents.select(key.alias("key"), text.alias("text"))
+    groups = stored(near_duplicates(keyed, "key", "text", words, distance), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    gone = stored(gone.withColumn(gone_name, F.lit(True)), "gone")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias(own), F.lit(True).alias(again_name)), "repeated")
 
     def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
         few = keys.count() <= BROADCAST_KEYS
-        return rows.join(F.broadcast(keys) if few else keys, "_key", "left")
+        return rows.join(F.broadcast(keys) if few else keys, own, "left")
 
-    left = marked(documents.withColumn("_key", key), gone).where("_gone is null").drop("_gone")
+    left = marked(documents.withColumn(own, key), gone).where(F.col(gone_name).isNull())
     if repeated.isEmpty():
         return left.select(*documents.columns)
     left = marked(left, repeated)
-    again = left.where("_again").withColumn("_hash", F.xxhash64(text)).dropDuplicates(["_key", "_hash"])
-    once = left.where("_again is null").select(*documents.columns)
+    again = left.where(F.col(again_name)).withColumn(hash_name, F.xxhash64(text)).dropDuplicates([own, hash_name])
+    once = left.where(F.col(again_name).isNull()).select(*documents.columns)
     return once.unionByName(again.select(*documents.columns))
