@@ -1,0 +1,249 @@
+"""Quality scores, multiset fingerprints, pieces and the pipeline."""
+
+import hashlib
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from conftest import FOLDER, ODD
+from hypothesis import given as drawn
+from hypothesis import settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from test_llm_near import fingerprint, groups
+
+from tidemark.llm import multiset, pieces, quality
+from tidemark.llm.queries import registered
+
+# --- quality ------------------------------------------------------------------
+
+
+def test_quality_of_documents_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = registered()["op6_quality_scores"](spark, folder).collect()
+    assert len(found) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    for r in found:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
+    judged = [(r["predicted"], labels[r["doc_id"]]) for r in found if r["held_out"] and r["doc_id"] in labels]
+    assert sum(p == q for p, q in judged) >= 0.95 * len(judged)
+
+
+def test_tables_learn_shapes_and_interactions():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(size=(6000, 4))
+    bump = (abs(x[:, 0] - 0.5) < 0.2).astype(float)
+    cross = ((x[:, 1] > 0.5) ^ (x[:, 2] > 0.5)).astype(float)
+    for target in (bump, cross):
+        model = quality.fit_tables(x[:4000], target[:4000])
+        assert ((model.scores(x[4000:]) > 0.5) == target[4000:]).mean() > 0.95
+    assert set(quality.fit_tables(x, cross).pairs[0]) == {1, 2}
+
+
+def test_labels_that_cannot_be_learned_from(spark, documents, nothing):
+    labels = spark.createDataFrame(
+        [(3, 1, 0), (3, 0, 0), (5, None, 0), (None, 1, 0), (7, 1, 0), (7, 1, 0)],
+        "doc_id bigint, quality int, toxic int",
+    )
+    for some in (labels, labels.where("false"), labels.where("doc_id = 7")):
+        model = quality.fit(documents, some)
+        scored = quality.score(documents, model, documents.columns)
+        assert scored.columns == [c for c in documents.columns if c != "score"] + ["score"]
+        scores = {r["score"] for r in scored.collect()}
+        assert scored.count() == len(ODD) and len(scores) == 1
+    assert quality.score(nothing, model, ["doc_id"]).count() == 0
+    assert quality.fit(nothing, labels).scores(np.zeros((1, len(quality.FEATURES))))[0] == 0.5
+
+
+def test_features_of_odd_texts():
+    for _, text in ODD:
+        numbers = quality.features(text or "")
+        assert len(numbers) == len(quality.FEATURES) and np.isfinite(numbers).all()
+
+
+# --- multisets ----------------------------------------------------------------
+
+
+def edited(rows):
+    """Expected (doc_id, n_chars, sha256 of the edited text) of rows with ids."""
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: -r[0])
+    found = set()
+    for (i, text), (_, other) in zip(rows, [*rows[1:], rows[0]]):
+        half = len(text) // 2
+        whole = text[: len(text) - half] + other[:half]
+        found.add((i, len(text), hashlib.sha256(whole.encode()).hexdigest()))
+    return found
+
+
+def test_fingerprints_of_given_documents(spark, given):
+    found = registered()["op9_multiset_fingerprints"](spark, FOLDER).collect()
+    assert {(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found} == edited([g[:2] for g in given])
+    texts = {i: t for i, t, _ in given}
+    assert len({r["fingerprint"] for r in found}) == len({texts[r["doc_id"]] for r in found})
+    assert len({(r["fingerprint"], texts[r["doc_id"]]) for r in found}) == len(set(texts.values()))
+    near = [r["near_edited"] for r in found if r["n_chars"] > 500]
+    far = [r["near_next"] for r in found if r["n_chars"] > 500]
+    assert np.mean(near) > 0.4 and np.mean(far) < 0.15
+    assert all(0 <= r[c] <= 1 for r in found for c in ("near_edited", "near_next"))
+
+
+@pytest.mark.parametrize("rows", [1, 4, 1024])
+def test_next_documents_over_ranges(spark, given, monkeypatch, rows):
+    monkeypatch.setattr(multiset, "ROWS_PER_RANGE", rows)
+    monkeypatch.setattr(multiset, "CELLS", 3)
+    some = [(i * i * i - 1000, f"text {i}. " * (i % 5)) for i, _, _ in given]
+    df = spark.createDataFrame(some, "doc_id bigint, text string").repartition(5)
+    found = multiset.fingerprints(df)
+    assert {(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found.collect()} == edited(some)
+
+
+def test_fingerprints_of_odd_documents(spark, documents, nothing):
+    found = multiset.fingerprints(documents).collect()
+    texts = Counter((i, len(t or "")) for i, t in ODD)
+    assert Counter((r["doc_id"], r["n_chars"]) for r in found) == texts
+    named = [(i, t) for i, t in ODD if i is not None and i > 3]
+    ours = {(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found if r["doc_id"] in {i for i, _ in named}}
+    # Followed by rows with ids of their own, so that there is one order.
+    assert ours - edited([*named, (3, dict(ODD)[3])]) == set()
+    prints = {r["doc_id"]: r["fingerprint"] for r in found}
+    assert prints[1] == prints[2] != prints[4]
+    assert multiset.fingerprints(nothing).count() == 0
+    alone = spark.createDataFrame([(1, "abcd")], "doc_id bigint, text string")
+    row = multiset.fingerprints(alone).first()
+    assert row["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and row["near_next"] == 1.0
+
+
+def test_vectors_add_up_in_any_order(spark):
+    rows = [("a b\nc d\ne f\nc d", "\ne f\nc d", "a b\nc d", "a b", "\nc d\ne f\nc d")]
+    df = spark.createDataFrame(rows, "whole string, end string, start string, one string, rest string")
+    for name in df.columns:
+        df = multiset.with_vector(df, name, f"v_{name}")
+    row = df.select(
+        F.col("v_whole"),
+        multiset.added(F.col("v_end"), F.col("v_start")).alias("sum"),
+        multiset.removed(F.col("v_whole"), F.col("v_one")).alias("less"),
+        F.col("v_rest"),
+        multiset.likeness(F.col("v_whole"), F.col("v_whole")).alias("same"),
+    ).first()
+    assert row["v_whole"] == row["sum"] and row["less"] == row["v_rest"] and row["same"] == 1.0
+
+
+# --- pieces -------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+
+
+_MODEL = []
+
+
+def model():
+    if not _MODEL:
+        _MODEL.append(pieces.load(pieces.default_model()))
+    return _MODEL[0]
+
+
+@settings(max_examples=80, deadline=None)
+@drawn(st.lists(st.text(alphabet=st.sampled_from("theraion.,' \n\t\x00é中🙂12'-A"), max_size=40), max_size=5))
+def test_ids_equal_the_library(texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    own = pieces.encoder(model())
+    flat, ends = own.encode(pa.array(texts, pa.large_string()))
+    found = [flat[s:e] for s, e in zip(ends, ends[1:])]
+    assert [f.tolist() for f in found] == library.encode(texts)
+    assert [own.decode(f) for f in found] == texts
+
+
+def test_pieces_of_given_documents(spark, given, library):
+    found = registered()["op10_sentencepiece"](spark, FOLDER).orderBy("doc_id").collect()
+    for row, (doc_id, text, _) in zip(found, given, strict=True):
+        ids = library.encode(text)
+        assert tuple(row) == (doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True)
+
+
+def test_pieces_of_odd_documents(documents, nothing, library):
+    encoded = pieces.encode(documents, model())
+    found = encoded.collect()
+    assert Counter((r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in found) == Counter(
+        (i, tuple(library.encode(t or ""))) for i, t in ODD
+    )
+    assert all(r["restored"] for r in found)
+    texts = pieces.decode(encoded, model()).collect()
+    assert Counter(map(tuple, texts)) == Counter((i, t or "") for i, t in ODD)
+    assert pieces.encode(nothing, model()).count() == 0
+
+
+def best_path(word, scores):
+    paths = [(0.0, [])]
+    for end in range(1, len(word) + 1):
+        found = [
+            (paths[start][0] + scores[word[start:end]], [*paths[start][1], word[start:end]])
+            for start in range(end)
+            if paths[start] and word[start:end] in scores
+        ]
+        paths.append(max(found) if found else None)
+    return paths[-1]
+
+
+def test_best_paths_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    table = {p: -float(rng.integers(1, 1000)) / 7 for p in "abcd"}
+    while len(table) < 40:
+        table["".join(rng.choice(list("abcd"), rng.integers(2, 5)))] = -float(rng.integers(1, 3000)) / 7
+    names = sorted(table)
+    words = sorted({"".join(rng.choice(list("abcd"), rng.integers(1, 14))) for _ in range(200)})
+    own = pieces.PieceEncoder(
+        pieces.PieceModel(tuple(names), tuple(range(40)), tuple(table[n] for n in names), (), 40, "unigram")
+    )
+    flat, counts = own._new_words(words)
+    rows = spark.createDataFrame([(n, i, table[n]) for i, n in enumerate(names)], "piece string, id int, score double")
+    df = spark.createDataFrame([(w,) for w in [*words, "", "abx", words[0]]], "word string")
+    found = {r["word"]: r for r in pieces.lattice_paths(df, rows, 4).collect()}
+    assert found.keys() == {*words, "abx"} and found["abx"]["ids"] is None
+    for word, ids in zip(words, np.split(flat, np.cumsum(counts)[:-1])):
+        score, path = best_path(word, table)
+        for numbers in (ids.tolist(), found[word]["ids"]):
+            assert "".join(names[n] for n in numbers) == word
+            assert sum(table[names[n]] for n in numbers) == pytest.approx(score)
+
+
+# --- pipeline -----------------------------------------------------------------
+
+
+def test_stages_of_the_pipeline(spark, given):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier", "SimHash near-dedup", "secret scans", "best-fit packing"
+    ]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    first = corpus_pipeline.quality_classifier(spark, docs, FOLDER)
+    kept = {r["doc_id"] for r in first.collect()}
+    assert first.schema == docs.schema
+    clean, junk = ({i for i, q in labels.items() if q == want} for want in (1, 0))
+    assert len(clean & kept) >= 0.95 * len(clean) and len(junk & kept) <= 0.2 * len(junk)
+    second = corpus_pipeline.simhash_near_dedup(spark, docs, FOLDER)
+    low = groups([fingerprint(t) for _, t, _ in given])
+    assert sorted(r["doc_id"] for r in second.collect()) == [g[0] for i, g in enumerate(given) if low[i] == i]
+    third = corpus_pipeline.secret_scans(spark, docs, FOLDER)
+    texts = {i: t for i, t, _ in given}
+    changed = [r for r in third.collect() if r["text"] != texts[r["doc_id"]]]
+    assert third.count() == len(given) and all("[secret]" in r["text"] and len(r["text"]) == r["n_chars"] for r in changed)
+    whole = corpus_pipeline.run(spark, FOLDER)
+    assert {r["doc_id"] for r in whole.select("doc_id").distinct().collect()} <= kept
+
+
+def test_pipeline_over_odd_documents(spark, documents, nothing, tmp_path):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (documents, nothing):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == documents.columns
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= 0

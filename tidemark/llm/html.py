@@ -42,6 +42,7 @@ BLOCKS = SPACED | frozenset(
     "address article aside body center details dialog dd div dt fieldset figcaption footer form header hgroup "
     "html legend li main menu nav option optgroup search section summary tr caption".split()
 )
+IN_HEAD = frozenset("base link meta title style script noscript template head".split())
 # A start tag closes these open elements, looking no further than the scope.
 CLOSES = {
     **{tag: ({"p"}, {"button", "table", "td", "th", "caption"}) for tag in BLOCKS - {"li", "dd", "dt", "tr", "option"}},
@@ -89,11 +90,13 @@ def tree(page: str) -> Node:
     at, end = 0, len(page)
     while at < end:
         match = _MARKUP.search(page, at)
+        text = unescape(page[at : match.start() if match else end])
+        if text:
+            if stack.top.tag == "head" and text.strip():
+                stack.cut(len(stack.nodes) - 1)
+            stack.top.children.append(text)
         if match is None:
-            stack.top.children.append(unescape(page[at:]))
             break
-        if match.start() > at:
-            stack.top.children.append(unescape(page[at : match.start()]))
         at = match.end()
         tag = (match[2] or "").lower()
         if not tag:
@@ -143,6 +146,8 @@ class _Stack:
 
 def _make_room(stack: _Stack, tag: str) -> None:
     """Ends what a start tag implies the end of, and opens what it implies the start of."""
+    if stack.top.tag == "head" and tag not in IN_HEAD:
+        stack.cut(len(stack.nodes) - 1)
     ends, scope = CLOSES.get(tag, ((), ()))
     wanted = sum(stack.open[t] for t in ends)
     depth = len(stack.nodes) - 1
@@ -242,7 +247,7 @@ def _concealed(node: Node) -> bool:
     if node.tag in HIDDEN:
         return True
     if not node.attributes:
-        return False
+        return node.tag == "dialog"
     found = attributes(node.attributes)
     if "hidden" in found and found["hidden"].lower() != "until-found":
         return True

@@ -439,12 +439,13 @@ def lattice_paths(words: DataFrame, pieces: DataFrame, longest: int) -> DataFram
     cut = cut.withColumn("piece", F.substring("word", F.col("start"), F.col("size")))
     edges = cut.join(F.broadcast(pieces.select("piece", "id", "score")), "piece")
     after = (F.col("start") + F.col("size") - 1).alias("after")
-    lattice = edges.groupBy("word").agg(
-        F.sort_array(F.collect_list(F.struct(after, F.col("start"), F.col("id"), F.col("score").cast("double")))).alias("edges")
-    )
+    score = F.col("score").cast("double").alias("score")
+    lattice = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct(after, "start", "id", score))).alias("edges"))
     path = "struct<score:double,ids:array<bigint>>"
-    # Paths by the character they end after, from none on; NULL where none ends.
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("ids")).cast(path))
+    # Paths by the character they end after, from none on; NULL where none ends, which an
+    # array of the first path alone would not allow.
+    first = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<bigint>").alias("ids")).cast(path)
+    first = F.slice(F.array(first, F.lit(None).cast(path)), 1, 1)
 
     def step(paths, after):
         candidates = F.transform(
