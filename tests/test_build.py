@@ -14,6 +14,7 @@ from tidemark.plans.build import (
     raw_state,
     take_raw_snapshots,
 )
+from tidemark.plans.build import history as stored_history
 from tidemark.plans.build import test_results as check
 from tidemark.plans.analyses import mau_by_region_and_month
 from tidemark.sources.tables import read_table
@@ -54,6 +55,11 @@ def countries(spark):
     )
 
 
+def snapshots_of(spark, warehouse):
+    users = read_table(spark, warehouse.path("analytics", "dim_users"))
+    return stored_history(warehouse, "analytics", "dim_users_snapshots", users, record=True)
+
+
 def test_two_days(spark, tmp_path, countries):
     warehouse = Warehouse(str(tmp_path))
 
@@ -106,7 +112,7 @@ def test_two_days(spark, tmp_path, countries):
         (second, "post", 0, 0, 1),
         (second, "user", 0, 1, 1),
     ]
-    raw_history = read_table(spark, warehouse.path("raw_history", "user"))
+    raw_history = stored_history(warehouse, "raw_history", "user", raw_state(spark, warehouse, "user"))
     span = [F.col(f"dbt_valid_{c}").cast("string") for c in ("from", "to")]
     open_end = "9999-12-31 00:00:00"
     assert rows(raw_history, "user_id", "country_code", *span) == [
@@ -125,7 +131,7 @@ def test_two_days(spark, tmp_path, countries):
         ("u", "Europe", 0, 2, 1, 3),
         ("w", "Unknown", 0, 1, 0, 0),
     ]
-    history = read_table(spark, warehouse.path("analytics", "dim_users_snapshots"))
+    history = snapshots_of(spark, warehouse)
     midnight = "2100-01-03 00:00:00"
     assert rows(history, "user_id", "region", *span, "dbt_is_deleted") == [
         ("u", "Africa", time(1), time(2), "False"),
@@ -173,7 +179,7 @@ def test_refresh_starts_over(spark, tmp_path, countries):
     assert warehouse.stg_events.read(spark).count() == 1
     build(spark, warehouse, *raw, events.unionAll(late), countries, at(time(4)), refresh=True)
     assert warehouse.stg_events.read(spark).count() == 2
-    history = read_table(spark, warehouse.path("analytics", "dim_users_snapshots"))
+    history = snapshots_of(spark, warehouse)
     assert history.count() == 1
     failed = check(spark, warehouse, *raw, events.unionAll(late)).where("failures > 0")
     assert failed.isEmpty()

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 CHANGE_TYPE = "change_type"
 CHANGED_AT = "changed_at"
 SET_COLUMNS = "set_columns"
+# Optional: decides between changes at the same time, the highest one counts.
+CHANGE_ID = "change_id"
 CREATED_AT = "created_at"
 APPLIED = "applied"
 
@@ -22,17 +24,22 @@ def _net_changes(changes: DataFrame, key: str, attributes: list[str]) -> DataFra
     """
     kind, at = F.col(CHANGE_TYPE), F.col(CHANGED_AT)
     is_update, is_insert = kind == "update", kind == "insert"
+    # Without a change id, or for equal ones, the values decide: the outcome never
+    # depends on the order rows are read in.
+    ids = [CHANGE_ID] if CHANGE_ID in changes.columns else []
 
     def last_set(name: str) -> Column:
         applies = is_update & F.array_contains(SET_COLUMNS, name)
-        return F.max_by(F.struct(F.col(name).alias("value")), F.when(applies, at))
+        return F.max_by(
+            F.struct(F.col(name).alias("value")), F.when(applies, F.struct(at, *ids, name))
+        )
 
     return changes.groupBy(F.col(key).alias("_key")).agg(
         F.max(F.when(kind == "delete", at)).alias("_deleted_at"),
         F.max(F.when(is_update, at)).alias("_updated_at"),
         F.max_by(
             F.struct(F.col(CREATED_AT), at.alias("updated_at"), *attributes),
-            F.when(is_insert, at),
+            F.when(is_insert, F.struct(at, *ids, CREATED_AT, *attributes)),
         ).alias("_insert"),
         *[last_set(name).alias(f"_set_{name}") for name in attributes],
     )
@@ -92,7 +99,7 @@ def audit_row(merged: DataFrame, table_name: str, ingest_date: Column, now: Colu
     """One audit row with the rows really inserted, updated and deleted."""
 
     def rows(kind: str) -> Column:
-        return F.count_if(F.col(APPLIED) == kind).cast("int").alias(f"rows_{kind}")
+        return F.count_if(F.col(APPLIED) == kind).alias(f"rows_{kind}")
 
     return merged.agg(rows("inserted"), rows("updated"), rows("deleted")).select(
         ingest_date.alias("ingest_date"),

@@ -11,9 +11,11 @@ same table as doing it once.
 from __future__ import annotations
 
 import datetime as dt
+import operator
 from collections.abc import Callable, Container, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,7 +158,16 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
             others = table.read(spark).where(~_on(table.day, days))
             holding = others.join(batch_keys, keys, "left_semi")
             shrinking = _listed(holding.select(table.day))
-        kept = table.read_days(spark, days | shrinking).join(batch_keys, keys, "left_anti")
+        before = table.read_days(spark, days | shrinking)
+        kept = before.join(batch_keys, keys, "left_anti")
+        without = reduce(operator.or_, [F.col(key).isNull() for key in keys])
+        if not batch.where(without).isEmpty():
+            # A row without its key is known by all it holds, so a batch that comes
+            # again does not double it.
+            names = {name: f"_b_{name}" for name in batch.columns}
+            again = batch.where(without).withColumnsRenamed(names)
+            same = [F.col(name).eqNullSafe(F.col(new)) for name, new in names.items()]
+            kept = kept.join(again, reduce(operator.and_, same), "left_anti")
         content = kept.unionByName(batch)
         yield DayUpdate(content, frozenset(days | shrinking), frozenset(shrinking))
     finally:
@@ -182,13 +193,17 @@ def replace_days(update: DayUpdate, table: IncrementalTable) -> None:
         nothing.write.mode("overwrite").parquet(f"{table.path}/{folder}")
 
 
-def delete_insert(batch: DataFrame, table: IncrementalTable) -> None:
-    """Replace the rows whose key is in the batch, then add the batch."""
-    if table.exists(batch.sparkSession):
-        with merged_days(batch, table) as update:
-            replace_days(update, table)
-    else:
+def delete_insert(batch: DataFrame, table: IncrementalTable) -> frozenset[dt.date | None] | None:
+    """Replace the rows whose key is in the batch, then add the batch.
+
+    Returns the days that changed, None for all.
+    """
+    if not table.exists(batch.sparkSession):
         full_refresh(batch, table)
+        return None
+    with merged_days(batch, table) as update:
+        replace_days(update, table)
+    return update.days
 
 
 def _starting_point(spark: SparkSession, table: IncrementalTable, found: str | None) -> str | None:
@@ -211,17 +226,81 @@ def load_new_rows(
     prepare: Callable[[DataFrame], DataFrame],
     refresh: bool = False,
     lookback: dt.timedelta | None = None,
-) -> None:
-    """Append-after-watermark with replacement by key; all rows on the first run."""
+) -> frozenset[dt.date | None] | None:
+    """Append-after-watermark with replacement by key; all rows on the first run.
+
+    Returns the days that changed, None for all. They are also noted beside the table,
+    together with those of earlier runs, until :func:`days_followed` is called: what is
+    computed from the table can then follow it, even after a run that broke off.
+    """
     spark = source.sparkSession
     if refresh or not table.exists(spark):
         full_refresh(prepare(source), table)
-        return
+        return None
     found = high_watermark(spark, table, ts)
     point = _starting_point(spark, table, found.isoformat() if found else None)
     watermark = dt.datetime.fromisoformat(point) if point else None
-    delete_insert(prepare(newer_than(source, ts, watermark, lookback)), table)
+    before = changed_days(spark, table)
+    with merged_days(prepare(newer_than(source, ts, watermark, lookback)), table) as update:
+        changed = None if before is None else update.days | before
+        # Noted first: a day too many is computed for nothing, one too few is wrong.
+        _note_days(spark, table, changed)
+        replace_days(update, table)
     _completed(spark, table)
+    return changed
+
+
+def _note_days(
+    spark: SparkSession,
+    table: IncrementalTable,
+    days: frozenset[dt.date | None] | None,
+    name: str = "_changed",
+) -> None:
+    rows = [("all", None)] if days is None else [("day", d) for d in days]
+    note = spark.createDataFrame(rows, "what string, day date")
+    note.write.mode("overwrite").parquet(f"{table.path}/{name}")
+
+
+def changed_days(
+    spark: SparkSession, table: IncrementalTable
+) -> frozenset[dt.date | None] | None:
+    """The days that changed since they were last followed, None for all.
+
+    A full load wipes out all notes, so a table without any is followed as a whole.
+    """
+    note = f"{table.path}/_changed"
+    if not paths.exists(spark, f"{note}/_SUCCESS"):
+        followed = paths.exists(spark, f"{table.path}/_followed/_SUCCESS")
+        return frozenset() if followed else None
+    # At most one row per calendar day.
+    rows = spark.read.parquet(note).collect()
+    return None if any(r["what"] == "all" for r in rows) else frozenset(r["day"] for r in rows)
+
+
+def days_followed(spark: SparkSession, table: IncrementalTable) -> None:
+    """Everything computed from the table is up to date."""
+    _note_days(spark, table, frozenset(), "_followed")
+    paths.remove(spark, f"{table.path}/_changed")
+
+
+def recompute_days(
+    source: DataFrame,
+    table: IncrementalTable,
+    source_day: str,
+    aggregate: Callable[[DataFrame], DataFrame],
+    days: frozenset[dt.date | None] | None,
+) -> None:
+    """Aggregate these days again, None for all, and put the outcome in their place.
+
+    The outcome is all there is of these days, so nothing is compared with what they
+    held: keys that are NULL or gone need no treatment of their own.
+    """
+    spark = source.sparkSession
+    if days is None or not table.exists(spark):
+        full_refresh(aggregate(source), table)
+    elif days:
+        content = aggregate(source.where(_on(source_day, days)))
+        replace_days(DayUpdate(content, frozenset(days), frozenset(days)), table)
 
 
 def recompute_recent_days(
@@ -239,5 +318,15 @@ def recompute_recent_days(
     found = latest_day(spark, table)
     point = _starting_point(spark, table, found.isoformat() if found else None)
     last_day = dt.date.fromisoformat(point) if point else None
-    delete_insert(aggregate(since_day(source, source_day, last_day)), table)
+    # The days it holds and those the source has now.
+    days = _listed(since_day(source, source_day, last_day).select(source_day))
+    held = partition_days_since(spark, table, last_day)
+    recompute_days(source, table, source_day, aggregate, frozenset(days | held))
     _completed(spark, table)
+
+
+def partition_days_since(
+    spark: SparkSession, table: IncrementalTable, day: dt.date | None
+) -> set[dt.date | None]:
+    present = paths.partition_days(spark, table.path, table.day)
+    return {d for d in present if day is None or (d is not None and d >= day)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.attributes import version_id
 from tidemark.schemas import (
@@ -37,6 +38,11 @@ def _version(
     return F.struct(*columns)
 
 
+def _first_opens(changed_at: Column, initial: Column | None) -> Column:
+    """Where a key's first version begins: never after its first change."""
+    return changed_at if initial is None else F.least(changed_at, initial)
+
+
 def first_snapshot(
     source: DataFrame,
     key: str,
@@ -50,7 +56,7 @@ def first_snapshot(
     as the creation time, so that events before the first update find a version.
     """
     changed_at = F.col(updated_at)
-    opens = changed_at if initial_valid_from is None else F.col(initial_valid_from)
+    opens = _first_opens(changed_at, initial_valid_from and F.col(initial_valid_from))
     attributes = [F.col(name) for name in source.columns]
     flag = "False" if hard_deletes == _RECORD else None
     return source.select(
@@ -58,6 +64,15 @@ def first_snapshot(
     )
 
 
+def history_schema(source: DataFrame, record: bool = False) -> T.StructType:
+    """The columns of the history of ``source``, with or without deletion records."""
+    text, time = T.StringType(), T.TimestampNTZType()
+    names = {SCD_ID: text, UPDATED_AT: time, VALID_FROM: time, VALID_TO: time}
+    if record:
+        names[IS_DELETED] = text
+    return T.StructType([*source.schema.fields, *(T.StructField(n, k) for n, k in names.items())])
+
+
 def snapshot_run(
     history: DataFrame | None,
     source: DataFrame,
@@ -77,8 +92,9 @@ def snapshot_run(
     follows that record, beginning at ``updated_at`` or, if that lies before the
     deletion, at ``run_ts``, so versions never overlap.
 
-    Closed versions are passed on without a shuffle. Open versions and source
-    hold one row per key each and meet in a single full outer join.
+    Closed versions are passed on without a shuffle; a history that is stored run by
+    run hands in its open versions only. Open versions and source hold one row per key
+    each and meet in a single full outer join.
     """
     if hard_deletes not in (_IGNORE, _RECORD):
         raise ValueError(f"unknown hard_deletes: {hard_deletes}")
@@ -98,14 +114,19 @@ def snapshot_run(
     is_new, is_gone = F.col("old").isNull(), F.col("new").isNull()
     was_deleted = F.col(f"old.{IS_DELETED}").eqNullSafe("True") if record else F.lit(False)
     is_back = ~is_new & ~is_gone & was_deleted
-    is_changed = ~is_new & ~is_gone & ~was_deleted & (changed_at > F.col(f"old.{VALID_FROM}"))
+    # A first version may begin before its change, and one after a deletion later, at
+    # the run that saw it; neither is a reason to open another.
+    last_seen = F.greatest(f"old.{UPDATED_AT}", f"old.{VALID_FROM}")
+    is_changed = ~is_new & ~is_gone & ~was_deleted & (changed_at > last_seen)
     goes = is_gone & ~was_deleted if record else F.lit(False)
 
     from_source = [F.col(f"new.{name}").alias(name) for name in source.columns]
     from_old = [F.col(f"old.{name}").alias(name) for name in source.columns]
     flag = "False" if record else None
     new_key, old_key = F.col(f"new.{key}"), F.col(f"old.{key}")
-    first_opens = changed_at if initial_valid_from is None else F.col(f"new.{initial_valid_from}")
+    first_opens = _first_opens(
+        changed_at, initial_valid_from and F.col(f"new.{initial_valid_from}")
+    )
     opens = F.when(is_new, first_opens).otherwise(changed_at)
     if record:
         late = is_back & (changed_at <= F.col(f"old.{VALID_FROM}"))

@@ -34,17 +34,19 @@ def fill_daily_gaps(daily: DataFrame, key: str, day: str, metrics: list[str]) ->
     """One row for each day between a key's first and last, zeros where it had none.
 
     Each daily row produces the empty days up to the key's next one, so no spine
-    has to be crossed with the keys. The window sorts at most one row per day.
+    has to be crossed with the keys. The window sorts at most one row per day. Rows
+    without a day stay as they are.
     """
-    following = F.lead(day).over(Window.partitionBy(key).orderBy(day))
+    # NULLs first, so that no dated row is followed by one.
+    following = F.lead(day).over(Window.partitionBy(key).orderBy(F.asc_nulls_first(day)))
     until = F.date_sub(F.coalesce(following, F.date_add(day, 1)), 1)
-    days = F.explode(F.sequence(F.col(day), F.col("_until"), F.expr(_ONE_DAY)))
+    days = F.explode_outer(F.sequence(F.col(day), F.col("_until"), F.expr(_ONE_DAY)))
     filled = daily.withColumn("_until", until).withColumn("_day", days)
     return filled.select(
         F.col("_day").alias(day),
         key,
         *[
-            F.when(F.col("_day") == F.col(day), F.col(name)).otherwise(F.lit(0)).alias(name)
+            F.when(F.col("_day").eqNullSafe(F.col(day)), F.col(name)).otherwise(F.lit(0)).alias(name)
             for name in metrics
         ],
     )

@@ -15,18 +15,28 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import APPLIED, audit_row, merge_changes, next_job_date
 from tidemark.operators.incremental import (
     IncrementalTable,
+    days_followed,
     load_new_rows,
-    recompute_recent_days,
+    recompute_days,
 )
 from tidemark.operators.quality import SUITE, run_tests
-from tidemark.operators.snapshots import snapshot_run
+from tidemark.operators.snapshots import history_schema, snapshot_run
 from tidemark.plans.dimensions import dim_posts, dim_users, fct_events
 from tidemark.plans.intermediate import int_events, int_posts, int_users
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events, stg_posts, stg_users
 from tidemark.schemas import AUDIT, RAW, timestamp
 from tidemark.sources.paths import partition_days
-from tidemark.sources.tables import publish_view, read_table, replace_partitions, write_table
+from tidemark.sources.tables import (
+    drop_old_open_versions,
+    drop_old_versions,
+    publish_view,
+    read_history,
+    read_table,
+    replace_partitions,
+    write_history,
+    write_table,
+)
 
 ATTRIBUTES = {
     "user": ["first_name", "last_name", "country_code", "favorite_color"],
@@ -130,12 +140,25 @@ def take_raw_snapshots(spark: SparkSession, warehouse: Warehouse) -> None:
 
     def snapshot(table: str, key: str) -> None:
         path = warehouse.path("raw_history", table)
-        source = raw_state(spark, warehouse, table)
-        write_table(snapshot_run(read_table(spark, path), source, key, "updated_at"), path)
+        keep_history(raw_state(spark, warehouse, table), path, key)
 
     _together(spark, partial(snapshot, "user", "user_id"), partial(snapshot, "post", "post_id"))
 
 
+def keep_history(source: DataFrame, path: str, key: str, **options) -> None:
+    """One snapshot run over a stored history: reads and writes open versions only."""
+    spark, record = source.sparkSession, options.get("hard_deletes") == "new_record"
+    open_versions = read_history(spark, path, history_schema(source, record), only_open=True)
+    write_history(snapshot_run(open_versions, source, key, "updated_at", **options), path)
+    drop_old_open_versions(spark, path)
+
+
+def history(warehouse: Warehouse, layer: str, name: str, source: DataFrame, record: bool = False) -> DataFrame | None:
+    """All versions of a stored history of rows like ``source``."""
+    path = warehouse.path(layer, name)
+    return read_history(source.sparkSession, path, history_schema(source, record))
+
+
 def build(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -145,24 +168,27 @@ def build(
     countries: DataFrame,
     run_ts: dt.datetime,
     refresh: bool = False,
+    lookback: dt.timedelta | None = None,
 ) -> None:
     """Build every layer. ``run_ts`` is the time a vanished row counts as deleted.
 
     ``refresh`` builds the incremental tables from nothing. Histories go on even
-    then: what the tables once were cannot be found out again.
+    then: what the tables once were cannot be found out again. ``lookback`` picks up
+    late events; the daily tables follow every day that changed.
     """
-    load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh)
+    days = load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh, lookback)
     events = int_events(warehouse.stg_events.read(spark))
     _together(
         spark,
         *(
-            partial(recompute_recent_days, events, table, "partition_date", aggregate, refresh)
+            partial(recompute_days, events, table, "partition_date", aggregate, days)
             for table, aggregate in (
                 (warehouse.agg_post_daily, agg_post_metrics_daily),
                 (warehouse.agg_user_daily, agg_user_metrics_daily),
             )
         ),
     )
+    days_followed(spark, warehouse.stg_events)
 
     analytics = {name: warehouse.path("analytics", name) for name in ("dim_posts", "dim_users")}
     users = int_users(stg_users(user), countries)
@@ -177,15 +203,14 @@ def build(
     at = timestamp(run_ts.isoformat(sep=" "))
 
     def snapshot(name: str, key: str) -> None:
-        path = warehouse.path("analytics", f"{name}_snapshots")
-        history, source = read_table(spark, path), read_table(spark, analytics[name])
-        write_table(
-            snapshot_run(history, source, key, "updated_at", at, hard_deletes="new_record"), path
-        )
+        source, path = read_table(spark, analytics[name]), warehouse.path("analytics", f"{name}_snapshots")
+        keep_history(source, path, key, run_ts=at, hard_deletes="new_record")
 
     _together(
         spark, partial(snapshot, "dim_users", "user_id"), partial(snapshot, "dim_posts", "post_id")
     )
+    for path in analytics.values():
+        drop_old_versions(spark, path)
 
 
 def publish_views(
@@ -204,8 +229,10 @@ def publish_views(
         "agg_user_metrics_daily": warehouse.agg_user_daily.read(spark),
     }
     models["int_posts"] = int_posts(posts, models["int_users"])
-    for name in ("dim_users", "dim_posts", "dim_users_snapshots", "dim_posts_snapshots"):
+    for name in ("dim_users", "dim_posts"):
         models[name] = read_table(spark, warehouse.path("analytics", name))
+        snapshots = f"{name}_snapshots"
+        models[snapshots] = history(warehouse, "analytics", snapshots, models[name], record=True)
     for name, model in models.items():
         publish_view(model, name)
 

@@ -87,10 +87,16 @@ def creator_daily(agg_post: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def without_repeated_likes(events: DataFrame) -> DataFrame:
-    """Keeps a user's first like of a post and drops later ones; views stay."""
-    likes = events.where(F.col("is_like") == 1)
-    first = first_per_group(likes, ["user_id", "post_id"], ["created_at", "event_id"])
-    return events.where(F.col("is_like") == 0).unionByName(first)
+    """Keeps a user's first like of a post and drops later ones; views stay.
+
+    Likes without a user or a post repeat nothing that is known, and stay as well.
+    """
+    known = F.col("user_id").isNotNull() & F.col("post_id").isNotNull()
+    is_like = F.coalesce(F.col("is_like") == 1, F.lit(False)) & known
+    first = first_per_group(
+        events.where(is_like), ["user_id", "post_id"], ["created_at", "event_id"]
+    )
+    return events.where(~is_like).unionByName(first)
 
 
 def with_day_end(daily: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from tidemark.registry.queries import (
     ACTIVE_DAYS,
     INGEST_DATE,
@@ -11,9 +13,10 @@ from tidemark.registry.queries import (
     SECOND_RUN,
     YEAR,
 )
-from tidemark.sources.adapter import CREATORS, SUPPLIER_USERS_FROM
+from tidemark.sources.adapter import SUPPLIER_USERS_FROM
 
 GAP = "INTERVAL 30 MINUTE"
+NEXT_DATE = INGEST_DATE + dt.timedelta(days=1)
 
 
 def _ts(expression: str) -> str:
@@ -32,7 +35,7 @@ CTE = {
                CASE event_type WHEN 'purchase' THEN 'like' ELSE event_type END AS event_type,
                CAST(CASE event_type WHEN 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS is_like,
                CAST(ts AS DATE) AS partition_date
-        FROM events WHERE event_type IN ('view', 'purchase')""",
+        FROM events""",
     "usr": """
         SELECT c_custkey AS user_id, split_part(c_name, '#', 1) AS first_name,
                split_part(c_name, '#', 2) AS last_name,
@@ -45,8 +48,9 @@ CTE = {
                CAST(c_nationkey AS VARCHAR) AS country_code,
                nullif(c_mktsegment, 'MACHINERY') AS favorite_color
         FROM customer""",
-    "post": f"""
-        SELECT p_partkey AS post_id, p_partkey % {CREATORS} AS user_id, p_name AS post_text,
+    "post": """
+        SELECT p_partkey AS post_id,
+               p_partkey % (SELECT count(*) FROM customer) AS user_id, p_name AS post_text,
                TIMESTAMP '2024-01-01' + to_days(CAST(p_partkey % 30 AS INTEGER))
                    + to_hours(p_size) AS created_at,
                CASE WHEN p_size > 45 THEN TIMESTAMP '2024-01-01'
@@ -110,16 +114,16 @@ CTE = {
     "presence": """
         SELECT user_id, ts AS updated_at,
                CAST(json_extract_string(props, '$.k') AS BIGINT) AS score,
-               event_type = 'signup' AS present
-        FROM events WHERE event_type = 'signup' OR (event_type = 'error' AND value > 20)""",
+               event_type = 'signup' AS present, event_id AS change_id
+        FROM events WHERE event_type IN ('signup', 'error')""",
     "run": f"""
         SELECT unnest(generate_series(first + INTERVAL {RUN_DAYS} DAY,
                       last + INTERVAL {RUN_DAYS} DAY, INTERVAL {RUN_DAYS} DAY)) AS run_ts
         FROM (SELECT CAST(CAST(min(updated_at) AS DATE) AS TIMESTAMP) AS first,
                      CAST(CAST(max(updated_at) AS DATE) AS TIMESTAMP) AS last FROM presence)""",
     "state": """
-        SELECT run_ts, user_id, arg_max(present, updated_at) AS present,
-               arg_max(score, updated_at) AS score, max(updated_at) AS updated_at
+        SELECT run_ts, user_id, arg_max(present, (updated_at, change_id)) AS present,
+               arg_max(score, (updated_at, change_id)) AS score, max(updated_at) AS updated_at
         FROM run JOIN presence ON updated_at < run_ts GROUP BY run_ts, user_id""",
     "middle": """
         SELECT min(partition_date)
@@ -137,13 +141,15 @@ CTE = {
                CASE WHEN live AND d.at IS NOT NULL THEN 'deleted'
                     WHEN live AND s.at IS NOT NULL THEN 'updated' END AS applied
         FROM (SELECT *, deleted_at IS NULL AS live FROM usr) u
-        LEFT JOIN (SELECT o_custkey AS user_id, max(o_orderdate) AS at FROM orders
-                   WHERE o_totalprice > 480000 GROUP BY 1) d USING (user_id)
+        LEFT JOIN (SELECT o_custkey AS user_id, max(o_orderdate) AS at FROM orders GROUP BY 1
+                   HAVING arg_max(o_orderstatus, (o_orderdate, o_orderkey)) = 'F') d
+            USING (user_id)
         LEFT JOIN (
-            SELECT user_id, max(ts) AS at, arg_max(k, ts) AS k,
+            SELECT user_id, max(ts) AS at, arg_max(k, (ts, event_id)) AS k,
                    max(ts) FILTER (value > 10) AS color_at,
-                   CASE WHEN arg_max(k, ts) FILTER (value > 10) >= 10
-                        THEN 'COLOR_' || CAST(arg_max(k, ts) FILTER (value > 10) AS VARCHAR)
+                   CASE WHEN arg_max(k, (ts, event_id)) FILTER (value > 10) >= 10
+                        THEN 'COLOR_' || CAST(
+                            arg_max(k, (ts, event_id)) FILTER (value > 10) AS VARCHAR)
                    END AS color
             FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
                   WHERE event_type = 'signup') GROUP BY user_id) s USING (user_id)
@@ -290,6 +296,116 @@ def _suite() -> str:
     return _with(_DIMS, " UNION ALL ".join(parts))
 
 
+# The batch with its times cut to days, so that many changes are at the same time.
+_TIED = _with(
+    "usr",
+    f"""
+    , gone AS (SELECT o_custkey AS user_id, max(date_trunc('day', o_orderdate)) AS at FROM orders
+               GROUP BY 1 HAVING arg_max(o_orderstatus, (o_orderdate, o_orderkey)) = 'F'),
+    signup AS (SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_id, value,
+                      CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+               FROM events WHERE event_type = 'signup'),
+    latest AS (
+        SELECT user_id, max(day) AS at, arg_max(k, (day, event_id)) AS k,
+               count(*) FILTER (value > 10) > 0 AS colored,
+               arg_max(k, (day, event_id)) FILTER (value > 10) AS color FROM signup GROUP BY 1)
+    SELECT u.user_id,
+           {_ts("""CASE WHEN u.deleted_at IS NULL AND g.at IS NOT NULL THEN g.at
+                   WHEN u.deleted_at IS NULL AND l.at IS NOT NULL THEN l.at
+                   ELSE u.updated_at END""")} AS updated_at,
+           CASE WHEN u.deleted_at IS NULL AND g.at IS NULL AND l.at IS NOT NULL
+                THEN CAST(l.k % 25 AS VARCHAR) ELSE u.country_code END AS country_code,
+           CASE WHEN u.deleted_at IS NULL AND g.at IS NULL AND l.colored
+                THEN CASE WHEN l.color >= 10 THEN 'COLOR_' || CAST(l.color AS VARCHAR) END
+                ELSE u.favorite_color END AS favorite_color
+    FROM usr u LEFT JOIN gone g USING (user_id) LEFT JOIN latest l USING (user_id)
+    UNION ALL
+    SELECT s_suppkey + {SUPPLIER_USERS_FROM},
+           {_ts("date_trunc('day', TIMESTAMP '2024-01-01' + to_hours(s_suppkey % 500))")},
+           CAST(s_nationkey AS VARCHAR), NULL FROM supplier""",
+)
+
+# The declared tests, written out: (table, test, column), and how many fail.
+_RAW_NULLS = {
+    "user": ("user_id", "first_name", "last_name", "created_at", "country_code"),
+    "post": ("post_id", "user_id", "post_text", "created_at"),
+    "event": ("event_id", "user_id", "post_id", "created_at", "event_type"),
+    "stg_events": ("event_id",),
+    "dim_users": ("user_id", "country_code", "country", "region", "created_at", "updated_at"),
+    "dim_posts": (
+        "post_id", "creator_id", "creator_country_code", "creator_country", "creator_region",
+        "created_at", "updated_at",
+    ),
+    "fct_events": (
+        "event_id", "user_id", "post_id", "created_at", "event_type", "is_like", "partition_date",
+    ),
+}
+_RAW_KEYS = {
+    "user": "user_id", "post": "post_id", "event": "event_id", "stg_events": "event_id",
+    "dim_users": "user_id", "dim_posts": "post_id", "fct_events": "event_id",
+}
+
+
+def _faults() -> str:
+    """Failures of every declared test over faulty copies of the tables."""
+    parts = []
+    for name, columns in _RAW_NULLS.items():
+        for column in columns:
+            parts.append((name, "not_null", column, f"FROM bad_{name} WHERE {column} IS NULL"))
+    for name, key in _RAW_KEYS.items():
+        repeated = f"SELECT {key} FROM bad_{name} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+        parts.append((name, "unique", key, f"FROM ({repeated})"))
+    for name in ("event", "fct_events"):
+        others = f"FROM bad_{name} WHERE event_type NOT IN ('view', 'like')"
+        parts.append((name, "accepted_values", "event_type", others))
+    for name, key, parent in (("post", "user_id", "user"), ("event", "user_id", "user"), ("event", "post_id", "post")):
+        orphans = f"FROM bad_{name} WHERE {key} NOT IN (SELECT {key} FROM bad_{parent})"
+        parts.append((name, "relationships", key, orphans))
+    counts = " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{test}' AS test, '{column}' AS column_name,
+            count(*) AS failures {rows}"""
+        for name, test, column, rows in parts
+    )
+    return _with(
+        "event usr post",
+        f"""
+        , some_user AS (
+            SELECT * REPLACE (CASE WHEN user_id % 11 <> 0 THEN first_name END AS first_name,
+                              CASE WHEN user_id % 13 <> 0 THEN country_code END AS country_code)
+            FROM usr WHERE user_id % 7 <> 3),
+        bad_user AS (SELECT * FROM some_user UNION ALL
+                     SELECT * FROM some_user WHERE user_id % 5 = 0),
+        some_post AS (
+            SELECT * REPLACE (CASE WHEN post_id % 9 <> 0 THEN post_text END AS post_text)
+            FROM post WHERE post_id % 4 <> 1),
+        bad_post AS (SELECT * FROM some_post UNION ALL
+                     SELECT * REPLACE (CASE WHEN post_id % 9 <> 0 THEN post_text END AS post_text)
+                     FROM post WHERE post_id % 6 = 0),
+        bad_event AS (
+            SELECT * REPLACE (CASE WHEN event_id % 17 <> 0 THEN user_id END AS user_id) FROM event
+            UNION ALL SELECT * FROM event WHERE event_id % 8 = 0),
+        bad_stg_events AS (SELECT * FROM bad_event), bad_fct_events AS (SELECT * FROM bad_event),
+        place AS (SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name, r_name
+                  FROM nation JOIN region ON n_regionkey = r_regionkey),
+        bad_dim_users AS (
+            SELECT user_id, coalesce(country_code, 'Unknown') AS country_code,
+                   coalesce(n_name, 'Unknown') AS country, coalesce(r_name, 'Unknown') AS region,
+                   created_at, updated_at
+            FROM bad_user LEFT JOIN place ON code = country_code WHERE deleted_at IS NULL),
+        bad_dim_posts AS (
+            SELECT p.post_id, p.user_id AS creator_id, u.country_code AS creator_country_code,
+                   n_name AS creator_country, r_name AS creator_region, p.created_at,
+                   p.created_at AS updated_at
+            FROM bad_post p
+            LEFT JOIN (SELECT * FROM usr WHERE user_id % 7 <> 3) u ON p.user_id = u.user_id
+            LEFT JOIN place ON code = u.country_code WHERE p.deleted_at IS NULL)
+        {counts}""",
+    )
+
+
+_FAULTS = _faults()
+
+
 def sql() -> dict[str, str]:
     return {
         "stg_users": _with(
@@ -498,9 +614,9 @@ def sql() -> dict[str, str]:
         "audit_counts": _with(
             "usr merged",
             f"""SELECT '{INGEST_DATE}' AS ingest_date, 'user' AS table_name,
-                CAST(count(*) FILTER (applied = 'inserted') AS INTEGER) AS rows_inserted,
-                CAST(count(*) FILTER (applied = 'updated') AS INTEGER) AS rows_updated,
-                CAST(count(*) FILTER (applied = 'deleted') AS INTEGER) AS rows_deleted
+                count(*) FILTER (applied = 'inserted') AS rows_inserted,
+                count(*) FILTER (applied = 'updated') AS rows_updated,
+                count(*) FILTER (applied = 'deleted') AS rows_deleted
                 FROM merged""",
         ),
         "live_row_summary": _with(
@@ -558,8 +674,109 @@ def sql() -> dict[str, str]:
         "stream_sessions": _with(
             "event session",
             f"""SELECT user_id, {_ts("session_start")} AS session_start,
-                {_ts("session_end")} AS session_end, events FROM session
-                WHERE session_end + {GAP} <=
-                    (SELECT max(created_at) FROM event) - INTERVAL 1 HOUR""",
+                {_ts("session_end")} AS session_end, events FROM session""",
+        ),
+        "raw_post_snapshots": _with(
+            "post",
+            f"""SELECT post_id, post_text, {_INTERVAL} FROM (
+                SELECT post_id, post_text, created_at AS valid_from,
+                       CASE WHEN post_id % 5 = 0 THEN created_at + INTERVAL 1 DAY END AS valid_to
+                FROM post
+                UNION ALL
+                SELECT post_id, post_text || ' (edited)', created_at + INTERVAL 1 DAY, NULL
+                FROM post WHERE post_id % 5 = 0)""",
         ),
+        "dim_posts_snapshots": _with(
+            f"{_DIMS} middle",
+            f"""
+            , early AS (
+                SELECT post_id, CAST(sum(likes) AS BIGINT) AS likes,
+                       CAST(sum(views) AS BIGINT) AS views
+                FROM agg_post WHERE event_date <= (SELECT day FROM middle) GROUP BY post_id)
+            SELECT post_id, post_text, creator_region, likes, views, {_INTERVAL} FROM (
+                SELECT d.post_id, post_text, creator_region, coalesce(e.likes, 0) AS likes,
+                       coalesce(e.views, 0) AS views, created_at AS valid_from,
+                       CASE WHEN d.post_id % 5 = 0 THEN created_at + INTERVAL 1 DAY END AS valid_to
+                FROM dim_post d LEFT JOIN early e ON d.post_id = e.post_id
+                UNION ALL
+                SELECT post_id, post_text || ' (edited)', creator_region, likes, views,
+                       created_at + INTERVAL 1 DAY, NULL
+                FROM dim_post WHERE post_id % 5 = 0)""",
+        ),
+        "scd2_initial_runs": _with(
+            "usr",
+            f"""SELECT user_id, country_code,
+                md5(CAST(user_id AS VARCHAR) || '|' || CAST(updated_at AS VARCHAR)) AS dbt_scd_id,
+                {_ts("least(updated_at, created_at)")} AS valid_from,
+                CAST(NULL AS VARCHAR) AS valid_to, true AS is_current FROM usr""",
+        ),
+        "agg_user_daily_lookback": _AGG_USER,
+        "agg_user_daily_resent": _with(
+            "event",
+            f"""
+            , moved AS (
+                SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, post_id, is_like,
+                       CAST(CASE is_like WHEN 1 THEN created_at + INTERVAL 7 DAY
+                            ELSE created_at END AS DATE) AS event_date FROM event)
+            SELECT {_day("event_date")} AS event_date, user_id,
+                   count(DISTINCT CASE WHEN is_like = 1 THEN post_id END) AS likes_given,
+                   count(DISTINCT CASE WHEN is_like = 0 THEN post_id END) AS posts_viewed
+            FROM moved GROUP BY ALL""",
+        ),
+        "apply_tied_changes": _TIED,
+        "ingestion_audit": _with(
+            "event usr middle",
+            f"""
+            , early AS (SELECT count(*) AS n FROM event
+                        WHERE partition_date <= (SELECT day FROM middle)),
+            gone AS (SELECT o_custkey AS user_id FROM orders GROUP BY 1
+                     HAVING arg_max(o_orderstatus, (o_orderdate, o_orderkey)) = 'F')
+            SELECT '{INGEST_DATE}' AS ingest_date, 'user' AS table_name,
+                   count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+                   CAST(0 AS BIGINT) AS rows_deleted FROM usr
+            UNION ALL SELECT '{INGEST_DATE}', 'event', n, 0, 0 FROM early
+            UNION ALL SELECT '{NEXT_DATE}', 'event', (SELECT count(*) FROM event) - n, 0, 0
+            FROM early
+            UNION ALL SELECT '{NEXT_DATE}', 'user', (SELECT count(*) FROM supplier),
+                (SELECT count(*) FROM usr WHERE user_id NOT IN (SELECT user_id FROM gone)
+                 AND user_id IN (SELECT user_id FROM events WHERE event_type = 'signup')),
+                (SELECT count(*) FROM usr WHERE user_id IN (SELECT user_id FROM gone))""",
+        ),
+        "ingestion_job_date": f"""
+            SELECT strftime(DATE '{NEXT_DATE}' + 1, '%Y-%m-%d') AS job_date
+            FROM (SELECT count(*) FROM events)""",
+        "users_from_csv_lookup": _with(
+            "usr int_user",
+            f"""SELECT * EXCLUDE (created_at, updated_at, deleted_at), {_TIMES}, {_DELETED}
+                FROM int_user""",
+        ),
+        "views_by_sql": _with(
+            "event usr post int_user int_post",
+            f"""SELECT {_day("partition_date")} AS partition_date, event_type, creator_region,
+                count(*) AS n_events FROM event LEFT JOIN int_post USING (post_id)
+                GROUP BY ALL""",
+        ),
+        "gap_filled_without_days": _with(
+            "event agg_user",
+            f"""
+            , dated AS (SELECT * FROM agg_user WHERE posts_viewed <> 1)
+            SELECT {_day("s.d")} AS event_date, s.user_id,
+                   CAST(coalesce(likes_given, 0) AS BIGINT) AS likes_given,
+                   CAST(coalesce(posts_viewed, 0) AS BIGINT) AS posts_viewed
+            FROM (SELECT user_id, unnest(generate_series(min(event_date), max(event_date),
+                      INTERVAL 1 DAY)) AS d FROM dated GROUP BY user_id) s
+            LEFT JOIN dated a ON a.user_id = s.user_id AND a.event_date = s.d
+            UNION ALL
+            SELECT NULL, user_id, likes_given, posts_viewed FROM agg_user WHERE posts_viewed = 1""",
+        ),
+        "dedup_likes_of_unknown_users": _with(
+            "event",
+            """
+            , known AS (SELECT event_id, CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id,
+                               post_id, event_type, is_like, created_at FROM event)
+            SELECT event_id, user_id, post_id, event_type FROM known
+            QUALIFY is_like = 0 OR user_id IS NULL OR row_number() OVER (
+                PARTITION BY user_id, post_id, is_like ORDER BY created_at, event_id) = 1""",
+        ),
+        "dq_suite_with_faults": _FAULTS,
     }

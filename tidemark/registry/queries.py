@@ -19,7 +19,15 @@ from tidemark.operators.sampling import random_live_rows
 from tidemark.operators.sessions import viewer_sessions
 from tidemark.operators.skew import spread_left_join
 from tidemark.plans import analyses, dimensions, intermediate, metrics, staging
-from tidemark.plans.build import Warehouse, build
+from tidemark.plans.build import (
+    Warehouse,
+    build,
+    history,
+    ingest_day,
+    job_date,
+    keep_history,
+    publish_views,
+)
 from tidemark.schemas import (
     IS_DELETED,
     SCD_ID,
@@ -29,19 +37,20 @@ from tidemark.schemas import (
     open_end,
     timestamp,
 )
-from tidemark.session import ensure_checkpoint_dir, working_folder
+from tidemark.session import working_folder
 from tidemark.sources import adapter
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_countries, read_history, read_table, write_table
 from tidemark.streaming import events as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 YEAR = 2024
-RUN_DAYS = 8
+RUN_DAYS = 1
 ACTIVE_DAYS = 3
 SAMPLE_ROWS = 25
 SAMPLE_SEED = 7
+LOOKBACK = dt.timedelta(days=2)
 STREAM_DELAY = dt.timedelta(hours=1)
 INGEST_DATE = dt.date(2024, 2, 1)
 FIRST_RUN, SECOND_RUN = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
@@ -171,9 +180,10 @@ def daily_build(spark, folder):
 def daily_build_history(spark, folder):
     """History of the users after two builds, deletion records included."""
     warehouse = _two_builds(spark, folder)
-    history = read_table(spark, warehouse.path("analytics", "dim_users_snapshots"))
+    users = read_table(spark, warehouse.path("analytics", "dim_users"))
+    versions = history(warehouse, "analytics", "dim_users_snapshots", users, record=True)
     return _versions_out(
-        history, "user_id", "country", "region", F.col(IS_DELETED).alias("is_deleted")
+        versions, "user_id", "country", "region", F.col(IS_DELETED).alias("is_deleted")
     )
 
 
@@ -204,8 +214,60 @@ def raw_user_snapshots(spark, folder):
     before = adapter.users(spark, folder)
     after = _merged_users(spark, folder).drop(changes.APPLIED)
     first = snapshots.snapshot_run(None, before, "user_id", "updated_at")
-    history = snapshots.snapshot_run(first, after, "user_id", "updated_at")
-    return _versions_out(history, "user_id", "country_code", "favorite_color", "deleted_at")
+    versions = snapshots.snapshot_run(first, after, "user_id", "updated_at")
+    return _versions_out(versions, "user_id", "country_code", "favorite_color", "deleted_at")
+
+
+def _stored_runs(spark: SparkSession, key: str, *sources: DataFrame, **options) -> DataFrame:
+    """The history of snapshot runs over the source as it is each time."""
+    path = f"{working_folder(spark)}/history"
+    for source in sources:
+        keep_history(source, path, key, **options)
+    return read_history(spark, path, snapshots.history_schema(sources[0]))
+
+
+def _edited_posts(posts: DataFrame) -> DataFrame:
+    """Every fifth post a day later, with another text; the rest as they are."""
+    edited = F.col("post_id") % 5 == 0
+    later = F.col("updated_at") + F.expr("interval 1 day")
+    return posts.withColumns(
+        {
+            "post_text": F.when(edited, F.concat("post_text", F.lit(" (edited)"))).otherwise(F.col("post_text")),
+            "updated_at": F.when(edited, later).otherwise(F.col("updated_at")),
+        }
+    )
+
+
+@_query
+def raw_post_snapshots(spark, folder):
+    """History of the raw posts before and after an edit."""
+    posts = adapter.posts(spark, folder)
+    versions = _stored_runs(spark, "post_id", posts, _edited_posts(posts))
+    return _versions_out(versions, "post_id", "post_text")
+
+
+@_query
+def dim_posts_snapshots(spark, folder):
+    """History of the post dimension over two runs; metrics are as of the opening."""
+    posts, users = adapter.posts(spark, folder), int_users(spark, folder)
+    events, middle = stg_events(spark, folder), _middle_day(spark, folder)
+    early = metrics.agg_post_metrics_daily(events.where(F.col("partition_date") <= F.lit(middle)))
+    runs = [
+        dimensions.dim_posts(intermediate.int_posts(staging.stg_posts(state), users), daily)
+        for state, daily in ((posts, early), (_edited_posts(posts), agg_post_daily(spark, folder)))
+    ]
+    versions = _stored_runs(spark, "post_id", *runs)
+    return _versions_out(versions, "post_id", "post_text", "creator_region", "likes", "views")
+
+
+@_query
+def scd2_initial_runs(spark, folder):
+    """First versions begin at the creation; runs over an unchanged source add nothing."""
+    users = adapter.users(spark, folder).select("user_id", "country_code", "created_at", "updated_at")
+    versions = _stored_runs(
+        spark, "user_id", users, users, users, initial_valid_from="created_at"
+    )
+    return _versions_out(versions, "user_id", "country_code", SCD_ID)
 
 
 def _run_times(feed: DataFrame) -> Iterator[dt.datetime]:
@@ -219,32 +281,33 @@ def _run_times(feed: DataFrame) -> Iterator[dt.datetime]:
         yield dt.datetime.combine(day, dt.time())
 
 
-def _snapshot_runs(feed: DataFrame, order: list[str], live: str, **options) -> DataFrame:
-    """Snapshots of the state at each run time; ``live`` says which rows exist then."""
-    ensure_checkpoint_dir(feed.sparkSession)
-    history, state, seen_until = None, None, None
+def _snapshot_runs(feed: DataFrame, live: str, **options) -> DataFrame:
+    """Snapshots of the state at each run time; ``live`` says which rows exist then.
+
+    State and history are stored tables, so each run reads what the one before wrote:
+    the state, the open versions and the changes since.
+    """
+    spark, root = feed.sparkSession, working_folder(feed.sparkSession)
+    order, seen_until = ["updated_at", "change_id"], None
     for run in _run_times(feed):
         run_ts = timestamp(run.isoformat(sep=" "))
         new = feed.where(F.col("updated_at") < run_ts)
         if seen_until is not None:
-            new = state.unionByName(new.where(F.col("updated_at") >= seen_until))
-        # Each run continues from the one before; without a cut the plan would grow
-        # with the number of runs.
-        state = intervals.last_per_group(new, ["user_id"], order).checkpoint()
-        source = state.where(live).drop("present")
-        history = snapshots.snapshot_run(
-            history, source, "user_id", "updated_at", run_ts, **options
-        ).checkpoint()
+            new = new.where(F.col("updated_at") >= seen_until)
+            new = read_table(spark, f"{root}/state").unionByName(new)
+        write_table(intervals.last_per_group(new, ["user_id"], order), f"{root}/state")
+        source = read_table(spark, f"{root}/state").where(live).drop("present")
+        keep_history(source, f"{root}/history", "user_id", run_ts=run_ts, **options)
         seen_until = run_ts
-    return history
+    schema = snapshots.history_schema(source, options.get("hard_deletes") == "new_record")
+    return read_history(spark, f"{root}/history", schema)
 
 
 @_query
 def scd2_runs(spark, folder):
     """Snapshot after snapshot over the state at the end of each span of days."""
-    feed = adapter.user_changes(spark, folder)
-    history = _snapshot_runs(feed, ["updated_at", "change_id"], "true")
-    return _versions_out(history, "user_id", "region")
+    versions = _snapshot_runs(adapter.user_changes(spark, folder), "true")
+    return _versions_out(versions, "user_id", "region")
 
 
 @_query
@@ -253,22 +316,22 @@ def scd2_runs_bulk(spark, folder):
     feed = adapter.user_changes(spark, folder)
     first = feed.agg(F.to_date(F.min("updated_at"))).scalar()
     run = F.floor(F.date_diff(F.to_date("updated_at"), first) / RUN_DAYS)
-    history = intervals.history_from_runs(feed, "user_id", "updated_at", run, "change_id")
-    return _versions_out(history, "user_id", "region")
+    versions = intervals.history_from_runs(feed, "user_id", "updated_at", run, "change_id")
+    return _versions_out(versions, "user_id", "region")
 
 
 @_query
 def scd2_hard_deletes(spark, folder):
-    history = _snapshot_runs(
-        adapter.user_presence(spark, folder), ["updated_at"], "present", hard_deletes="new_record"
+    versions = _snapshot_runs(
+        adapter.user_presence(spark, folder), "present", hard_deletes="new_record"
     )
-    return _versions_out(history, "user_id", "score", F.col(IS_DELETED).alias("is_deleted"))
+    return _versions_out(versions, "user_id", "score", F.col(IS_DELETED).alias("is_deleted"))
 
 
 @_query
 def scd2_deletes_ignored(spark, folder):
-    history = _snapshot_runs(adapter.user_presence(spark, folder), ["updated_at"], "present")
-    return _versions_out(history, "user_id", "score")
+    versions = _snapshot_runs(adapter.user_presence(spark, folder), "present")
+    return _versions_out(versions, "user_id", "score")
 
 
 @_query
@@ -324,6 +387,14 @@ def daily_gap_filled(spark, folder):
     return spine.fill_daily_gaps(daily, "user_id", "event_date", ["likes_given", "posts_viewed"])
 
 
+@_query
+def gap_filled_without_days(spark, folder):
+    """Rows that lost their day stay as they are, next to the filled ones."""
+    daily = agg_user_daily(spark, folder)
+    lost = daily.withColumn("event_date", F.when(F.col("posts_viewed") != 1, F.col("event_date")))
+    return spine.fill_daily_gaps(lost, "user_id", "event_date", ["likes_given", "posts_viewed"])
+
+
 @_query
 def like_ratio(spark, folder):
     return metrics.with_like_ratio(
@@ -365,6 +436,13 @@ def dedup_likes(spark, folder):
     return kept.select("event_id", "user_id", "post_id", "event_type", "created_at")
 
 
+@_query
+def dedup_likes_of_unknown_users(spark, folder):
+    """Likes of unknown users repeat nothing."""
+    kept = metrics.without_repeated_likes(_without_some_users(fct_events(spark, folder)))
+    return kept.select("event_id", "user_id", "post_id", "event_type")
+
+
 @_query
 def post_length(spark, folder):
     posts = intermediate.with_post_length(int_posts(spark, folder))
@@ -448,6 +526,46 @@ def replaced_events(spark, folder):
     return table.read(spark)
 
 
+def _follow(spark: SparkSession, staged: IncrementalTable, daily: IncrementalTable, days) -> None:
+    """The daily user table after every changed day of the staged events."""
+    incremental.recompute_days(
+        staged.read(spark), daily, staged.day, metrics.agg_user_metrics_daily, days
+    )
+    incremental.days_followed(spark, staged)
+
+
+@_query
+def agg_user_daily_lookback(spark, folder):
+    """Some events arrive a day late; a lookback picks them up, and their days follow."""
+    raw, middle = adapter.with_arrival(adapter.events(spark, folder)), _middle_day(spark, folder)
+    root = working_folder(spark)
+    for delivered in (raw.where(F.col("arrival_date") <= F.lit(middle)), raw):
+        days = incremental.load_new_rows(
+            delivered, _staged(root), "created_at", staging.stg_events, lookback=LOOKBACK
+        )
+        _follow(spark, _staged(root), _daily(root, "user_id"), days)
+    return _daily(root, "user_id").read(spark)
+
+
+def _without_some_users(events: DataFrame) -> DataFrame:
+    return events.withColumn("user_id", F.when(F.col("user_id") % 10 != 0, F.col("user_id")))
+
+
+@_query
+def agg_user_daily_resent(spark, folder):
+    """Likes are sent again a week later, twice, and some users are unknown."""
+    staged = _without_some_users(stg_events(spark, folder))
+    root = working_folder(spark)
+    table = _staged(root)
+    _follow(spark, table, _daily(root, "user_id"), incremental.delete_insert(staged, table))
+    likes = staged.where("is_like = 1")
+    moved = likes.withColumn("created_at", F.col("created_at") + F.expr("interval 7 days"))
+    again = moved.withColumn("partition_date", F.to_date("created_at"))
+    for _ in range(2):
+        _follow(spark, table, _daily(root, "user_id"), incremental.delete_insert(again, table))
+    return _daily(root, "user_id").read(spark)
+
+
 # --- changes -----------------------------------------------------------------
 
 
@@ -473,6 +591,76 @@ def audit_counts(spark, folder):
     return audit.drop("real_timestamp")
 
 
+@_query
+def apply_tied_changes(spark, folder):
+    """Changes of one day at the same time; the one with the highest id counts."""
+    batch = adapter.user_change_batch(spark, folder)
+    tied = batch.withColumn(changes.CHANGED_AT, F.date_trunc("day", changes.CHANGED_AT).cast("timestamp_ntz"))
+    merged = changes.merge_changes(
+        adapter.users(spark, folder), tied, "user_id", adapter.USER_ATTRIBUTES
+    )
+    return merged.select("user_id", "updated_at", "country_code", "favorite_color")
+
+
+def _ingested(spark: SparkSession, folder: str) -> Warehouse:
+    """All users and half of the events on one day, the changes and the rest on the next."""
+    warehouse = Warehouse(working_folder(spark))
+    events, middle = adapter.events(spark, folder), _middle_day(spark, folder)
+    is_early = F.to_date("created_at") <= F.lit(middle)
+    first = adapter.users(spark, folder).select(
+        "user_id",
+        F.lit("insert").alias(changes.CHANGE_TYPE),
+        F.col("updated_at").alias(changes.CHANGED_AT),
+        F.array().cast("array<string>").alias(changes.SET_COLUMNS),
+        "created_at",
+        *adapter.USER_ATTRIBUTES,
+    )
+    days = (first, events.where(is_early)), (adapter.user_change_batch(spark, folder), events.where(~is_early))
+    for number, (batch, arrived) in enumerate(days):
+        date = INGEST_DATE + dt.timedelta(days=number)
+        ingest_day(spark, warehouse, {"user": batch}, arrived, date, FIRST_RUN)
+    return warehouse
+
+
+@_query
+def ingestion_audit(spark, folder):
+    """The audit log of two days."""
+    log = spark.read.parquet(_ingested(spark, folder).path("raw", "ingestion_audit"))
+    return log.drop("real_timestamp")
+
+
+@_query
+def ingestion_job_date(spark, folder):
+    """The day after the last one in the audit log."""
+    found = job_date(spark, _ingested(spark, folder), INGEST_DATE)
+    return spark.range(1).select(F.lit(found).alias("job_date"))
+
+
+@_query
+def users_from_csv_lookup(spark, folder):
+    """Users with their country from a CSV file."""
+    path = f"{working_folder(spark)}/countries"
+    countries = adapter.countries(spark, folder).select(
+        "country_code", "name", F.lit("none").alias("currency"), "region", F.lit("").alias("subregion")
+    )
+    countries.write.option("header", True).csv(path)
+    return intermediate.int_users(stg_users(spark, folder), read_countries(spark, path))
+
+
+@_query
+def views_by_sql(spark, folder):
+    """The published views, asked in SQL."""
+    warehouse = _two_builds(spark, folder)
+    raw = adapter.users(spark, folder), adapter.posts(spark, folder)
+    publish_views(spark, warehouse, *raw, adapter.countries(spark, folder))
+    return spark.sql(
+        """
+        SELECT f.partition_date, f.event_type, p.creator_region, count(*) AS n_events
+        FROM fct_events f LEFT JOIN int_posts p ON f.post_id = p.post_id
+        GROUP BY f.partition_date, f.event_type, p.creator_region"""
+    )
+
+
 @_query
 def live_row_summary(spark, folder):
     return changes.live_row_summary(
@@ -490,7 +678,7 @@ def next_job_date(spark, folder):
     audit = (
         adapter.events(spark, folder)
         .groupBy(F.to_date("created_at").alias("ingest_date"))
-        .agg(F.count("*").cast("int").alias("rows_inserted"))
+        .agg(F.count("*").alias("rows_inserted"))
     )
     return changes.next_job_date(audit, F.lit(dt.date(2100, 1, 1)))
 
@@ -554,19 +742,61 @@ def dq_suite(spark, folder):
     return quality.run_tests(tables, quality.SUITE)
 
 
+@_query
+def dq_suite_with_faults(spark, folder):
+    """All declared tests of tables with missing, repeated, foreign and orphaned values."""
+    users, posts = adapter.users(spark, folder), adapter.posts(spark, folder)
+    events = adapter.events(spark, folder)
+    user = users.where("user_id % 7 <> 3").withColumns(
+        {
+            "first_name": F.when(F.col("user_id") % 11 != 0, F.col("first_name")),
+            "country_code": F.when(F.col("user_id") % 13 != 0, F.col("country_code")),
+        }
+    )
+    user = user.unionByName(user.where("user_id % 5 = 0"))
+    # Some posts twice, some missing.
+    post = posts.withColumn("post_text", F.when(F.col("post_id") % 9 != 0, F.col("post_text")))
+    post = post.where("post_id % 4 <> 1").unionByName(post.where("post_id % 6 = 0"))
+    event = events.withColumn("user_id", F.when(F.col("event_id") % 17 != 0, F.col("user_id")))
+    event = event.unionByName(events.where("event_id % 8 = 0"))
+    staged = staging.stg_events(event)
+    live_users = intermediate.int_users(staging.stg_users(user), adapter.countries(spark, folder))
+    live_posts = intermediate.int_posts(staging.stg_posts(post), intermediate.int_users(
+        staging.stg_users(users.where("user_id % 7 <> 3")), adapter.countries(spark, folder)
+    ))
+    tables = {
+        "user": user,
+        "post": post,
+        "event": event,
+        "stg_events": staged,
+        "dim_users": live_users.where("deleted_at is null"),
+        "dim_posts": live_posts.where("deleted_at is null"),
+        "fct_events": staged,
+    }
+    return quality.run_tests(tables, quality.SUITE)
+
+
 # --- streaming ---------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table as a stream, mapped like the batch source."""
-    return streams.read_stream(spark, f"{folder}/events.parquet", adapter.schema("events"))
+def _delivered(spark: SparkSession, *batches: DataFrame) -> DataFrame:
+    """Batches of raw events as files that arrive one after the other, as a stream."""
+    path = f"{working_folder(spark)}/delivered"
+    for batch in batches:
+        batch.coalesce(1).write.mode("append").parquet(path)
+    return streams.read_stream(spark, path, batches[0].schema, max_files=1)
 
 
 @_query
 def stream_daily_metrics(spark, folder):
+    """Three deliveries: half of the events, with some users wrong, the rest, and the
+    wrong ones again as they should be."""
     root = working_folder(spark)
     tables = (_staged(root), _daily(root, "post_id"), _daily(root, "user_id"))
-    raw = adapter.as_events(_event_stream(spark, folder))
+    events, middle = adapter.events(spark, folder), _middle_day(spark, folder)
+    early, wrong = F.to_date("created_at") <= F.lit(middle), F.col("event_id") % 3 == 0
+    first = events.where(early).withColumn("user_id", F.when(wrong, -1).otherwise(F.col("user_id")))
+    raw = _delivered(spark, first, events.where(~early), events.where(early & wrong))
     streams.run_available(streams.build_daily_tables(raw, *tables), f"{root}/progress")
     return tables[2].read(spark)
 
@@ -580,13 +810,20 @@ def _run_to_table(stream: DataFrame, root: str) -> DataFrame:
 @_query
 def stream_dedup(spark, folder):
     """Every event delivered twice, kept once."""
-    once, again = (adapter.as_events(_event_stream(spark, folder)) for _ in range(2))
-    kept = streams.deduplicated(once.unionAll(again), "created_at", STREAM_DELAY)
-    return _run_to_table(kept, working_folder(spark))
+    events = adapter.events(spark, folder)
+    raw = _delivered(spark, events.unionAll(events))
+    return _run_to_table(
+        streams.deduplicated(raw, "created_at", STREAM_DELAY), working_folder(spark)
+    )
 
 
 @_query
 def stream_sessions(spark, folder):
-    raw = adapter.as_events(_event_stream(spark, folder))
+    """Sessions of two deliveries, and those that are still open at the end."""
+    events, middle = adapter.events(spark, folder), _middle_day(spark, folder)
+    early = F.to_date("created_at") <= F.lit(middle)
+    raw = _delivered(spark, events.where(early), events.where(~early))
     sessions = streams.stream_sessions(raw, "user_id", "created_at", STREAM_DELAY)
-    return _run_to_table(sessions, working_folder(spark))
+    emitted = _run_to_table(sessions, working_folder(spark))
+    still_open = streams.open_sessions(events, emitted, "user_id", "created_at")
+    return emitted.unionByName(still_open)

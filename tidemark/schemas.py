@@ -11,7 +11,7 @@ def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-_TEXT, _TIME, _INT = T.StringType(), T.TimestampNTZType(), T.IntegerType()
+_TEXT, _TIME = T.StringType(), T.TimestampNTZType()
 
 USER = _schema(
     user_id=_TEXT,
@@ -41,9 +41,9 @@ EVENT = _schema(
 AUDIT = _schema(
     ingest_date=T.DateType(),
     table_name=_TEXT,
-    rows_inserted=_INT,
-    rows_updated=_INT,
-    rows_deleted=_INT,
+    rows_inserted=T.LongType(),
+    rows_updated=T.LongType(),
+    rows_deleted=T.LongType(),
     real_timestamp=_TIME,
 )
 COUNTRY = _schema(

@@ -1,7 +1,7 @@
 """The given tables read as raw users, posts, events and change feeds.
 
 ``events`` carries the activity (a purchase counts as a like of the post in its
-properties), ``customer`` the users, ``part`` the posts, ``nation`` and ``region``
+properties, every other kind is no like), ``customer`` the users, ``part`` the posts, ``nation`` and ``region``
 the country lookup. Whatever the tables lack is derived from their columns.
 """
 
@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.changes import CHANGE_TYPE, CHANGED_AT, SET_COLUMNS
+from tidemark.operators.changes import CHANGE_ID, CHANGE_TYPE, CHANGED_AT, SET_COLUMNS
 from tidemark.schemas import timestamp
 
 USERS_FROM = "2023-12-01 00:00:00"
 POSTS_FROM = "2024-01-01 00:00:00"
-CREATORS = 150
 SUPPLIER_USERS_FROM = 1_000_000_000
 USER_ATTRIBUTES = ["first_name", "last_name", "country_code", "favorite_color"]
 
@@ -36,7 +35,12 @@ _COLUMNS = {
     },
     "supplier": {"s_suppkey": _KEY, "s_name": _TEXT, "s_nationkey": _INT},
     "part": {"p_partkey": _KEY, "p_name": _TEXT, "p_size": _INT},
-    "orders": {"o_custkey": _KEY, "o_totalprice": _NUMBER, "o_orderdate": _TIME},
+    "orders": {
+        "o_orderkey": _KEY,
+        "o_custkey": _KEY,
+        "o_orderstatus": _TEXT,
+        "o_orderdate": _TIME,
+    },
     "events": {
         "event_id": _KEY,
         "ts": _TIME,
@@ -74,9 +78,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 def as_events(source: DataFrame) -> DataFrame:
     """Raw events from the rows of ``events``, read as a table or as a stream."""
-    rows = source.where(F.col("event_type").isin("view", "purchase"))
     kind = F.when(F.col("event_type") == "purchase", "like").otherwise(F.col("event_type"))
-    return rows.select(
+    return source.select(
         "event_id",
         "user_id",
         _property().alias("post_id"),
@@ -102,10 +105,12 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts, dealt evenly to all users."""
     created = timestamp(POSTS_FROM) + _days(F.col("p_partkey") % 30) + _hours(F.col("p_size"))
+    creators = max(1, table(spark, folder, "customer").count())
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("post_id"),
-        (F.col("p_partkey") % CREATORS).alias("user_id"),
+        (F.col("p_partkey") % creators).alias("user_id"),
         F.col("p_name").alias("post_text"),
         created.alias("created_at"),
         created.alias("updated_at"),
@@ -145,19 +150,19 @@ def user_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_presence(spark: SparkSession, folder: str) -> DataFrame:
-    """Feed with deletions: a signup brings a user (back), a costly error removes it."""
-    costly_error = (F.col("event_type") == "error") & (F.col("value") > 20)
-    rows = table(spark, folder, "events").where((F.col("event_type") == "signup") | costly_error)
+    """Feed with deletions: a signup brings a user (back), an error removes it."""
+    rows = table(spark, folder, "events").where(F.col("event_type").isin("signup", "error"))
     return rows.select(
         "user_id",
         F.col("ts").alias("updated_at"),
         _property().alias("score"),
         (F.col("event_type") == "signup").alias("present"),
+        F.col("event_id").alias("change_id"),
     )
 
 
 def user_change_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """Changes to the users: signups update, expensive orders delete, suppliers join.
+    """Changes to the users: signups update, finished last orders delete, suppliers join.
 
     A signup sets the country and, if its value is above 10, the colour as well.
     """
@@ -169,6 +174,7 @@ def user_change_batch(spark: SparkSession, folder: str) -> DataFrame:
         "user_id",
         F.lit("update").alias(CHANGE_TYPE),
         F.col("ts").alias(CHANGED_AT),
+        F.col("event_id").alias(CHANGE_ID),
         columns.otherwise(F.array(F.lit("country_code"))).alias(SET_COLUMNS),
         no_time.alias("created_at"),
         nothing.alias("first_name"),
@@ -178,11 +184,14 @@ def user_change_batch(spark: SparkSession, folder: str) -> DataFrame:
             "favorite_color"
         ),
     )
-    orders = table(spark, folder, "orders").where("o_totalprice > 480000")
-    deletes = orders.select(
+    last = F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey"))
+    orders = table(spark, folder, "orders").groupBy("o_custkey").agg(
+        last.alias("status"), F.max("o_orderdate").alias(CHANGED_AT)
+    )
+    deletes = orders.where("status = 'F'").select(
         F.col("o_custkey").alias("user_id"),
         F.lit("delete").alias(CHANGE_TYPE),
-        F.col("o_orderdate").alias(CHANGED_AT),
+        CHANGED_AT,
     )
     starts = timestamp(POSTS_FROM) + _hours(F.col("s_suppkey") % 500)
     name = F.split("s_name", "#")

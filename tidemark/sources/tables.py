@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.sources import paths
 
 _VERSION = "v="
+_OPEN = "_open"
 
 
 def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -84,6 +87,56 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
             paths.remove(spark, f"{path}/{_VERSION}{number}")
 
 
+def write_history(versions: DataFrame, path: str) -> None:
+    """What a snapshot run changes: the versions it closed, and all that are open now.
+
+    Each run is a version of the table with both in folders of their own. Versions
+    closed by earlier runs are not written again; open ones are current in the newest
+    run only. A run counts once its success marker exists, so both change together.
+    """
+    spark = versions.sparkSession
+    current = current_version(spark, path)
+    number = 0 if current is None else current + 1
+    is_open = F.col(schemas.VALID_TO) == schemas.open_end()
+    (
+        versions.withColumn(_OPEN, is_open)
+        .write.mode("overwrite")
+        .partitionBy(_OPEN)
+        .parquet(f"{path}/{_VERSION}{number}")
+    )
+
+
+def _history_parts(spark: SparkSession, path: str, numbers: list[int], is_open: str) -> list[str]:
+    folders = [f"{path}/{_VERSION}{n}/{_OPEN}={is_open}" for n in numbers]
+    return [f for f in folders if paths.exists(spark, f)]
+
+
+def read_history(
+    spark: SparkSession, path: str, schema: T.StructType, only_open: bool = False
+) -> DataFrame | None:
+    """All versions of a history, or the open ones; None before the first run."""
+    current = current_version(spark, path)
+    if current is None:
+        return None
+    folders = _history_parts(spark, path, [current], "true")
+    if not only_open:
+        # One folder a run.
+        runs = [n for n in _versions(spark, path) if n <= current]
+        folders += _history_parts(spark, path, runs, "false")
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def drop_old_open_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete the open versions of all but the newest ``keep`` runs; closed ones stay."""
+    current = current_version(spark, path)
+    if current is not None:
+        old = [n for n in _versions(spark, path) if n <= current - keep]
+        for folder in _history_parts(spark, path, old, "true"):
+            paths.remove(spark, folder)
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """A view: nothing is stored, the plan is inlined where it is used."""
     df.createOrReplaceTempView(name)

@@ -22,7 +22,7 @@ from tidemark.operators.incremental import (
     merged_days,
     replace_days,
 )
-from tidemark.operators.sessions import GAP_SECONDS
+from tidemark.operators.sessions import GAP_SECONDS, viewer_sessions
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events
 from tidemark.sources import paths
@@ -121,3 +121,19 @@ def stream_sessions(
             "events",
         )
     )
+
+
+def open_sessions(
+    events: DataFrame,
+    emitted: DataFrame,
+    key: str,
+    ts: str,
+    gap_seconds: int = GAP_SECONDS,
+) -> DataFrame:
+    """The sessions a stream has not emitted yet, by a batch pass over the events after
+    each key's last emitted one. Emitted and open sessions together are all there are."""
+    last = emitted.groupBy(F.col(key).alias("_key")).agg(F.max("session_end").alias("_until"))
+    later = events.join(last, F.col(key).eqNullSafe(F.col("_key")), "left").where(
+        F.col("_until").isNull() | (F.col(ts) > F.col("_until"))
+    )
+    return viewer_sessions(later.select(key, ts), key, ts, gap_seconds)
