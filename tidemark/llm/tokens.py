@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 
 # Words of letters that are sent to the library as one text.
 WORDS_PER_CALL = 64
+# Words whose ids a process keeps, some tens of MB.
+KNOWN_WORDS = 300_000
 # A word of letters that may have one full stop or comma behind it.
 _LETTERS = r"^\pL+[.,]?$"
 
@@ -38,13 +40,16 @@ class TextEncoder:
         self.size = self._tokenizer.get_vocab_size()
         self._ends_word = np.zeros(self.size, dtype=bool)
         self._ends_word[[i for word, i in model["vocab"].items() if word.endswith(suffix)]] = True
+        # Words of letters that stay known from one call to the next.
+        self._known = pa.array([], pa.large_string())
+        self._known_table = _joined([]), _joined([], np.int64), _joined([], np.int64)
         self._stops = {mark: self._encoded([mark])[0] for mark in ".,"}
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in found]
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, one after the other, and the number of each."""
         groups = [words[i : i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
         ids, counts = [], []
@@ -59,6 +64,29 @@ class TextEncoder:
                 counts.append(np.array([len(a) for a in alone]))
         return _joined(ids), _joined(counts, np.int64)
 
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids that hold those of distinct words of letters, where each starts, and their numbers."""
+        at = pc.index_in(words, value_set=self._known)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        ids, counts = self._letters(words.filter(at.is_null()).to_pylist())
+        known_ids, known_starts, known_counts = self._known_table
+        new_starts = len(known_ids) + np.cumsum(counts) - counts
+        where = at.fill_null(0).to_numpy()
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[new], sizes[new] = new_starts, counts
+        starts[~new], sizes[~new] = known_starts[where[~new]], known_counts[where[~new]]
+        flat = np.concatenate((known_ids, ids))
+        room = KNOWN_WORDS - len(self._known)
+        if room > 0 and new.any():
+            some = words.filter(at.is_null()).slice(0, room)
+            self._known = pa.concat_arrays([self._known, some])
+            self._known_table = (
+                flat[: len(known_ids) + int(counts[:room].sum())],
+                np.concatenate((known_starts, new_starts[:room])),
+                np.concatenate((known_counts, counts[:room])),
+            )
+        return flat, starts, sizes
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and where each text starts and ends."""
         lists = pc.ascii_split_whitespace(texts)
@@ -78,11 +106,10 @@ class TextEncoder:
         stems = pc.ascii_lower(words.filter(plain))
         marks = pc.utf8_slice_codeunits(stems, -1).to_numpy(zero_copy_only=False)
         coded = pc.utf8_rtrim(stems, ".,").dictionary_encode()
-        stem_ids, stem_counts = self._words(coded.dictionary.to_pylist())
+        stem_ids, stem_starts, stem_counts = self._words(coded.dictionary)
         others = self._encoded(words.filter(pc.invert(plain)).to_pylist())
         # One stretch for every stem and mark, then one for every other word.
         which, counts = coded.indices.to_numpy(), stem_counts[coded.indices.to_numpy()]
-        stem_starts = np.cumsum(stem_counts) - stem_counts
         mark_ids = {"": np.zeros(0, np.uint32), **self._stops}
         kind = np.where(marks == ".", ".", np.where(marks == ",", ",", ""))
         parts, starts, at = [], np.zeros(len(kind), np.int64), 0
