@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import day, rows, table
 
 from tidemark.operators.temporal import temporal_join
@@ -201,3 +202,21 @@ def test_keys_of_different_types(spark, method):
         result = joined(facts, versions, method, rows_per_group)
         assert rows(result.select("region").distinct()) == [("EU",)]
         assert result.count() == 30
+
+
+def test_versions_are_repeated_for_the_hours_of_their_own_facts_only(spark):
+    from tidemark.operators import temporal
+
+    facts = table(
+        spark,
+        FACT,
+        *[(i, "hot", "2100-01-01 00:00:00") for i in range(50)],
+        *[(i, "wide", f"2100-01-{1 + i % 28:02d} 00:00:00") for i in range(60)],
+    )
+    versions = table(spark, VERSION, ("hot", "EU", "2099-01-01 00:00:00", OPEN))
+    right = versions.select("user_id", F.col("dbt_valid_from").alias("_opens"), F.col("dbt_valid_to").alias("_ends"))
+    left, copies, place = temporal._place(facts, right, "user_id", "created_at", 10)
+    slots = left.where("user_id = 'hot'").select("_slot").distinct().count()
+    # One hour, and tied facts on several slots.
+    assert place == ["user_id", "_hour", "_slot"] and slots > 1
+    assert copies.count() == copies.select("_slot").distinct().count() == 5

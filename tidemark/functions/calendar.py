@@ -25,6 +25,13 @@ def hour_number(ts: Column) -> Column:
     return (days * 24 + F.hour(ts)).cast("int")
 
 
+def stretch_number(ts: Column, seconds: int) -> Column:
+    """Number of the stretch of so many seconds since 1970-01-01 that a time is in."""
+    days = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.floor((days * 86400 + clock) / seconds)
+
+
 def in_year(day: str, year: int) -> Column:
     """The days of one year as a range, which file and partition pruning can use."""
     return F.col(day).between(

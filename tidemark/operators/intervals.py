@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.attributes import version_id
-from tidemark.functions.calendar import hour_number
+from tidemark.functions.calendar import stretch_number
 from tidemark.operators.skew import ROWS_PER_GROUP, heavy_groups
 from tidemark.schemas import SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO, open_end
 
 
+# Seconds of the stretches a hot key is cut into, the first that are short enough.
+STRETCHES = (3600, 60, 1)
+
+
 def last_per_group(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """The last row of each group in the given order.
 
@@ -42,13 +46,18 @@ def _neighbours(
             "_is_first", F.first(updated_at).over(changes) == F.col(updated_at)
         )
 
-    # A key with very many changes is read hour by hour. The last change of an
-    # hour ends at the first change of the key's next hour that has one, which is
-    # found among one row per hour.
+    # A key with very many changes is read in stretches of time, hours or as short as
+    # it takes. The last change of a stretch ends at the first change of the key's next
+    # stretch that has one, which is found among one row per stretch.
     cut = F.col("_cut").isNotNull()
-    placed = heavy.mark(feed, "_cut").withColumn(
-        "_hour", F.when(cut, hour_number(F.col(updated_at))).otherwise(0)
-    )
+    marked = heavy.mark(feed, "_cut")
+    for seconds in STRETCHES:
+        slot = stretch_number(F.col(updated_at), seconds)
+        placed = marked.withColumn("_hour", F.when(cut, slot).otherwise(0))
+        if seconds == STRETCHES[-1] or not heavy_groups(
+            placed.where(cut), [key, "_hour"], rows_per_group
+        ):
+            break
     hours = placed.where(cut).groupBy(key, "_hour").agg(F.min(updated_at).alias("_opens"))
     by_hour = Window.partitionBy(key).orderBy("_hour")
     next_hour = hours.select(

@@ -1,9 +1,9 @@
 """Hot keys: find them before a join is planned and spread them over many tasks.
 
 A hash shuffle sends all rows of a key to one task, which fails when one key
-holds a large share of the rows. Here a sketch names the heavy groups; only these
-are then cut into finer groups. The sketch decides placement and never results:
-a group it does not name stays in one piece, and all rows take part either way.
+holds a large share of the rows. Here the groups are counted on a sample, combined
+map side; only heavy ones are then cut into finer groups. The count decides placement
+and never results: all rows take part either way.
 
 Aggregations need none of this. Spark combines their rows before the shuffle, so
 a hot key arrives as one row per task.
@@ -11,65 +11,77 @@ a hot key arrives as one row per task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import working_folder
+
 # Rows of one group that a single task takes without being split.
 ROWS_PER_GROUP = 4_000_000
-# Bounds of the sketch. MAX_HEAVY is also the row bound of what reaches the
-# driver and of what gets broadcast.
-MAX_HEAVY = 10_000
-MAX_TRACKED = 100_000
+# Up to this many heavy groups go through the driver to every task, 12 bytes each; more
+# stay a table and are joined like any other.
+BROADCAST_GROUPS = 100_000
 # Rows by which a group just above the limit is recognised. Its size is then
 # known to about one percent, so there is no need to count more of them.
 RECOGNISED_BY = 20_000
 
 
 class HeavyGroups:
-    """Groups to be split: the columns with their types, ``(hash of these, splits)``."""
+    """Groups to be split: the columns with their types, and ``(_hash of these, _splits)``."""
 
-    def __init__(self, columns: dict[str, T.DataType], splits: list[tuple[int, int]]):
+    def __init__(self, columns: dict[str, T.DataType], groups: DataFrame, few: bool, some: bool):
         self.columns = columns
-        self.splits = splits
+        self.groups = groups
+        self.few = few
+        self._some = some
 
     def __bool__(self) -> bool:
-        return bool(self.splits)
+        return self._some
+
+    def sized(self, df: DataFrame) -> DataFrame:
+        """A table with a row per heavy group, to be broadcast if these are few."""
+        return F.broadcast(df) if self.few else df
 
     def mark(self, df: DataFrame, name: str) -> DataFrame:
         """Add the splits of each row's group as ``name``, NULL if it is not heavy."""
         if not self:
             return df.withColumn(name, F.lit(None).cast("int"))
-        lookup = df.sparkSession.createDataFrame(self.splits, f"_hash bigint, {name} int")
         # Equal values of different types would have different hashes.
         typed = [F.col(column).try_cast(kind) for column, kind in self.columns.items()]
-        return df.join(
-            F.broadcast(lookup), F.xxhash64(*typed) == F.col("_hash"), "left"
-        ).drop("_hash")
+        lookup = self.sized(self.groups.withColumnRenamed("_splits", name))
+        return df.join(lookup, F.xxhash64(*typed) == F.col("_hash"), "left").drop("_hash")
 
 
 def heavy_groups(
     df: DataFrame, columns: Sequence[str], rows_per_group: int = ROWS_PER_GROUP
 ) -> HeavyGroups:
-    """The groups with more than ``rows_per_group`` rows, in one pass without a shuffle.
+    """The groups with more than ``rows_per_group`` rows.
 
-    Counted on as large a fraction of the rows as recognises them.
+    Counted on as large a fraction of the rows as recognises them; what is shuffled
+    is a row per group and task of that sample.
     """
     fraction = min(1.0, RECOGNISED_BY / rows_per_group)
     counted = df if fraction == 1.0 else df.sample(fraction, seed=1)
-    # approx_top_k has no function in pyspark.sql.functions, only in SQL.
-    top = F.call_function(
-        "approx_top_k", F.xxhash64(*columns), F.lit(MAX_HEAVY), F.lit(MAX_TRACKED)
-    )
-    heavy = F.filter(top, lambda group: group["count"] > rows_per_group * fraction)
-    found = counted.agg(heavy.alias("heavy")).first()["heavy"]
-    return HeavyGroups(
-        {name: df.schema[name].dataType for name in columns},
-        [(g["item"], math.ceil(g["count"] / (rows_per_group * fraction))) for g in found],
+    limit = rows_per_group * fraction
+    counts = counted.groupBy(F.xxhash64(*columns).alias("_hash")).agg(F.count("*").alias("_n"))
+    heavy = counts.where(F.col("_n") > limit).select(
+        "_hash", F.ceil(F.col("_n") / limit).cast("int").alias("_splits")
     )
+    spark, schema = df.sparkSession, "_hash bigint, _splits int"
+    found = heavy.limit(BROADCAST_GROUPS + 1).collect()
+    few = len(found) <= BROADCAST_GROUPS
+    if few:
+        groups = spark.createDataFrame(found, schema)
+    else:
+        # Written, so that every use sees the same groups.
+        path = f"{working_folder(spark)}/heavy"
+        heavy.write.parquet(path)
+        groups = spark.read.schema(schema).parquet(path)
+    kinds = {name: df.schema[name].dataType for name in columns}
+    return HeavyGroups(kinds, groups, few, bool(found))
 
 
 def slot_of(splits: str, spread_by: Sequence[str]) -> Column:

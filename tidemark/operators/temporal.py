@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.calendar import hour_number
 from tidemark.operators.skew import ROWS_PER_GROUP, all_slots, heavy_groups, slot_of
-from tidemark.schemas import VALID_FROM, VALID_TO, timestamp
+from tidemark.schemas import VALID_FROM, VALID_TO
 
 # Rows that go to every task at most, and versions of a key that are compared
 # with each of its facts at most.
@@ -28,9 +28,10 @@ def _place(
     """Cut hot keys on both sides; also returns the columns to match, key included.
 
     Ordinary keys stay whole (hour 0, slot 0). A key that is heavy on either side
-    is cut by the hour, its versions being repeated for each hour they cover
-    within the time range of the data: at most one row more per hour. An hour of
-    such a key that is still heavy is split further, by a hash of the time.
+    is cut by the hour, its versions being repeated for each hour they cover between
+    the first and the last fact of that key. An hour of such a key that is still
+    heavy is split further, by a hash of the facts' rows, so that facts of one
+    instant are spread as well; the versions are repeated for each split.
 
     Without heavy keys both sides come back as they are.
     """
@@ -42,22 +43,30 @@ def _place(
         return facts, versions, [key]
 
     cut = F.col("_cut").isNotNull()
+    of_heavy = heavy_keys.mark(facts.select(key, F.col(ts).alias("_at")), "_cut").where(cut)
+    ranges = of_heavy.groupBy(F.col(key).alias("_key")).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last")
+    )
     times = heavy_keys.mark(times, "_cut").where(cut)
-    first, last = times.agg(F.min("_at").cast("string"), F.max("_at").cast("string")).first()
     heavy_hours = heavy_groups(
         times.withColumn("_hour", hour_number(F.col("_at"))), [key, "_hour"], rows_per_group
     )
+    spread_by = facts.columns
     facts = heavy_keys.mark(facts, "_cut").withColumn(
         "_hour", F.when(cut, hour_number(F.col(ts))).otherwise(0)
     )
-    facts = heavy_hours.mark(facts, "_splits").withColumn("_slot", slot_of("_splits", [ts]))
+    facts = heavy_hours.mark(facts, "_splits").withColumn("_slot", slot_of("_splits", spread_by))
 
-    hours = _hours_covered(
-        F.greatest("_opens", timestamp(first)), F.least("_ends", timestamp(last))
+    versions = heavy_keys.mark(versions, "_cut").join(
+        heavy_keys.sized(ranges), cut & (F.col(key) == F.col("_key")), "left"
     )
-    versions = heavy_keys.mark(versions, "_cut").withColumn(
-        "_hour", F.explode(F.when(cut, hours).otherwise(F.array(F.lit(0))))
+    hours = F.when(
+        F.col("_first").isNotNull(),
+        _hours_covered(F.greatest("_opens", "_first"), F.least("_ends", "_last")),
     )
+    versions = versions.withColumn(
+        "_hour", F.explode(F.when(cut, hours).otherwise(F.array(F.lit(0))))
+    ).drop("_key", "_first", "_last")
     versions = heavy_hours.mark(versions, "_splits").withColumn("_slot", all_slots("_splits"))
     return (
         facts.drop("_cut", "_splits"),

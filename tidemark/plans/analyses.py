@@ -45,7 +45,8 @@ def mau_by_region_and_month(
     """
     events = _of_year(fct_events, "created_at", "partition_date", year)
     joined = temporal_join(
-        events.select("user_id", "created_at"),
+        # The id spreads events of one instant; unless a user is hot, it is not read.
+        events.select("user_id", "created_at", "event_id"),
         _valid_in_year(user_versions, year),
         "user_id",
         "created_at",
