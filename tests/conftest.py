@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.session import session
+from tidemark.session import clean_up, session
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,5 @@ def spark():
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
+    clean_up(spark)
     spark.stop()

@@ -294,9 +294,9 @@ def _snapshot_runs(feed: DataFrame, live: str, **options) -> DataFrame:
         new = feed.where(F.col("updated_at") < run_ts)
         if seen_until is not None:
             new = new.where(F.col("updated_at") >= seen_until)
-            new = read_table(spark, f"{root}/state").unionByName(new)
+            new = read_table(spark, f"{root}/state", feed.schema).unionByName(new)
         write_table(intervals.last_per_group(new, ["user_id"], order), f"{root}/state")
-        source = read_table(spark, f"{root}/state").where(live).drop("present")
+        source = read_table(spark, f"{root}/state", feed.schema).where(live).drop("present")
         keep_history(source, f"{root}/history", "user_id", run_ts=run_ts, **options)
         seen_until = run_ts
     schema = snapshots.history_schema(source, options.get("hard_deletes") == "new_record")

@@ -36,22 +36,33 @@ def session(app: str = "tidemark", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
+# Folders this process made under the shared folder, and its own one where none is named.
+_MADE: list[str] = []
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
 def working_folder(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder the cluster names.
 
     Only a local session without that setting falls back to a folder of this
-    machine; on a cluster the executors would not see it, so that is an error.
+    machine, which goes when the process ends; on a cluster the executors would not
+    see it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+        if not _LOCAL:
+            _LOCAL.append(tempfile.TemporaryDirectory(prefix="tidemark-"))
+        root = _LOCAL[0].name
+    _MADE.append(f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
 
+def clean_up(spark: SparkSession) -> None:
+    """Delete the working folders this process made; no result that reads them may be
+    in use any more. For the end of a session."""
+    from tidemark.sources import paths
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` a folder where the session has none yet."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(working_folder(spark))
+    while _MADE:
+        paths.remove(spark, _MADE.pop())

@@ -66,10 +66,18 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{_VERSION}{number}")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a table, None if there is none yet."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The current version of a table, None if there is none yet.
+
+    With the schema given, no file has to be opened for planning.
+    """
     number = current_version(spark, path)
-    return None if number is None else spark.read.parquet(f"{path}/{_VERSION}{number}")
+    if number is None:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/{_VERSION}{number}")
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
