@@ -83,8 +83,8 @@ def test_multi_index_finds_every_distance(spark):
     values = sorted(values)
     signed = np.array(values, np.uint64).view(np.int64).tolist()
     fps = spark.createDataFrame([(v,) for v in signed], "fp bigint")
-    for distance in (0, 1, 3, 4):
-        roots = graph.components(simhash.near_links(fps, distance)).collect()
+    for distance, crowd in ((0, 1000), (1, 1000), (3, 1000), (4, 1000), (3, 0), (3, 3), (2, 2), (4, 2)):
+        roots = graph.components(simhash.near_links(fps, distance, crowd)).collect()
         label = dict(zip(signed, signed)) | {r["node"]: r["root"] for r in roots}
         found, expected = {}, {}
         for v, low in zip(signed, groups(values, distance)):

@@ -5,7 +5,8 @@ very few bits of some segment, so each is entered in one table per segment under
 value, and asks for all values in a small Hamming ball around it. What meets under one
 value is verified by the complete distance. Texts with one fingerprint are one entry, and
 a value's entries are not paired with each other: they are linked as a spanning star per
-connected group, which loses no connection and has no more links than entries.
+connected group, which loses no connection and has no more links than entries. Values
+that very many fingerprints share are looked into once more by the rest of the bits.
 
 Defined results: NULL text is the empty text. Words are what white space (space, tab to
 carriage return) separates; with fewer words than a shingle has, the whole sequence is
@@ -34,6 +35,8 @@ SEGMENTS = 2
 # Shingles whose bits are counted at once, and entries that are compared at once.
 SHINGLES = 1 << 16
 COMPARED = 1 << 22
+# Fingerprints that share one half before they are told apart by more of their bits.
+CROWD = 200_000
 # Up to this many keys (9 bytes each) are sent to every task.
 BROADCAST_KEYS = 2_000_000
 
@@ -80,43 +83,47 @@ def fingerprints(documents: DataFrame, id_column: str, text_column_name: str, wo
     return texts.mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def _balls(distance: int) -> list[tuple[int, int, int]]:
-    """(lowest bit, bits, radius) of each segment.
+def _balls(distance: int, bits: int = BITS) -> list[tuple[int, int, int]]:
+    """(lowest bit, bits, radius) of each segment of that many bits.
 
-    Fingerprints within ``distance`` agree in some segment up to its radius: with
+    Values within ``distance`` agree in some segment up to its radius: with
     distance = SEGMENTS * a + b, up to a in one of the first b + 1 or a - 1 in another.
     """
     a, b = divmod(distance, SEGMENTS)
-    width = BITS // SEGMENTS
+    width = bits // SEGMENTS
     radii = [a if i <= b else a - 1 for i in range(SEGMENTS)]
     return [(i * width, width, radius) for i, radius in enumerate(radii) if radius >= 0]
 
 
-def _asked(fp: Column, distance: int) -> Column:
-    """Array of (segment, value, asks): the own value, and those around it.
+def _around(own: Column, width: int, radius: int, upwards: Column) -> Column:
+    """The values within ``radius`` bits of ``own``, itself left out.
 
-    Of two values one bit apart, the one with that bit unset asks for the other; the
-    same holds for the first of several bits, so each meeting happens once.
+    Of two values that differ, ``upwards`` keeps only those the one with the lowest
+    differing bit unset reaches: if all do that, each meeting happens once.
     """
-    entries = []
-    for number, (low, width, radius) in enumerate(_balls(distance)):
-        own = F.shiftrightunsigned(fp, low).bitwiseAND((1 << width) - 1)
-        entries.append(F.array(F.struct(F.lit(number).alias("segment"), own.alias("value"), F.lit(False).alias("asks"))))
-        for flipped in range(1, radius + 1):
-            masks = [sum(1 << bit for bit in bits) for bits in combinations(range(width), flipped)]
-            asked = F.filter(
-                F.array(*[F.lit(m).cast("bigint") for m in masks]),
-                lambda m: own.bitwiseAND(m.bitwiseAND(-m)) == 0,
-            )
-            entries.append(
-                F.transform(
-                    asked,
-                    lambda m: F.struct(
-                        F.lit(number).alias("segment"), own.bitwiseXOR(m).alias("value"), F.lit(True).alias("asks")
-                    ),
-                )
-            )
-    return F.concat(*entries)
+    masks = [sum(1 << b for b in bits) for n in range(1, radius + 1) for bits in combinations(range(width), n)]
+    every = F.array(*[F.lit(m).cast("bigint") for m in masks]) if masks else F.array().cast("array<bigint>")
+    kept = F.filter(every, lambda m: ~upwards | (own.bitwiseAND(m.bitwiseAND(-m)) == 0))
+    return F.transform(kept, lambda m: own.bitwiseXOR(m))
+
+
+def _entries(value: Column, distance: int, bits: int, asks: Column) -> Column:
+    """Array of (segment, value, asks): the own value of each segment, and those around it.
+
+    Values that are stored enter their own one without asking and ask upwards; values
+    that only ask (``asks``) ask for their own one and for all around.
+    """
+    every = []
+    for number, (low, width, radius) in enumerate(_balls(distance, bits)):
+        own = F.shiftrightunsigned(value, low).bitwiseAND((1 << width) - 1)
+
+        def entry(v: Column, a: Column, number: int = number) -> Column:
+            return F.struct(F.lit(number).alias("segment"), v.alias("value"), a.alias("asks"))
+
+        every.append(F.array(entry(own, asks)))
+        around = _around(own, width, radius, ~asks)
+        every.append(F.transform(around, lambda v: entry(v, F.lit(True))))
+    return F.concat(*every)
 
 
 def _linked(stored_fp: np.ndarray, asking: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +163,7 @@ def _linked(stored_fp: np.ndarray, asking: np.ndarray, distance: int) -> tuple[n
 
 def _links_of(distance: int):
     """Links of the entries that meet under one value; these come one after the other."""
-    names = ["segment", "value", "asks", "fp"]
+    names = ["place", "value", "asks", "fp"]
 
     def links(runs: list[list[np.ndarray]]) -> pa.RecordBatch:
         larger, smaller = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -175,13 +182,13 @@ def _links_of(distance: int):
             if not batch.num_rows:
                 continue
             columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-            segment, value = columns[:2]
-            new = (segment[1:] != segment[:-1]) | (value[1:] != value[:-1])
+            place, value = columns[:2]
+            new = (place[1:] != place[:-1]) | (value[1:] != value[:-1])
             cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
             # Most values have one entry: only those with several are cut out.
             several = [(s, e) for s, e in zip(cuts[:-2], cuts[1:-1]) if e - s > 1]
             last = [c[cuts[-2] :] for c in columns]
-            if held and (held[0][0][0], held[0][1][0]) == (segment[0], value[0]):
+            if held and (held[0][0][0], held[0][1][0]) == (place[0], value[0]):
                 held.append([c[: cuts[1]] for c in columns])
                 if len(cuts) == 2:
                     continue
@@ -195,11 +202,44 @@ def _links_of(distance: int):
     return run
 
 
-def near_links(fps: DataFrame, distance: int = 3) -> DataFrame:
-    """Links (a, b) that connect distinct fingerprints ``fp`` just as all links within ``distance`` do."""
-    entries = fps.select("fp", F.explode(_asked(F.col("fp"), distance)).alias("entry")).select("fp", "entry.*")
-    met = entries.repartition(F.col("segment"), F.col("value")).sortWithinPartitions("segment", "value", "asks")
-    return met.mapInArrow(_links_of(distance), "a bigint, b bigint")
+def near_links(fps: DataFrame, distance: int = 3, crowd: int = CROWD) -> DataFrame:
+    """Links (a, b) that connect distinct fingerprints ``fp`` just as all links within ``distance`` do.
+
+    ``place`` and ``value`` name where entries meet. A value with more than ``crowd``
+    fingerprints is looked into once more: what is left of them is cut into segments
+    the same way, so that a meeting place is known by three quarters of the bits and has
+    room for as many fingerprints as the last quarter has values.
+    """
+    stored_only = F.lit(False)
+    entries = fps.select("fp", F.explode(_entries(F.col("fp"), distance, BITS, stored_only)).alias("entry"))
+    entries = entries.select("fp", "entry.*")
+    own = [
+        F.struct(F.lit(i).alias("segment"), F.shiftrightunsigned("fp", low).bitwiseAND((1 << width) - 1).alias("value"))
+        for i, (low, width, _) in enumerate(_balls(distance))
+    ]
+    crowded = fps.select(F.explode(F.array(*own)).alias("e")).groupBy("e.segment", "e.value").agg(F.count("*").alias("n"))
+    crowded = stored(crowded.where(F.col("n") > crowd).select("segment", "value", F.lit(True).alias("crowded")), "crowded")
+    found = crowded.count()
+    met = entries.select(F.col("segment").cast("bigint").alias("place"), "value", "asks", "fp")
+    if found:
+        few = F.broadcast(crowded) if found <= BROADCAST_KEYS else crowded
+        marked = entries.join(few, ["segment", "value"], "left")
+        met = marked.where("crowded is null").select(
+            F.col("segment").cast("bigint").alias("place"), "value", "asks", "fp"
+        )
+        width = BITS // SEGMENTS
+        # The other half of the fingerprint, and the half that is known as the place.
+        rest = F.when(F.col("segment") == 0, F.shiftrightunsigned("fp", width)).otherwise(
+            F.col("fp").bitwiseAND((1 << width) - 1)
+        )
+        inner = F.explode(_entries(rest, distance, width, F.col("asks"))).alias("entry")
+        place = F.shiftleft(F.col("value"), 2) + 2 * F.col("segment") + F.col("entry.segment") + 16
+        again = marked.where("crowded").select("fp", "segment", "value", inner)
+        met = met.unionByName(
+            again.select(place.cast("bigint").alias("place"), F.col("entry.value").alias("value"), "entry.asks", "fp")
+        )
+    dealt = met.repartition(F.col("place"), F.col("value")).sortWithinPartitions("place", "value", "asks")
+    return dealt.mapInArrow(_links_of(distance), "a bigint, b bigint")
 
 
 def near_duplicates(
