@@ -178,12 +178,43 @@ def test_plan_follows_the_number_of_versions(spark, monkeypatch):
     from tidemark.operators import temporal
 
     one_each = spark.range(10)
-    assert temporal._method(one_each, "id") == "broadcast"
+    assert temporal._plan(one_each, "id") == ("broadcast", None)
     monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 9)
-    assert temporal._method(one_each, "id") == "range"
+    assert temporal._plan(one_each, "id") == ("range", None)
+    monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 100)
+    monkeypatch.setattr(temporal, "BROADCAST_BYTES", 79)
+    assert temporal._plan(one_each, "id") == ("range", None)
+    monkeypatch.setattr(temporal, "BROADCAST_BYTES", 80)
     many = one_each.unionAll(spark.range(100).selectExpr("bigint(3) id"))
-    assert temporal._method(many, "id") == "asof"
-    assert temporal._method(spark.range(0), "id") == "broadcast"
+    method, long = temporal._plan(many, "id")
+    assert method == "broadcast" and rows(long) == [(3, True)]
+    assert temporal._plan(spark.range(0), "id") == ("broadcast", None)
+
+
+def test_only_long_histories_are_joined_as_of(spark, monkeypatch):
+    from tidemark.operators import temporal
+
+    monkeypatch.setattr(temporal, "VERSIONS_PER_KEY", 3)
+    hours = [f"2100-01-01 {h:02d}:00:00" for h in range(10)]
+    versions = table(
+        spark,
+        VERSION,
+        *[("long", f"R{h}", hours[h], hours[h + 1]) for h in range(9)],
+        ("short", "EU", hours[2], OPEN),
+        (None, "XX", hours[0], OPEN),
+    )
+    facts = table(
+        spark,
+        FACT,
+        *[(h, "long", f"2100-01-01 {h:02d}:30:00") for h in range(10)],
+        *[(20 + h, "short", hours[h]) for h in range(4)],
+        (30, None, hours[1]),
+        (31, "none", hours[1]),
+    )
+    expected = [(h, f"R{h}" if h < 9 else None) for h in range(10)]
+    expected += [(20, None), (21, None), (22, "EU"), (23, "EU"), (30, None), (31, None)]
+    for rows_per_group in (None, 2):
+        assert rows(joined(facts, versions, "auto", rows_per_group), "event_id", "region") == sorted(expected, key=repr)
 
 
 @pytest.mark.parametrize("method", ["range", "asof"])

@@ -9,11 +9,15 @@ from pyspark.sql.window import Window
 from tidemark.functions.calendar import hour_number
 from tidemark.operators.skew import ROWS_PER_GROUP, all_slots, heavy_groups, slot_of
 from tidemark.schemas import VALID_FROM, VALID_TO
+from tidemark.session import working_folder
 
-# Rows that go to every task at most, and versions of a key that are compared
-# with each of its facts at most.
+# What goes to every task at most, in rows and in bytes, and versions of a key that are
+# compared with each of its facts at most.
 BROADCAST_VERSIONS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 VERSIONS_PER_KEY = 64
+# Keys with more versions that are told to every task.
+BROADCAST_KEYS = 1_000_000
 
 
 def _hours_covered(first_ts: Column, last_ts: Column) -> Column:
@@ -75,13 +79,54 @@ def _place(
     )
 
 
-def _method(versions: DataFrame, key: str) -> str:
-    """The plan that fits the number of versions, in total and of one key."""
-    per_key = versions.groupBy(key).agg(F.count("*").alias("n"))
-    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
-    if (most or 0) > VERSIONS_PER_KEY:
-        return "asof"
-    return "broadcast" if (total or 0) <= BROADCAST_VERSIONS else "range"
+def _plan(versions: DataFrame, key: str) -> tuple[str, DataFrame | None]:
+    """The plan for keys with few versions, and the keys that have many.
+
+    One pass over the versions. A version counts with its text and 8 bytes a column.
+    """
+    text = [F.col(n) for n, kind in versions.dtypes if kind == "string"]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(8 * len(versions.columns)))
+    per_key = versions.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("size")
+    )
+    is_long = F.col("n") > VERSIONS_PER_KEY
+    rows, size, long = per_key.agg(
+        F.sum(F.when(~is_long, F.col("n"))), F.sum(F.when(~is_long, F.col("size"))), F.count_if(is_long)
+    ).first()
+    few = (rows or 0) <= BROADCAST_VERSIONS and (size or 0) <= BROADCAST_BYTES
+    method = "broadcast" if few else "range"
+    if not long:
+        return method, None
+    keys = per_key.where(is_long).select("_key", F.lit(True).alias("_long"))
+    return method, F.broadcast(keys) if long <= BROADCAST_KEYS else keys
+
+
+def _by_versions(
+    facts: DataFrame,
+    right: DataFrame,
+    key: str,
+    ts: str,
+    attributes: list[str],
+    rows_per_group: int | None,
+) -> DataFrame:
+    """Each fact by the plan that suits its key: long histories as-of, the rest otherwise."""
+    # The versions may be a long computation; they are read three times or more.
+    path = f"{working_folder(right.sparkSession)}/versions"
+    right.write.parquet(path)
+    right = right.sparkSession.read.schema(right.schema).parquet(path)
+    method, long = _plan(right, key)
+    if long is None:
+        return _join(facts, right, key, ts, attributes, method, rows_per_group)
+
+    def parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        marked = df.join(long, F.col(key) == F.col("_key"), "left").drop("_key")
+        is_long = F.col("_long").isNotNull()
+        return marked.where(is_long).drop("_long"), marked.where(~is_long).drop("_long")
+
+    (long_facts, other_facts), (long_right, other_right) = parts(facts), parts(right)
+    asof = _join(long_facts, long_right, key, ts, attributes, "asof", rows_per_group)
+    rest = _join(other_facts, other_right, key, ts, attributes, method, rows_per_group)
+    return asof.unionByName(rest)
 
 
 def temporal_join(
@@ -103,7 +148,8 @@ def temporal_join(
       For any number of keys with few versions each.
     * ``asof``: facts and versions are sorted together and the last version is
       carried forward, so the work is linear in facts plus versions.
-    * ``auto``: counts the versions and takes the first that suits.
+    * ``auto``: writes the versions out, counts them by key, and joins the facts of keys
+      with long histories by ``asof``, all others by ``broadcast`` or else ``range``.
 
     With ``range`` and ``asof`` the result stays partitioned by ``key``, unless hot
     keys had to be cut. ``rows_per_group=None`` leaves out the treatment of those.
@@ -114,7 +160,19 @@ def temporal_join(
     interval = F.col(VALID_FROM).alias("_opens"), F.col(VALID_TO).alias("_ends")
     right = versions.select(key, *interval, *named)
     if method == "auto":
-        method = _method(right, key)
+        return _by_versions(facts, right, key, ts, attributes, rows_per_group)
+    return _join(facts, right, key, ts, attributes, method, rows_per_group)
+
+
+def _join(
+    facts: DataFrame,
+    right: DataFrame,
+    key: str,
+    ts: str,
+    attributes: list[str],
+    method: str,
+    rows_per_group: int | None,
+) -> DataFrame:
     if method == "broadcast":
         left, right, place = facts, F.broadcast(right), [key]
     else:
