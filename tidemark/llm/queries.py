@@ -129,3 +129,73 @@ def op10_sentencepiece(spark, folder):
     """Ids of every text by the given model, and whether they decode to the text."""
     model = pieces.load(pieces.default_model())
     return pieces.encode(table(spark, folder, "documents"), model, keep_ids=False)
+
+
+_SQL["op1_ball_tree_top_k"] = """
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_dot_product(q.vector, c.vector) AS BIGINT) AS score
+        FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(row_number() OVER (
+               PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5"""
+
+
+def _op7_sql() -> str:
+    """Base and candidate spans of every text by splitting it at the matches."""
+
+    def places(kind: int, pattern: str) -> str:
+        # What is before a match: the pieces up to it and the matches before.
+        escaped = pattern.replace("'", "''")
+        return f"""
+            SELECT doc_id, source, {kind} AS kind, i, matches[i] AS match,
+                   list_sum(list_transform(pieces[1:i], lambda p: length(p)))
+                   + coalesce(list_sum(list_transform(matches[1:i - 1], lambda m: length(m))), 0) AS start
+            FROM (SELECT doc_id, source, matches, pieces, unnest(range(1, len(matches) + 1)) AS i
+                  FROM (SELECT doc_id, source, regexp_extract_all(body, '{escaped}') AS matches,
+                               regexp_split_to_array(body, '{escaped}') AS pieces FROM doc))"""
+
+    # The same forms in the dialect of this engine.
+    assign = secrets.ASSIGN.replace("\\x20", " ")
+    found = " UNION ALL ".join(
+        places(kind, pattern)
+        for kind, pattern in enumerate(
+            (assign, "AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}", "[A-Za-z0-9_-]{20,}")
+        )
+    )
+    value = f"CASE kind WHEN 0 THEN regexp_extract(match, '{assign.replace(chr(39), chr(39) * 2)}', 1) ELSE match END"
+
+    def joined(where: str) -> str:
+        names = "['assign', 'access', 'hex', 'key'][kind + 1]"
+        span = f"{names} || ':' || start || ':' || stop"
+        return f"coalesce(string_agg({span}, ',' ORDER BY start, kind) FILTER ({where}), '')"
+
+    counts = ", ".join(
+        f"count(*) FILTER (kind = {kind}) AS n_{name}" for kind, name in enumerate(("assign", "access", "hex"))
+    )
+    return f"""
+        WITH doc AS (SELECT doc_id, source, coalesce(text, '') AS body FROM documents),
+        every AS (SELECT *, CAST(start + length(match) AS BIGINT) AS stop, {value} AS value
+                  FROM ({found})),
+        base AS (SELECT * FROM every WHERE kind IN (1, 2) OR (kind = 0 AND length(value) >= 8)),
+        candidate AS (
+            SELECT * FROM every c WHERE kind = 3 AND regexp_matches(value, '[0-9]')
+              AND regexp_matches(value, '[A-Za-z]')
+              AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id
+                              AND b.start < c.stop AND c.start < b.stop)),
+        spans AS (SELECT * FROM base UNION ALL SELECT * FROM candidate),
+        owned AS (SELECT value, count(DISTINCT coalesce(source, '?')) AS owners FROM spans GROUP BY 1),
+        kept AS (SELECT s.* FROM spans s JOIN owned USING (value)
+                 WHERE kind < 3 OR owners < {secrets.EXAMPLE_OWNERS})
+        SELECT doc.doc_id, {counts}, sha256({joined("kind < 3")}) AS base_sha256,
+               {joined("kind IS NOT NULL")} AS spans
+        FROM doc LEFT JOIN kept USING (doc_id) GROUP BY doc.doc_id"""
+
+
+_SQL["op7_secret_spans"] = _op7_sql()
