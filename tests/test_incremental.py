@@ -7,6 +7,7 @@ from tidemark.operators import incremental as inc
 from tidemark.operators.incremental import IncrementalTable
 from tidemark.plans.metrics import agg_post_metrics_daily
 from tidemark.plans.staging import stg_events
+from tidemark.sources import paths
 
 EVENT = "event_id string, user_id string, post_id string, created_at timestamp_ntz, event_type string"
 
@@ -185,3 +186,38 @@ def test_watermark_filter_prunes_partitions(spark, staged, capsys):
     inc.since_day(staged.read(spark), "partition_date", day("2100-01-02")).explain("formatted")
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(partition_date" in plan
+
+
+def test_a_batch_looks_at_the_days_of_its_ids_only(spark, staged, monkeypatch):
+    events = [event(str(i), f"{1 + i % 9:02d} 10:00:00") for i in range(90)]
+    load(spark, staged, *events)
+    read, looked = IncrementalTable.read_days, []
+
+    def read_days(self, session, days):
+        looked.append(set(days))
+        return read(self, session, days)
+
+    def whole(self, session):
+        raise AssertionError("all days are read")
+
+    monkeypatch.setattr(IncrementalTable, "read_days", read_days)
+    again = stg_events(raw(spark, event("3", "12 10:00:00"), event("13", "12 11:00:00")))
+    with monkeypatch.context() as patched:
+        patched.setattr(IncrementalTable, "read", whole)
+        changed = inc.delete_insert(again, staged)
+    moved = {day("2100-01-04"), day("2100-01-05")}
+    assert changed == moved | {day("2100-01-12")}
+    assert looked[0] == moved
+    found = {name: date for name, _, date in content(spark, staged)}
+    assert len(found) == 90 and found["3"] == found["13"] == "2100-01-12"
+    # The index is read by folders of the keys' hash.
+    index = spark.read.parquet(f"{staged.path}/_index")
+    plan = index.where("_bucket = 3")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan
+
+
+def test_a_table_without_an_index_is_searched_as_a_whole(spark, staged):
+    load(spark, staged, event("a", "01 10:00:00"), event("b", "02 10:00:00"))
+    paths.remove(spark, f"{staged.path}/_index")
+    assert names(load(spark, staged, event("a", "03 10:00:00"))) == ["a", "b"]
+    assert not paths.exists(spark, f"{staged.path}/_index")

@@ -26,6 +26,8 @@ from tidemark.sources import paths
 
 # Up to this many keys of a batch are sent to every task; more are shuffled.
 BROADCAST_KEYS = 2_000_000
+# Folders of the index from keys to days.
+INDEX_BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -116,18 +118,48 @@ def _write(df: DataFrame, table: IncrementalTable, mode: str) -> None:
 def full_refresh(df: DataFrame, table: IncrementalTable) -> None:
     """Build the table from nothing. ``df`` must not read it."""
     _write(df, table, "static")
+    if table.day not in table.keys:
+        _index(table.read(df.sparkSession), table, "overwrite")
+
+
+def _bucket(table: IncrementalTable) -> Column:
+    return F.pmod(F.xxhash64(*table.keys), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def _index(rows: DataFrame, table: IncrementalTable, mode: str) -> None:
+    """Note the days of these rows' keys beside the table, in folders by a hash of the key.
+
+    The index names every day a key may be on. A key that left a day stays noted for it,
+    which costs a look at that day and nothing else.
+    """
+    noted = rows.select(*table.keys, table.day).withColumn("_bucket", _bucket(table))
+    writer = noted.hint("rebalance", "_bucket").write.mode(mode)
+    writer.partitionBy("_bucket").parquet(f"{table.path}/_index")
+
+
+def _days_of(keys: DataFrame, table: IncrementalTable) -> set[dt.date | None] | None:
+    """The days these keys may be on, from their folders of the index; None without one."""
+    spark = keys.sparkSession
+    if not paths.exists(spark, f"{table.path}/_index/_SUCCESS"):
+        return None
+    # At most INDEX_BUCKETS numbers.
+    buckets = [r[0] for r in keys.select(_bucket(table)).distinct().collect()]
+    noted = spark.read.parquet(f"{table.path}/_index").where(F.col("_bucket").isin(buckets))
+    return _listed(noted.join(keys, list(table.keys), "left_semi").select(table.day))
 
 
 @dataclass(frozen=True)
 class DayUpdate:
     """The complete new content of some days.
 
-    ``shrinking`` are the days that only lose rows; these may end up empty.
+    ``shrinking`` are the days that only lose rows; these may end up empty. ``batch``
+    are the rows that came, if the table is indexed by their key.
     """
 
     content: DataFrame
     days: frozenset[dt.date | None]
     shrinking: frozenset[dt.date | None] = field(default_factory=frozenset)
+    batch: DataFrame | None = None
 
 
 @contextmanager
@@ -136,7 +168,7 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
 
     Rows of a batch key are removed wherever they are, also on days the batch does
     not reach itself (an event sent again with a later time leaves its old day).
-    Of the days without any such row only the keys are read.
+    The index tells which days these are; only their keys are read.
     """
     spark = batch.sparkSession
     # Written out once: the batch is used several times, may depend on the table it
@@ -154,8 +186,13 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
             # The whole table is then searched without shuffling it.
             batch_keys = F.broadcast(batch_keys)
         shrinking = set()
+        indexed = None
         if table.day not in keys and days:
-            others = table.read(spark).where(~_on(table.day, days))
+            indexed = _days_of(batch_keys, table)
+            if indexed is None:
+                others = table.read(spark).where(~_on(table.day, days))
+            else:
+                others = table.read_days(spark, indexed - days)
             holding = others.join(batch_keys, keys, "left_semi")
             shrinking = _listed(holding.select(table.day))
         before = table.read_days(spark, days | shrinking)
@@ -169,7 +206,8 @@ def merged_days(batch: DataFrame, table: IncrementalTable) -> Iterator[DayUpdate
             same = [F.col(name).eqNullSafe(F.col(new)) for name, new in names.items()]
             kept = kept.join(again, reduce(operator.and_, same), "left_anti")
         content = kept.unionByName(batch)
-        yield DayUpdate(content, frozenset(days | shrinking), frozenset(shrinking))
+        noted = None if indexed is None else batch
+        yield DayUpdate(content, frozenset(days | shrinking), frozenset(shrinking), noted)
     finally:
         paths.remove(spark, folder)
 
@@ -179,6 +217,9 @@ def replace_days(update: DayUpdate, table: IncrementalTable) -> None:
     if not update.days:
         return
     spark = update.content.sparkSession
+    if update.batch is not None:
+        # Before the rows: a day too many in the index does no harm, one too few would.
+        _index(update.batch, table, "append")
     emptied = set()
     if update.shrinking:
         some = update.content.where(_on(table.day, update.shrinking))
