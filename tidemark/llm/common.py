@@ -10,13 +10,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import working_folder
 
 # Bytes of text that a task works on at once, whatever the size of an Arrow batch.
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,9 +44,8 @@ def slices(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of ``name`` each; one row at least."""
     if not batch.num_rows:
         return
-    column = text_column(batch, name)
-    ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)[1:]
-    group = (ends - ends[0]) // SLICE_BYTES
+    sizes = pc.binary_length(batch.column(name)).fill_null(0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         yield batch.slice(start, end - start)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_column
+from tidemark.llm.common import slices, text_column
 
 # Cells are padded to the widest of their column, but no further than this.
 CELL_WIDTH = 60
@@ -366,10 +366,10 @@ def extract(pages: DataFrame, html_column: str = "html", text_name: str = "text"
     schema = rows.select(*kept).schema.add(text_name, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # The markup is the last column, whatever the others are called.
-            column = batch.column(batch.num_columns - 1).cast(pa.large_string()).fill_null("")
-            texts = pa.array([render(page, cell_width) for page in column.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*kept, text_name])
+        for part in (p for batch in batches for p in slices(batch, html_column)):
+            texts = [render(page, cell_width) for page in text_column(part, html_column).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], pa.array(texts, pa.string())], names=[*kept, text_name]
+            )
 
     return rows.mapInArrow(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import text_column
+from tidemark.llm.common import slices, text_column
 
 KINDS = ("email", "ip", "card", "phone", "crf_name", "crf_phone", "crf_id")
 # The forms.
@@ -378,9 +378,9 @@ def detect(documents: DataFrame, id_column: str = "doc_id", text_column_name: st
         def spans(found):
             return pa.array([[{"start": s, "kind": KINDS[k], "end": e} for s, k, e in own] for own in found], kind)
 
-        for batch in batches:
-            found = find(text_column(batch, "text").to_pylist(), field)
-            columns = [batch.column("doc_id"), spans([b for b, _ in found]), spans([a for _, a in found])]
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            found = find(text_column(part, "text").to_pylist(), field)
+            columns = [part.column("doc_id"), spans([b for b, _ in found]), spans([a for _, a in found])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "base", "spans"])
 
     schema = rows.select("doc_id").schema.add("base", T.ArrayType(_SPAN)).add("spans", T.ArrayType(_SPAN))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_column, unused
+from tidemark.llm.common import slices, text_column, unused
 
 SAMPLE = 40_000
 BINS = 32
@@ -240,10 +240,10 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
 
 
 def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        numbers = pa.array([features(t) for t in text_column(batch, "text").to_pylist()], pa.list_(pa.float64()))
+    for part in (p for batch in batches for p in slices(batch, "text")):
+        numbers = pa.array([features(t) for t in text_column(part, "text").to_pylist()], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), numbers],
+            [part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), numbers],
             names=["doc_id", "label", "numbers"],
         )
 
@@ -251,14 +251,16 @@ def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score(documents: DataFrame, model: QualityModel, columns: list[str], text: str = "text", name: str = "score") -> DataFrame:
     """These columns of the documents, and the score of each text."""
     kept = [c for c in columns if c != name]
-    rows = documents.select(*kept, F.col(text).alias(unused(kept, "_text")))
+    own = unused(kept, "_text")
+    rows = documents.select(*kept, F.col(text).alias(own))
     schema = rows.select(*kept).schema.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.large_string()).fill_null("")
-            numbers = np.array([features(t) for t in texts.to_pylist()]).reshape(-1, len(FEATURES))
-            found = pa.array(model.scores(numbers), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*kept, name])
+        for part in (p for batch in batches for p in slices(batch, own)):
+            numbers = [features(t) for t in text_column(part, own).to_pylist()]
+            found = model.scores(np.array(numbers).reshape(-1, len(FEATURES)))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], pa.array(found, pa.float64())], names=[*kept, name]
+            )
 
     return rows.mapInArrow(run, schema)

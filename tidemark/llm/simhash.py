@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_column, unused
+from tidemark.llm.common import slices, stored, text_column, unused
 from tidemark.llm.graph import components
 
 SEED = 42
@@ -70,11 +70,11 @@ def fingerprints(documents: DataFrame, id_column: str, text_column_name: str, wo
     """(doc_id, fp): the fingerprint's 64 bits as a signed number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_column(batch, "text").to_pylist()
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            texts = text_column(part, "text").to_pylist()
             found = np.array([text_fingerprint(t, words) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [part.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
             )
 
     texts = documents.select(

@@ -9,7 +9,6 @@ apart again. Every other word is a call's text of its own, as it stands.
 
 from __future__ import annotations
 
-import json
 import os
 from functools import lru_cache
 
@@ -17,12 +16,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words of letters that are sent to the library as one text.
+# Words of letters that are sent to the library as one text, and texts of a call.
 WORDS_PER_CALL = 64
+TEXTS_PER_CALL = 256
 # Words whose ids a process keeps, some tens of MB.
 KNOWN_WORDS = 300_000
-# A word of letters that may have one full stop or comma behind it.
-_LETTERS = r"^\pL+[.,]?$"
+# A word of Latin letters that may have one full stop or comma behind it. Letters that
+# lower case or composition turns into a letter and a mark are not among these: a mark
+# would go together with what follows.
+_LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,]?$"
 
 
 class TextEncoder:
@@ -33,21 +35,26 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        model = json.loads(self._tokenizer.to_str())["model"]
-        suffix = model.get("end_of_word_suffix")
+        suffix = self._tokenizer.model.end_of_word_suffix
         if not suffix:
             raise ValueError(f"{path} is not a vocabulary with word ends")
         self.size = self._tokenizer.get_vocab_size()
+        words = self._tokenizer.get_vocab(with_added_tokens=False)
         self._ends_word = np.zeros(self.size, dtype=bool)
-        self._ends_word[[i for word, i in model["vocab"].items() if word.endswith(suffix)]] = True
+        self._ends_word[[i for word, i in words.items() if word.endswith(suffix)]] = True
         # Words of letters that stay known from one call to the next.
         self._known = pa.array([], pa.large_string())
         self._known_table = _joined([]), _joined([], np.int64), _joined([], np.int64)
         self._stops = {mark: self._encoded([mark])[0] for mark in ".,"}
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.uint32) for e in found]
+        ids: list[np.ndarray] = []
+        # The library's results hold much more than ids; few of them are kept at a time.
+        for at in range(0, len(texts), TEXTS_PER_CALL):
+            some = texts[at : at + TEXTS_PER_CALL]
+            found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            ids.extend(np.array(e.ids, dtype=np.uint32) for e in found)
+        return ids
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, one after the other, and the number of each."""
