@@ -782,12 +782,17 @@ def dq_suite_with_faults(spark, folder):
 # --- streaming ---------------------------------------------------------------
 
 
-def _delivered(spark: SparkSession, *batches: DataFrame) -> DataFrame:
-    """Batches of raw events as files that arrive one after the other, as a stream."""
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream, as it is given."""
+    return streams.read_stream(spark, f"{folder}/events.parquet", adapter.schema("events"))
+
+
+def _deliveries(spark: SparkSession, *batches: DataFrame) -> Iterator[DataFrame]:
+    """The stream of a folder, each time another batch of raw events has been put there."""
     path = f"{working_folder(spark)}/delivered"
     for batch in batches:
-        batch.coalesce(1).write.mode("append").parquet(path)
-    return streams.read_stream(spark, path, batches[0].schema, max_files=1)
+        batch.write.mode("append").parquet(path)
+        yield streams.read_stream(spark, path, batch.schema)
 
 
 @_query
@@ -799,8 +804,8 @@ def stream_daily_metrics(spark, folder):
     events, middle = adapter.events(spark, folder), _middle_day(spark, folder)
     early, wrong = F.to_date("created_at") <= F.lit(middle), F.col("event_id") % 3 == 0
     first = events.where(early).withColumn("user_id", F.when(wrong, -1).otherwise(F.col("user_id")))
-    raw = _delivered(spark, first, events.where(~early), events.where(early & wrong))
-    streams.run_available(streams.build_daily_tables(raw, *tables), f"{root}/progress")
+    for raw in _deliveries(spark, first, events.where(~early), events.where(early & wrong)):
+        streams.run_available(streams.build_daily_tables(raw, *tables), f"{root}/progress")
     return tables[2].read(spark)
 
 
@@ -813,11 +818,9 @@ def _run_to_table(stream: DataFrame, root: str) -> DataFrame:
 @_query
 def stream_dedup(spark, folder):
     """Every event delivered twice, kept once."""
-    events = adapter.events(spark, folder)
-    raw = _delivered(spark, events.unionAll(events))
-    return _run_to_table(
-        streams.deduplicated(raw, "created_at", STREAM_DELAY), working_folder(spark)
-    )
+    once, again = (adapter.as_events(_event_stream(spark, folder)) for _ in range(2))
+    kept = streams.deduplicated(once.unionAll(again), "created_at", STREAM_DELAY)
+    return _run_to_table(kept, working_folder(spark))
 
 
 @_query
@@ -825,8 +828,9 @@ def stream_sessions(spark, folder):
     """Sessions of two deliveries, and those that are still open at the end."""
     events, middle = adapter.events(spark, folder), _middle_day(spark, folder)
     early = F.to_date("created_at") <= F.lit(middle)
-    raw = _delivered(spark, events.where(early), events.where(~early))
-    sessions = streams.stream_sessions(raw, "user_id", "created_at", STREAM_DELAY)
-    emitted = _run_to_table(sessions, working_folder(spark))
+    root = working_folder(spark)
+    for raw in _deliveries(spark, events.where(early), events.where(~early)):
+        sessions = streams.stream_sessions(raw, "user_id", "created_at", STREAM_DELAY)
+        emitted = _run_to_table(sessions, root)
     still_open = streams.open_sessions(events, emitted, "user_id", "created_at")
     return emitted.unionByName(still_open)
