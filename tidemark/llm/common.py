@@ -49,6 +49,8 @@ def slices(batch: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         yield batch.slice(start, end - start)
+        # Workers live on; what a slice took is not theirs to keep.
+        pa.default_memory_pool().release_unused()
 
 
 def crc32(ids: np.ndarray) -> int:
@@ -93,9 +95,16 @@ def sums_before(df: DataFrame, order: str, value: str, name: str, group: int = 4
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
+# Bytes of an Arrow batch, of which a task holds several copies.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, for those that were not started with it."""
+    """Gives the executors this package, for those that were not started with it, and
+    bounds Arrow batches by their bytes unless the session does so already."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_BYTES[0], None) is None:
+        spark.conf.set(*_BATCH_BYTES)
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).resolve().parent.parent
