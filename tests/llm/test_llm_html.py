@@ -45,6 +45,34 @@ CASES = [
 ]
 
 
+QUOTES = [
+    ('<p class=x">visible text</p><p>more text</p>', "visible text\n\nmore text"),
+    ("<a title='it's'>link</a> more text", "link more text"),
+    ("<p title='it's hidden'>yes", "yes"),
+    ("<p title='a>b' hidden>no</p>yes", "yes"),
+    ('<p "hidden">yes</p><p class = "a>b">on', "yes\n\non"),
+    ("<p ='a>b", "b"),
+    ("<p class=>a</p><p class=a'b>c</p>'d", "a\n\nc\n\n'd"),
+    ("<p style=display:none>no</p><p style=\"display:none'>\">no</p>yes", "yes"),
+    ('<a href="x"title="y>z">link</a \'> on', "link on"),
+    ("a<!-->b<!--->c<!-- x --!>d<!-- -- > -->e", "abcde"),
+    ("<!-->visible<p>text", "visible\n\ntext"),
+]
+
+
+@pytest.mark.parametrize("page,text", QUOTES)
+def test_stray_quotes_hide_nothing(page, text):
+    assert render(page) == text
+
+
+def test_quotes_take_time_in_proportion():
+    started = time.process_time()
+    for piece in ("<a '", "<a b='", "<a b=\"'>", "<a = ", "<!-->", "a=b' ", " =", "<a b   "):
+        render(piece * 50_000)
+        render("<a " + piece * 50_000)
+    assert time.process_time() - started < 20
+
+
 @pytest.mark.parametrize("page,text", CASES)
 def test_layout(page, text):
     assert render(page).strip(" ") == text

@@ -57,13 +57,17 @@ CLOSES = {
     **{tag: ({"td", "th", "tr", "tbody", "thead", "tfoot", "caption"}, {"table"}) for tag in ("tbody", "thead", "tfoot")},
 }
 
+# An attribute as a browser reads it: a quote opens a string right after the equals sign
+# only; elsewhere it is a character of the name or value. What is cut off goes on to the end.
+_NAME = r"(?:=[^ \t\n\r\f/>=]*+|[^ \t\n\r\f/>=]++)"
+_VALUE = r"""[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\r\f>"'][^ \t\n\r\f>]*+)?+"""
 # Markup that is cut off goes on to the end of the page, so that every position is read once.
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)""",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE})?+)*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_ATTRIBUTE = re.compile(rf"({_NAME})({_VALUE})?+")
 _CONCEALED = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -78,8 +82,11 @@ class Node:
 
 def attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
-    for name, *values in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), unescape(next((v for v in values if v), "")))
+    for name, value in _ATTRIBUTE.findall(text):
+        value = value.lstrip(" \t\n\r\f")[1:].lstrip(" \t\n\r\f")
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        found.setdefault(name.lower(), unescape(value))
     return found
 
 
