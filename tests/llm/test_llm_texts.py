@@ -133,6 +133,29 @@ def test_vectors_add_up_in_any_order(spark):
     assert row["v_whole"] == row["sum"] and row["less"] == row["v_rest"] and row["same"] == 1.0
 
 
+def test_order_of_paragraphs_does_not_matter(spark):
+    lines = [f"line {i} has its own words, some {i * 7} of them and a few more {i % 3}" for i in range(30)]
+    rng = np.random.default_rng(1)
+    texts = ["A\nB", "B\nA", "\n B \r\nA\n\n", "A B"]
+    texts += ["\n".join(lines), "\n".join(rng.permutation(lines)), "  \n".join(lines[::-1]) + "\n"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    v = [r["v"] for r in multiset.with_vector(rows, "text", "v").orderBy("i").collect()]
+    assert v[0] == v[1] == v[2] != v[3]
+    assert v[4] == v[5] == v[6]
+
+
+def test_an_edit_changes_what_is_next_to_it_only(spark):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in rng.integers(0, 5000, 2000)]
+    whole = " ".join(words)
+    pairs = [(whole, f"first {whole}"), (whole, " ".join(words[1:])), (whole, " ".join(words[:700] + ["x"] + words[700:]))]
+    pairs += [(whole, " ".join(words[::-1]))]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = multiset.with_vector(multiset.with_vector(df, "a", "u"), "b", "v")
+    like = [r[0] for r in df.select(multiset.likeness(F.col("u"), F.col("v"))).collect()]
+    assert min(like[:3]) > 0.9 and like[3] < 0.4
+
+
 # --- pieces -------------------------------------------------------------------
 
 

@@ -1,8 +1,10 @@
 """Document fingerprints that add up: a multiset hash of paragraphs.
 
-A paragraph is a line, or what eight words in a row are of a longer one, so that texts
-without line breaks have paragraphs too. Each is hashed to a wide vector, and a
-document's fingerprint is the sum of its paragraphs' vectors, lane by lane, modulo
+A paragraph is a line or a part of one: lines are cut between two words wherever a hash
+of these two says so, after eight words on average, so that texts without line breaks
+have paragraphs too and an edit changes none but the paragraphs next to it. The white
+space around and within paragraphs is not part of them. Each is hashed to a wide vector,
+and a document's fingerprint is the sum of its paragraphs' vectors, lane by lane, modulo
 powers of two. Order does not matter, paragraphs are added and taken away by adding and
 subtracting vectors, and equal multisets have equal vectors. The vector
 has a count (modulo 2**32), WIDE lanes modulo 2**40 that tell multisets apart, and LANES
@@ -13,7 +15,7 @@ estimate what two documents share.
 All of it is column expressions; a vector is computed where its row is.
 
 Defined results: NULL text is the empty text; its vector is zero, and two empty texts
-are alike (1.0). Repeated rows are documents of their own. Equal ids are ordered by a
+are alike (1.0). A text of nothing but white space is one paragraph. Repeated rows are documents of their own. Equal ids are ordered by a
 hash of the text, then the text; rows without an id come last in descending order. An
 empty table gives no rows, a single document is its own next.
 """
@@ -23,8 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A paragraph with the white space before it; all characters are in one.
-PARAGRAPH = r"\s*+(?:\S++[ \t]*+){1,8}+|\s++"
+# A word, or a line break with the white space after it.
+TOKEN = r"\S++|[\r\n]\s*+"
+# One in so many places between two words of a line is a cut; a power of two.
+CUT = 8
 WIDE = 3
 WIDE_BITS = 40
 SIGN_HASHES = 2
@@ -40,6 +44,31 @@ BROADCAST_HEADS = 1_000_000
 _TWO = (1 << 32) + 1
 
 
+def _words(text: Column) -> Column:
+    """Hashes of the words; NULL where a line ends."""
+    breaks = lambda t: t.startswith("\n") | t.startswith("\r")
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    words = F.transform(tokens, lambda t: F.when(~breaks(t), F.xxhash64(t)))
+    return F.when((text != "") & ~text.rlike(r"\S"), F.array(F.xxhash64(text))).otherwise(words)
+
+
+def _starts(words: Column) -> Column:
+    """Places (from 1) of the words that paragraphs begin with."""
+
+    def place(word: Column, i: Column) -> Column:
+        # NULL at the beginning of a line.
+        both = F.get(words, i - 1).bitwiseXOR(F.shiftright(word, 8)).bitwiseAND(CUT - 1)
+        return F.when(word.isNotNull() & (F.coalesce(both, F.lit(0)) == 0), i + 1)
+
+    return F.filter(F.transform(words, place), lambda start: start.isNotNull())
+
+
+def _paragraphs(words: Column, starts: Column) -> Column:
+    """The hashes of each paragraph's words; NULLs at its end count for nothing when hashed."""
+    end = lambda i: F.coalesce(F.get(starts, i + 1), F.size(words) + 1)
+    return F.transform(starts, lambda start, i: F.slice(words, start, end(i) - start))
+
+
 def _hashes(parts: str, seed: int) -> Column:
     return F.transform(parts, lambda p: F.xxhash64(F.lit(seed), p))
 
@@ -56,12 +85,13 @@ def _wide_lane(hashes: Column) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("bigint"), step)
 
 
-def with_vector(df: DataFrame, text: str, name: str, paragraph: str = PARAGRAPH) -> DataFrame:
+def with_vector(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds the vector of a text column as an array of numbers."""
     own = df.columns
-    parts = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(paragraph), F.lit(0))
     # One step after the other, so that nothing is computed once per lane.
-    hashed = df.withColumn("_parts", parts).select(
+    cut = df.withColumn("_words", _words(F.coalesce(F.col(text), F.lit(""))))
+    cut = cut.withColumn("_starts", _starts(F.col("_words")))
+    hashed = cut.withColumn("_parts", _paragraphs(F.col("_words"), F.col("_starts"))).select(
         *own,
         F.size("_parts").cast("bigint").alias("_n"),
         *[_hashes("_parts", i).alias(f"_h{i}") for i in range(SIGN_HASHES + WIDE)],
