@@ -93,6 +93,17 @@ def test_multi_index_finds_every_distance(spark):
         assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_one_id_with_several_texts(spark):
+    near = lambda start: [" ".join(f"{start}{i % 977}" for i in range(3000)) + more for more in ("", " more")]
+    (a, a_), (c, c_), b = near("word"), near("other"), "quite another text that is like none"
+    docs = spark.createDataFrame([(3, a), (5, a_), (5, b), (7, c), (7, c_), (7, c)], "doc_id bigint, text string")
+    groups_of = {r["fingerprint"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    assert sorted(groups_of.values()).count(3) == 2 or len(groups_of) < 5  # a and a_ are near
+    kept = [tuple(r) for r in simhash.without_near_duplicates(docs).collect()]
+    assert len(kept) == 3 and (3, a) in kept and (5, b) in kept
+    assert ((7, c) in kept) != ((7, c_) in kept)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = graph.components(links.where("a <> 150"))

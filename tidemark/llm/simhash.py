@@ -66,21 +66,25 @@ def text_fingerprint(text: str, words: int = 3) -> int:
     return int(_POWERS[2 * set_bits > count].sum(dtype=np.uint64))
 
 
-def fingerprints(documents: DataFrame, id_column: str, text_column_name: str, words: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a signed number."""
+def fingerprints(
+    documents: DataFrame, id_column: str, text_column_name: str, words: int, hash_column: str | None = None
+) -> DataFrame:
+    """(doc_id, fp): the fingerprint's 64 bits as a signed number; and text_hash, where it is asked for."""
+    more = [] if hash_column is None else ["text_hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in slices(batch, "text")):
             texts = text_column(part, "text").to_pylist()
             found = np.array([text_fingerprint(t, words) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
-            )
+            columns = [part.column("doc_id"), pa.array(found.view(np.int64)), *[part.column(n) for n in more]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *more])
 
     texts = documents.select(
-        F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column_name).alias("text")
+        F.col(id_column).cast("bigint").alias("doc_id"),
+        F.col(text_column_name).alias("text"),
+        *[F.col(hash_column).alias(n) for n in more],
     )
-    return texts.mapInArrow(run, "doc_id bigint, fp bigint")
+    return texts.mapInArrow(run, "doc_id bigint, fp bigint" + "".join(f", {n} bigint" for n in more))
 
 
 def _balls(distance: int, bits: int = BITS) -> list[tuple[int, int, int]]:
@@ -251,16 +255,21 @@ def near_duplicates(
 ) -> DataFrame:
     """One row a document: doc_id, fingerprint (16 hex digits), component_id."""
     prints = stored(fingerprints(documents, id_column, text_column_name, words), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    return _with_group(prints, F.col("doc_id"), distance).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _with_group(prints: DataFrame, name: Column, distance: int) -> DataFrame:
+    """Adds ``component_id``, the smallest ``name`` among the rows of a row's group."""
+    distinct = stored(prints.groupBy("fp").agg(F.min(name).alias("first_id")), "distinct")
     roots = components(near_links(distinct.select("fp"), distance))
     labelled = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     names = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = labelled.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return prints.join(named, "fp")
 
 
 def without_near_duplicates(
@@ -270,33 +279,38 @@ def without_near_duplicates(
     words: int = 3,
     distance: int = 3,
 ) -> DataFrame:
-    """One document of each group: that with the smallest id.
+    """One document of each group: that with the smallest id, and of these the smallest hash of its text.
 
-    A row without an id is known by its text instead, and comes after all others. Of
-    rows with the same id and the same text one stays; an id that comes with several
-    texts names a document for each of them.
+    A document is known by its id and its text: an id that comes with several texts names
+    a document for each of them, and of rows with the same id and the same text one
+    stays. A row without an id is known by its text, and comes after all others.
     """
     text = F.coalesce(F.col(text_column_name), F.lit(""))
-    unnamed = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    text_hash = F.xxhash64(text)
+    unnamed = text_hash.bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     key = F.coalesce(F.col(id_column).cast("bigint"), unnamed)
     own, gone_name, again_name, hash_name = (
         unused(documents.columns, name) for name in ("_key", "_gone", "_again", "_hash")
     )
-    keyed = documents.select(key.alias("key"), text.alias("text"))
-    groups = stored(near_duplicates(keyed, "key", "text", words, distance), "groups")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(own)).distinct()
+    keyed = documents.select(key.alias("key"), text.alias("text"), text_hash.alias("hash"))
+    prints = stored(fingerprints(keyed, "key", "text", words, "hash"), "fingerprints")
+    named = _with_group(prints, F.struct("doc_id", "text_hash"), distance)
+    groups = stored(named.select("doc_id", "text_hash", "component_id"), "groups")
+    document = [F.col("doc_id").alias(own), F.col("text_hash").alias(hash_name)]
+    gone = groups.where(F.struct("doc_id", "text_hash") != F.col("component_id")).select(*document).distinct()
     gone = stored(gone.withColumn(gone_name, F.lit(True)), "gone")
-    repeated = groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    repeated = stored(repeated.select(F.col("doc_id").alias(own), F.lit(True).alias(again_name)), "repeated")
+    repeated = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
+    repeated = stored(repeated.select(*document, F.lit(True).alias(again_name)), "repeated")
 
     def marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
         few = keys.count() <= BROADCAST_KEYS
-        return rows.join(F.broadcast(keys) if few else keys, own, "left")
+        return rows.join(F.broadcast(keys) if few else keys, [own, hash_name], "left")
 
-    left = marked(documents.withColumn(own, key), gone).where(F.col(gone_name).isNull())
+    rows = documents.withColumns({own: key, hash_name: text_hash})
+    left = marked(rows, gone).where(F.col(gone_name).isNull())
     if repeated.isEmpty():
         return left.select(*documents.columns)
     left = marked(left, repeated)
-    again = left.where(F.col(again_name)).withColumn(hash_name, F.xxhash64(text)).dropDuplicates([own, hash_name])
+    again = left.where(F.col(again_name)).dropDuplicates([own, hash_name])
     once = left.where(F.col(again_name).isNull()).select(*documents.columns)
     return once.unionByName(again.select(*documents.columns))
