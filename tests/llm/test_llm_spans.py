@@ -153,6 +153,19 @@ def test_the_field_on_sentences_it_has_not_seen():
         assert found(clean) == []
 
 
+def test_the_field_without_titles_and_far_from_cues():
+    def found(text):
+        return [(pii.KINDS[k], text[s:e]) for s, k, e in pii.find([text], pii.train())[0][1]]
+
+    assert found("SSN (078-05-1120)") == [("crf_id", "078-05-1120")]
+    assert found("call 555-0166!") == [("crf_phone", "555-0166")]
+    assert found("Her SSN as shown on file was 078-05-1120") == [("crf_id", "078-05-1120")]
+    assert found("we spoke with a man and met Karl Weber there") == [("crf_name", "Karl Weber")]
+    assert found("a letter from Susan Hill arrived") == [("crf_name", "Susan Hill")]
+    for clean in ("Yesterday 078-05-1120 rows came", "He sat in the Garden. The end", "line\nThe next line"):
+        assert found(clean) == []
+
+
 def test_viterbi_equals_brute_force():
     from itertools import product
 

@@ -6,10 +6,10 @@ by a random field over the shapes of words, their neighbours' shapes and cue wor
 trained on the labelled sentences below and decoded with the Viterbi algorithm, all
 stretches of a batch at a time. Its spans are added where no span by form is.
 
-A word without a digit, not in a row of capitalised words after a title, can only be
-outside; the chain falls apart there, so that decoding the stretches between such words
-gives the same labels as decoding whole texts. Numbers need a cue among the three words
-before their stretch.
+A word without a digit or a capital in front can only be outside; the chain falls apart
+there, so that decoding the stretches between such words gives the same labels as decoding
+whole texts. All else is learned: shapes, cues among the WINDOW words before, neighbours.
+Marks and brackets around a word are not part of its shape.
 
 Defined results: NULL text is the empty text and has no spans. Repeated rows are rows of
 their own. An empty table gives no rows.
@@ -89,12 +89,66 @@ SENTENCES = (
     "room 12 on floor 3",
     "Dr. is short for doctor",
     "Mr. and Mrs. are titles",
-    "The Doctor said John Smith was fine",
+    "The Doctor said [N|John Smith] was fine",
     "Rivers And Lakes 1984 edition",
     "2024-01-31 10:15:00 started",
     "10.0.0.1 answered in 20 ms",
     "total 1,234,567 rows in 89 files",
     "the number 8675309 appears twice",
+    "The ssn ( [I|219-09-9999] )",
+    "passport ([I|912803456]) was given",
+    "His passport as far as we know is [I|533380006]",
+    "The passport she had with her had number [I|912803456] in it",
+    "Her ssn , we were told , is [I|321-54-9876] !",
+    "phone [P|555-0142] ?",
+    "phone him tomorrow morning on [P|415-555-0187] ?",
+    "You can call the front desk at [P|(212) 555-0199] today",
+    "we met [N|John Smith] at noon",
+    "I met [N|Jane Doe] and went home",
+    "a letter from [N|Emily Carter] came",
+    "signed by [N|Alan Grey] in 2003",
+    "Name: [N|Mary Brown]",
+    "name is [N|Peter Lee] and",
+    "my friend [N|Anna Wilson] said so",
+    "ask [N|Robert Miller] about it",
+    "The teacher said [N|Laura King] was late",
+    "Yesterday [N|Tom Baker] said he was ill",
+    "It was fine . The end came . And so on",
+    "Then they left. And. Of the rest. Some Of it",
+    "the old man went to New York by train",
+    "we met on Monday in Paris",
+    "a letter from Berlin came in May",
+    "signed by The Board",
+    "Is it so. As it was, That is all. To be",
+    "der Mann und die Frau. Der Hund. Die Katze",
+    "OF!! THE!! AND!! TO!!",
+    "la casa. La mesa de El Rey. Que",
+    "reh&&& thing### onthly.%%% Thanth and",
+    "osan### el%%% mente*** la.*** Cion*** rau$$$ la%%",
+    "de%%% En%%% para*** Con,*** des&&& Cia$$$ se%%%",
+    "ara.### Se.&&& Ciega$$$ Mo.### Ra%%% con&&&",
+    "In 1998 the 9 Red Pears cost 12",
+    "with 20 Green Bottles on the wall",
+    "of 12 Small Boats there",
+    "Ereb Ereb Ereb Ereb Ereb Ereb ereb in",
+    "and And And And And And and so",
+    "Are. Are. Are. Outen Outen Outen Outen nd nd",
+    "the scum Kirou the end",
+    "a dull Thornon for it",
+    "so sad Marlyed the house",
+    "it is the Mozilla License, Version 1.1 , or later",
+    "under the Common Licence, Version 3.0",
+    "This work is licensed under the GNU Lesser Public License, version 2.",
+    "distributed under the Eclipse Public License, version 1",
+    "para una no. Ell que de",
+    "licensed under the GNU General Public License, version 3.",
+    "the Great Northern Railway Company was there",
+    "it was stupid Thanwh of them",
+    "was seen at Ondhe in the was",
+    "it. some Then the last and",
+    "was on. dull Four the next",
+    "is old Bank of the town",
+    "Old. The sad Lamp for us",
 )
 _MARKS = {"N": NAME, "P": PHONE, "I": ID}
 TITLES = frozenset(("mr", "mrs", "ms", "dr", "prof"))
@@ -104,9 +158,14 @@ _CUES = {
     **{word: "id" for word in ("ssn", "passport")},
     **{word: "number" for word in ("number", "no", "security")},
 }
-_TITLED = re.compile(r"(?<!\w)(?:Mr|Mrs|Ms|Dr|Prof|MR|MRS|MS|DR|PROF|mr|mrs|ms|dr|prof)\.?\s+(?=[A-Z])")
-_NAMES = re.compile(r"[A-Z]\S*(?:\s+[A-Z]\S*)*")
+# Words that names come after or before, and words that names do not have.
+_BESIDE = frozenset("met from by name friend ask said wrote is for with license licence public version".split())
 _WORD = re.compile(r"\S+")
+_CANDIDATE = re.compile(r"(?<!\S)(?:[^\s\w]*[A-Z]\S*|[^\s0-9]*[0-9]\S*)")
+_ENDS = re.compile(r"[.!?][^\w\s]*$")
+_MARKS_AROUND = ".,;:!?\"'()[]{}<>\u201c\u201d\u2018\u2019"
+# Words before a word in which cues are looked for, up to the sentence's beginning.
+WINDOW = 8
 
 
 def shape(word: str) -> str:
@@ -116,47 +175,59 @@ def shape(word: str) -> str:
     return "".join(kept[:12])
 
 
-def _cue(word: str) -> str:
-    return _CUES.get(word.strip(".,:;()").lower(), "-")
+@lru_cache(maxsize=100_000)
+def _own(word: str) -> tuple[str, str, str, bool]:
+    """Shape, cue, neighbour class, and whether a sentence ends with the word."""
+    core = word.strip(_MARKS_AROUND)
+    cue = _CUES.get(core.lower(), "-")
+    ends = _ENDS.search(word) is not None and cue != "title"
+    # How long a word is says nothing of names.
+    own = shape(core[:2]) if core.isalpha() else shape(core)
+    return own, cue, core.lower() if core.lower() in _BESIDE else "-", ends
 
 
 def word_features(words: list[str], at: int) -> list[str]:
-    """Features of one word in its stretch."""
+    """Features of one word in its sentence."""
     before = words[at - 1] if at else ""
-    earlier = words[at - 2] if at > 1 else ""
     after = words[at + 1] if at + 1 < len(words) else ""
-    digits = sum(c.isdigit() for c in words[at])
+    own, cue, own_word, ends = _own(words[at])
+    before_shape, before_cue, before_word, starts = _own(before)
+    after_shape, _, after_word, _ = _own(after)
+    digits = min(sum(c.isdigit() for c in words[at]), 12)
+    kind = "number" if digits else "name" if words[at].lstrip(_MARKS_AROUND)[:1].isupper() else "word"
+    near = set()
+    for word in reversed(words[max(0, at - WINDOW) : at]):
+        _, found, _, over = _own(word)
+        if over and found == "-":
+            break
+        near.add(found)
+    joined = kind == "name" and not ends and after_shape[:1] == "X"
+    alone = kind == "name" and not joined and (starts or before_shape[:1] != "X")
     return [
-        "bias",
-        f"shape {shape(words[at])}",
-        f"digits {min(digits, 12)}",
-        f"cue {_cue(words[at])}",
-        f"before {_cue(before)}",
-        f"earlier {_cue(earlier)}",
-        f"shape before {shape(before)}",
-        f"shape after {shape(after)}",
+        f"bias {kind}",
+        f"shape {own}",
+        f"digits {digits}",
+        f"cue {cue}",
+        f"before {before_cue} {kind}",
+        f"shape before {before_shape[:2]} {kind}",
+        f"shape after {after_shape[:2]} {kind}",
+        f"beside {before_word} {kind} {joined}",
+        f"followed {after_word} {kind}",
+        f"is {own_word} {kind}",
+        f"letters {own.isalpha()} {before_shape.isalpha()} {kind}",
+        f"first {starts or not before.strip()} {kind}",
+        f"alone {alone} {kind} {before_cue} {before_word}",
+        f"again {words[at] in (before, after)} {kind}",
+        *(f"near {cue} {kind}" for cue in ("phone", "id", "number") if cue in near),
+        *(f"near {cue} digits {digits}" for cue in ("phone", "id", "number") if cue in near),
+        *([] if near & {"phone", "id", "number"} else [f"no cue {kind}"]),
     ]
 
 
-_PHONE_WORD = re.compile(r"[(]?[0-9][0-9().-]{2,14}[.,;:]?")
-_ID_WORD = re.compile(r"[A-Z0-9-]{8,11}[.,;:]?")
-
-
-def cued(before: list[str]) -> tuple[bool, bool]:
-    """Whether the last three words before a number speak of a phone, or of an identity number."""
-    cues = {_cue(word) for word in before[-3:]}
-    return "phone" in cues, bool(cues & {"id", "number"})
-
-
-def allowed(word: str, in_names: bool, phone: bool, identity: bool) -> list[bool]:
+def allowed(word: str) -> list[bool]:
     """Which labels a word can have at all."""
     digit = _DIGIT.search(word) is not None
-    return [
-        True,
-        in_names and word[:1].isupper(),
-        digit and phone and _PHONE_WORD.fullmatch(word) is not None,
-        digit and identity and _ID_WORD.fullmatch(word) is not None,
-    ]
+    return [True, "A" <= word.lstrip(_MARKS_AROUND)[:1] <= "Z", digit, digit]
 
 
 @dataclass(frozen=True)
@@ -167,10 +238,10 @@ class Field:
     weights: np.ndarray
     transitions: np.ndarray
 
-    def emission(self, words: list[str], at: int, *conditions: bool) -> np.ndarray:
+    def emission(self, words: list[str], at: int) -> np.ndarray:
         known = [self.features[f] for f in word_features(words, at) if f in self.features]
         score = self.weights[known].sum(axis=0) if known else np.zeros(LABELS)
-        return np.where(allowed(words[at], *conditions), score, -1e6)
+        return np.where(allowed(words[at]), score, -1e6)
 
 
 def viterbi(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -202,17 +273,9 @@ def _labelled(sentence: str) -> tuple[list[str], list[int]]:
     return words, labels
 
 
-def conditions(words: list[str]) -> list[tuple[bool, bool, bool]]:
-    """For each word of a sentence: in a row of capitalised words after a title, and what is cued."""
-    found: list[tuple[bool, bool, bool]] = []
-    plain: list[str] = []
-    for at, word in enumerate(words):
-        titled = at > 0 and (found[at - 1][0] or words[at - 1].rstrip(".").lower() in TITLES)
-        in_names = titled and "A" <= word[:1] <= "Z"
-        found.append((in_names, *cued(plain)))
-        if not in_names and not _DIGIT.search(word):
-            plain.append(word)
-    return found
+def conditions(words: list[str]) -> list[tuple]:
+    """What a word's labels depend on besides the words: nothing."""
+    return [()] * len(words)
 
 
 @lru_cache(maxsize=4)
@@ -223,9 +286,11 @@ def train(sentences: tuple[str, ...] = SENTENCES, rounds: int = 150, pull: float
     coded = []
     for words, labels in table:
         found = [[names.setdefault(f, len(names)) for f in word_features(words, i)] for i in range(len(words))]
-        mask = np.array([allowed(word, *c) for word, c in zip(words, conditions(words))])
-        coded.append((np.array(found), mask, np.array(labels)))
-    weights, transitions = np.zeros((len(names), LABELS)), np.zeros((LABELS, LABELS))
+        # As many features for each word; what is missing is a feature of no weight.
+        most = max(map(len, found))
+        found = [f + [-1] * (most - len(f)) for f in found]
+        coded.append((np.array(found), np.array([allowed(word) for word in words]), np.array(labels)))
+    weights, transitions = np.zeros((len(names) + 1, LABELS)), np.zeros((LABELS, LABELS))
     moments = [np.zeros_like(weights), np.zeros_like(transitions)]
     squares = [np.zeros_like(weights), np.zeros_like(transitions)]
     for step in range(1, rounds + 1):
@@ -249,6 +314,7 @@ def train(sentences: tuple[str, ...] = SENTENCES, rounds: int = 150, pull: float
             moment += 0.1 * (slope - moment)
             square += 0.01 * (slope**2 - square)
             value += 0.1 * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        weights[-1] = 0
     return Field(names, weights, transitions)
 
 
@@ -284,44 +350,41 @@ def by_form(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def _stretches(text: str) -> list[list[tuple[int, int, bool]]]:
-    """Rows of words (start, end, after a title) that may have a label other than outside."""
-    words: dict[int, tuple[int, bool]] = {}
-    for match in _TITLED.finditer(text):
-        row = _NAMES.match(text, match.end())
-        for word in _WORD.finditer(text, match.end(), row.end()):
-            words[word.start()] = (word.end(), True)
-    digit = _DIGIT.search(text)
-    while digit:
-        start = digit.start()
-        while start and not text[start - 1].isspace():
-            start -= 1
-        end = _WORD.match(text, digit.start()).end()
-        words.setdefault(start, (end, False))
-        digit = _DIGIT.search(text, end)
-    rows: list[list[tuple[int, int, bool]]] = []
-    for start, (end, titled) in sorted(words.items()):
-        if rows and not text[rows[-1][-1][1] : start].strip():
-            rows[-1].append((start, end, titled))
+def _stretches(text: str) -> list[list[tuple[int, int]]]:
+    """Rows of words (start, end) that may have a label other than outside."""
+    rows: list[list[tuple[int, int]]] = []
+    for word in _CANDIDATE.finditer(text):
+        gap = text[rows[-1][-1][1] : word.start()] if rows else ""
+        # A capital at the beginning of a line may be there for that.
+        if rows and not gap.strip() and ("\n" not in gap or _DIGIT.search(word[0])):
+            rows[-1].append(word.span())
         else:
-            rows.append([(start, end, titled)])
+            rows.append([word.span()])
     return rows
 
 
-def _context(text: str, row: list[tuple[int, int, bool]]) -> tuple[list[str], int]:
-    """The words of a row with up to three before and one after, and how many are before."""
+def _context(text: str, row: list[tuple[int, int]]) -> tuple[list[str], int]:
+    """The words of a row with up to WINDOW before and one after, and how many are before."""
     start, end = row[0][0], row[-1][1]
-    reach = start
-    for _ in range(3):
-        stop = reach
-        while stop and text[stop - 1].isspace():
-            stop -= 1
-        reach = stop
-        while reach and not text[reach - 1].isspace() and stop - reach < 32:
-            reach -= 1
-    before = text[reach:start].split()[-3:]
+    reach = text[max(0, start - 32 * WINDOW) : start]
+    before = reach.split()[-WINDOW:]
+    if "\n" in reach[len(reach.rstrip()) :]:
+        before.append("\n")
     after = _WORD.search(text[end : end + 64])
-    return [*before, *(text[s:e] for s, e, _ in row), *([after[0]] if after else [])], len(before)
+    return [*before, *(text[s:e] for s, e in row), *([after[0]] if after else [])], len(before)
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span without the marks around it; brackets that close within it stay."""
+    while start < end:
+        inner = text[start:end]
+        if inner[-1] in ".,;:!?\"'\u201d\u2019]}>" or (inner[-1] == ")" and ("(" not in inner or inner[0] == "(" and inner.count("(") == 1)):
+            end -= 1
+        elif inner[0] in "\"'\u201c\u2018[{<" or (inner[0] == "(" and ")" not in inner):
+            start += 1
+        else:
+            break
+    return start, end
 
 
 def by_field(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]:
@@ -339,9 +402,8 @@ def by_field(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
         emissions = np.zeros((len(group), max(len(row) for _, row in group), LABELS))
         for number, (i, row) in enumerate(group):
             words, before = _context(texts[i], row)
-            cues = cued(words[:before])
-            for place, (_, _, titled) in enumerate(row):
-                emissions[number, place] = field.emission(words, before + place, titled, *cues)
+            for place in range(len(row)):
+                emissions[number, place] = field.emission(words, before + place)
         lengths = np.array([len(row) for _, row in group])
         labels = viterbi(emissions, lengths, field.transitions)
         for number in np.flatnonzero(labels.any(axis=1)):
@@ -350,8 +412,7 @@ def by_field(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]
             cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(row)]
             for first, stop in zip(cuts, cuts[1:]):
                 if own[first] != OUTSIDE:
-                    start, end = row[first][0], row[stop - 1][1]
-                    end = start + len(texts[i][start:end].rstrip(".,;:!?'\""))
+                    start, end = _trimmed(texts[i], row[first][0], row[stop - 1][1])
                     spans[i].append((start, _SPAN_KIND[int(own[first])], end))
     return spans
 
