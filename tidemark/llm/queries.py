@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import functools
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, multiset, packing, pieces, pii, quality, rans, secrets, simhash, topk
+from tidemark.llm import html, merkle, multiset, packing, pieces, pii, quality, rans, secrets, simhash, topk
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +132,32 @@ def op10_sentencepiece(spark, folder):
     return pieces.encode(table(spark, folder, "documents"), model, keep_ids=False)
 
 
+@_query
+def op11_merkle_manifest(spark, folder):
+    """Proofs of all documents from the log of their manifest, some of them tampered with."""
+    documents = table(spark, folder, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = merkle.leaf([*fields[:-1], lowered])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = merkle.manifest(
+        documents,
+        fields,
+        tree_column="lang",
+        id_column="doc_id",
+        keep={"doc_id": F.col("doc_id"), "claimed": F.when(chosen, tampered)},
+    )
+    return merkle.proofs(made, claim="claimed").select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 _SQL["op1_ball_tree_top_k"] = """
     WITH usable AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
@@ -199,3 +226,76 @@ def _op7_sql() -> str:
 
 
 _SQL["op7_secret_spans"] = _op7_sql()
+
+
+def _op11_sql() -> str:
+    """Nodes level by level, the siblings of every leaf, and the roots these lead to."""
+
+    def part(value: str) -> str:
+        text = f"CAST({value} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    fields = [part(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    leaf = f"sha256({' || '.join([*fields, part('text')])})"
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    claimed = f"sha256({' || '.join([*fields, part(lowered)])})"
+    # The checksum bit by bit: 3988292384 is its polynomial.
+    byte = "list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]), " \
+        "lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    crc = f"xor(list_reduce(list_concat([4294967295], {codes}), lambda crc, byte: {byte}), 4294967295)"
+
+    def tree(name: str, of: str, key: str) -> str:
+        return f"""{name}({key}, level, n, i, digest) AS (
+            SELECT {key}, 0, n, i, digest FROM {of}
+            UNION ALL
+            SELECT {key}, level + 1, (n + 7) // 8, i // 8, sha256(string_agg(digest, '' ORDER BY i))
+            FROM {name} WHERE n > 1 GROUP BY {key}, level, n, i // 8)"""
+
+    def steps(name: str, of: str, key: str, leaves: str, offset: int) -> str:
+        own = "(leaf.i >> (3 * node.level))"
+        return f"""{name} AS (
+            SELECT leaf.row, node.level + {offset} AS step,
+                   coalesce(string_agg(node.digest, '' ORDER BY node.i) FILTER (node.i < {own}), '') AS before,
+                   coalesce(string_agg(node.digest, '' ORDER BY node.i) FILTER (node.i > {own}), '') AS after
+            FROM {leaves} leaf JOIN {of} node ON node.{key} IS NOT DISTINCT FROM leaf.{key}
+                AND node.n > 1 AND node.i // 8 = {own} // 8
+            GROUP BY leaf.row, node.level, {own})"""
+
+    return f"""
+        WITH RECURSIVE hashed AS (
+            SELECT doc_id, lang, {leaf} AS digest,
+                   CASE WHEN {crc} % 3 = 0 THEN {claimed} ELSE {leaf} END AS claimed
+            FROM documents),
+        leaf AS (
+            SELECT *, row_number() OVER () AS row, count(*) OVER (PARTITION BY lang) AS n,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, digest) - 1 AS i
+            FROM hashed),
+        {tree("node", "leaf", "lang")},
+        subroot AS (
+            SELECT 0 AS one, lang, digest, count(*) OVER () AS n,
+                   row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i
+            FROM node WHERE n = 1),
+        {tree("upper", "subroot", "one")},
+        above AS (SELECT leaf.row, subroot.one, subroot.i FROM leaf JOIN subroot
+                  ON leaf.lang IS NOT DISTINCT FROM subroot.lang),
+        {steps("low", "node", "lang", "leaf", 0)},
+        {steps("high", "upper", "one", "above", 1000)},
+        step AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY step) AS k
+                 FROM (SELECT * FROM low UNION ALL SELECT * FROM high)),
+        fold(row, k, digest) AS (
+            SELECT row, 0, claimed FROM leaf
+            UNION ALL
+            SELECT row, fold.k + 1, sha256(before || fold.digest || after)
+            FROM fold JOIN step USING (row) WHERE step.k = fold.k + 1),
+        proof AS (SELECT row, string_agg(before || after, '' ORDER BY k) AS siblings FROM step GROUP BY row),
+        top AS (SELECT digest AS root FROM upper WHERE n = 1)
+        SELECT leaf.doc_id, leaf.digest AS leaf, subroot.digest AS subroot, root,
+               sha256(coalesce(siblings, '')) AS proof_sha256, folded.digest AS folded_root,
+               folded.digest = root AS verified
+        FROM leaf JOIN subroot ON leaf.lang IS NOT DISTINCT FROM subroot.lang CROSS JOIN top
+        LEFT JOIN proof ON proof.row = leaf.row
+        JOIN (SELECT row, arg_max(digest, k) AS digest FROM fold GROUP BY row) folded ON folded.row = leaf.row"""
+
+
+_SQL["op11_merkle_manifest"] = _op11_sql()
