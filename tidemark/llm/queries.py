@@ -9,7 +9,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, merkle, multiset, packing, pieces, pii, quality, rans, secrets, simhash, topk
+from tidemark.llm import (
+    html,
+    merkle,
+    multiset,
+    packing,
+    pieces,
+    pii,
+    quality,
+    rans,
+    secrets,
+    sharding,
+    simhash,
+    topk,
+)
 from tidemark.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +171,29 @@ def op11_merkle_manifest(spark, folder):
     )
 
 
+@_query
+def op12_histogram_shards(spark, folder):
+    """All documents in 24 shards of nearly equal bytes."""
+    whole = F.coalesce("text", F.lit(""))
+    placed = sharding.sharded(
+        table(spark, folder, "documents"),
+        shards=24,
+        size=F.octet_length(whole) + 8,
+        key=F.xxhash64("text"),
+        id_column="doc_id",
+        keep={"doc_id": F.col("doc_id"), "text_crc32": F.crc32(whole.cast("binary"))},
+    )
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _SQL["op1_ball_tree_top_k"] = """
     WITH usable AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
