@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     html,
+    infill,
     merkle,
     multiset,
     packing,
@@ -194,6 +195,12 @@ def op12_histogram_shards(spark, folder):
     )
 
 
+@_query
+def op13_fill_in_middle(spark, folder):
+    """Every text cut and rearranged from compressed frames, and rebuilt from the outcome."""
+    return infill.digests(infill.store(table(spark, folder, "documents")))
+
+
 _SQL["op1_ball_tree_top_k"] = """
     WITH usable AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
@@ -335,3 +342,32 @@ def _op11_sql() -> str:
 
 
 _SQL["op11_merkle_manifest"] = _op11_sql()
+
+
+_SQL["op13_fill_in_middle"] = """
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS body, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+        FROM documents),
+    number AS (
+        SELECT doc_id, body, length(body) AS n,
+               list_transform([1, 9, 17, 25], lambda i: CAST('0x' || digest[i:i + 7] AS BIGINT)) AS h
+        FROM hashed),
+    chosen AS (
+        SELECT *, CASE WHEN n = 0 OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                            OR h[3] % 100 >= 90 THEN 'plain'
+                       WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+               least(h[1] % (n + 1), h[2] % (n + 1)) AS first,
+               greatest(h[1] % (n + 1), h[2] % (n + 1)) AS second
+        FROM number),
+    parts AS (
+        SELECT *, substring(body, 1, first) AS prefix, substring(body, first + 1, second - first) AS middle,
+               substring(body, second + 1) AS suffix
+        FROM chosen)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN first END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN second - first END AS middle_chars,
+           sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                            ELSE body END) AS output_sha256,
+           sha256(body) AS restored_sha256
+    FROM parts"""
