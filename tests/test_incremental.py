@@ -1,13 +1,16 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from helpers import at, day, rows, table
+from pyspark.sql import functions as F
 
 from tidemark.operators import incremental as inc
+from tidemark.operators import keyindex
 from tidemark.operators.incremental import IncrementalTable
 from tidemark.plans.metrics import agg_post_metrics_daily
 from tidemark.plans.staging import stg_events
-from tidemark.sources import paths
+from tidemark.sources import notes, paths
 
 EVENT = "event_id string, user_id string, post_id string, created_at timestamp_ntz, event_type string"
 
@@ -120,7 +123,7 @@ def test_duplicate_ids_of_one_batch_are_both_inserted(spark, staged):
 def test_empty_target_is_loaded_in_full(spark, staged):
     inc.full_refresh(stg_events(raw(spark, event("x", "05 10:00:00"))), staged)
     nothing = staged.read(spark).drop("partition_date").limit(0)
-    nothing.write.mode("overwrite").parquet(f"{staged.path}/partition_date=2100-01-05")
+    nothing.write.mode("overwrite").parquet(f"{staged.folder(spark)}/partition_date=2100-01-05")
     assert staged.exists(spark) and inc.high_watermark(spark, staged, "created_at") is None
     assert names(load(spark, staged, event("a", "01 10:00:00"))) == ["a"]
 
@@ -141,7 +144,7 @@ def test_run_that_broke_off_between_two_days_is_repaired(spark, staged, monkeypa
 
     def newest_day_only(update, table):
         some = update.content.where("partition_date = date'2100-01-03'")
-        inc._write(some, table, "dynamic")
+        inc._write(some, table, table.folder(spark), "dynamic")
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as patch:
@@ -210,14 +213,146 @@ def test_a_batch_looks_at_the_days_of_its_ids_only(spark, staged, monkeypatch):
     assert looked[0] == moved
     found = {name: date for name, _, date in content(spark, staged)}
     assert len(found) == 90 and found["3"] == found["13"] == "2100-01-12"
-    # The index is read by folders of the keys' hash.
-    index = spark.read.parquet(f"{staged.path}/_index")
-    plan = index.where("_bucket = 3")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(_bucket" in plan
 
 
 def test_a_table_without_an_index_is_searched_as_a_whole(spark, staged):
     load(spark, staged, event("a", "01 10:00:00"), event("b", "02 10:00:00"))
-    paths.remove(spark, f"{staged.path}/_index")
+    index = staged.index(spark).path
+    paths.remove(spark, index)
     assert names(load(spark, staged, event("a", "03 10:00:00"))) == ["a", "b"]
-    assert not paths.exists(spark, f"{staged.path}/_index")
+    assert not paths.exists(spark, index)
+
+
+def files(folder):
+    return [f for f in Path(folder).rglob("*.parquet")]
+
+
+def test_the_index_has_few_files_after_many_batches(spark, staged):
+    events = [event(str(i), f"{1 + i % 3:02d} 10:00:00") for i in range(30)]
+    load(spark, staged, *events)
+    index = staged.index(spark)
+    for n in range(10):
+        batch = [event(f"{n}-{i}", f"{4 + n:02d} 10:00:00") for i in range(5)]
+        inc.delete_insert(stg_events(raw(spark, *batch)), staged)
+        # One file a batch, and runs of like size are folded.
+        assert len(files(index.path)) <= 2 * keyindex.FOLD
+    assert len(index.runs(spark)) < keyindex.FOLD and sum(r.rows for r in index.runs(spark)) == 80
+    keys = spark.createDataFrame([("3",), ("0-1",), ("9-4",), ("new",)], "event_id string")
+    assert index.days_of(keys, 4) == {day("2100-01-01"), day("2100-01-04"), day("2100-01-13")}
+
+
+@pytest.mark.parametrize("count", [4, 4000])
+def test_buckets_follow_the_size_of_a_run(spark, tmp_path, monkeypatch, count):
+    monkeypatch.setattr(keyindex, "BUCKET_ROWS", 100)
+    index = keyindex.KeyIndex(f"{tmp_path}/index", ("id",), "day")
+    rows_ = spark.range(5000).selectExpr("cast(id as string) id", "date_add(date'2100-01-01', cast(id % 50 as int)) day")
+    index.add(rows_, 5000)
+    index.add(rows_.limit(30), 30)
+    big, small = index.runs(spark)
+    assert (big.buckets, small.buckets) == (50, 1) and len(files(index.path)) == 51
+    # Few keys read the buckets they fall into, many read all.
+    keys = rows_.where(f"id < {count}").limit(count).select("id")
+    read = index.entries(keys, count).inputFiles()
+    assert (len(read) <= 5) if count == 4 else (len(read) == 51)
+    assert len(index.days_of(keys, count)) == min(count, 50)
+
+
+def test_runs_are_folded_into_larger_ones_without_loss(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(keyindex, "FOLD", 3)
+    index = keyindex.KeyIndex(f"{tmp_path}/index", ("id",), "day")
+    for n in range(10):
+        index.add(
+            spark.range(n * 9, n * 9 + 10).selectExpr("id", "date'2100-01-01' as day"), 10
+        )
+    assert len(index.runs(spark)) <= 4
+    found = index.entries(spark.range(100), 100)
+    assert found.select("id").distinct().count() == 91
+    again = keyindex.KeyIndex(f"{tmp_path}/index", ("id",), "day")
+    assert again.days_of(spark.range(95, 99), 4) == set()
+
+
+def test_days_outlive_every_break_of_a_note(spark, staged, monkeypatch):
+    load(spark, staged, event("a", "01 10:00:00"))
+    inc.days_followed(spark, staged)
+    load(spark, staged, event("b", "02 10:00:00"))
+
+    def broken(*_):
+        raise RuntimeError("lost the driver")
+
+    # While the next note is written, and right after it.
+    for module, name in ((notes.paths, "write_text"), (inc, "replace_days")):
+        with monkeypatch.context() as patch:
+            patch.setattr(module, name, broken)
+            with pytest.raises(RuntimeError):
+                inc.delete_insert(stg_events(raw(spark, event("c", "03 10:00:00"))), staged)
+        assert day("2100-01-02") in inc.changed_days(spark, staged)
+    inc.delete_insert(stg_events(raw(spark, event("c", "03 10:00:00"))), staged)
+    assert inc.changed_days(spark, staged) == {day("2100-01-02"), day("2100-01-03")}
+    # While days are followed another one changes: it stays noted.
+    inc.days_followed(spark, staged, frozenset({day("2100-01-02")}))
+    assert inc.changed_days(spark, staged) == {day("2100-01-03")}
+    # While notes are dropped.
+    inc.note_days(spark, staged, frozenset({day("2100-01-04")}))
+    drop, dropped = notes.paths.remove, []
+
+    def once(session, path):
+        if dropped:
+            raise RuntimeError("lost the driver")
+        dropped.append(path)
+        drop(session, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(notes.paths, "remove", once)
+        with pytest.raises(RuntimeError):
+            inc.days_followed(spark, staged)
+    # The notes that were not dropped yet are followed once more.
+    assert inc.changed_days(spark, staged) == {day("2100-01-03"), day("2100-01-04")}
+
+
+def test_notes_of_a_table_that_nothing_follows_are_merged(spark, staged, monkeypatch):
+    monkeypatch.setattr(inc, "MANY_NOTES", 4)
+    load(spark, staged, event("a", "01 10:00:00"))
+    inc.days_followed(spark, staged)
+    for n in range(2, 12):
+        inc.note_days(spark, staged, frozenset({day(f"2100-01-{n:02d}"), None}))
+    assert len(notes.read(spark, f"{staged.path}/_changed")) <= 5
+    assert inc.changed_days(spark, staged) == {None, *(day(f"2100-01-{n:02d}") for n in range(2, 12))}
+    inc.note_days(spark, staged, None)
+    assert inc.changed_days(spark, staged) is None
+
+
+def test_a_failed_refresh_leaves_the_old_rows(spark, staged):
+    before = load(spark, staged, event("a", "01 10:00:00"), event("b", "02 10:00:00"))
+    held = staged.read(spark)
+    failing = stg_events(raw(spark, event("c", "03 10:00:00"))).withColumn(
+        "user_id", F.raise_error(F.lit("lost an executor"))
+    )
+    with pytest.raises(Exception, match="lost an executor"):
+        inc.full_refresh(failing, staged)
+    assert content(spark, staged) == before
+    # The days are followed as a whole, for nothing; the next refresh counts.
+    assert inc.changed_days(spark, staged) is None
+    assert names(load(spark, staged, event("c", "03 10:00:00"), refresh=True)) == ["c"]
+    # Who read the version before still can.
+    assert held.count() == 2
+    assert load(spark, staged, event("d", "04 10:00:00"))[-1][0] == "d"
+    assert inc.high_watermark(spark, staged, "created_at") == at("2100-01-04 10:00:00")
+
+
+def test_a_refresh_may_read_the_table_itself(spark, staged):
+    load(spark, staged, event("a", "01 10:00:00"), event("b", "02 10:00:00"))
+    inc.full_refresh(staged.read(spark).where("event_id = 'b'"), staged)
+    assert names(content(spark, staged)) == ["b"]
+    for _ in range(3):
+        inc.full_refresh(staged.read(spark), staged)
+    assert len([n for n in paths.names(spark, staged.path) if n.startswith("v=")]) == 2
+
+
+def test_planning_opens_no_file(spark, staged):
+    load(spark, staged, event("a", "01 10:00:00"))
+    jobs = spark.sparkContext._jsc.sc().dagScheduler()
+    before = jobs.nextJobId()
+    assert staged.read(spark).columns[-1] == "partition_date"
+    assert dict(staged.read_days(spark, {day("2100-01-01")}).dtypes)["partition_date"] == "date"
+    assert jobs.nextJobId() == before

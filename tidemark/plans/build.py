@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +23,7 @@ from tidemark.plans.intermediate import int_events, int_posts, int_users
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events, stg_posts, stg_users
 from tidemark.schemas import AUDIT, RAW, timestamp
+from tidemark.session import together
 from tidemark.sources.paths import partition_days
 from tidemark.sources.tables import (
     drop_old_open_versions,
@@ -142,7 +140,7 @@ def take_raw_snapshots(spark: SparkSession, warehouse: Warehouse) -> None:
         path = warehouse.path("raw_history", table)
         keep_history(raw_state(spark, warehouse, table), path, key)
 
-    _together(spark, partial(snapshot, "user", "user_id"), partial(snapshot, "post", "post_id"))
+    together(spark, partial(snapshot, "user", "user_id"), partial(snapshot, "post", "post_id"))
 
 
 def keep_history(source: DataFrame, path: str, key: str, **options) -> None:
@@ -178,7 +176,7 @@ def build(
     """
     days = load_new_rows(event, warehouse.stg_events, "created_at", stg_events, refresh, lookback)
     events = int_events(warehouse.stg_events.read(spark))
-    _together(
+    together(
         spark,
         *(
             partial(recompute_days, events, table, "partition_date", aggregate, days)
@@ -188,7 +186,7 @@ def build(
             )
         ),
     )
-    days_followed(spark, warehouse.stg_events)
+    days_followed(spark, warehouse.stg_events, days)
 
     analytics = {name: warehouse.path("analytics", name) for name in ("dim_posts", "dim_users")}
     users = int_users(stg_users(user), countries)
@@ -206,7 +204,7 @@ def build(
         source, path = read_table(spark, analytics[name]), warehouse.path("analytics", f"{name}_snapshots")
         keep_history(source, path, key, run_ts=at, hard_deletes="new_record")
 
-    _together(
+    together(
         spark, partial(snapshot, "dim_users", "user_id"), partial(snapshot, "dim_posts", "post_id")
     )
     for path in analytics.values():
@@ -248,9 +246,3 @@ def test_results(
         tables[name] = read_table(spark, warehouse.path("analytics", name))
     return run_tests(tables, SUITE)
 
-
-def _together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
-    """Run independent jobs at the same time, so that none leaves executors idle."""
-    with ThreadPoolExecutor() as pool:
-        for job in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
-            job.result()

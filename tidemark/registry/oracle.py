@@ -711,6 +711,13 @@ def sql() -> dict[str, str]:
                 CAST(NULL AS VARCHAR) AS valid_to, true AS is_current FROM usr""",
         ),
         "agg_user_daily_lookback": _AGG_USER,
+        "refreshed_events": _with(
+            "event",
+            f"""SELECT {_day('partition_date')} AS event_date, count(*) AS events,
+                count(DISTINCT user_id) AS users,
+                count(DISTINCT (user_id, post_id)) AS posts_viewed
+                FROM event WHERE event_type <> 'like' GROUP BY partition_date""",
+        ),
         "agg_user_daily_resent": _with(
             "event",
             f"""

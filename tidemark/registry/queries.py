@@ -531,7 +531,7 @@ def _follow(spark: SparkSession, staged: IncrementalTable, daily: IncrementalTab
     incremental.recompute_days(
         staged.read(spark), daily, staged.day, metrics.agg_user_metrics_daily, days
     )
-    incremental.days_followed(spark, staged)
+    incremental.days_followed(spark, staged, days)
 
 
 @_query
@@ -547,6 +547,23 @@ def agg_user_daily_lookback(spark, folder):
     return _daily(root, "user_id").read(spark)
 
 
+@_query
+def refreshed_events(spark, folder):
+    """Likes have vanished from the source, which no watermark sees: a refresh leaves them
+    out of the staged events, and their days follow."""
+    root, raw = working_folder(spark), adapter.events(spark, folder)
+    for source, refresh in ((raw, False), (raw.where("event_type <> 'like'"), True)):
+        days = incremental.load_new_rows(
+            source, _staged(root), "created_at", staging.stg_events, refresh=refresh
+        )
+        _follow(spark, _staged(root), _daily(root, "user_id"), days)
+    daily = _daily(root, "user_id").read(spark).groupBy("event_date").agg(
+        F.count("*").alias("users"), F.sum("posts_viewed").alias("posts_viewed")
+    )
+    staged = _staged(root).read(spark).groupBy(F.col("partition_date").alias("event_date"))
+    return staged.agg(F.count("*").alias("events")).join(daily, "event_date")
+
+
 def _without_some_users(events: DataFrame) -> DataFrame:
     return events.withColumn("user_id", F.when(F.col("user_id") % 10 != 0, F.col("user_id")))
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings the results or the plans depend on; everything else is left to the
@@ -66,3 +69,10 @@ def clean_up(spark: SparkSession) -> None:
 
     while _MADE:
         paths.remove(spark, _MADE.pop())
+
+
+def together(spark: SparkSession, *jobs: Callable[[], None]) -> None:
+    """Run independent jobs at the same time, so that none leaves executors idle."""
+    with ThreadPoolExecutor() as pool:
+        for job in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            job.result()

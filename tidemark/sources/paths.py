@@ -1,4 +1,4 @@
-"""Folder listing on whatever file system a path belongs to."""
+"""Folders and small files on whatever file system a path belongs to."""
 
 from __future__ import annotations
 
@@ -47,6 +47,29 @@ def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date
     return days + [None] if _NO_VALUE in values else days
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    files, location = _folder(spark, path)
+    _, draft = _folder(spark, f"{path}.draft")
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(location, False)
+    if not files.rename(draft, location):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, location = _folder(spark, path)
+    source = files.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it exists."""
     files, location = _folder(spark, path)

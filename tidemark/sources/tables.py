@@ -26,10 +26,6 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.COUNTRY).option("header", True).csv(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
     """Write the partitions ``df`` has rows for and leave all others alone."""
     (
@@ -53,6 +49,15 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None
 
 
+def version_folder(path: str, number: int) -> str:
+    return f"{path}/{_VERSION}{number}"
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    current = current_version(spark, path)
+    return 0 if current is None else current + 1
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a whole table that ``df`` itself may read.
 
@@ -60,10 +65,8 @@ def write_table(df: DataFrame, path: str) -> None:
     success marker exists, so readers see the old table until the new one is
     complete, and a run that broke off is simply repeated.
     """
-    spark = df.sparkSession
-    current = current_version(spark, path)
-    number = 0 if current is None else current + 1
-    df.write.mode("overwrite").parquet(f"{path}/{_VERSION}{number}")
+    number = next_version(df.sparkSession, path)
+    df.write.mode("overwrite").parquet(version_folder(path, number))
 
 
 def read_table(
@@ -102,15 +105,13 @@ def write_history(versions: DataFrame, path: str) -> None:
     closed by earlier runs are not written again; open ones are current in the newest
     run only. A run counts once its success marker exists, so both change together.
     """
-    spark = versions.sparkSession
-    current = current_version(spark, path)
-    number = 0 if current is None else current + 1
+    number = next_version(versions.sparkSession, path)
     is_open = F.col(schemas.VALID_TO) == schemas.open_end()
     (
         versions.withColumn(_OPEN, is_open)
         .write.mode("overwrite")
         .partitionBy(_OPEN)
-        .parquet(f"{path}/{_VERSION}{number}")
+        .parquet(version_folder(path, number))
     )
 
 

@@ -9,6 +9,8 @@ back.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from tidemark.operators.incremental import (
 from tidemark.operators.sessions import GAP_SECONDS, viewer_sessions
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events
+from tidemark.session import together
 from tidemark.sources import paths
 
 
@@ -71,14 +74,16 @@ def build_daily_tables(
         spark = batch.sparkSession
         events = stg_events(batch)
         if not staged.exists(spark):
-            for table, aggregate in daily:
-                full_refresh(aggregate(events), table)
+            together(spark, *(partial(full_refresh, aggregate(events), table) for table, aggregate in daily))
             full_refresh(events, staged)
             return
         with merged_days(events, staged) as update:
-            for table, aggregate in daily:
+
+            def replace(table: IncrementalTable, aggregate: Callable[[DataFrame], DataFrame]) -> None:
                 recomputed = aggregate(update.content)
                 replace_days(DayUpdate(recomputed, update.days, update.shrinking), table)
+
+            together(spark, *(partial(replace, *one) for one in daily))
             replace_days(update, staged)
 
     return raw_events.writeStream.foreachBatch(process)
