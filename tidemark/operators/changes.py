@@ -89,6 +89,17 @@ def merge_changes(
     )
 
 
+def changed_rows(
+    state: DataFrame, changes: DataFrame, key: str, attributes: list[str]
+) -> DataFrame:
+    """The rows a batch inserts, updates or deletes, as they are then, with ``applied``.
+
+    Only the batch's keys are looked for in the state; no other row takes part.
+    """
+    touched = state.join(changes.select(key), key, "left_semi").select(state.columns)
+    return merge_changes(touched, changes, key, attributes).where(F.col(APPLIED).isNotNull())
+
+
 def apply_changes(
     state: DataFrame, changes: DataFrame, key: str, attributes: list[str]
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import APPLIED, audit_row, merge_changes, next_job_date
+from tidemark.operators.changes import APPLIED, audit_row, changed_rows, next_job_date
 from tidemark.operators.incremental import (
     IncrementalTable,
     days_followed,
@@ -24,6 +24,7 @@ from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_dail
 from tidemark.plans.staging import stg_events, stg_posts, stg_users
 from tidemark.schemas import AUDIT, RAW, timestamp
 from tidemark.session import together
+from tidemark.sources.keyed import APPLIED_ON, KeyedTable
 from tidemark.sources.paths import partition_days
 from tidemark.sources.tables import (
     drop_old_open_versions,
@@ -40,7 +41,6 @@ ATTRIBUTES = {
     "user": ["first_name", "last_name", "country_code", "favorite_color"],
     "post": ["user_id", "post_text"],
 }
-_APPLIED_ON = "applied_on"
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,10 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def raw(self, name: str) -> KeyedTable:
+        """Raw users or posts."""
+        return KeyedTable(self.path("raw", name), f"{name}_id")
+
     @property
     def stg_events(self) -> IncrementalTable:
         return IncrementalTable(self.path("staging", "stg_events"), ("event_id",), "partition_date")
@@ -87,20 +91,19 @@ def ingest_day(
 ) -> None:
     """Apply a day's changes to raw users and posts, add its events, audit both.
 
-    Everything is keyed by the day, so a run that broke off is simply repeated.
+    Only rows that change are written. Everything is keyed by the day, so a run that broke
+    off is simply repeated; days come in order.
     """
     audits = []
     day, at = F.lit(ingest_date), timestamp(now.isoformat(sep=" "))
     for table, batch in changes.items():
-        path = warehouse.path("raw", table)
-        outcome = read_table(spark, path)
-        if outcome is None or outcome.where(F.col(_APPLIED_ON) == day).isEmpty():
-            state = raw_state(spark, warehouse, table, batch)
-            merged = merge_changes(state, batch, f"{table}_id", ATTRIBUTES[table])
-            write_table(merged.withColumn(_APPLIED_ON, day), path)
-            # The write is the one pass over the merge; the audit reads its outcome.
-            outcome = read_table(spark, path)
-        audits.append(audit_row(outcome, table, day, at))
+
+        def changed(state: DataFrame | None, table: str = table, batch: DataFrame = batch) -> DataFrame:
+            state = _without_marks(state, spark, table, batch)
+            return changed_rows(state, batch, f"{table}_id", ATTRIBUTES[table])
+
+        applied = warehouse.raw(table).apply(spark, ingest_date, changed)
+        audits.append(audit_row(applied, table, day, at))
 
     of_day = f"{warehouse.path('raw', 'event')}/ingest_date={ingest_date.isoformat()}"
     events.write.mode("overwrite").parquet(of_day)
@@ -122,9 +125,14 @@ def raw_state(
 ) -> DataFrame:
     """Raw users or posts as they are; before the first load an empty table, its
     columns typed as in the batch ``like``."""
-    state = read_table(spark, warehouse.path("raw", table))
+    return _without_marks(warehouse.raw(table).read(spark), spark, table, like)
+
+
+def _without_marks(
+    state: DataFrame | None, spark: SparkSession, table: str, like: DataFrame | None
+) -> DataFrame:
     if state is not None:
-        return state.drop(APPLIED, _APPLIED_ON)
+        return state.drop(APPLIED, APPLIED_ON)
     empty = spark.createDataFrame([], RAW[table])
     kinds = dict(like.dtypes) if like is not None else {}
     return empty.select(

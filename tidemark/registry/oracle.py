@@ -204,6 +204,11 @@ _AGG_USER = _with(
     f"""SELECT {_day('event_date')} AS event_date, user_id, likes_given, posts_viewed
         FROM agg_user""",
 )
+_APPLIED_CHANGES = _with(
+    "usr merged",
+    f"""SELECT * EXCLUDE (created_at, updated_at, deleted_at, applied), {_TIMES}, {_DELETED}
+        FROM merged""",
+)
 _DIMS = "event usr post int_user int_post agg_post agg_user dim_post"
 
 
@@ -606,11 +611,8 @@ def sql() -> dict[str, str]:
                 FROM (SELECT *, CASE is_like WHEN 1 THEN created_at + INTERVAL 7 DAY
                       ELSE created_at END AS new_time FROM event)""",
         ),
-        "apply_changes": _with(
-            "usr merged",
-            f"""SELECT * EXCLUDE (created_at, updated_at, deleted_at, applied), {_TIMES}, {_DELETED}
-                FROM merged""",
-        ),
+        "raw_users_by_batches": _APPLIED_CHANGES,
+        "apply_changes": _APPLIED_CHANGES,
         "audit_counts": _with(
             "usr merged",
             f"""SELECT '{INGEST_DATE}' AS ingest_date, 'user' AS table_name,

@@ -39,6 +39,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import working_folder
 from tidemark.sources import adapter
+from tidemark.sources.keyed import APPLIED_ON, KeyedTable
 from tidemark.sources.tables import read_countries, read_history, read_table, write_table
 from tidemark.streaming import events as streams
 
@@ -639,6 +640,22 @@ def _ingested(spark: SparkSession, folder: str) -> Warehouse:
     return warehouse
 
 
+@_query
+def raw_users_by_batches(spark, folder):
+    """Raw users as a base and two days of the same changes, the first folded into a new base."""
+    table = KeyedTable(f"{working_folder(spark)}/user", "user_id", fold_share=0.0)
+    batch = adapter.user_change_batch(spark, folder)
+
+    def changed(state: DataFrame | None) -> DataFrame:
+        if state is None:
+            return adapter.users(spark, folder).withColumn(changes.APPLIED, F.lit("inserted"))
+        return changes.changed_rows(state.drop(changes.APPLIED), batch, "user_id", adapter.USER_ATTRIBUTES)
+
+    for number in range(3):
+        table.apply(spark, INGEST_DATE + dt.timedelta(days=number), changed)
+    return table.read(spark).drop(changes.APPLIED, APPLIED_ON)
+
+
 @_query
 def ingestion_audit(spark, folder):
     """The audit log of two days."""

@@ -26,6 +26,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return files.exists(location) and files.getFileStatus(location).isFile()
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, location = _folder(spark, path)
+    return files.getContentSummary(location).getLength()
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of a folder; none if it does not exist."""
     files, location = _folder(spark, path)
