@@ -3,6 +3,7 @@ import random
 import pytest
 from helpers import rows, table
 
+from tidemark.operators import intervals
 from tidemark.operators.intervals import (
     close_intervals,
     history_from_feed,
@@ -260,3 +261,74 @@ def test_random_runs_follow_the_rules(spark, hard_deletes):
     for key in {v[0] for v in expected}:
         own = sorted((v[2], v[3]) for v in expected if v[0] == key)
         assert [end for _, end in own] == [start for start, _ in own[1:]] + [OPEN]
+
+
+@pytest.fixture
+def group_sizes(monkeypatch):
+    """The rows of the largest group of every window that closes intervals."""
+    found, real = [], intervals._lead_within
+
+    def lead_within(df, group, at, order):
+        found.append(df.groupBy(*group).count().agg(F.max("count")).first()[0])
+        return real(df, group, at, order)
+
+    monkeypatch.setattr(intervals, "_lead_within", lead_within)
+    return found
+
+
+def checked_history(feed, limit):
+    """(versions, gaps) of a history; every version ends where the key's next one begins."""
+    history = history_from_feed(feed, "k", "updated_at", "id", limit).select("k", "name", "dbt_valid_from", "dbt_valid_to")
+    history = history.checkpoint()
+    other = history.select("k", F.col("dbt_valid_from").alias("dbt_valid_to"))
+    last = F.year("dbt_valid_to") == 9999
+    followed = history.where(~last).join(other, ["k", "dbt_valid_to"], "left_semi").count()
+    assert followed == history.where(~last).count()
+    assert history.where(last).count() == history.select("k").distinct().count()
+    assert history.where("dbt_valid_from >= dbt_valid_to").isEmpty()
+    return history
+
+
+def test_many_changes_of_one_instant_meet_in_no_window(spark, group_sizes):
+    ties = spark.range(10_000).selectExpr(
+        "'hot' as k", "timestamp_ntz'2100-01-02 10:00:00' as updated_at", "concat('n', id) as name", "cast(id as int) id"
+    )
+    others = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('k', id % 400)) as k",
+        "timestampadd(second, cast(id as int), timestamp_ntz'2100-01-02 12:00:00') as updated_at",
+        "concat('m', id) as name", "cast(id as int) id",
+    )
+    found = checked_history(ties.unionByName(others), 500)
+    assert max(group_sizes) <= 500
+    assert found.where("k = 'hot'").count() == 1001
+    assert rows(found.where("dbt_valid_from < timestamp_ntz'2100-01-02 12:00:00'"), "name") == [("n9999",)]
+    first = found.where("k = 'hot'").agg(F.min("dbt_valid_to").cast("string")).first()[0]
+    assert first == "2100-01-02 12:00:00"
+
+
+@pytest.mark.parametrize("apart, limit", [("minute, cast(id * 97 as int)", 300), ("microsecond, id * 3", 1000)])
+def test_a_hundred_thousand_stretches_of_one_key(spark, group_sizes, apart, limit):
+    """Far apart or close together: stretches of stretches, no group above the limit."""
+    feed = spark.range(100_000).selectExpr(
+        "if(id % 50 = 0, concat('k', id % 7), if(id % 2 = 0, 'hot', null)) as k",
+        f"timestampadd({apart}, timestamp_ntz'2100-01-01 00:00:00') as updated_at",
+        "concat('n', id) as name", "cast(id as int) id",
+    )
+    found = history_from_feed(feed, "k", "updated_at", "id", limit)
+    ends = {r[0]: r[1:] for r in found.selectExpr("k", "cast(dbt_valid_from as string) a", "cast(dbt_valid_to as string) b", "name").groupBy("k").agg(F.count("*"), F.count_distinct("a"), F.count_distinct("b"), F.max("b")).collect()}
+    assert max(group_sizes) <= limit
+    assert len(group_sizes) > 2
+    assert ends["hot"] == (48_000, 48_000, 48_000, OPEN) and ends[None] == (50_000, 50_000, 50_000, OPEN)
+    checked_history(feed.where("k is not null"), limit)
+
+
+def test_stretches_below_a_second(spark):
+    rng = random.Random(5)
+    changes = [("hot", f"2100-01-02 10:00:00.{rng.randrange(10**6):06d}", f"n{i}", i) for i in range(400)]
+    changes += [("b", "2100-01-01 00:00:00", "x", 1), ("b", "1960-05-01 00:00:00.000001", "y", 2)]
+    found = history_from_feed(table(spark, FEED, *changes), "k", "updated_at", "id", 3)
+    shown_ = {(k, n, a) for k, n, a, _ in versions_of(found)}
+    last = {}
+    for k, t, n, i in sorted(changes, key=lambda c: c[3]):
+        last[k, t] = (k, n, t.rstrip("0").rstrip(":.") if "." in t else t)
+    assert len(shown_) == len(last) and {n for _, n, _ in shown_} == {n for _, n, _ in last.values()}

@@ -25,11 +25,12 @@ def hour_number(ts: Column) -> Column:
     return (days * 24 + F.hour(ts)).cast("int")
 
 
-def stretch_number(ts: Column, seconds: int) -> Column:
-    """Number of the stretch of so many seconds since 1970-01-01 that a time is in."""
+def microsecond_number(ts: Column) -> Column:
+    """Microseconds since 1970-01-01, without a detour over the session time zone."""
     days = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
-    clock = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.floor((days * 86400 + clock) / seconds)
+    clock = F.hour(ts) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts) * 1_000_000
+    return (days * 1440 + clock) * 60_000_000 + seconds.cast("bigint")
 
 
 def in_year(day: str, year: int) -> Column:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.attributes import version_id
-from tidemark.functions.calendar import stretch_number
+from tidemark.functions.calendar import microsecond_number
 from tidemark.operators.skew import ROWS_PER_GROUP, heavy_groups
 from tidemark.schemas import SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO, open_end
+from tidemark.session import working_folder
 
-
-# Seconds of the stretches a hot key is cut into, the first that are short enough.
-STRETCHES = (3600, 60, 1)
+# Stretches of a hot key hold 2 to the power of so many microseconds: from 35 years down
+# to a single one, each a 64th of the one before.
+SHIFTS = tuple(range(50, -1, -6)) + (0,)
 
 
 def last_per_group(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -35,48 +36,90 @@ def first_per_group(df: DataFrame, group: list[str], order: list[str]) -> DataFr
     )
 
 
+def _lead_within(df: DataFrame, group: list[str], at: str, order: list[str]) -> DataFrame:
+    """Add ``_next``, the next time in the group, and ``_is_first``."""
+    own = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn("_next", F.lead(at).over(own)).withColumn(
+        "_is_first", F.first(at).over(own) == F.col(at)
+    )
+
+
+def _slot(at: str, shift: int) -> Column:
+    return F.shiftright(microsecond_number(F.col(at)), shift)
+
+
+def _shift_for(points: DataFrame, key: str, at: str, rows_per_group: int, below: int) -> int:
+    """The longest stretches in which no group is heavy, longer ones than of ``below``.
+
+    Counted by halving the list: short stretches never hold more than long ones. The
+    shortest allowed hold 64 points at most, one of each stretch below.
+    """
+    shifts = [s for s in SHIFTS if s > below] or [62]
+    first, last = 0, len(shifts) - 1
+    while first < last:
+        middle = (first + last) // 2
+        placed = points.withColumn("_slot", _slot(at, shifts[middle]))
+        if heavy_groups(placed, [key, "_slot"], rows_per_group):
+            first = middle + 1
+        else:
+            last = middle
+    return shifts[first]
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written and read again: what is counted several times is computed once."""
+    path = f"{working_folder(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _linked(
+    rows: DataFrame, points: DataFrame, key: str, at: str, rows_per_group: int, below: int = -1
+) -> DataFrame:
+    """Add ``_next`` and ``_is_first`` to rows of distinct times per key, in bounded groups.
+
+    ``points`` are the key and time of the rows with ``_cut``. These are read in stretches of
+    time. The last one of a stretch goes on at the first of the key's next stretch, and
+    these firsts, one a stretch, are linked alike in longer stretches, until a key has few
+    enough of them.
+    """
+    cut = F.col("_cut").isNotNull()
+    shift = _shift_for(points, key, at, rows_per_group, below)
+    placed = rows.withColumn("_slot", F.when(cut, _slot(at, shift)).otherwise(0))
+    inside = _lead_within(placed, [key, "_slot"], at, [at])
+    # A name for each level, as the slots of longer stretches stand beside those of shorter ones.
+    of = f"_of_{shift}"
+    firsts = points.groupBy(key, _slot(at, shift).alias(of), "_cut").agg(F.min(at).alias("_opens"))
+    if heavy_groups(firsts, [key], rows_per_group):
+        firsts = _kept(firsts, "firsts")
+        firsts = _linked(firsts, firsts, key, "_opens", rows_per_group, shift)
+    else:
+        firsts = _lead_within(firsts, [key], "_opens", ["_opens"])
+    later = firsts.select(
+        F.col(key).alias("_key"), of, F.col("_next").alias("_later"), F.col("_is_first").alias("_opens_key")
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slot") == F.col(of)) & cut
+    return (
+        inside.join(later, same, "left")
+        .withColumn("_next", F.coalesce("_next", "_later"))
+        .withColumn("_is_first", F.col("_is_first") & F.coalesce("_opens_key", F.lit(True)))
+        .drop("_slot", "_key", of, "_later", "_opens_key")
+    )
+
+
 def _neighbours(
     feed: DataFrame, key: str, updated_at: str, order: list[str], rows_per_group: int | None
 ) -> DataFrame:
     """Add ``_next``, the time of the key's next change, and ``_is_first``."""
     heavy = heavy_groups(feed, [key], rows_per_group) if rows_per_group else None
     if not heavy:
-        changes = Window.partitionBy(key).orderBy(*order)
-        return feed.withColumn("_next", F.lead(updated_at).over(changes)).withColumn(
-            "_is_first", F.first(updated_at).over(changes) == F.col(updated_at)
-        )
-
-    # A key with very many changes is read in stretches of time, hours or as short as
-    # it takes. The last change of a stretch ends at the first change of the key's next
-    # stretch that has one, which is found among one row per stretch.
-    cut = F.col("_cut").isNotNull()
-    marked = heavy.mark(feed, "_cut")
-    for seconds in STRETCHES:
-        slot = stretch_number(F.col(updated_at), seconds)
-        placed = marked.withColumn("_hour", F.when(cut, slot).otherwise(0))
-        if seconds == STRETCHES[-1] or not heavy_groups(
-            placed.where(cut), [key, "_hour"], rows_per_group
-        ):
-            break
-    hours = placed.where(cut).groupBy(key, "_hour").agg(F.min(updated_at).alias("_opens"))
-    by_hour = Window.partitionBy(key).orderBy("_hour")
-    next_hour = hours.select(
-        key,
-        "_hour",
-        F.lead("_opens").over(by_hour).alias("_later"),
-        F.lag("_opens").over(by_hour).isNotNull().alias("_not_first"),
-    )
-    in_hour = Window.partitionBy(key, "_hour").orderBy(*order)
-    first_of_hour = F.first(updated_at).over(in_hour) == F.col(updated_at)
-    return (
-        placed.withColumn("_in_hour", F.lead(updated_at).over(in_hour))
-        .withColumn("_opens_hour", first_of_hour)
-        .join(next_hour, [key, "_hour"], "left")
-        .withColumn("_next", F.coalesce("_in_hour", "_later"))
-        .withColumn(
-            "_is_first", F.col("_opens_hour") & ~F.coalesce("_not_first", F.lit(False))
-        )
-    )
+        return _lead_within(feed, [key], updated_at, order)
+    # Of changes at one instant only the last counts; combined by every task, however
+    # many there are. From here on the times of a key are distinct.
+    instants = last_per_group(feed, [key, updated_at], order[1:] or [updated_at])
+    times = heavy.mark(feed.select(key, updated_at), "_cut").where(F.col("_cut").isNotNull())
+    points = _kept(times.distinct(), "points")
+    return _linked(heavy.mark(instants, "_cut"), points, key, updated_at, rows_per_group)
 
 
 def close_intervals(
