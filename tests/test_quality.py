@@ -1,4 +1,5 @@
 from helpers import rows, table
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
 from tidemark.operators.sampling import random_live_rows
@@ -53,6 +54,44 @@ def test_suite_runs_all_declared_tests(spark):
     ]
 
 
+def test_one_shuffle_counts_a_kind_of_key(spark, capsys):
+    tables = {
+        "child": bad(spark).select("id", F.col("parent").alias("key"), "kind"),
+        "other": table(spark, "key bigint", (10,), (12,), (12,)),
+        "parent": table(spark, "key int", (10,), (11,), (11,), (None,)),
+    }
+    suite = {
+        "child": dq.TableTests(unique=("id",), references={"key": ("parent", "key")}),
+        "other": dq.TableTests(unique=("key",), references={"key": ("parent", "key")}),
+        "parent": dq.TableTests(unique=("key",)),
+    }
+    found = dq.run_tests(tables, suite)
+    assert rows(found) == [
+        ("child", "relationships", "key", 2),
+        ("child", "unique", "id", 1),
+        ("other", "relationships", "key", 2),
+        ("other", "unique", "key", 1),
+        ("parent", "unique", "key", 1),
+    ]
+    dq.run_tests(tables, suite).explain()
+    plan = capsys.readouterr().out
+    # Two kinds of keys, and for each the row of its failures.
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange SinglePartition") == 2
+    assert "Join" not in plan
+
+
+def test_the_suite_shuffles_each_kind_of_key_once():
+    kinds = dq._key_columns(dq.SUITE)
+    assert sorted({column for _, column in kind} for kind in kinds) == sorted([{"user_id"}, {"post_id"}, {"event_id"}])
+    assert sum(map(len, kinds)) == 4 + 3 + 3
+
+
+def test_empty_tables_fail_nothing(spark):
+    tables = {"child": bad(spark).where("false"), "parent": table(spark, "key int", (1,)).where("false")}
+    suite = {"child": dq.TableTests(not_null=("id",), unique=("id",), references={"parent": ("parent", "key")})}
+    assert rows(dq.run_tests(tables, suite), "failures") == [(0,), (0,), (0,)]
+
+
 def test_number_of_declared_tests():
     assert sum(len(tests) for tests in dq.SUITE.values()) == 47
     assert sum(len(tests.not_null) for tests in dq.SUITE.values()) == 35

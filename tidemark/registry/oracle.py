@@ -250,57 +250,6 @@ def _activity(daily: str, key: str) -> str:
         FROM {daily} GROUP BY {key}"""
 
 
-def _suite() -> str:
-    from tidemark.operators.quality import SUITE
-
-    source = {
-        "user": "usr",
-        "post": "post",
-        "event": "event",
-        "stg_events": "event",
-        "fct_events": "event",
-        "dim_users": "(SELECT * FROM int_user WHERE deleted_at IS NULL)",
-        "dim_posts": "dim_post",
-    }
-    parts = []
-
-    def add(table: str, test: str, column: str, failures: str) -> None:
-        parts.append(
-            f"""SELECT '{table}' AS table_name, '{test}' AS test, '{column}' AS column_name,
-                CAST(({failures}) AS BIGINT) AS failures"""
-        )
-
-    for table, tests in SUITE.items():
-        name = source[table]
-        for column in tests.not_null:
-            add(table, "not_null", column, f"SELECT count(*) FROM {name} WHERE {column} IS NULL")
-        for column in tests.unique:
-            add(
-                table,
-                "unique",
-                column,
-                f"""SELECT count(*) FROM (SELECT {column} FROM {name} WHERE {column} IS NOT NULL
-                    GROUP BY {column} HAVING count(*) > 1)""",
-            )
-        for column, values in tests.accepted.items():
-            allowed = ", ".join(f"'{value}'" for value in values)
-            add(
-                table,
-                "accepted_values",
-                column,
-                f"SELECT count(*) FROM {name} WHERE {column} NOT IN ({allowed})",
-            )
-        for column, (parent, key) in tests.references.items():
-            add(
-                table,
-                "relationships",
-                column,
-                f"""SELECT count(*) FROM {name} c WHERE {column} IS NOT NULL AND NOT EXISTS
-                    (SELECT 1 FROM {source[parent]} p WHERE p.{key} = c.{column})""",
-            )
-    return _with(_DIMS, " UNION ALL ".join(parts))
-
-
 # The batch with its times cut to days, so that many changes are at the same time.
 _TIED = _with(
     "usr",
@@ -351,8 +300,8 @@ _RAW_KEYS = {
 }
 
 
-def _faults() -> str:
-    """Failures of every declared test over faulty copies of the tables."""
+def _declared_tests() -> str:
+    """Failures of every declared test over tables named ``bad_`` and their name."""
     parts = []
     for name, columns in _RAW_NULLS.items():
         for column in columns:
@@ -366,11 +315,28 @@ def _faults() -> str:
     for name, key, parent in (("post", "user_id", "user"), ("event", "user_id", "user"), ("event", "post_id", "post")):
         orphans = f"FROM bad_{name} WHERE {key} NOT IN (SELECT {key} FROM bad_{parent})"
         parts.append((name, "relationships", key, orphans))
-    counts = " UNION ALL ".join(
+    return " UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, '{test}' AS test, '{column}' AS column_name,
             count(*) AS failures {rows}"""
         for name, test, column, rows in parts
     )
+
+
+def _suite() -> str:
+    return _with(
+        _DIMS,
+        f"""
+        , bad_user AS (SELECT * FROM usr), bad_post AS (SELECT * FROM post),
+        bad_event AS (SELECT * FROM event), bad_stg_events AS (SELECT * FROM event),
+        bad_fct_events AS (SELECT * FROM event), bad_dim_posts AS (SELECT * FROM dim_post),
+        bad_dim_users AS (SELECT * FROM int_user WHERE deleted_at IS NULL)
+        {_declared_tests()}""",
+    )
+
+
+def _faults() -> str:
+    """The same tests over faulty copies of the tables."""
+    counts = _declared_tests()
     return _with(
         "event usr post",
         f"""

@@ -765,10 +765,16 @@ def dq_relationships(spark, folder):
 def dq_suite(spark, folder):
     """All declared tests of all tables; built ones are read from where they are stored."""
     root, tables = working_folder(spark), {}
-    for name, model in (("dim_posts", dim_posts), ("dim_users", dim_users)):
-        built = model(spark, folder)
+
+    def keep(name: str, built: DataFrame) -> DataFrame:
         write_table(built, f"{root}/{name}")
         tables[name] = read_table(spark, f"{root}/{name}", built.schema)
+        return tables[name]
+
+    users = int_users(spark, folder)
+    posts = intermediate.int_posts(stg_posts(spark, folder), users)
+    live_posts = keep("dim_posts", dimensions.dim_posts(posts, agg_post_daily(spark, folder)))
+    keep("dim_users", dimensions.dim_users(users, agg_user_daily(spark, folder), live_posts))
     tables |= {
         "user": adapter.users(spark, folder),
         "post": adapter.posts(spark, folder),
