@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import in_year, month_start
+from tidemark.operators.distinct import bitmaps, distinct_counts
 from tidemark.operators.skew import ROWS_PER_GROUP
 from tidemark.operators.temporal import temporal_join
 from tidemark.plans.metrics import with_day_end
@@ -81,6 +82,38 @@ def mau_from_daily(
     return _mau(joined, "day_end")
 
 
+def active_users_daily(
+    fct_events: DataFrame,
+    user_versions: DataFrame,
+    method: str = "auto",
+    rows_per_group: int | None = ROWS_PER_GROUP,
+) -> DataFrame:
+    """The set of active users of each day and region, to be stored and merged.
+
+    Each day follows from its own events, so only days that change are computed again.
+    """
+    joined = temporal_join(
+        fct_events.select("user_id", "created_at", "event_id", "partition_date"),
+        user_versions,
+        "user_id",
+        "created_at",
+        ["region"],
+        method,
+        rows_per_group,
+    )
+    return bitmaps(
+        joined.withColumnRenamed("partition_date", "activity_date"), ["activity_date", "region"], "user_id"
+    )
+
+
+def active_users_by(daily: DataFrame, period: str, year: int | None = None) -> DataFrame:
+    """Distinct users per ``period`` (week, month, quarter, year) and region, from the sets of
+    their days. Equals a distinct count over the events."""
+    days = daily if year is None else daily.where(in_year("activity_date", year))
+    starts = F.to_date(F.date_trunc(period, "activity_date")).alias("starts")
+    return distinct_counts(days, [starts, "region"], "users")
+
+
 def creators_at_post_time(
     posts: DataFrame,
     user_versions: DataFrame,

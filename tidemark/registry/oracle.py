@@ -229,18 +229,25 @@ def _dim_users(names: str, users: str) -> str:
     )
 
 
-_RUNS = _with(
-    "feed",
-    f"""
+_DAY_OF_FEED = """date_diff('day', (SELECT min(CAST(updated_at AS DATE)) FROM feed),
+                          CAST(updated_at AS DATE))"""
+
+
+def _runs(run: str) -> str:
+    """History of which every run sees the last change of each user."""
+    return _with(
+        "feed",
+        f"""
     SELECT user_id, region, {_INTERVAL} FROM (
         SELECT *, updated_at AS valid_from,
                lead(updated_at) OVER (PARTITION BY user_id ORDER BY updated_at) AS valid_to
-        FROM (SELECT * FROM (
-                SELECT *, date_diff('day', (SELECT min(CAST(updated_at AS DATE)) FROM feed),
-                          CAST(updated_at AS DATE)) // {RUN_DAYS} AS run FROM feed)
+        FROM (SELECT * FROM (SELECT *, {run} AS run FROM feed)
               QUALIFY row_number() OVER (PARTITION BY user_id, run
                   ORDER BY updated_at DESC, change_id DESC) = 1))""",
-)
+    )
+
+
+_RUNS = _runs(f"{_DAY_OF_FEED} // {RUN_DAYS}")
 
 
 def _activity(daily: str, key: str) -> str:
@@ -495,6 +502,17 @@ def sql() -> dict[str, str]:
                 "day_end",
             ),
         ),
+        "active_users_by_period": _with(
+            "event feed version",
+            " UNION ALL ".join(
+                f"""SELECT '{period}' AS period, {_day(f"date_trunc('{period}', created_at)")} AS starts,
+                    region, count(DISTINCT f.user_id) AS users
+                    FROM event f LEFT JOIN version v ON f.user_id = v.user_id
+                        AND created_at >= valid_from AND (created_at < valid_to OR valid_to IS NULL)
+                    GROUP BY ALL"""
+                for period in ("month", "quarter", "year")
+            ),
+        ),
         "creator_asof_post": _with(
             "post feed version",
             f"""SELECT post_id, p.user_id AS creator_id, {_ts("created_at")} AS created_at, region
@@ -634,6 +652,10 @@ def sql() -> dict[str, str]:
         ),
         "dq_suite": _suite(),
         "stream_daily_metrics": _AGG_USER,
+        "stream_history": _runs(
+            f"""({_DAY_OF_FEED} * 3) // (1 + (SELECT date_diff('day', min(CAST(updated_at AS DATE)),
+                 max(CAST(updated_at AS DATE))) FROM feed))"""
+        ),
         "stream_dedup": _with(
             "event",
             f"""SELECT event_id, user_id, post_id, {_ts("created_at")} AS created_at, event_type

@@ -7,6 +7,7 @@ the open end of a version leaves as NULL next to ``is_current``.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ from tidemark.sources import adapter
 from tidemark.sources.keyed import APPLIED_ON, KeyedTable
 from tidemark.sources.tables import read_countries, read_history, read_table, write_table
 from tidemark.streaming import events as streams
+from tidemark.streaming.history import StreamedHistory, keep_streamed_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -369,6 +371,32 @@ def mau_from_daily(spark, folder):
     return analyses.mau_from_daily(agg_user_daily(spark, folder), _history(spark, folder), YEAR)
 
 
+@_query
+def active_users_by_period(spark, folder):
+    """Distinct users per month, quarter and year from the stored sets of days, after some
+    events came late and their days were computed again."""
+    root, versions = working_folder(spark), _history(spark, folder)
+    raw, middle = adapter.with_arrival(adapter.events(spark, folder)), _middle_day(spark, folder)
+    daily = IncrementalTable(f"{root}/active", ("activity_date", "region", "bucket"), "activity_date")
+    for delivered in (raw.where(F.col("arrival_date") <= F.lit(middle)), raw):
+        days = incremental.load_new_rows(
+            delivered, _staged(root), "created_at", staging.stg_events, lookback=LOOKBACK
+        )
+        incremental.recompute_days(
+            _staged(root).read(spark),
+            daily,
+            "partition_date",
+            lambda events: analyses.active_users_daily(events, versions),
+            days,
+        )
+        incremental.days_followed(spark, _staged(root), days)
+    parts = [
+        analyses.active_users_by(daily.read(spark), period).select(F.lit(period).alias("period"), "*")
+        for period in ("month", "quarter", "year")
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def creator_asof_post(spark, folder):
     posts = int_posts(spark, folder).select("post_id", "creator_id", "created_at")
@@ -849,6 +877,18 @@ def stream_daily_metrics(spark, folder):
     return tables[2].read(spark)
 
 
+@_query
+def stream_history(spark, folder):
+    """Three deliveries of changes, a snapshot run each."""
+    feed, root = adapter.user_changes(spark, folder), working_folder(spark)
+    first, last = feed.agg(F.to_date(F.min("updated_at")), F.to_date(F.max("updated_at"))).first()
+    third = F.floor(F.date_diff(F.to_date("updated_at"), F.lit(first)) * 3 / F.lit((last - first).days + 1))
+    history = StreamedHistory(f"{root}/history", "user_id", "updated_at", "change_id")
+    for changes_ in _deliveries(spark, *[feed.where(third == number) for number in range(3)]):
+        streams.run_available(keep_streamed_history(changes_, history), f"{root}/progress")
+    return _versions_out(history.read(spark), "user_id", "region")
+
+
 def _run_to_table(stream: DataFrame, root: str) -> DataFrame:
     writer = stream.writeStream.format("parquet").option("path", f"{root}/out")
     streams.run_available(writer.outputMode("append"), f"{root}/progress")

@@ -1,6 +1,6 @@
 """A table of current rows by key: a base, and the rows that changed since, day by day.
 
-A day adds the rows it changed, whole and under its date, and leaves all others alone.
+Days are dates, or whole numbers such as those of microbatches. A day adds the rows it changed, whole and under its date, and leaves all others alone.
 Reading takes the newest row of each changed key, and from the base those whose key did
 not change; the base is not shuffled for that while the changes are few. Once they are a
 share of the base, or many days, the next day begins by writing a new base from both. Days
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import paths
 
+Day = dt.date | int
+
 # The day a row was last changed on.
 APPLIED_ON = "applied_on"
 _BASE, _CHANGES = "base-", "changes-"
@@ -33,19 +35,23 @@ class KeyedTable:
     fold_share: float = 0.25
     fold_days: int = 32
 
-    def _folder(self, kind: str, day: dt.date) -> str:
-        return f"{self.path}/{kind}{day.isoformat()}"
+    def _folder(self, kind: str, day: Day) -> str:
+        return f"{self.path}/{kind}{day}"
 
-    def _days(self, spark: SparkSession, kind: str) -> list[dt.date]:
+    def _days(self, spark: SparkSession, kind: str) -> list[Day]:
         """The days with a complete folder of this kind, in order."""
         found = [n.removeprefix(kind) for n in paths.names(spark, self.path) if n.startswith(kind)]
-        days = sorted(dt.date.fromisoformat(name) for name in found)
+        days = sorted(int(n) if n.isdigit() else dt.date.fromisoformat(n) for n in found)
         return [d for d in days if paths.exists(spark, f"{self._folder(kind, d)}/_SUCCESS")]
 
-    def _base_day(self, spark: SparkSession) -> dt.date | None:
+    def _base_day(self, spark: SparkSession) -> Day | None:
         return max(self._days(spark, _BASE), default=None)
 
-    def _changes_since(self, spark: SparkSession, base: dt.date) -> list[str]:
+    def last(self, spark: SparkSession) -> Day | None:
+        """The newest day that was applied."""
+        return max(self._days(spark, _BASE) + self._days(spark, _CHANGES), default=None)
+
+    def _changes_since(self, spark: SparkSession, base: Day) -> list[str]:
         return [self._folder(_CHANGES, d) for d in self._days(spark, _CHANGES) if d > base]
 
     def read(self, spark: SparkSession) -> DataFrame | None:
@@ -70,7 +76,7 @@ class KeyedTable:
         unchanged = base.join(changes.select(self.key), self.key, "left_anti").select(base.columns)
         return unchanged.unionByName(newest).unionByName(keyless)
 
-    def of_day(self, spark: SparkSession, day: dt.date) -> DataFrame | None:
+    def of_day(self, spark: SparkSession, day: Day) -> DataFrame | None:
         """The rows that changed last on this day; None if it was not applied yet."""
         if day in self._days(spark, _CHANGES):
             return spark.read.parquet(self._folder(_CHANGES, day))
@@ -80,7 +86,7 @@ class KeyedTable:
         return spark.read.parquet(self._folder(_BASE, base)).where(F.col(APPLIED_ON) == F.lit(day))
 
     def apply(
-        self, spark: SparkSession, day: dt.date, changed: Callable[[DataFrame | None], DataFrame]
+        self, spark: SparkSession, day: Day, changed: Callable[[DataFrame | None], DataFrame]
     ) -> DataFrame:
         """Adds the rows that ``changed`` makes of the current ones, unless the day was
         applied before; returns them."""
@@ -109,7 +115,7 @@ class KeyedTable:
         last = self._days(spark, _CHANGES)[-1]
         self.read(spark).write.mode("overwrite").parquet(self._folder(_BASE, last))
         # The base before and the changes since then stay for those that still read them.
-        for kind, kept in ((_BASE, base), (_CHANGES, base + dt.timedelta(days=1))):
+        for kind in (_BASE, _CHANGES):
             for day in self._days(spark, kind):
-                if day < kept:
+                if day < base or (kind == _CHANGES and day == base):
                     paths.remove(spark, self._folder(kind, day))
