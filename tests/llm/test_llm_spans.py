@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -114,6 +115,18 @@ def test_overlapping_spans_are_marked_once(spark):
     assert df.select(secrets.redacted(F.col("t"), F.col("s"), "#")).first()[0] == "0#67#"
 
 
+@pytest.mark.parametrize("count", [1000, 16_000, 64_000])
+def test_many_personal_spans_in_one_text(count, monkeypatch):
+    base = [(10 * i, 0, 10 * i + 6) for i in range(count)]
+    more = [(10 * i + 3 + 4 * (i % 2), 4, 10 * i + 9) for i in range(count)]
+    monkeypatch.setattr(pii, "by_form", lambda _: base)
+    monkeypatch.setattr(pii, "by_field", lambda *_: [more])
+    start = time.perf_counter()
+    found = pii.find(["text"], None)
+    assert time.perf_counter() - start < 2
+    assert found == [(base, sorted(base + more[1::2]))]
+
+
 def test_personal_data_of_given_documents(spark, given):
     found = registered()["op8_personal_data"](spark, FOLDER).orderBy("doc_id").collect()
     for row, (doc_id, text, _) in zip(found, given, strict=True):

@@ -1,6 +1,10 @@
 """Quality scores, multiset fingerprints, pieces and the pipeline."""
 
+import dataclasses
 import hashlib
+import math
+import pickle
+import random
 import zlib
 from collections import Counter
 
@@ -22,6 +26,35 @@ from tidemark.llm.queries import registered
 # --- quality ------------------------------------------------------------------
 
 
+def test_the_model_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(i, f"{'good words here. ' * (1 + i % 7)}{k} {'!' * (i % 5)}") for i in range(60) for k in "ab"]
+    rows += [(3, None), (4, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    models = set()
+    for seed in range(4):
+        order = random.Random(seed).sample(rows, len(rows))
+        documents = spark.createDataFrame(order, "doc_id bigint, text string").repartition(1 + seed)
+        models.add(pickle.dumps(dataclasses.astuple(quality.fit(documents, labels))))
+    assert len(models) == 1
+
+
+def plain_score(model, text):
+    """The table entries of one text's bins, added up one by one."""
+    bins = [sum(float(cut) <= x for cut in cuts) for x, cuts in zip(quality.features(text), model.cuts)]
+    total = model.base + sum(float(table[i]) for i, table in zip(bins, model.tables))
+    for (a, b), table in zip(model.pairs, model.pair_tables):
+        total += float(table[int(model.coarse[a][bins[a]]), int(model.coarse[b][bins[b]])])
+    return 1 / (1 + math.exp(-total))
+
+
+def test_scores_equal_the_tables_added_up(spark, given):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = quality.fit(documents, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    scores = dict(quality.score(documents, model, ["doc_id"]).collect())
+    for doc_id, text, _ in given:
+        assert scores[doc_id] == pytest.approx(plain_score(model, text), abs=1e-9)
+
+
 def test_quality_of_documents_held_out(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -18,9 +18,11 @@ their own. An empty table gives no rows.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -421,7 +423,9 @@ def find(texts: list[str], field: Field) -> list[tuple[list[tuple[int, int, int]
     """For each text the spans by form, and all spans, in order of start and kind."""
     found = []
     for base, more in zip([by_form(t) for t in texts], by_field(texts, field)):
-        apart = [s for s in more if s[0] < s[2] and not any(b[0] < s[2] and s[0] < b[2] for b in base)]
+        starts, ends = [b[0] for b in base], [0, *accumulate((b[2] for b in base), max)]
+        # Of the spans that start before its end, none ends after its start.
+        apart = [s for s in more if s[0] < s[2] and ends[bisect_left(starts, s[2])] <= s[0]]
         found.append((base, sorted(base + apart)))
     return found
 

@@ -10,7 +10,8 @@ hash of their ids, alike at every size); texts are scored where they are.
 
 Defined results: NULL text is the empty text, whose numbers are zero, and has a score
 like any other. Labels that are NULL, without an id, or contradict each other for an id
-are not learned from; a repeated label counts once. Without labels of both kinds every
+are not learned from; a repeated label counts once. Of an id with several texts the one
+with the smallest hash is learned from, whatever the order of the rows. Without labels of both kinds every
 score is the share of label 1 (0.5 without any). An empty table gives no rows.
 """
 
@@ -230,10 +231,13 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
         # A little more than asked for, then exactly as many.
         known = known.where(place < int(1.1 * sample / rows * (1 << 20)) + 16)
     known = known.orderBy(place, "doc_id").limit(sample)
-    texts = documents.select("doc_id", F.col("text")).join(F.broadcast(known), "doc_id")
-    numbers = texts.mapInArrow(_numbers, "doc_id bigint, label int, numbers array<double>")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("hash")).join(F.broadcast(known), "doc_id")
+    numbers = texts.mapInArrow(_numbers, "doc_id bigint, label int, hash bigint, numbers array<double>")
+    # Of an id with several texts the one with the smallest hash is learned from, so that
+    # the model does not depend on the order of the rows.
+    smallest = F.min(F.struct("hash", "numbers", "label")).alias("one")
     # At most ``sample`` rows of a few numbers.
-    found = numbers.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    found = numbers.groupBy("doc_id").agg(smallest).select("doc_id", "one.*").orderBy("doc_id").toPandas()
     if found.empty:
         return fit_tables(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit_tables(np.stack(found["numbers"].to_numpy()), found["label"].to_numpy(dtype=np.float64))
@@ -243,8 +247,8 @@ def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in (p for batch in batches for p in slices(batch, "text")):
         numbers = pa.array([features(t) for t in text_column(part, "text").to_pylist()], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), numbers],
-            names=["doc_id", "label", "numbers"],
+            [part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), part.column("hash"), numbers],
+            names=["doc_id", "label", "hash", "numbers"],
         )
 
 
