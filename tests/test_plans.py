@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tidemark.operators import incremental as inc
 from tidemark.operators.incremental import IncrementalTable
 from tidemark.operators.snapshots import first_snapshot, snapshot_run
+from tidemark.operators import temporal
 from tidemark.operators.temporal import temporal_join
 from tidemark.plans import analyses, metrics, staging
 from tidemark.sources import adapter
+from tidemark.sources.tables import bucket_count, write_bucketed
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -95,6 +97,28 @@ def test_user_metrics_do_not_expand(facts, plan):
     assert "Expand" in plan(metrics.agg_user_metrics_daily_distinct(facts))
 
 
+def test_bucketed_facts_and_versions_meet_without_a_shuffle(spark, facts, versions, tmp_path, no_broadcast, plan):
+    left = write_bucketed(facts, f"{tmp_path}/bucketed_facts", "user_id", 8)
+    right = write_bucketed(versions, f"{tmp_path}/bucketed_versions", "user_id", 8)
+    joined = temporal_join(left, right, "user_id", "created_at", ["region"], "range")
+    text = plan(joined)
+    assert "SortMergeJoin LeftOuter" in text and count(text, "Exchange") == 0
+    assert "SelectedBucketsCount: 8 out of 8" in text
+    asof = temporal_join(facts, versions, "user_id", "created_at", ["region"], "asof")
+    columns = ["event_id", "region"]
+    assert sorted(joined.select(columns).collect(), key=repr) == sorted(asof.select(columns).collect(), key=repr)
+    assert [bucket_count(n) for n in (0, 1, 10**8, 10**9)] == [8, 8, 32, 256]
+
+
+def test_too_many_versions_are_not_broadcast(facts, versions, no_broadcast, plan, monkeypatch):
+    def join():
+        return tree(plan(temporal_join(facts, versions, "user_id", "created_at", ["region"], "broadcast")))
+
+    assert "BroadcastHashJoin" in join()
+    monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 3)
+    assert "BroadcastHashJoin" not in join()
+
+
 def test_raw_events_are_pruned_in_the_scan(spark, plan):
     events = staging.stg_events(adapter.events(spark, FOLDER))
     text = plan(events.select("user_id", "is_like").where("user_id > 3"))

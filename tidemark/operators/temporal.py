@@ -79,15 +79,19 @@ def _place(
     )
 
 
+def _size_of(versions: DataFrame) -> Column:
+    text = [F.col(n) for n, kind in versions.dtypes if kind == "string"]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(8 * len(versions.columns)))
+    return size.cast("bigint")
+
+
 def _plan(versions: DataFrame, key: str) -> tuple[str, DataFrame | None]:
     """The plan for keys with few versions, and the keys that have many.
 
     One pass over the versions. A version counts with its text and 8 bytes a column.
     """
-    text = [F.col(n) for n, kind in versions.dtypes if kind == "string"]
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(8 * len(versions.columns)))
     per_key = versions.groupBy(F.col(key).alias("_key")).agg(
-        F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("size")
+        F.count("*").alias("n"), F.sum(_size_of(versions)).alias("size")
     )
     is_long = F.col("n") > VERSIONS_PER_KEY
     rows, size, long = per_key.agg(
@@ -143,7 +147,8 @@ def temporal_join(
     Versions of one key must not overlap; then every fact comes back exactly once,
     with NULL attributes where no version covers it. ``method`` picks the plan:
 
-    * ``broadcast``: the facts stay where they are. For few versions only.
+    * ``broadcast``: the facts stay where they are. More versions than BROADCAST_VERSIONS
+      or BROADCAST_BYTES are joined by ``range`` instead.
     * ``range``: sort-merge join on the key, the interval as residual condition.
       For any number of keys with few versions each.
     * ``asof``: facts and versions are sorted together and the last version is
@@ -161,6 +166,10 @@ def temporal_join(
     right = versions.select(key, *interval, *named)
     if method == "auto":
         return _by_versions(facts, right, key, ts, attributes, rows_per_group)
+    if method == "broadcast":
+        # Every version counts here, those of long histories too.
+        rows, size = right.agg(F.count("*"), F.sum(_size_of(right))).first()
+        method = "broadcast" if rows <= BROADCAST_VERSIONS and (size or 0) <= BROADCAST_BYTES else "range"
     return _join(facts, right, key, ts, attributes, method, rows_per_group)
 
 

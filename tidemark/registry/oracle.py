@@ -493,6 +493,7 @@ def sql() -> dict[str, str]:
                 FROM version v LEFT JOIN usr ON v.user_id = usr.user_id)""",
         ),
         "mau_by_region_month": _with("event feed version", _mau("event", "created_at")),
+        "mau_bucketed": _with("event feed version", _mau("event", "created_at")),
         "mau_window_asof": _with("event feed version", _mau("event", "created_at")),
         "mau_from_daily": _with(
             "event agg_user feed version",

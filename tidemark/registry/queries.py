@@ -41,7 +41,14 @@ from tidemark.schemas import (
 from tidemark.session import working_folder
 from tidemark.sources import adapter
 from tidemark.sources.keyed import APPLIED_ON, KeyedTable
-from tidemark.sources.tables import read_countries, read_history, read_table, write_table
+from tidemark.sources.tables import (
+    bucket_count,
+    read_countries,
+    read_history,
+    read_table,
+    write_bucketed,
+    write_table,
+)
 from tidemark.streaming import events as streams
 from tidemark.streaming.history import StreamedHistory, keep_streamed_history
 
@@ -366,6 +373,18 @@ def mau_window_asof(spark, folder):
     )
 
 
+@_query
+def mau_bucketed(spark, folder):
+    """Facts and versions stored by user, joined where they are."""
+    root, facts = working_folder(spark), fct_events(spark, folder)
+    buckets = bucket_count(facts.count())
+    stored = [
+        write_bucketed(df, f"{root}/{name}", "user_id", buckets)
+        for name, df in (("facts", facts), ("versions", _history(spark, folder)))
+    ]
+    return analyses.mau_by_region_and_month(*stored, YEAR, method="range")
+
+
 @_query
 def mau_from_daily(spark, folder):
     return analyses.mau_from_daily(agg_user_daily(spark, folder), _history(spark, folder), YEAR)

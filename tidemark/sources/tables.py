@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,8 @@ from tidemark.sources import paths
 
 _VERSION = "v="
 _OPEN = "_open"
+# Rows of one bucket of a bucketed table.
+BUCKET_ROWS = 4_000_000
 
 
 def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -146,6 +151,23 @@ def drop_old_open_versions(spark: SparkSession, path: str, keep: int = 2) -> Non
             paths.remove(spark, folder)
 
 
+def bucket_count(rows: int) -> int:
+    """Buckets for a table of so many rows: a power of two, so that tables of different
+    sizes have buckets that fit into one another."""
+    return 1 << max(3, math.ceil(math.log2(max(1, rows / BUCKET_ROWS))))
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """The rows stored by a hash of the key. Joins and aggregations on the key of tables with
+    as many buckets read them as they are, without a shuffle."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # The rows of a bucket are brought together first, so that a bucket is one file.
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """A view: nothing is stored, the plan is inlined where it is used."""
     df.createOrReplaceTempView(name)
