@@ -109,6 +109,30 @@ def test_sessions_are_emitted_when_closed(spark, tmp_path, deliver):
     assert run() == batch[:2] and len(batch) == 3
 
 
+def test_open_sessions_are_those_of_the_state(spark, tmp_path, deliver):
+    (tmp_path / "source").mkdir()
+    source = streams.read_stream(spark, f"{tmp_path}/source", SCHEMA)
+    found = streams.stream_sessions(source, "user_id", "created_at", dt.timedelta(minutes=10))
+    writer = found.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    events = []
+    for more in (
+        [event("a", "01 10:00:00"), event("b", "01 12:00:00"), event("v", "01 11:55:00", user=None)],
+        [event("c", "01 12:20:00"), event("d", "01 12:25:00", user="v")],
+        [event("e", "01 15:00:00", user="w")],
+    ):
+        events += more
+        deliver(*more)
+        streams.run_available(writer, f"{tmp_path}/progress")
+        emitted = spark.read.schema(found.schema).parquet(f"{tmp_path}/out")
+        still_open = streams.open_sessions(spark, f"{tmp_path}/progress", "user_id")
+        assert still_open.columns == found.columns
+        # Nothing but the state is read.
+        assert "source" not in still_open._jdf.queryExecution().toString()
+        batch = viewer_sessions(stg_events(table(spark, EVENT, *events)))
+        assert rows(emitted.unionByName(still_open)) == rows(batch.select(found.columns))
+    assert rows(still_open) == [("w", dt.datetime(2100, 1, 1, 15), dt.datetime(2100, 1, 1, 15), 1)]
+
+
 def test_a_single_file_can_be_the_source(spark, tmp_path):
     table(spark, EVENT, event("a", "01 10:00:00")).coalesce(1).write.parquet(f"{tmp_path}/x")
     file = next((tmp_path / "x").glob("*.parquet"))

@@ -931,5 +931,5 @@ def stream_sessions(spark, folder):
     for raw in _deliveries(spark, events.where(early), events.where(~early)):
         sessions = streams.stream_sessions(raw, "user_id", "created_at", STREAM_DELAY)
         emitted = _run_to_table(sessions, root)
-    still_open = streams.open_sessions(events, emitted, "user_id", "created_at")
+    still_open = streams.open_sessions(spark, f"{root}/progress", "user_id")
     return emitted.unionByName(still_open)

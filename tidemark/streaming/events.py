@@ -24,7 +24,7 @@ from tidemark.operators.incremental import (
     merged_days,
     replace_days,
 )
-from tidemark.operators.sessions import GAP_SECONDS, viewer_sessions
+from tidemark.operators.sessions import GAP_SECONDS
 from tidemark.plans.metrics import agg_post_metrics_daily, agg_user_metrics_daily
 from tidemark.plans.staging import stg_events
 from tidemark.session import together
@@ -128,17 +128,19 @@ def stream_sessions(
     )
 
 
-def open_sessions(
-    events: DataFrame,
-    emitted: DataFrame,
-    key: str,
-    ts: str,
-    gap_seconds: int = GAP_SECONDS,
-) -> DataFrame:
-    """The sessions a stream has not emitted yet, by a batch pass over the events after
-    each key's last emitted one. Emitted and open sessions together are all there are."""
-    last = emitted.groupBy(F.col(key).alias("_key")).agg(F.max("session_end").alias("_until"))
-    later = events.join(last, F.col(key).eqNullSafe(F.col("_key")), "left").where(
-        F.col("_until").isNull() | (F.col(ts) > F.col("_until"))
+def open_sessions(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """The sessions a stream of ``stream_sessions`` has not emitted yet, from its state.
+
+    Reads what the last finished batch left in the state store, one row an open session,
+    and none of the events. Emitted and open sessions together are all there are, but for
+    events so late that the stream has dropped them.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    # The aggregates of a session, in the order of ``stream_sessions``.
+    first, last, events = state.schema["value"].dataType.names[-3:]
+    return state.select(
+        F.col("value")[key].alias(key),
+        F.col("value")[first].cast("timestamp_ntz").alias("session_start"),
+        F.col("value")[last].cast("timestamp_ntz").alias("session_end"),
+        F.col("value")[events].alias("events"),
     )
-    return viewer_sessions(later.select(key, ts), key, ts, gap_seconds)
