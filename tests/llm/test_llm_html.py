@@ -1,5 +1,8 @@
 """Rendered text of pages."""
 
+import itertools
+import random
+import re
 import time
 
 import pytest
@@ -45,6 +48,72 @@ CASES = [
 ]
 
 
+RULES = [
+    ('<div style="visibility:hidden">no<span style="visibility:visible">YES</span>no</div>on', "YES\non"),
+    ('<div style="display:none">no<b style="display:block;visibility:visible">no</b></div>yes', "yes"),
+    ('<div style="/*display:none*/">yes', "yes"),
+    ("<p style='display:none;display:block'>yes<p style='display:none!important;display:block'>no", "yes"),
+    ("<p style='background:url(a;display:none)'>a<p style='content:\"display:none;\"'>b", "a\n\nb"),
+    ("<p style='display:none;/*'>no<p style='x-display:none'>yes", "yes"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+    ("<table><tr><td>a<td rowspan=2>bb<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a | bb | c\nd |    | e\nf | g"),
+    ("<table><tr><td rowspan=0 colspan=2>a<td>b<tr><td>c<tr><td>d</table>", "a   | b\n |  | c\n |  | d"),
+    ("<b><p>x</b>y</p>z", "xy\n\nz"),
+    ("<p><i>a<b>b</i>c</b>d</p>", "abcd"),
+    ("<ul><li><a>x<p>y</a>z</ul>", "- x\n\n  yz"),
+    ("<input type=submit value=Go> <input type=SUBMIT> <input type=hidden value=no><input value='me'>", "Go Submit me"),
+    ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+    ("<ol reversed start=9><li>a<li>b</ol>", "9. a\n8. b"),
+    ("<ol><li style='visibility:hidden'>no<li>b</ol>", "2. b"),
+    ("w<td>b", "w b"),
+]
+
+
+@pytest.mark.parametrize("page,text", RULES)
+def test_rules_of_visibility_and_layout(page, text):
+    assert render(page) == text
+
+
+def random_page(rng, words, depth=0, shown=True, visible=True):
+    """Markup of random elements, and the words of it that can be seen, in order."""
+    page, seen = [], []
+    for _ in range(rng.randint(1, 4)):
+        word = f"w{next(words)}"
+        page.append(rng.choice((word + " ", f" {word}\n", f"<!-- {word} no -->{word} ")))
+        seen += [word] if shown and visible else []
+        if depth > 4 or rng.random() < 0.3:
+            continue
+        tag = rng.choice(("div", "span", "b", "section", "ul", "ol", "blockquote", "table", "script", "dialog"))
+        rule = rng.choice(("", "", "", "hidden", "none", "invisible", "visible", "comment"))
+        style = {"none": "color:red; Display : none", "invisible": "visibility:hidden", "visible": "visibility:visible"}
+        style["comment"] = "/*display:none*/"
+        attribute = "hidden" if rule == "hidden" else f"style='{style[rule]}'" if rule else rng.choice(("", "class=x"))
+        if tag == "script":
+            page.append(f"<script {attribute}>var no = '<p>no</p>';</script>")
+            continue
+        inner_shown = shown and rule not in ("hidden", "none") and tag != "dialog"
+        inner_visible = {"invisible": False, "visible": True}.get(rule, visible)
+        inner, inner_seen = [], []
+        for _ in range(rng.randint(1, 3)):
+            part, part_seen = random_page(rng, words, depth + 1, inner_shown, inner_visible)
+            if tag in ("ul", "ol"):
+                part = f"<li>{part}" + rng.choice(("", "</li>"))
+            elif tag == "table":
+                part = f"<tr><td>{part}" + rng.choice(("", "</td>", "</td></tr>"))
+            inner.append(part)
+            inner_seen += part_seen
+        page.append(f"<{tag} {attribute}>{''.join(inner)}</{tag}> ")
+        seen += inner_seen
+    return "".join(page), seen
+
+
+def test_random_pages_show_their_visible_words_in_order():
+    for seed in range(400):
+        page, seen = random_page(random.Random(seed), itertools.count())
+        assert re.findall(r"w[0-9]+", render(page)) == seen and "no" not in render(page), page
+
+
 QUOTES = [
     ('<p class=x">visible text</p><p>more text</p>', "visible text\n\nmore text"),
     ("<a title='it's'>link</a> more text", "link more text"),
@@ -80,7 +149,8 @@ def test_layout(page, text):
 
 def test_hostile_pages_take_time_in_proportion():
     started = time.process_time()
-    for piece in ("<div>", "<p><li>x", "<a \"", "<", "<table><tr><td>", "<b></p>", "<ul><li>x", "</div>", "<!--", "<p>a<span>"):
+    for piece in ("<div>", "<p><li>x", "<a \"", "<", "<table><tr><td>", "<b></p>", "<ul><li>x", "</div>", "<!--", "<p>a<span>", "<i></u>", "<tr><td rowspan=9999>x"):
+        render("<table><u><p>" + piece * 20_000)
         render(piece * 20_000)
     assert time.process_time() - started < 20
 

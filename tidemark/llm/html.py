@@ -4,9 +4,15 @@ A page becomes a tree, with the tags authors leave out put in (paragraphs end wh
 block begins, list items and table cells where the next one does), and the tree is
 rendered: blocks on lines of their own, paragraphs and headings with a blank line
 around, list items with their marker and indented, preformatted text as it is, and
-tables with their cells in aligned columns. Everything visible is kept, navigation and
-footers too; what a browser does not show (head, scripts, styles, hidden elements) is
-left out. Nothing recurses, so nesting may be as deep as it likes.
+tables with their cells in aligned columns, cells over several rows or columns included.
+Everything visible is kept, navigation and footers too, and the text in buttons and
+filled-in fields; what a browser does not show (head, scripts, styles, hidden elements)
+is left out. ``display`` hides all that is in an element, ``visibility`` is inherited and
+may be set back. Nothing recurses, so nesting may be as deep as it likes.
+
+Layout has bounds, text has none: a cell is padded to CELL_WIDTH at most, of the levels
+of indentation the innermost INDENTED are shown, and the columns that a cell of an
+earlier row holds are kept free up to HELD columns from the left.
 
 Defined results: NULL and empty pages have the empty text. Markup that is cut off or
 not closed ends with the page; an opening without an end is text. Repeated rows are
@@ -30,6 +36,8 @@ from tidemark.llm.common import slices, text_column
 CELL_WIDTH = 60
 # Levels of indentation that are shown.
 INDENTED = 20
+# Columns in which a cell may reach down into later rows.
+HELD = 100
 
 # Elements by what the HTML standard says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +50,11 @@ BLOCKS = SPACED | frozenset(
     "address article aside body center details dialog dd div dt fieldset figcaption footer form header hgroup "
     "html legend li main menu nav option optgroup search section summary tr caption".split()
 )
+# An end tag of an inline element does not look beyond these.
+BARRIERS = BLOCKS | frozenset("td th tbody thead tfoot button select".split())
+# Kinds of input that show no text.
+TEXTLESS = frozenset("hidden checkbox radio file image color range password".split())
+LABELS = {"submit": "Submit", "reset": "Reset"}
 IN_HEAD = frozenset("base link meta title style script noscript template head".split())
 # A start tag closes these open elements, looking no further than the scope.
 CLOSES = {
@@ -68,7 +81,9 @@ _MARKUP = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(rf"({_NAME})({_VALUE})?+")
-_CONCEALED = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+# What of a style is no declaration: comments, strings and arguments.
+_ASIDE = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|\([^)]*+(?:\)|\Z)", re.S)
+_IMPORTANT = re.compile(r"\s*!\s*important\s*\Z", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -90,6 +105,18 @@ def attributes(text: str) -> dict[str, str]:
     return found
 
 
+def declarations(style: str) -> dict[str, str]:
+    """Properties of a style, the last of each, unless an earlier one is important."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in _ASIDE.sub(" ", style).split(";"):
+        name, _, value = declaration.partition(":")
+        plain = _IMPORTANT.sub("", value)
+        name, important = name.strip().lower(), plain != value
+        if plain.strip() and important >= found.get(name, (False, ""))[0]:
+            found[name] = important, plain.strip().lower()
+    return {name: value for name, (_, value) in found.items()}
+
+
 def tree(page: str) -> Node:
     """The elements of a page under one root."""
     root = Node("")
@@ -136,6 +163,8 @@ class _Stack:
     def __init__(self, root: Node):
         self.nodes = [root]
         self.open: Counter = Counter()
+        # Open elements by tag since each open block, the block itself left out.
+        self.inner = [Counter()]
 
     @property
     def top(self) -> Node:
@@ -144,10 +173,18 @@ class _Stack:
     def push(self, node: Node) -> None:
         self.nodes.append(node)
         self.open[node.tag] += 1
+        if node.tag in BARRIERS:
+            self.inner.append(Counter())
+        else:
+            self.inner[-1][node.tag] += 1
 
     def cut(self, depth: int) -> None:
-        for node in self.nodes[depth:]:
+        for node in reversed(self.nodes[depth:]):
             self.open[node.tag] -= 1
+            if node.tag in BARRIERS:
+                self.inner.pop()
+            else:
+                self.inner[-1][node.tag] -= 1
         del self.nodes[depth:]
 
 
@@ -173,7 +210,12 @@ def _make_room(stack: _Stack, tag: str) -> None:
 
 
 def _close(stack: _Stack, tag: str) -> None:
-    """Ends the nearest open element of that tag, and all in it; cells and tables keep to themselves."""
+    """Ends the nearest open element of that tag, and all in it.
+
+    Cells and tables keep to themselves, and the end of an inline element ends no block.
+    """
+    if tag not in BARRIERS and tag != "br" and not stack.inner[-1][tag]:
+        return
     scope = {"table", "td", "th", "caption"} - {tag}
     if tag in ("table", "body", "html"):
         scope = set()
@@ -250,38 +292,65 @@ class _Writer:
         return self.lines
 
 
-def _concealed(node: Node) -> bool:
-    if node.tag in HIDDEN:
-        return True
-    if not node.attributes:
-        return node.tag == "dialog"
-    found = attributes(node.attributes)
-    if "hidden" in found and found["hidden"].lower() != "until-found":
-        return True
-    if node.tag == "dialog" and "open" not in found:
-        return True
-    if node.tag == "input" and found.get("type", "").lower() == "hidden":
-        return True
-    return bool(_CONCEALED.search(found.get("style", "")))
+def _displayed(node: Node, found: dict[str, str], style: dict[str, str]) -> bool:
+    """Whether there is any place for an element, by its tag, attributes and style."""
+    if node.tag in HIDDEN or style.get("display") == "none":
+        return False
+    if "hidden" in found and found["hidden"].lower() != "until-found" and "display" not in style:
+        return False
+    return node.tag != "dialog" or "open" in found or "display" in style
 
 
-def _aligned(rows: list[list[tuple[str, int]]], width: int) -> list[str]:
-    """Rows of (text, columns it spans) with the columns under each other."""
-    widths: list[int] = []
+def _label(found: dict[str, str]) -> str:
+    """The text that an input shows."""
+    kind = found.get("type", "").strip().lower()
+    return "" if kind in TEXTLESS else found.get("value", LABELS.get(kind, ""))
+
+
+def _number(text: str | None, otherwise: int) -> int:
+    text = (text or "").strip()
+    return int(text) if re.fullmatch("-?[0-9]{1,9}", text) else otherwise
+
+
+# A cell: its text, and the columns and rows it spans.
+Cell = tuple[str, int, int]
+
+
+def _placed(rows: list[list[Cell]]) -> list[list[tuple[int, str, int]]]:
+    """The cells of each row as (first column, text, columns), beside those of earlier rows."""
+    held: dict[int, int] = {}  # rows that a column is still taken in
+    placed = []
     for row in rows:
-        column = 0
-        for text, span in row:
+        own, column, taken = [], 0, {}
+        for text, span, down in row:
+            while column in held:
+                column += 1
+            own.append((column, text, span))
+            if down > 1:
+                taken.update(dict.fromkeys(range(column, min(column + span, HELD)), down - 1))
+            column += span
+        held = {c: n - 1 for c, n in held.items() if n > 1} | taken
+        placed.append(own)
+    return placed
+
+
+def _aligned(rows: list[list[Cell]], width: int) -> list[str]:
+    """Lines of a table with the columns under each other; rows without text are left out."""
+    placed = [row for row in _placed(rows) if any(text for _, text, _ in row)]
+    widths: list[int] = []
+    for row in placed:
+        for column, text, span in row:
             widths.extend([0] * (column + 1 - len(widths)))
             if span == 1:
                 widths[column] = min(width, max(widths[column], len(text)))
-            column += span
     lines = []
-    for row in rows:
-        column, cells = 0, []
-        for text, span in row:
-            room = sum(widths[column : column + span]) + 3 * (len(widths[column : column + span]) - 1)
-            cells.append(text.ljust(room))
-            column += span
+    for row in placed:
+        after, cells = 0, []
+        for column, text, span in row:
+            cells += [" " * w for w in widths[after:column]]
+            own = widths[column : column + span]
+            cells.append(text.ljust(sum(own) + 3 * (len(own) - 1)))
+            after = column + span
         lines.append(" | ".join(cells).rstrip(" "))
     return lines
 
@@ -290,14 +359,17 @@ def render(page: str, cell_width: int = CELL_WIDTH) -> str:
     """The visible text of a page."""
     writer = _Writer()
     outer: list[_Writer] = []  # of the cells that are open
-    tables: list[list[list[tuple[str, int]]]] = []
-    lists: list[int | None] = []  # the number of the last item; None for bullets
+    tables: list[list[list[Cell]]] = []
+    lists: list[tuple[int, int] | None] = []  # the next item's number, and the step; None for bullets
+    visible = [True]  # of the elements that are open
     preformatted = 0
     # Each node comes twice: to open it and, as (node,), to close it.
     waiting: list = [tree(page)]
     while waiting:
         item = waiting.pop()
         if isinstance(item, str):
+            if not visible[-1]:
+                continue
             if preformatted:
                 writer.preformatted(item)
             else:
@@ -307,24 +379,37 @@ def render(page: str, cell_width: int = CELL_WIDTH) -> str:
         node = item[0] if closing else item
         tag = node.tag
         if not closing:
-            if tag and _concealed(node):
+            found = attributes(node.attributes) if node.attributes else {}
+            style = declarations(found["style"]) if "style" in found else {}
+            if not _displayed(node, found, style):
                 continue
             if tag == "br":
                 writer.line_break()
                 continue
+            seen = style.get("visibility", "inherit")
+            visible.append(visible[-1] if seen in ("inherit", "unset") else seen not in ("hidden", "collapse"))
+            if tag == "input" and visible[-1]:
+                writer.text(_label(found))
             if tag in BLOCKS:
                 nested = lists and tag in ("ul", "ol")
                 writer.break_(2 if tag in SPACED and not nested else 1)
-            if tag in ("ul", "ol", "menu"):
-                start = attributes(node.attributes).get("start", "1") if tag == "ol" else ""
-                lists.append((int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1) - 1 if tag == "ol" else None)
+            if tag == "ol":
+                step = -1 if "reversed" in found else 1
+                items = sum(isinstance(child, Node) and child.tag == "li" for child in node.children)
+                lists.append((_number(found.get("start"), 1 if step > 0 else items), step))
+            elif tag in ("ul", "menu"):
+                lists.append(None)
             elif tag == "li":
                 if lists and lists[-1] is not None:
-                    lists[-1] += 1
-                    writer.marker = f"{lists[-1]}. "
+                    number, step = lists[-1]
+                    number = _number(found.get("value"), number)
+                    lists[-1] = number + step, step
+                    writer.marker = f"{number}. "
                 else:
                     writer.marker = "- "
                 writer.indent.append(" " * len(writer.marker))
+                if not visible[-1]:
+                    writer.marker = writer.indent[-1]
             elif tag in ("dd", "blockquote"):
                 writer.indent.append("  ")
             elif tag in ("pre", "textarea"):
@@ -336,9 +421,12 @@ def render(page: str, cell_width: int = CELL_WIDTH) -> str:
             elif tag in ("td", "th") and tables:
                 outer.append(writer)
                 writer = _Writer()
+            elif tag in ("td", "th"):
+                writer.text(" ")
             waiting.append((node,))
             waiting.extend(reversed(node.children))
             continue
+        visible.pop()
         if tag in ("ul", "ol", "menu"):
             lists.pop()
         elif tag == "li":
@@ -351,13 +439,15 @@ def render(page: str, cell_width: int = CELL_WIDTH) -> str:
         elif tag in ("td", "th") and tables:
             text = " ".join(line.strip() for line in writer.result() if line.strip())
             writer = outer.pop()
-            span = attributes(node.attributes).get("colspan", "1")
+            found = attributes(node.attributes)
+            # The standard's limits of spans; none down is to the end of the table.
+            span = min(1000, max(1, _number(found.get("colspan"), 1)))
+            down = min(65534, _number(found.get("rowspan"), 1)) or 65534
             if not tables[-1]:
                 tables[-1].append([])
-            # The standard's limit of a span.
-            tables[-1][-1].append((text, min(1000, max(1, int(span))) if re.fullmatch("[0-9]{1,9}", span) else 1))
+            tables[-1][-1].append((text, span, down))
         elif tag == "table":
-            for line in _aligned([row for row in tables.pop() if any(text for text, _ in row)], cell_width):
+            for line in _aligned(tables.pop(), cell_width):
                 writer.break_(1)
                 writer.preformatted(line)
         if tag in BLOCKS:
