@@ -12,6 +12,8 @@ from hypothesis import settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import packing, rans
 from tidemark.llm.queries import registered
 from tidemark.llm.tokens import default_vocabulary, encoder
@@ -49,6 +51,9 @@ def test_blocks_are_decoded_exactly_and_in_parts(n):
     model = rans.Model(tokens, freq)
     coded = rans.encode(ids, model)
     assert (rans.decode(model, n, [c[0] for c in coded], [c[2] for c in coded]) == ids).all()
+    parts = [rans.sections(*c) for c in coded]
+    assert len(parts[0]) == -(-n // (rans.CHECKPOINT * rans.LANES))
+    assert (rans.decode_sections(model, n, parts) == ids).all()
     for start, end in ((0, 1), (n // 2, n), (n - 1, n), (n // 3, n // 3 + 1)):
         assert (rans.decode_range(model, n, *coded[1], start, end) == ids[1, start:end]).all()
 
@@ -92,6 +97,19 @@ def test_damaged_blocks_are_noticed(spark, documents, tmp_path):
         rans.read_documents(spark, f"{tmp_path}/b").collect()
 
 
+def test_damaged_checkpoints_are_noticed(spark, documents, tmp_path):
+    rans.write(documents.where("doc_id = 5"), f"{tmp_path}/a")
+    blocks = spark.read.parquet(f"{tmp_path}/a/blocks")
+    assert blocks.where("length(checkpoints) > 0").count()
+    spark.read.parquet(f"{tmp_path}/a/model").write.parquet(f"{tmp_path}/b/model")
+    # The first state of a block's first checkpoint, one bit changed.
+    other = "overlay(checkpoints PLACING x'%02x' FROM 9 FOR 1)"
+    changed = "CASE WHEN substring(checkpoints, 9, 1) = x'00' THEN %s ELSE %s END" % (other % 1, other % 0)
+    blocks.withColumn("checkpoints", F.expr(changed)).write.parquet(f"{tmp_path}/b/blocks")
+    with pytest.raises(Exception, match="damaged"):
+        rans.read_documents(spark, f"{tmp_path}/b").collect()
+
+
 def check_packing(rows, expected, capacity):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == expected
     sequences = defaultdict(list)

@@ -149,6 +149,26 @@ def decode_range(model: Model, n: int, states: bytes, checkpoints: bytes, words:
     return ids[start - from_step * LANES : end - from_step * LANES]
 
 
+def sections(states: bytes, checkpoints: bytes, words: bytes) -> list[tuple[bytes, bytes]]:
+    """States and words of the parts of a block between its checkpoints, in order."""
+    size = 8 + 8 * LANES
+    entries = [checkpoints[at : at + size] for at in range(0, len(checkpoints), size)]
+    places = [0, *(4 * int(np.frombuffer(e[:8], np.uint64)[0]) for e in entries), len(words)]
+    starts = [states, *(e[8:] for e in entries)]
+    return [(own, words[a:b]) for own, a, b in zip(starts, places, places[1:])]
+
+
+def decode_sections(model: Model, n: int, blocks: list[list[tuple[bytes, bytes]]]) -> np.ndarray:
+    """Ids of blocks of the same size, all sections of all blocks at once, each from its checkpoint."""
+    whole, size = len(blocks[0]) - 1, CHECKPOINT * LANES
+    found = []
+    if whole:
+        parts = [part for own in blocks for part in own[:-1]]
+        found.append(decode(model, size, [s for s, _ in parts], [w for _, w in parts]).reshape(len(blocks), -1))
+    found.append(decode(model, n - whole * size, [own[-1][0] for own in blocks], [own[-1][1] for own in blocks]))
+    return np.concatenate(found, axis=1)
+
+
 def _encoded(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary)
@@ -325,7 +345,11 @@ def _pieces_of(tokens: np.ndarray, freq: np.ndarray, keep_ids: bool):
                 same = np.flatnonzero(sizes == n)
                 for at in range(0, len(same), SIDE_BY_SIDE):
                     rows = batch.take(pa.array(same[at : at + SIDE_BY_SIDE])).to_pylist()
-                    found = decode(model, n, [r["states"] for r in rows], [r["words"] for r in rows])
+                    try:
+                        parts = [sections(r["states"], r["checkpoints"], r["words"]) for r in rows]
+                        found = decode_sections(model, n, parts)
+                    except IndexError as error:
+                        raise ValueError(f"a block of part {rows[0]['part']} is damaged") from error
                     pieces: list[tuple] = []
                     for row, ids in zip(rows, found):
                         if crc32(ids) != row["crc32"]:
@@ -353,7 +377,7 @@ def read_pieces(spark: SparkSession, path: str, keep_ids: bool = True) -> DataFr
     tokens = np.array([r["token"] for r in rows], dtype=np.int64)
     freq = np.array([r["freq"] for r in rows], dtype=np.int64)
     blocks = spark.read.parquet(f"{path}/blocks").select(
-        "part", "block", "n", "states", "words", "crc32", "doc_ids", "first", "lengths"
+        "part", "block", "n", "states", "checkpoints", "words", "crc32", "doc_ids", "first", "lengths"
     )
     return blocks.mapInArrow(_pieces_of(tokens, freq, keep_ids), _PIECE)
 
