@@ -1,15 +1,16 @@
 """Personal data in texts: patterns, and a linear-chain conditional random field.
 
 Four kinds (email, ip, card, phone) are found by their form. What has no fixed form
-(names after a title, phone numbers without a country code, identity numbers) is found
-by a random field over the shapes of words, their neighbours' shapes and cue words. It is
-trained on the labelled sentences below and decoded with the Viterbi algorithm, all
+(names, phone numbers without a country code, identity numbers) is found by a random
+field over the shapes of words, their neighbours, word lists and cue words. It is trained
+on the labelled table of ``sentences`` and decoded with the Viterbi algorithm, all
 stretches of a batch at a time. Its spans are added where no span by form is.
 
 A word without a digit or a capital in front can only be outside; the chain falls apart
 there, so that decoding the stretches between such words gives the same labels as decoding
-whole texts. All else is learned: shapes, cues among the WINDOW words before, neighbours.
-Marks and brackets around a word are not part of its shape.
+whole texts. All else is learned: shapes, neighbours, and for numbers the cues among the
+WINDOW words before, of the 32 * WINDOW characters before them; a word after is looked for
+in 64 characters. Marks and brackets around a word are not part of its shape.
 
 Defined results: NULL text is the empty text and has no spans. Repeated rows are rows of
 their own. An empty table gives no rows.
@@ -21,6 +22,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from dataclasses import field as dataclass_field
 from functools import lru_cache
 from itertools import accumulate
 
@@ -30,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm import sentences
 from tidemark.llm.common import slices, text_column
+from tidemark.llm.sentences import GIVEN, THING
 
 KINDS = ("email", "ip", "card", "phone", "crf_name", "crf_phone", "crf_id")
 # The forms.
@@ -45,129 +49,20 @@ OUTSIDE, NAME, PHONE, ID = range(4)
 LABELS = 4
 _SPAN_KIND = {NAME: KINDS.index("crf_name"), PHONE: KINDS.index("crf_phone"), ID: KINDS.index("crf_id")}
 
-# The labelled table: words in brackets carry the label before the bar.
-SENTENCES = (
-    "Please call [P|(415) 555-0132] before noon .",
-    "You can phone me at [P|415-555-0187] any time",
-    "Tel: [P|020 7946 0958] or write to us",
-    "Telephone [P|(212) 555 0199] is the front desk",
-    "mobile [P|0171 555 0123] evenings only",
-    "Fax: [P|303.555.0144] for orders",
-    "Call [P|555-0166] and ask for the manager",
-    "my phone is [P|(303) 555-0111] at home",
-    "phone number: [P|617-555-0145] , thank you",
-    "Contact phone [P|01632 960 983] on weekdays",
-    "His SSN is [I|078-05-1120] as on file",
-    "SSN: [I|219-09-9999]",
-    "social security number [I|457-55-5462] was entered",
-    "The ssn [I|123-45-6789] belongs to the tenant",
-    "passport [I|533380006] was issued in May",
-    "Passport no. [I|C01X00T47] expired",
-    "her passport number is [I|912803456]",
-    "Mr. [N|John Smith] signed the lease",
-    "Mrs [N|Jane Doe] will attend",
-    "Dr. [N|Emily Carter] reviewed the chart",
-    "Ms. [N|Wilson] arrived late",
-    "We met Mr [N|Brown] and went home",
-    "Prof. [N|Alan Grey] teaches at noon",
-    "by Dr [N|Mary Ann Lee] in the clinic",
-    "as Mr. [N|Okafor] told the board",
-    "The order 40021 was shipped on 2021-04-05 to the store",
-    "It costs 25.99 and weighs 300 g",
-    "Version 2.10.3 was released in 2019",
-    "In 1998 there were 12 members and 3 guests",
-    "see page 117 , lines 20-35 , of volume 2",
-    "The call lasted 45 minutes",
-    "We call this step 3 of 10",
-    "call 3 of them back in 2020",
-    "a phone with 128 GB and 6.1 inch screen",
-    "Flight 370 left at 12:45 from gate 7",
-    "temperature 21.5 and humidity 40",
-    "item 4417-8821 costs 300",
-    "serial 978-3-16-148410-0 in the list",
-    "code 4111 1111 1111 1112 was refused",
-    "The Security Council met in 2003",
-    "social events in 2004 and 2005",
-    "room 12 on floor 3",
-    "Dr. is short for doctor",
-    "Mr. and Mrs. are titles",
-    "The Doctor said [N|John Smith] was fine",
-    "Rivers And Lakes 1984 edition",
-    "2024-01-31 10:15:00 started",
-    "10.0.0.1 answered in 20 ms",
-    "total 1,234,567 rows in 89 files",
-    "the number 8675309 appears twice",
-    "The ssn ( [I|219-09-9999] )",
-    "passport ([I|912803456]) was given",
-    "His passport as far as we know is [I|533380006]",
-    "The passport she had with her had number [I|912803456] in it",
-    "Her ssn , we were told , is [I|321-54-9876] !",
-    "phone [P|555-0142] ?",
-    "phone him tomorrow morning on [P|415-555-0187] ?",
-    "You can call the front desk at [P|(212) 555-0199] today",
-    "we met [N|John Smith] at noon",
-    "I met [N|Jane Doe] and went home",
-    "a letter from [N|Emily Carter] came",
-    "signed by [N|Alan Grey] in 2003",
-    "Name: [N|Mary Brown]",
-    "name is [N|Peter Lee] and",
-    "my friend [N|Anna Wilson] said so",
-    "ask [N|Robert Miller] about it",
-    "The teacher said [N|Laura King] was late",
-    "Yesterday [N|Tom Baker] said he was ill",
-    "It was fine . The end came . And so on",
-    "Then they left. And. Of the rest. Some Of it",
-    "the old man went to New York by train",
-    "we met on Monday in Paris",
-    "a letter from Berlin came in May",
-    "signed by The Board",
-    "Is it so. As it was, That is all. To be",
-    "der Mann und die Frau. Der Hund. Die Katze",
-    "OF!! THE!! AND!! TO!!",
-    "la casa. La mesa de El Rey. Que",
-    "reh&&& thing### onthly.%%% Thanth and",
-    "osan### el%%% mente*** la.*** Cion*** rau$$$ la%%",
-    "de%%% En%%% para*** Con,*** des&&& Cia$$$ se%%%",
-    "ara.### Se.&&& Ciega$$$ Mo.### Ra%%% con&&&",
-    "In 1998 the 9 Red Pears cost 12",
-    "with 20 Green Bottles on the wall",
-    "of 12 Small Boats there",
-    "Ereb Ereb Ereb Ereb Ereb Ereb ereb in",
-    "and And And And And And and so",
-    "Are. Are. Are. Outen Outen Outen Outen nd nd",
-    "the scum Kirou the end",
-    "a dull Thornon for it",
-    "so sad Marlyed the house",
-    "it is the Mozilla License, Version 1.1 , or later",
-    "under the Common Licence, Version 3.0",
-    "This work is licensed under the GNU Lesser Public License, version 2.",
-    "distributed under the Eclipse Public License, version 1",
-    "para una no. Ell que de",
-    "licensed under the GNU General Public License, version 3.",
-    "the Great Northern Railway Company was there",
-    "it was stupid Thanwh of them",
-    "was seen at Ondhe in the was",
-    "it. some Then the last and",
-    "was on. dull Four the next",
-    "is old Bank of the town",
-    "Old. The sad Lamp for us",
-)
-_MARKS = {"N": NAME, "P": PHONE, "I": ID}
-TITLES = frozenset(("mr", "mrs", "ms", "dr", "prof"))
 _CUES = {
-    **{word: "title" for word in TITLES},
-    **{word: "phone" for word in ("call", "phone", "telephone", "tel", "mobile", "fax")},
-    **{word: "id" for word in ("ssn", "passport")},
-    **{word: "number" for word in ("number", "no", "security")},
+    **dict.fromkeys("mr mrs ms dr prof".split(), "title"),
+    **dict.fromkeys("call phone telephone tel mobile fax cell dial ring reach text".split(), "phone"),
+    **dict.fromkeys("ssn passport".split(), "id"),
+    **dict.fromkeys("number no security".split(), "number"),
 }
-# Words that names come after or before, and words that names do not have.
-_BESIDE = frozenset("met from by name friend ask said wrote is for with license licence public version".split())
 _WORD = re.compile(r"\S+")
 _CANDIDATE = re.compile(r"(?<!\S)(?:[^\s\w]*[A-Z]\S*|[^\s0-9]*[0-9]\S*)")
 _ENDS = re.compile(r"[.!?][^\w\s]*$")
-_MARKS_AROUND = ".,;:!?\"'()[]{}<>\u201c\u201d\u2018\u2019"
+_MARKS_AROUND = ".,;:!?#\"'()[]{}<>\u201c\u201d\u2018\u2019"
 # Words before a word in which cues are looked for, up to the sentence's beginning.
 WINDOW = 8
+# Scores of words in their surroundings that a task keeps.
+REMEMBERED = 200_000
 
 
 def shape(word: str) -> str:
@@ -177,53 +72,97 @@ def shape(word: str) -> str:
     return "".join(kept[:12])
 
 
-@lru_cache(maxsize=100_000)
-def _own(word: str) -> tuple[str, str, str, bool]:
-    """Shape, cue, neighbour class, and whether a sentence ends with the word."""
+@lru_cache(maxsize=1)
+def _vocabulary() -> frozenset[str]:
+    """Words of the labelled table that neighbours are known by."""
+    table = sentences.labelled()
+    return frozenset(w.strip(_MARKS_AROUND) for words, _ in table for w in words if w == w.lower())
+
+
+@dataclass(frozen=True, slots=True)
+class Kind:
+    """What the field sees of a word."""
+
+    kind: str  # number, name (a capital in front) or word
+    shape: str
+    digits: int
+    cue: str
+    known: str  # the word itself, if the labelled table has it
+    listed: str  # given name, a word of things, or neither
+    ends: bool  # whether a sentence ends with it
+    stops: bool  # whether a mark that divides comes after it
+
+
+@lru_cache(maxsize=200_000)
+def kind_of(word: str) -> Kind:
     core = word.strip(_MARKS_AROUND)
-    cue = _CUES.get(core.lower(), "-")
-    ends = _ENDS.search(word) is not None and cue != "title"
-    # How long a word is says nothing of names.
-    own = shape(core[:2]) if core.isalpha() else shape(core)
-    return own, cue, core.lower() if core.lower() in _BESIDE else "-", ends
-
-
-def word_features(words: list[str], at: int) -> list[str]:
-    """Features of one word in its sentence."""
-    before = words[at - 1] if at else ""
-    after = words[at + 1] if at + 1 < len(words) else ""
-    own, cue, own_word, ends = _own(words[at])
-    before_shape, before_cue, before_word, starts = _own(before)
-    after_shape, _, after_word, _ = _own(after)
-    digits = min(sum(c.isdigit() for c in words[at]), 12)
-    kind = "number" if digits else "name" if words[at].lstrip(_MARKS_AROUND)[:1].isupper() else "word"
-    near = set()
+    low = core.lower()
+    cue = _CUES.get(low, "-")
+    digits = min(sum(c.isdigit() for c in core), 12)
+    kind = "number" if digits else "name" if core[:1].isupper() else "word"
+    listed = "given" if low in GIVEN else "thing" if low in THING else "-"
+    # How long a word is says nothing of names, but for initials and capitals only.
+    own = shape(core) if digits else shape(core[:2]) if len(core) > 1 else "X" if core.isupper() else "x"
+    known = low if low in _vocabulary() else "-" if core else "mark"
+    ends = _ENDS.search(word) is not None and cue != "title" and not (own == "X" and word.endswith("."))
+    return Kind(kind, own, digits, cue, known, listed, ends, word.endswith((",", ":", ";")) or ends)
+
+
+NOTHING = kind_of("")
+
+
+def near(words: list[str], at: int) -> frozenset[str]:
+    """Cues among the WINDOW words before a word, up to its sentence's beginning."""
+    found = set()
     for word in reversed(words[max(0, at - WINDOW) : at]):
-        _, found, _, over = _own(word)
-        if over and found == "-":
+        kind = kind_of(word)
+        if kind.ends and kind.cue == "-":
             break
-        near.add(found)
-    joined = kind == "name" and not ends and after_shape[:1] == "X"
-    alone = kind == "name" and not joined and (starts or before_shape[:1] != "X")
-    return [
+        found.add(kind.cue)
+    return frozenset(found - {"-", "title"})
+
+
+def features(before: Kind, own: Kind, after: Kind, cues: frozenset[str]) -> list[str]:
+    """Features of one word, by its neighbours and the cues before it."""
+    kind = own.kind
+    first = before is NOTHING or before.ends
+    follows = before.kind == "name" and not before.stops
+    goes_on = after.kind == "name" and not own.stops
+    found = [
         f"bias {kind}",
-        f"shape {own}",
-        f"digits {digits}",
-        f"cue {cue}",
-        f"before {before_cue} {kind}",
-        f"shape before {before_shape[:2]} {kind}",
-        f"shape after {after_shape[:2]} {kind}",
-        f"beside {before_word} {kind} {joined}",
-        f"followed {after_word} {kind}",
-        f"is {own_word} {kind}",
-        f"letters {own.isalpha()} {before_shape.isalpha()} {kind}",
-        f"first {starts or not before.strip()} {kind}",
-        f"alone {alone} {kind} {before_cue} {before_word}",
-        f"again {words[at] in (before, after)} {kind}",
-        *(f"near {cue} {kind}" for cue in ("phone", "id", "number") if cue in near),
-        *(f"near {cue} digits {digits}" for cue in ("phone", "id", "number") if cue in near),
-        *([] if near & {"phone", "id", "number"} else [f"no cue {kind}"]),
+        f"shape {own.shape}",
+        f"cue {own.cue}",
+        f"before {before.known} {kind}",
+        f"before {before.cue} {kind}",
+        f"after {after.known} {kind}",
+        f"first {first} {kind}",
     ]
+    if kind == "name":
+        return [
+            *found,
+            f"is {own.listed}",
+            f"is {own.known}",
+            f"run {follows} {goes_on}",
+            f"run {follows} {goes_on} {own.listed}",
+            f"run {follows} {goes_on} {first}",
+            f"lists {before.listed if follows else ''} {own.listed} {after.listed if goes_on else ''}",
+            f"follows {before.kind} {first}",
+            f"in run {before.known if not follows else '='} {goes_on}",
+            f"beside {before.listed if follows else ''}",
+            f"beside after {after.listed if goes_on else ''}",
+        ]
+    if kind == "number":
+        found += [
+            f"digits {own.digits}",
+            f"numbers {before.kind == 'number'} {after.kind == 'number'}",
+            f"shapes {before.shape if before.kind == 'number' else ''} {own.shape}",
+            *(f"near {cue}" for cue in cues),
+            *(f"near {cue} digits {own.digits}" for cue in cues),
+            *(f"near {cue} shape {own.shape}" for cue in cues),
+            *(f"near {cue} after {after.known}" for cue in cues),
+            *([] if cues else ["no cue"]),
+        ]
+    return found
 
 
 def allowed(word: str) -> list[bool]:
@@ -240,10 +179,22 @@ class Field:
     weights: np.ndarray
     transitions: np.ndarray
 
+    known: dict = dataclass_field(default_factory=dict, compare=False, repr=False)
+
     def emission(self, words: list[str], at: int) -> np.ndarray:
-        known = [self.features[f] for f in word_features(words, at) if f in self.features]
-        score = self.weights[known].sum(axis=0) if known else np.zeros(LABELS)
-        return np.where(allowed(words[at]), score, -1e6)
+        """Scores of the labels of a word, remembered by what they depend on."""
+        own = kind_of(words[at])
+        before = kind_of(words[at - 1]) if at else NOTHING
+        after = kind_of(words[at + 1]) if at + 1 < len(words) else NOTHING
+        cues = near(words, at) if own.kind == "number" else frozenset()
+        key = before, own, after, cues, *(mask := allowed(words[at]))
+        score = self.known.get(key)
+        if score is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            named = [self.features[f] for f in features(before, own, after, cues) if f in self.features]
+            score = self.known[key] = np.where(mask, self.weights[named].sum(axis=0), -1e6)
+        return score
 
 
 def viterbi(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -266,52 +217,54 @@ def viterbi(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray)
     return found
 
 
-def _labelled(sentence: str) -> tuple[list[str], list[int]]:
-    words, labels = [], []
-    for part in re.findall(r"\[[NPI]\|[^\]]*\]|\S+", sentence):
-        own = part[3:-1].split() if part[0] == "[" and part[2:3] == "|" else [part]
-        words += own
-        labels += [_MARKS[part[1]] if len(own) > 1 or part[0] == "[" else OUTSIDE] * len(own)
-    return words, labels
+@lru_cache(maxsize=1)
+def train(rounds: int = 150, pull: float = 0.05) -> Field:
+    """Weights with the highest penalised likelihood of the labelled table, by gradient ascent.
 
-
-def conditions(words: list[str]) -> list[tuple]:
-    """What a word's labels depend on besides the words: nothing."""
-    return [()] * len(words)
-
-
-@lru_cache(maxsize=4)
-def train(sentences: tuple[str, ...] = SENTENCES, rounds: int = 150, pull: float = 0.02) -> Field:
-    """Weights with the highest penalised likelihood, by gradient ascent."""
-    table = [_labelled(s) for s in sentences]
+    All sentences are summed over at once, padded to the longest.
+    """
+    table = sentences.labelled()
+    count, longest = len(table), max(len(words) for words, _ in table)
     names: dict[str, int] = {}
-    coded = []
-    for words, labels in table:
-        found = [[names.setdefault(f, len(names)) for f in word_features(words, i)] for i in range(len(words))]
-        # As many features for each word; what is missing is a feature of no weight.
-        most = max(map(len, found))
-        found = [f + [-1] * (most - len(f)) for f in found]
-        coded.append((np.array(found), np.array([allowed(word) for word in words]), np.array(labels)))
+    coded, kinds, masks = {}, {}, np.zeros((count, longest, LABELS), bool)
+    gold, lengths = np.zeros((count, longest), int), np.array([len(words) for words, _ in table])
+    for row, (words, labels) in enumerate(table):
+        gold[row, : len(words)] = labels
+        kinds = [NOTHING, *map(kind_of, words), NOTHING]
+        for i, word in enumerate(words):
+            cues = near(words, i) if kinds[i + 1].kind == "number" else frozenset()
+            own = features(kinds[i], kinds[i + 1], kinds[i + 2], cues)
+            coded[row, i] = [names.setdefault(f, len(names)) for f in own]
+            masks[row, i] = allowed(word)
+    # As many features for each word; what is missing is a feature of no weight.
+    found = np.full((count, longest, max(map(len, coded.values()))), len(names))
+    for (row, i), own in coded.items():
+        found[row, i, : len(own)] = own
+    inside = np.arange(longest) < lengths[:, None]
+    rows = np.arange(count)
     weights, transitions = np.zeros((len(names) + 1, LABELS)), np.zeros((LABELS, LABELS))
     moments = [np.zeros_like(weights), np.zeros_like(transitions)]
     squares = [np.zeros_like(weights), np.zeros_like(transitions)]
     for step in range(1, rounds + 1):
+        emission = np.where(masks, weights[found].sum(axis=2), -1e6)
+        ahead, behind = emission.copy(), np.zeros_like(emission)
+        for i in range(1, longest):
+            ahead[:, i] += np.logaddexp.reduce(ahead[:, i - 1, :, None] + transitions, axis=1)
+        for i in range(longest - 2, -1, -1):
+            later = np.logaddexp.reduce(transitions + (emission[:, i + 1] + behind[:, i + 1])[:, None], axis=2)
+            behind[:, i] = np.where(inside[:, i + 1, None], later, 0)
+        whole = np.logaddexp.reduce(ahead[rows, lengths - 1], axis=1)
+        share = np.where(inside[..., None], np.exp(np.minimum(ahead + behind - whole[:, None, None], 0)), 0)
+        share[rows[:, None], np.arange(longest), gold] -= inside
         slopes = [-pull * weights, -pull * transitions]
-        for found, mask, labels in coded:
-            emission = np.where(mask, weights[found].sum(axis=1), -1e6)
-            ahead, behind = emission.copy(), np.zeros_like(emission)
-            for i in range(1, len(labels)):
-                ahead[i] += np.logaddexp.reduce(ahead[i - 1][:, None] + transitions, axis=0)
-            for i in range(len(labels) - 2, -1, -1):
-                behind[i] = np.logaddexp.reduce(transitions + (emission[i + 1] + behind[i + 1])[None], axis=1)
-            whole = np.logaddexp.reduce(ahead[-1])
-            share = np.exp(ahead + behind - whole)
-            share[np.arange(len(labels)), labels] -= 1
-            np.add.at(slopes[0], found.ravel(), -np.repeat(share, found.shape[1], axis=0))
-            for i in range(1, len(labels)):
-                pair = ahead[i - 1][:, None] + transitions + (emission[i] + behind[i])[None] - whole
-                slopes[1] -= np.exp(pair)
-                slopes[1][labels[i - 1], labels[i]] += 1
+        for label in range(LABELS):
+            each = np.repeat(share[..., label].ravel(), found.shape[2])
+            slopes[0][:, label] -= np.bincount(found.ravel(), each, len(names) + 1)
+        for i in range(1, longest):
+            pair = ahead[:, i - 1, :, None] + transitions + (emission[:, i] + behind[:, i])[:, None]
+            pair = np.exp(np.minimum(pair - whole[:, None, None], 0))
+            slopes[1] -= pair[inside[:, i]].sum(axis=0)
+            np.add.at(slopes[1], (gold[inside[:, i], i - 1], gold[inside[:, i], i]), 1)
         for value, slope, moment, square in zip((weights, transitions), slopes, moments, squares):
             moment += 0.1 * (slope - moment)
             square += 0.01 * (slope**2 - square)
