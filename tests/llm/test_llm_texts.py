@@ -5,6 +5,8 @@ import hashlib
 import math
 import pickle
 import random
+import re
+import struct
 import zlib
 from collections import Counter
 
@@ -13,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+import xxhash
 from conftest import FOLDER, ODD
 from hypothesis import given as drawn
 from hypothesis import settings
@@ -177,6 +180,69 @@ def test_order_of_paragraphs_does_not_matter(spark):
     assert v[4] == v[5] == v[6]
 
 
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def paragraphs_of(text):
+    """The paragraphs of a text as tuples of the hashes of their words."""
+    tokens = re.findall(r"\S+|[\r\n]\s*", text, re.A)
+    words = [None if t[0] in "\r\n" else signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in tokens]
+    if text and not re.search(r"\S", text, re.A):
+        words = [signed(xxhash.xxh64_intdigest(text.encode(), 42))]
+    found, before = [], None
+    for word in words:
+        if word is not None and (before is None or ((before ^ (word >> 8)) & (multiset.CUT - 1)) == 0):
+            found.append([])
+        if word is not None:
+            found[-1].append(word)
+        before = word
+    return Counter(map(tuple, found))
+
+
+def vector_of(paragraphs):
+    hashes = []
+    for seed in range(multiset.SIGN_HASHES + multiset.WIDE):
+        own = []
+        for words, times in paragraphs.items():
+            h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+            for word in words:
+                h = xxhash.xxh64_intdigest(struct.pack("<q", word), h)
+            own += [h] * times
+        hashes.append(own)
+    mask = (1 << multiset.WIDE_BITS) - 1
+    signs = [
+        sum(h >> bit & 1 for h in own) + (sum(h >> bit + 32 & 1 for h in own) << 32)
+        for own in hashes[: multiset.SIGN_HASHES]
+        for bit in range(32)
+    ]
+    return [paragraphs.total(), *[sum(own) & mask for own in hashes[multiset.SIGN_HASHES :]], *signs]
+
+
+def test_vectors_and_likeness_equal_those_of_exact_multisets(spark, given):
+    odd = ["", " ", "\n\n", "a", "a\r\n\r\n a", "é 中文 🙂\tx\u00a0y", "x " * 500]
+    texts = [t for _, t, _ in given[:80]] + odd
+    # Halves of one text joined to another, so that there are all degrees of likeness.
+    pairs = [(a, a[: len(a) * (i % 5) // 4] + b[len(b) * (i % 5) // 4 :]) for i, (a, b) in enumerate(zip(texts, texts[1:]))]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    df = multiset.with_vector(multiset.with_vector(df, "a", "u"), "b", "v")
+    errors = []
+    for row in df.withColumn("like", multiset.likeness(F.col("u"), F.col("v"))).collect():
+        one, other = paragraphs_of(row["a"]), paragraphs_of(row["b"])
+        assert row["u"] == vector_of(one) and row["v"] == vector_of(other)
+        size = sum(n * n for n in (one.values())) + sum(n * n for n in other.values())
+        exact = 2 * sum(n * other[p] for p, n in one.items()) / size if size else 1.0
+        errors.append(abs(row["like"] - exact))
+    assert max(errors) < 0.4 and np.mean(errors) < 0.1
+
+
+def test_next_vectors_are_those_of_the_next_texts(spark, given):
+    df = spark.createDataFrame([(i, t) for i, t, _ in given], "doc_id bigint, text string").repartition(4)
+    found = multiset.compared(df).orderBy(F.desc("doc_id")).collect()
+    for row, following in zip(found, [*found[1:], found[0]]):
+        assert row["next_vector"] == following["text_vector"] and row["next"] == following["text"]
+
+
 def test_an_edit_changes_what_is_next_to_it_only(spark):
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in rng.integers(0, 5000, 2000)]

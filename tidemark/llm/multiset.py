@@ -211,10 +211,12 @@ def _heads(ranged: DataFrame) -> DataFrame:
 
 
 def with_next(documents: DataFrame) -> DataFrame:
-    """Adds ``next``, the text of the next document in descending order of doc_id.
+    """Adds the vector of each text, and ``next`` and ``next_vector``, the text and vector
+    of the next document in descending order of doc_id.
 
     Expects doc_id and text. One shuffle of the texts: ranges of ids are ordered each in
-    one task, and each gets a copy of the row that comes after its last one.
+    one task, and each gets a copy of the row that comes after its last one. Vectors are
+    computed before it, once a text, and go with the texts.
     """
     hashed = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "_hash", F.xxhash64("text")
@@ -228,8 +230,15 @@ def with_next(documents: DataFrame) -> DataFrame:
     copies = copies.select("doc_id", "text", "_hash", F.col("_after").alias("_range"), F.lit(1).alias("_copy"))
     rows = ranged.withColumn("_copy", F.lit(0)).unionByName(copies)
     order = [F.col("_copy"), F.col("doc_id").desc_nulls_last(), F.col("_hash"), F.col("text")]
-    following = F.lead("text").over(Window.partitionBy("_range").orderBy(*order))
-    return rows.withColumn("next", following).where("_copy = 0").select("doc_id", "text", "next")
+    rows = with_vector(rows, "text", "text_vector")
+    following = F.lead(F.struct("text", "text_vector")).over(Window.partitionBy("_range").orderBy(*order))
+    return rows.withColumn("_next", following).where("_copy = 0").select(
+        "doc_id",
+        "text",
+        "text_vector",
+        F.col("_next.text").alias("next"),
+        F.col("_next.text_vector").alias("next_vector"),
+    )
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -246,9 +255,7 @@ def compared(documents: DataFrame, id_column: str = "doc_id", text_column_name:
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column_name).alias("text")
     )
     found = with_next(texts).withColumn("edited", edited(F.col("text"), F.col("next")))
-    for text in ("text", "edited", "next"):
-        found = with_vector(found, text, f"{text}_vector")
-    return found
+    return with_vector(found, "edited", "edited_vector")
 
 
 def fingerprints(documents: DataFrame, **columns) -> DataFrame:
