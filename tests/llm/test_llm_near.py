@@ -149,6 +149,17 @@ def test_top_k_over_shards_with_ties(spark):
     assert topk.top_k(df.where("false"), asked.where("false")).count() == 0
 
 
+def test_an_id_that_holds_most_rows_is_one_candidate(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.integers(-3, 4, 4).tolist()) for i in range(300)]
+    heavy = [(11, rng.integers(-50, 50, 4).tolist()) for _ in range(3000)]
+    once = [*(r for r in rows if r[0] != 11), (11, min([rows[11][1], *(v for _, v in heavy)]))]
+    df = spark.createDataFrame(rows + heavy, "vec_id bigint, vector array<bigint>").repartition(4)
+    asked = df.where("vec_id % 10 = 1")
+    found = topk.top_k(df, asked, k=5, shard_rows=100, block_queries=7).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in found] == best(once, {i for i, _ in once if i % 10 == 1}, 5)
+
+
 def test_scaling_leaves_out_what_is_not_finite(spark):
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [float("nan")]), (5, [float("inf")]), (6, [])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

@@ -223,7 +223,9 @@ def top_k(
             whole & ~F.exists("vector", lambda x: x.isNull())
         )
 
-    rows = usable(candidates)
+    # Combined map side: of an id that comes very often, each task passes one row on.
+    rows = usable(candidates).groupBy("vec_id", F.size("vector")).agg(F.min("vector").alias("vector"))
+    rows = rows.select("vec_id", "vector")
     asked = usable(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     shards = max(1, math.ceil(rows.count() / shard_rows))
     blocks = max(1, math.ceil(asked.count() / block_queries))
