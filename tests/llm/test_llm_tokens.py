@@ -1,5 +1,6 @@
 """Token ids, the compressed blocks and the packing, against the tokenizers library."""
 
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import packing, rans
 from tidemark.llm.queries import registered
-from tidemark.llm.tokens import default_vocabulary, encoder
+from tidemark.llm.tokens import TextEncoder, default_vocabulary, encoder
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,54 @@ def test_encoder_equals_the_library(texts):
     assert found == [e.ids for e in own._tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def encoded(own, texts):
+    flat, ends = own.encode(pa.array(texts, pa.large_string()))
+    return [flat[s:e].tolist() for s, e in zip(ends, ends[1:])]
+
+
+def test_encoder_equals_the_library_for_every_sign_and_letter(tokenizer):
+    chars = [chr(c) for c in range(33, 0x260)]
+    texts = [t for c in chars for t in (c, f"a{c}b", f"Z{c}", f"{c}9", f"{c}s", f"12{c}{c}x")]
+    texts += [f"x{a}{b}s" for a in chars[:94] for b in chars[:94]]
+    assert encoded(encoder(default_vocabulary()), texts) == [ids_of(tokenizer, t) for t in texts]
+
+
+def test_words_with_digits_and_signs_are_sent_in_pieces_and_once(monkeypatch):
+    own, sent = TextEncoder(default_vocabulary()), []
+    library = TextEncoder._encoded
+
+    def noted(tokenizer, texts):
+        sent.extend(texts)
+        return library(tokenizer, texts)
+
+    monkeypatch.setattr(TextEncoder, "_encoded", staticmethod(noted))
+    own.encode(pa.array(["Word### (word) word-2024 WORD, 20.24 mail9@word.example"], pa.large_string()))
+    assert sorted(sent[0].split()) == sorted(["word", "mail", "example", *"0249", "###", *"(),-.@"])
+    assert len(sent) == 1
+    own.encode(pa.array(["(word) 4### it's"], pa.large_string()))
+    assert sent[1:] == ["it's"]
+
+
+@pytest.mark.parametrize("part", ["normalizer", "pre_tokenizer"])
+def test_files_with_other_rules_get_whole_words(part, tmp_path):
+    with open(default_vocabulary(), encoding="utf-8") as file:
+        rules = json.load(file)
+    rules[part] = {
+        "normalizer": {"type": "NFC"},
+        "pre_tokenizer": {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "WhitespaceSplit"},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+    }[part]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(rules), encoding="utf-8")
+    texts = ["Some Words, of 1234 (and) more...", "Café-bar ABC", "", "it's"]
+    assert encoded(TextEncoder(str(path)), texts) == [ids_of(Tokenizer.from_file(str(path)), t) for t in texts]
+
+
 @pytest.mark.parametrize("n", [1, 255, 256, 257, 5000, rans.BLOCK])
 def test_blocks_are_decoded_exactly_and_in_parts(n):
     rng = np.random.default_rng(n)

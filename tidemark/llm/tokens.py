@@ -3,12 +3,16 @@
 The vocabularies handled here drop white space and never join over it, so a text's
 ids are those of its space-separated words in order. The library therefore encodes
 every distinct word of a batch once, and the ids are laid out with numpy. Words of
-letters only go to the library many to a call; the ids that end a word tell them
-apart again. Every other word is a call's text of its own, as it stands.
+Latin letters, digits and signs fall into the pieces that the file's own rules cut them
+into: runs of letters, single digits, runs of signs. Every distinct piece goes to the
+library once, many to a call; the ids that end a word tell them apart again. Every other
+word is a call's text of its own, as it stands, and so is every word if a file cuts or
+lower-cases in another way.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -16,15 +20,33 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words of letters that are sent to the library as one text, and texts of a call.
-WORDS_PER_CALL = 64
+# Pieces that are sent to the library as one text, and texts of a call.
+PIECES_PER_CALL = 64
 TEXTS_PER_CALL = 256
-# Words whose ids a process keeps, some tens of MB.
-KNOWN_WORDS = 300_000
-# A word of Latin letters that may have one full stop or comma behind it. Letters that
-# lower case or composition turns into a letter and a mark are not among these: a mark
-# would go together with what follows.
-_LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,]?$"
+# Pieces whose ids a process keeps, some tens of MB.
+KNOWN_PIECES = 300_000
+# Letters that lower case or composition turns into a letter and a mark are not among
+# these: a mark would go together with what follows.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+# Without the apostrophe, which may go together with letters, and the sign that special tokens begin with.
+_SIGNS = "!-&(-/:;=-@\\[-`{-~"
+_PLAIN = f"^[{_LETTERS}0-9{_SIGNS}]+$"
+_APART = f"([{_SIGNS}]+|[0-9])"
+# What a file says of itself if its pieces are those above.
+_NORMALIZER = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_PRE_TOKENIZER = [
+    {
+        "type": "Split",
+        "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed",
+        "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 
 
 class TextEncoder:
@@ -33,6 +55,7 @@ class TextEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self._tokenizer = Tokenizer.from_file(path)
         suffix = self._tokenizer.model.end_of_word_suffix
@@ -42,50 +65,63 @@ class TextEncoder:
         words = self._tokenizer.get_vocab(with_added_tokens=False)
         self._ends_word = np.zeros(self.size, dtype=bool)
         self._ends_word[[i for word, i in words.items() if word.endswith(suffix)]] = True
-        # Words of letters that stay known from one call to the next.
+        with open(path, encoding="utf-8") as file:
+            own = json.load(file)
+        self._cuts = (
+            (own["normalizer"] or {}).get("normalizers") == _NORMALIZER
+            and (own["pre_tokenizer"] or {}).get("pretokenizers") == _PRE_TOKENIZER
+            and all(token["content"].startswith("<") for token in own["added_tokens"])
+        )
+        # The same model for pieces, which are in lower case and cut already.
+        self._model = Tokenizer.from_file(path)
+        self._model.normalizer = None
+        self._model.pre_tokenizer = Sequence(
+            [WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # Pieces that stay known from one call to the next.
         self._known = pa.array([], pa.large_string())
         self._known_table = _joined([]), _joined([], np.int64), _joined([], np.int64)
-        self._stops = {mark: self._encoded([mark])[0] for mark in ".,"}
 
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+    @staticmethod
+    def _encoded(tokenizer, texts: list[str]) -> list[np.ndarray]:
         ids: list[np.ndarray] = []
         # The library's results hold much more than ids; few of them are kept at a time.
         for at in range(0, len(texts), TEXTS_PER_CALL):
             some = texts[at : at + TEXTS_PER_CALL]
-            found = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            found = tokenizer.encode_batch_fast(some, add_special_tokens=False)
             ids.extend(np.array(e.ids, dtype=np.uint32) for e in found)
         return ids
 
-    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of letters, one after the other, and the number of each."""
-        groups = [words[i : i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after the other, and the number of each."""
+        groups = [pieces[i : i + PIECES_PER_CALL] for i in range(0, len(pieces), PIECES_PER_CALL)]
         ids, counts = [], []
-        for group, found in zip(groups, self._encoded([" ".join(g) for g in groups])):
+        for group, found in zip(groups, self._encoded(self._model, [" ".join(g) for g in groups])):
             ends = np.flatnonzero(self._ends_word[found])
             if len(ends) == len(group) and ends[-1] == len(found) - 1:
                 ids.append(found)
                 counts.append(np.diff(ends, prepend=-1))
             else:
-                alone = self._encoded(group)
+                alone = self._encoded(self._model, group)
                 ids.extend(alone)
                 counts.append(np.array([len(a) for a in alone]))
         return _joined(ids), _joined(counts, np.int64)
 
-    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids that hold those of distinct words of letters, where each starts, and their numbers."""
-        at = pc.index_in(words, value_set=self._known)
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids that hold those of distinct pieces, where each starts, and their numbers."""
+        at = pc.index_in(pieces, value_set=self._known)
         new = at.is_null().to_numpy(zero_copy_only=False)
-        ids, counts = self._letters(words.filter(at.is_null()).to_pylist())
+        ids, counts = self._apart(pieces.filter(at.is_null()).to_pylist())
         known_ids, known_starts, known_counts = self._known_table
         new_starts = len(known_ids) + np.cumsum(counts) - counts
         where = at.fill_null(0).to_numpy()
-        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
         starts[new], sizes[new] = new_starts, counts
         starts[~new], sizes[~new] = known_starts[where[~new]], known_counts[where[~new]]
         flat = np.concatenate((known_ids, ids))
-        room = KNOWN_WORDS - len(self._known)
+        room = KNOWN_PIECES - len(self._known)
         if room > 0 and new.any():
-            some = words.filter(at.is_null()).slice(0, room)
+            some = pieces.filter(at.is_null()).slice(0, room)
             self._known = pa.concat_arrays([self._known, some])
             self._known_table = (
                 flat[: len(known_ids) + int(counts[:room].sum())],
@@ -99,48 +135,36 @@ class TextEncoder:
         lists = pc.ascii_split_whitespace(texts)
         word_ends = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        words, which = coded.dictionary, coded.indices.to_numpy()
-        flat, starts, counts = self._table(words)
-        per_word = counts[which]
-        before = np.concatenate(([0], np.cumsum(per_word)))
-        place = np.arange(before[-1], dtype=np.int64)
-        place += np.repeat(starts[which] - before[:-1], per_word)
-        return flat[place], before[word_ends - word_ends[0]]
+        ids, before = _laid_out(*self._table(coded.dictionary), coded.indices.to_numpy())
+        return ids, before[word_ends - word_ends[0]]
 
     def _table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words, and where those of each word start and how many they are."""
-        plain = pc.match_substring_regex(words, _LETTERS)
-        stems = pc.ascii_lower(words.filter(plain))
-        marks = pc.utf8_slice_codeunits(stems, -1).to_numpy(zero_copy_only=False)
-        coded = pc.utf8_rtrim(stems, ".,").dictionary_encode()
-        stem_ids, stem_starts, stem_counts = self._words(coded.dictionary)
-        others = self._encoded(words.filter(pc.invert(plain)).to_pylist())
-        # One stretch for every stem and mark, then one for every other word.
-        which, counts = coded.indices.to_numpy(), stem_counts[coded.indices.to_numpy()]
-        mark_ids = {"": np.zeros(0, np.uint32), **self._stops}
-        kind = np.where(marks == ".", ".", np.where(marks == ",", ",", ""))
-        parts, starts, at = [], np.zeros(len(kind), np.int64), 0
-        sizes = counts.copy()
-        for mark, tail in mark_ids.items():
-            rows = np.flatnonzero(kind == mark)
-            size = counts[rows] + len(tail)
-            ends = np.cumsum(size)
-            ids = np.zeros(ends[-1] if len(rows) else 0, np.uint32)
-            own = np.repeat(ends - size, counts[rows])
-            within = np.arange(len(own)) - np.repeat(np.cumsum(counts[rows]) - counts[rows], counts[rows])
-            ids[own + within] = stem_ids[np.repeat(stem_starts[which[rows]], counts[rows]) + within]
-            for i, token in enumerate(tail):
-                ids[ends - len(tail) + i] = token
-            starts[rows], sizes[rows] = at + ends - size, size
-            parts.append(ids)
-            at += len(ids)
+        plain = pc.match_substring_regex(words, _PLAIN) if self._cuts else pc.is_null(words)
+        others = self._encoded(self._tokenizer, words.filter(pc.invert(plain)).to_pylist())
+        spaced = pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _APART, r" \1 ")
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
+        coded = lists.flatten().dictionary_encode()
+        ids, before = _laid_out(*self._pieces(coded.dictionary), coded.indices.to_numpy())
+        bounds = before[lists.offsets.to_numpy()]
         other_counts = np.array([len(o) for o in others], dtype=np.int64)
         plain = plain.to_numpy(zero_copy_only=False).astype(bool)
-        all_starts, all_counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        all_starts[plain], all_counts[plain] = starts, sizes
-        all_starts[~plain] = at + np.cumsum(other_counts) - other_counts
-        all_counts[~plain] = other_counts
-        return _joined([*parts, *others]), all_starts, all_counts
+        starts, counts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[plain], counts[plain] = bounds[:-1], np.diff(bounds)
+        starts[~plain] = len(ids) + np.cumsum(other_counts) - other_counts
+        counts[~plain] = other_counts
+        return _joined([ids, *others]), starts, counts
+
+
+def _laid_out(
+    flat: np.ndarray, starts: np.ndarray, counts: np.ndarray, which: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat`` one after the other, and where each begins there and the last ends."""
+    sizes = counts[which]
+    before = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(before[-1], dtype=np.int64)
+    place += np.repeat(starts[which] - before[:-1], sizes)
+    return flat[place], before
 
 
 def _joined(arrays: list[np.ndarray], kind=np.uint32) -> np.ndarray:
