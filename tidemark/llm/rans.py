@@ -93,10 +93,10 @@ def encode(ids: np.ndarray, model: Model) -> list[tuple[bytes, bytes, bytes]]:
             marks.append((step, state.copy()))
     given.reverse()
     counts = np.array([c for c, _ in given]).reshape(steps, blocks)
-    words = [[] for _ in range(blocks)]
-    for count, step_words in given:
-        for block, own in enumerate(np.split(step_words, np.cumsum(count)[:-1])):
-            words[block].append(own)
+    # The words of a step lie block by block; those of a block are put together, in order of steps.
+    owner = np.repeat(np.tile(np.arange(blocks, dtype=np.uint16), steps), counts.ravel())
+    sorted_words = np.concatenate([w for _, w in given])[np.argsort(owner, kind="stable")]
+    words = np.split(sorted_words, np.cumsum(counts.sum(axis=0))[:-1])
     used = np.concatenate((np.zeros((1, blocks), np.int64), np.cumsum(counts, axis=0)))
     found = []
     for block in range(blocks):
@@ -105,7 +105,7 @@ def encode(ids: np.ndarray, model: Model) -> list[tuple[bytes, bytes, bytes]]:
             np.uint64(used[step, block]).tobytes() + states[block].tobytes()
             for step, states in reversed(marks)
         )
-        found.append((state[block].tobytes(), saved, np.concatenate(words[block]).tobytes()))
+        found.append((state[block].tobytes(), saved, words[block].tobytes()))
     return found
 
 
@@ -169,14 +169,21 @@ def decode_sections(model: Model, n: int, blocks: list[list[tuple[bytes, bytes]]
     return np.concatenate(found, axis=1)
 
 
+# Documents with their ids, and behind those of a task how often each token is in them.
+_IDS = "doc_id bigint, ids binary, token bigint, n bigint"
+
+
 def _encoded(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary)
         kind = id_kind(max(encode_texts.size, end_id + 1))
+        counts = np.zeros(max(encode_texts.size, end_id + 1), np.int64)
+        names = [p.split()[0] for p in _IDS.split(", ")]
         for batch in batches:
             for part in slices(batch, "text"):
                 flat, ends = encode_texts.encode(text_column(part, "text"))
                 ids = np.insert(flat, ends[1:], end_id).astype(kind)
+                counts += np.bincount(ids, minlength=len(counts))
                 size = np.dtype(kind).itemsize
                 offsets = (ends + np.arange(len(ends))) * size
                 if offsets[-1] >= 1 << 31:
@@ -186,26 +193,11 @@ def _encoded(vocabulary: str, end_id: int):
                     part.num_rows,
                     [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)],
                 )
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), binary], names=["doc_id", "ids"])
-
-    return run
-
-
-def _counted(kind: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
-        for batch in batches:
-            column = batch.column("ids").cast(pa.large_binary())
-            bounds = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-            if bounds[-1] > bounds[0]:
-                ids = np.frombuffer(column.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].view(kind)
-                found = np.bincount(ids)
-                counts = np.pad(counts, (0, max(0, len(found) - len(counts))))
-                counts[: len(found)] += found
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), binary, none, none], names=names)
         tokens = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(tokens, pa.int64()), pa.array(counts[tokens], pa.int64())], names=["token", "n"]
-        )
+        none = pa.nulls(len(tokens), pa.int64()), pa.nulls(len(tokens), pa.binary())
+        yield pa.RecordBatch.from_arrays([*none, pa.array(tokens, pa.int64()), pa.array(counts[tokens])], names=names)
 
     return run
 
@@ -306,8 +298,9 @@ def write(
     texts = documents.select(
         F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column_name).alias("text")
     )
-    ids = stored(texts.mapInArrow(_encoded(vocabulary, end_id), "doc_id bigint, ids binary"), "ids", "zstd")
-    counts = ids.select("ids").mapInArrow(_counted(kind), "token bigint, n bigint")
+    coded = stored(texts.mapInArrow(_encoded(vocabulary, end_id), _IDS), "ids", "zstd")
+    ids = coded.where("token IS NULL").select("doc_id", "ids")
+    counts = coded.where("token IS NOT NULL").select("token", "n")
     # One row a token of the vocabulary at most.
     counted = counts.groupBy("token").agg(F.sum("n").alias("n")).orderBy("token").collect()
     tokens = np.array([r["token"] for r in counted], dtype=np.int64)

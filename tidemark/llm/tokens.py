@@ -73,8 +73,7 @@ class TextEncoder:
             and all(token["content"].startswith("<") for token in own["added_tokens"])
         )
         # The same model for pieces, which are in lower case and cut already.
-        self._model = Tokenizer.from_file(path)
-        self._model.normalizer = None
+        self._model = Tokenizer(self._tokenizer.model)
         self._model.pre_tokenizer = Sequence(
             [WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)]
         )
